@@ -156,3 +156,153 @@ LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'O') a ON
 LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'P') b ON c.c_custkey = b.o_custkey
 WHERE a.o_custkey IS NOT NULL OR b.o_custkey IS NOT NULL
 """
+
+
+# ---------------------------------------------------------------- lines, timetable, routes
+
+def code(expr: str) -> str:
+    return f"('N' || lpad(CAST({expr} AS VARCHAR), 2, '0'))"
+
+
+LINES_RAW = f"""raw_lines AS (
+  SELECT {code('s_nationkey')} AS src, {code('(s_nationkey + 1 + s_suppkey % 3) % 25')} AS dst,
+         CASE WHEN s_suppkey % 11 = 0 OR s_suppkey % 17 = 0 THEN NULL
+              ELSE CAST(((s_suppkey * 7) % 24) * 3600 + (s_suppkey % 2) * 1800 AS INTEGER) END AS leave_secs,
+         CASE WHEN s_suppkey % 13 = 0 THEN NULL ELSE CAST(60 + 30 * (s_suppkey % 5) AS BIGINT) END AS run_minutes,
+         CAST(s_suppkey % 4 AS BIGINT) AS unload_time,
+         CASE s_suppkey % 3 WHEN 0 THEN 'trunk'
+                            WHEN 1 THEN (CASE WHEN s_suppkey % 7 = 0 THEN 'airplane' ELSE 'car' END)
+                            ELSE 'partner' END AS type
+  FROM supplier)"""
+
+MERGED = LINES_RAW + """,
+merged AS (
+  SELECT src, dst, leave_secs, max(coalesce(run_minutes, 0)) AS run_minutes,
+         max(coalesce(unload_time, 0)) AS unload_time, max(type) AS type
+  FROM raw_lines WHERE leave_secs IS NOT NULL AND type <> 'airplane'
+  GROUP BY src, dst, leave_secs)"""
+
+HMS = "printf('%02d:%02d:%02d', {s} // 3600, ({s} // 60) % 60, {s} % 60)"
+
+ORACLE_SQL["merge_lines"] = f"""
+WITH {MERGED}
+SELECT src AS leave_department_code, dst AS arrive_department_code, {HMS.format(s='leave_secs')} AS leave_time,
+       leave_secs, run_minutes, unload_time, type FROM merged
+"""
+
+SPLICED = MERGED + """,
+spliced AS (
+  SELECT src, dst, leave_secs, max(run_minutes) AS run_minutes, max(unload_time) AS unload_time FROM (
+    SELECT coalesce(d.src, a.src) AS src, a.dst, coalesce(d.leave_secs, a.leave_secs) AS leave_secs,
+           a.run_minutes + coalesce(d.run_minutes, 0) AS run_minutes,
+           a.unload_time + coalesce(d.unload_time, 0) AS unload_time
+    FROM merged a LEFT JOIN merged d ON a.src = d.dst WHERE a.type = 'partner'
+    UNION ALL
+    SELECT a.src, coalesce(d.dst, a.dst), a.leave_secs,
+           a.run_minutes + coalesce(d.run_minutes, 0), a.unload_time + coalesce(d.unload_time, 0)
+    FROM merged a LEFT JOIN merged d ON a.dst = d.src WHERE a.type = 'partner'
+    UNION ALL
+    SELECT src, dst, leave_secs, run_minutes, unload_time FROM merged) u
+  GROUP BY src, dst, leave_secs)"""
+
+ORACLE_SQL["splice_lines"] = f"""
+WITH {SPLICED}
+SELECT src AS leave_department_code, dst AS arrive_department_code, {HMS.format(s='leave_secs')} AS leave_time,
+       leave_secs, run_minutes, unload_time FROM spliced
+"""
+
+ORACLE_SQL["timetable"] = f"""
+WITH {MERGED}
+SELECT src AS leave_department_code, dst AS arrive_department_code, CAST(count(*) AS INTEGER) AS departures,
+       string_agg({HMS.format(s='leave_secs')} || '/' || run_minutes || '/' || unload_time, ','
+                  ORDER BY leave_secs, run_minutes, unload_time) AS schedule
+FROM merged GROUP BY src, dst
+"""
+
+ROUTES = f"""oc AS (
+  SELECT o.o_orderkey, o.o_orderstatus, o.o_orderdate, c.c_nationkey,
+         CAST(o.o_orderkey % 5 + 2 AS INTEGER) AS size, CAST(o.o_orderkey % 3 + 1 AS INTEGER) AS step
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+routes AS (
+  SELECT o_orderkey, c_nationkey,
+         list_transform(range(size), lambda i: CASE WHEN o_orderkey % 7 = 0 AND i = size - 1 THEN {code('c_nationkey')}
+                                                ELSE {code('(c_nationkey + i * step) % 25')} END) AS codes,
+         size, o_orderstatus,
+         o_orderdate + to_hours(CAST(o_orderkey % 24 AS BIGINT)) + to_minutes(CAST((o_orderkey * 7) % 60 AS BIGINT)) AS t0
+  FROM oc),
+w AS (
+  SELECT o_orderkey, c_nationkey, t0,
+         array_to_string(list_transform(range(size), lambda i: codes[i + 1] || ':' || CAST(i AS VARCHAR)), '-') AS route,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'N99' ELSE codes[CAST(o_orderkey % size AS INTEGER) + 1] END AS cur,
+         CASE o_orderstatus WHEN 'O' THEN 'load_noarrive' WHEN 'F' THEN 'load_arriveed' ELSE 'stock' END AS status,
+         {code('(c_nationkey + 24) % 25')} AS leave_org
+  FROM routes),
+parsed AS (
+  SELECT *, list_transform(string_split(route, '-'), lambda x: split_part(x, ':', 1)) AS orgs FROM w),
+pos AS (
+  SELECT *, CASE WHEN list_position(list_reverse(orgs), cur) > 0
+                 THEN len(orgs) - list_position(list_reverse(orgs), cur) ELSE -1 END AS idx
+  FROM parsed),
+rem AS (
+  SELECT o_orderkey, t0, status, leave_org, orgs[idx + 1:] AS remaining
+  FROM pos WHERE idx >= 0 AND idx < len(orgs) - 1),
+legs AS (
+  SELECT o_orderkey, t0, CAST(k AS INTEGER) AS leg_idx, remaining[k + 1] AS src, remaining[k + 2] AS dst,
+         CAST(k + CASE WHEN status = 'load_noarrive' THEN 2 ELSE 1 END AS INTEGER) AS path_no,
+         CASE WHEN k = 0 THEN (CASE WHEN status = 'load_noarrive' THEN leave_org END)
+              ELSE remaining[k] END AS pre_org
+  FROM rem, unnest(range(len(remaining) - 1)) AS r(k))"""
+
+ORACLE_SQL["route_remaining"] = f"""
+WITH {ROUTES}
+SELECT o_orderkey, leg_idx, src, dst, path_no, pre_org FROM legs
+"""
+
+ORACLE_SQL["nearest_departure"] = f"""
+WITH {MERGED}, {ROUTES},
+q AS (SELECT o_orderkey, t0, {code('c_nationkey')} AS src, {code('(c_nationkey + 1) % 25')} AS dst FROM w),
+cand AS (
+  SELECT q.*, m.leave_secs, m.run_minutes, m.unload_time,
+         row_number() OVER (PARTITION BY q.o_orderkey ORDER BY
+             abs(epoch_us(q.t0) - epoch_us(date_trunc('day', q.t0) + to_seconds(m.leave_secs))) ASC NULLS LAST,
+             m.leave_secs, m.run_minutes, m.unload_time) AS rn
+  FROM q LEFT JOIN merged m ON q.src = m.src AND q.dst = m.dst)
+SELECT o_orderkey, t0, src, dst,
+       CASE WHEN leave_secs IS NULL THEN NULL ELSE {HMS.format(s='leave_secs')} END AS line_leave_time,
+       run_minutes, unload_time
+FROM cand WHERE rn = 1
+"""
+
+NEXT_CAND = """
+    SELECT st, run_minutes, unload_time FROM (
+      SELECT date_trunc('day', {t}) + to_seconds(m.leave_secs) AS st, m.run_minutes, m.unload_time
+      FROM merged m WHERE m.src = {src} AND m.dst = {dst} AND date_trunc('day', {t}) + to_seconds(m.leave_secs) >= {t}
+      UNION ALL
+      SELECT date_trunc('day', {t}) + INTERVAL 1 DAY + to_seconds(m.leave_secs), m.run_minutes, m.unload_time
+      FROM merged m WHERE m.src = {src} AND m.dst = {dst}) c
+    ORDER BY st, run_minutes, unload_time LIMIT 1"""
+
+ORACLE_SQL["next_departure"] = f"""
+WITH {MERGED}, {ROUTES},
+q AS (SELECT o_orderkey, t0, {code('c_nationkey')} AS src, {code('(c_nationkey + 1 + o_orderkey % 3) % 25')} AS dst
+      FROM w)
+SELECT q.o_orderkey, q.t0, q.src, q.dst, nx.st AS start_time, nx.st + to_minutes(nx.run_minutes) AS end_time,
+       nx.st + to_minutes(nx.run_minutes) + to_minutes(nx.unload_time * 60) AS next_ready
+FROM q LEFT JOIN LATERAL ({NEXT_CAND.format(t='q.t0', src='q.src', dst='q.dst')}) nx ON TRUE
+"""
+
+ORACLE_SQL["schedule_walk"] = f"""
+WITH RECURSIVE {MERGED}, {ROUTES},
+walk AS (
+  SELECT l.o_orderkey, l.leg_idx, l.src, l.dst, l.path_no, l.pre_org, nx.st AS start_time,
+         nx.st + to_minutes(nx.run_minutes) AS end_time,
+         nx.st + to_minutes(nx.run_minutes) + to_minutes(nx.unload_time * 60) AS ready
+  FROM legs l, LATERAL ({NEXT_CAND.format(t='l.t0', src='l.src', dst='l.dst')}) nx
+  WHERE l.leg_idx = 0 AND l.t0 IS NOT NULL
+  UNION ALL
+  SELECT l.o_orderkey, l.leg_idx, l.src, l.dst, l.path_no, l.pre_org, nx.st,
+         nx.st + to_minutes(nx.run_minutes), nx.st + to_minutes(nx.run_minutes) + to_minutes(nx.unload_time * 60)
+  FROM walk p JOIN legs l ON l.o_orderkey = p.o_orderkey AND l.leg_idx = p.leg_idx + 1,
+       LATERAL ({NEXT_CAND.format(t='p.ready', src='l.src', dst='l.dst')}) nx)
+SELECT o_orderkey, leg_idx, src, dst, path_no, pre_org, start_time, end_time FROM walk
+"""

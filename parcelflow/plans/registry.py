@@ -204,3 +204,72 @@ def q_keep_in_any(spark, d):
     return joins.keep_in_any(table(spark, d, "customer"),
                              [(o.filter(F.col("o_orderstatus") == "O"), "o_custkey"),
                               (o.filter(F.col("o_orderstatus") == "P"), "o_custkey")], ["c_custkey"])
+
+
+# ---------------------------------------------------------------- lines and timetable
+
+from ..operators import lines as lines_ops  # noqa: E402
+from ..operators import route as route_ops  # noqa: E402
+from ..sources import derived  # noqa: E402
+
+
+def merged_lines(spark, d) -> DataFrame:
+    return lines_ops.merge_lines(*derived.supplier_lines(spark, d))
+
+
+@register("merge_lines")
+def q_merge_lines(spark, d):
+    return merged_lines(spark, d)
+
+
+@register("splice_lines")
+def q_splice_lines(spark, d):
+    return lines_ops.splice(merged_lines(spark, d))
+
+
+@register("timetable")
+def q_timetable(spark, d):
+    tt = lines_ops.timetable(merged_lines(spark, d))
+    rendered = F.array_join(F.transform("tt", lambda x: F.format_string(
+        "%s/%d/%d", lines_ops.secs_to_text(x["secs"]), x["run"], x["unload"])), ",")
+    return tt.select(lines_ops.SRC, lines_ops.DST, F.size("tt").alias("departures"), rendered.alias("schedule"))
+
+
+@register("nearest_departure")
+def q_nearest_departure(spark, d):
+    w = derived.order_routes(spark, d).select(
+        "o_orderkey", "t0", derived.dept_code("c_nationkey").alias("src"),
+        derived.dept_code((F.col("c_nationkey") + 1) % derived.N_NATIONS).alias("dst"))
+    tt = lines_ops.timetable(merged_lines(spark, d))
+    return lines_ops.nearest_departure(w, tt, "src", "dst", "t0") \
+        .select("o_orderkey", "t0", "src", "dst", "line_leave_time", "run_minutes", "unload_time")
+
+
+@register("next_departure")
+def q_next_departure(spark, d):
+    w = derived.order_routes(spark, d).select(
+        "o_orderkey", "t0", derived.dept_code("c_nationkey").alias("src"),
+        derived.dept_code((F.col("c_nationkey") + 1 + F.col("o_orderkey") % 3) % derived.N_NATIONS).alias("dst"))
+    tt = lines_ops.timetable(merged_lines(spark, d))
+    return lines_ops.next_departure(w, tt, "src", "dst", "t0") \
+        .select("o_orderkey", "t0", "src", "dst", "start_time", "end_time", "next_ready")
+
+
+# ---------------------------------------------------------------- routes
+
+def route_legs(spark, d) -> DataFrame:
+    w = derived.order_routes(spark, d)
+    w = w.withColumn("remaining", route_ops.remaining(route_ops.parse("route"), F.col("current"))) \
+        .filter(F.col("remaining").isNotNull())
+    return route_ops.legs(w, "o_orderkey", "remaining", "status", "leave_org", carry=["t0"])
+
+
+@register("route_remaining")
+def q_route_remaining(spark, d):
+    return route_legs(spark, d).select("o_orderkey", "leg_idx", "src", "dst", "path_no", "pre_org")
+
+
+@register("schedule_walk")
+def q_schedule_walk(spark, d):
+    tt = lines_ops.timetable(merged_lines(spark, d))
+    return route_ops.schedule_walk(route_legs(spark, d), tt, "o_orderkey", "t0")
