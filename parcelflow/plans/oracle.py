@@ -306,3 +306,159 @@ walk AS (
        LATERAL ({NEXT_CAND.format(t='p.ready', src='l.src', dst='l.dst')}) nx)
 SELECT o_orderkey, leg_idx, src, dst, path_no, pre_org, start_time, end_time FROM walk
 """
+
+
+# ---------------------------------------------------------------- derived logistics feeds and jobs
+
+def latest(src: str, keys: str, order: str, ties: list[str], desc: bool = True) -> str:
+    d = "DESC" if desc else "ASC"
+    by = ", ".join([f"{order} {d} NULLS LAST"] + [f"{c} {d} NULLS LAST" for c in ties])
+    return f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS rn " \
+           f"FROM {src}) x WHERE rn = 1)"
+
+
+ITEM = "CASE WHEN l_linenumber % 4 = 1 THEN 'B' || CAST(l_orderkey // 8 AS VARCHAR) ELSE 'W' || CAST(l_orderkey AS VARCHAR) END"
+LINE_DEPT = code("(l_suppkey + l_linenumber) % 25")
+LINE_ID = "CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)"
+
+FEEDS = f"""
+basic AS (
+  SELECT {code('s_nationkey')} AS code, 'P' || CAST(n_regionkey AS VARCHAR) AS prov_code,
+         CASE WHEN n_regionkey <= 2 AND s_suppkey % 5 <> 0 THEN 'Y' ELSE 'N' END AS center,
+         CASE WHEN s_suppkey % 9 = 0 THEN 'N' ELSE 'Y' END AS is_active,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(s_suppkey) AS create_time
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
+box AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
+         'B' || CAST(o_orderkey // 8 AS VARCHAR) AS task_number,
+         o_totalprice / 100 AS waybill_weight, o_totalprice / 1000 AS waybill_volume,
+         CASE WHEN o_orderkey % 13 = 0 THEN '0' ELSE '1' END AS valid_status,
+         o_orderdate AS create_time, o_orderdate AS inflow_time
+  FROM orders),
+unload AS (
+  SELECT {LINE_ID} AS id, {ITEM} AS waybill_number, 'A' || CAST(l_orderkey AS VARCHAR) AS assignment_number,
+         {LINE_DEPT} AS now_department_code,
+         CASE l_linenumber % 3 WHEN 0 THEN 'PC' WHEN 1 THEN 'PDA' ELSE 'GUN' END AS device_type,
+         '1' AS is_active, l_shipdate + to_hours(l_linenumber) AS create_time,
+         l_shipdate + to_minutes(l_partkey % 1000) AS inflow_time
+  FROM lineitem),
+load_detail AS (
+  SELECT {LINE_ID} AS id, {ITEM} AS waybill_number, 'A' || CAST(l_orderkey AS VARCHAR) AS assignment_number,
+         CASE WHEN l_partkey % 3 <> 0 THEN {LINE_DEPT} ELSE {code('(l_suppkey + l_linenumber + 1) % 25')} END
+           AS leave_department_code,
+         CASE WHEN l_partkey % 7 = 0 THEN 'PC' ELSE 'PDA' END AS device_type,
+         CASE WHEN l_partkey % 11 = 0 THEN '0' ELSE '1' END AS is_active,
+         l_shipdate + to_hours(l_linenumber + 2) AS create_time, l_shipdate + to_hours(l_linenumber + 2) AS inflow_time
+  FROM lineitem WHERE l_linestatus = 'O'),
+sign AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
+         o_orderdate + INTERVAL 5 DAY AS sign_time, o_orderdate AS create_time, o_orderdate AS inflow_time
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0),
+stock AS (
+  SELECT {LINE_ID} AS id, 'W' || CAST(l_orderkey AS VARCHAR) AS waybill_number, {LINE_DEPT} AS department_code,
+         l_shipdate + to_hours(l_linenumber * 3) AS stock_time, l_shipdate + to_hours(l_linenumber * 3) AS create_time,
+         CASE WHEN l_orderkey % 10 = 0 THEN 'BAG' ELSE 'WAYBILL' END AS waybill_type,
+         l_shipdate + to_hours(l_linenumber * 3) AS inflow_time
+  FROM lineitem WHERE l_linenumber <= 3),
+pallet AS (
+  SELECT {ITEM} AS waybill_number, {LINE_DEPT} AS org_code, l_shipdate + to_hours(l_linenumber + 1) AS create_time
+  FROM lineitem WHERE l_returnflag = 'A'),
+scan AS (
+  SELECT {ITEM} AS waybill_number, {LINE_DEPT} AS operation_org_code,
+         l_shipdate + to_hours(l_linenumber) + to_minutes(30) AS create_time
+  FROM lineitem WHERE l_returnflag = 'R'),
+path AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
+         route AS waybill_route_codes, t0 AS create_time, t0 AS inflow_time FROM w),
+org AS (
+  SELECT code, prov_code, center FROM {latest("(SELECT * FROM basic WHERE is_active = 'Y')", "code", "create_time",
+                                              ["prov_code", "center", "is_active"])} o),
+box_c AS {latest("box", "id", "inflow_time", ["waybill_number", "task_number", "waybill_weight", "waybill_volume",
+                                                 "valid_status", "create_time"])},
+unload_c AS {latest("unload", "id", "inflow_time", ["waybill_number", "assignment_number", "now_department_code",
+                                                       "device_type", "is_active", "create_time"])},
+load_detail_c AS {latest("load_detail", "id", "inflow_time", ["waybill_number", "assignment_number",
+                                                                 "leave_department_code", "device_type", "is_active",
+                                                                 "create_time"])},
+sign_c AS {latest("sign", "id", "inflow_time", ["waybill_number", "sign_time", "create_time"])},
+stock_c AS {latest("stock", "id", "inflow_time", ["waybill_number", "department_code", "stock_time", "create_time",
+                                                     "waybill_type"])},
+path_c AS {latest("path", "id", "inflow_time", ["waybill_number", "waybill_route_codes", "create_time"])}"""
+
+REFRESH = "'2001-09-01 00:00:00'"
+
+ORACLE_SQL["pipeline_clean"] = f"""
+WITH {ROUTES}, {FEEDS}
+SELECT id, waybill_number, assignment_number, now_department_code, device_type, is_active, create_time, inflow_time
+FROM unload_c
+"""
+
+ORACLE_SQL["pipeline_unscan"] = f"""
+WITH {ROUTES}, {FEEDS},
+tmp1 AS (
+  SELECT coalesce(b.waybill_number, u.waybill_number) AS waybill_number, u.now_department_code,
+         u.inflow_time AS create_time, u.device_type, u.assignment_number
+  FROM unload_c u
+  LEFT JOIN box_c b ON u.waybill_number = b.task_number AND b.valid_status = '1'
+  JOIN org ON u.now_department_code = org.code AND org.center = 'Y')
+SELECT t.now_department_code, t.waybill_number, t.create_time, t.device_type, t.assignment_number,
+       p.waybill_route_codes, {REFRESH} AS refresh_time
+FROM tmp1 t
+LEFT JOIN path_c p ON t.waybill_number = p.waybill_number
+LEFT JOIN scan s ON t.waybill_number = s.waybill_number AND t.now_department_code = s.operation_org_code
+WHERE s.waybill_number IS NULL
+"""
+
+ORACLE_SQL["pipeline_warning"] = f"""
+WITH {ROUTES}, {FEEDS},
+tmp1 AS (
+  SELECT waybill_no, unload_org_code, unload_time FROM (
+    SELECT a.*, row_number() OVER (PARTITION BY waybill_no, unload_org_code ORDER BY unload_time DESC NULLS LAST) rn
+    FROM (SELECT coalesce(b.waybill_number, u.waybill_number) AS waybill_no, u.now_department_code AS unload_org_code,
+                 u.create_time AS unload_time
+          FROM unload_c u JOIN org ON u.now_department_code = org.code AND org.center = 'Y'
+          LEFT JOIN box_c b ON u.waybill_number = b.task_number AND b.valid_status = '1') a) x WHERE rn = 1),
+tmp2 AS (
+  SELECT coalesce(b.waybill_number, l.waybill_number) AS waybill_no, l.leave_department_code AS load_org_code
+  FROM load_detail_c l JOIN org ON l.leave_department_code = org.code AND org.center = 'Y'
+  LEFT JOIN box_c b ON l.waybill_number = b.task_number AND b.valid_status = '1'
+       AND l.device_type <> 'PC' AND l.is_active = '1'),
+tmp3 AS (
+  SELECT waybill_no, tray_time, tray_org_code FROM (
+    SELECT a.*, row_number() OVER (PARTITION BY waybill_no, tray_org_code ORDER BY tray_time DESC NULLS LAST) rn
+    FROM (SELECT coalesce(b.waybill_number, p.waybill_number) AS waybill_no, p.create_time AS tray_time,
+                 p.org_code AS tray_org_code
+          FROM pallet p JOIN org ON p.org_code = org.code AND org.center = 'Y'
+          LEFT JOIN box_c b ON p.waybill_number = b.task_number AND b.valid_status = '1') a) x WHERE rn = 1),
+tmp4 AS (
+  SELECT waybill_no, sort_org_code, sort_time FROM (
+    SELECT a.*, row_number() OVER (PARTITION BY waybill_no, sort_org_code ORDER BY sort_time ASC NULLS LAST) rn
+    FROM (SELECT coalesce(b.waybill_number, s.waybill_number) AS waybill_no, s.operation_org_code AS sort_org_code,
+                 s.create_time AS sort_time
+          FROM scan s JOIN org ON s.operation_org_code = org.code AND org.center = 'Y'
+          LEFT JOIN box_c b ON s.waybill_number = b.task_number AND b.valid_status = '1') a) x WHERE rn = 1),
+valid AS (
+  SELECT u.* FROM tmp1 u
+  WHERE NOT EXISTS (SELECT 1 FROM tmp2 l WHERE l.waybill_no = u.waybill_no AND l.load_org_code = u.unload_org_code)
+    AND NOT EXISTS (SELECT 1 FROM sign_c s WHERE s.waybill_number = u.waybill_no)
+    AND EXISTS (SELECT 1 FROM stock_c k WHERE k.waybill_number = u.waybill_no AND k.department_code = u.unload_org_code))
+SELECT v.waybill_no, v.unload_org_code, v.unload_time, t.tray_time, s.sort_org_code, s.sort_time,
+       CASE WHEN s.sort_time IS NOT NULL THEN '可装车' WHEN t.tray_time IS NOT NULL THEN '可分拣' ELSE '在站台' END
+         AS expect_place,
+       {REFRESH} AS refresh_time
+FROM valid v
+LEFT JOIN tmp3 t ON v.waybill_no = t.waybill_no AND v.unload_org_code = t.tray_org_code
+LEFT JOIN tmp4 s ON v.waybill_no = s.waybill_no AND v.unload_org_code = s.sort_org_code
+"""
+
+ORACLE_SQL["expected_place"] = """
+WITH ev AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+base AS (SELECT DISTINCT user_id, day FROM ev),
+tray AS (SELECT user_id, day, max(ts) AS tray_time FROM ev WHERE event_type = 'view' GROUP BY user_id, day),
+srt AS (SELECT user_id, day, min(ts) AS sort_time FROM ev WHERE event_type = 'click' GROUP BY user_id, day)
+SELECT b.user_id, b.day, t.tray_time, s.sort_time,
+       CASE WHEN s.sort_time IS NOT NULL THEN '可装车' WHEN t.tray_time IS NOT NULL THEN '可分拣' ELSE '在站台' END
+         AS expect_place
+FROM base b LEFT JOIN tray t ON b.user_id = t.user_id AND b.day = t.day
+LEFT JOIN srt s ON b.user_id = s.user_id AND b.day = s.day
+"""

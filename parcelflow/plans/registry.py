@@ -273,3 +273,46 @@ def q_route_remaining(spark, d):
 def q_schedule_walk(spark, d):
     tt = lines_ops.timetable(merged_lines(spark, d))
     return route_ops.schedule_walk(route_legs(spark, d), tt, "o_orderkey", "t0")
+
+
+# ---------------------------------------------------------------- end-to-end jobs
+
+from . import clean as clean_job  # noqa: E402
+from . import unscan as unscan_job  # noqa: E402
+from . import warning as warning_job  # noqa: E402
+
+REFRESH_TIME = "2001-09-01 00:00:00"
+
+
+def cleaned_logistics(spark, d) -> dict:
+    """Derived raw feeds -> cleaned tables (whole history: no time slice, the derived feeds span
+    years while the slice is a 7-day production window; ``clean_time_slice`` covers S4)."""
+    return clean_job.clean_all(derived.logistics_tables(spark, d), REFRESH_TIME, days=None)
+
+
+@register("pipeline_clean")
+def q_pipeline_clean(spark, d):
+    raw = derived.logistics_tables(spark, d)
+    return clean_job.run_batch(raw, 2, REFRESH_TIME, days=None)["volume_unload_detail"]
+
+
+@register("pipeline_unscan")
+def q_pipeline_unscan(spark, d):
+    return unscan_job.run(cleaned_logistics(spark, d), REFRESH_TIME)
+
+
+@register("pipeline_warning")
+def q_pipeline_warning(spark, d):
+    return warning_job.run(cleaned_logistics(spark, d), REFRESH_TIME)
+
+
+@register("expected_place")
+def q_expected_place(spark, d):
+    ev = table(spark, d, "events").withColumn("day", F.to_date("ts"))
+    base = ev.select("user_id", "day").distinct()
+    tray = dedup.latest_per_key(ev.filter(F.col("event_type") == "view").select("user_id", "day", "ts"),
+                                ["user_id", "day"], ["ts"], []).withColumnRenamed("ts", "tray_time")
+    sort = dedup.earliest_per_key(ev.filter(F.col("event_type") == "click").select("user_id", "day", "ts"),
+                                  ["user_id", "day"], ["ts"], []).withColumnRenamed("ts", "sort_time")
+    out = base.join(tray, ["user_id", "day"], "left").join(sort, ["user_id", "day"], "left")
+    return out.withColumn("expect_place", warning_job.expected_place("sort_time", "tray_time"))
