@@ -462,3 +462,207 @@ SELECT b.user_id, b.day, t.tray_time, s.sort_time,
 FROM base b LEFT JOIN tray t ON b.user_id = t.user_id AND b.day = t.day
 LEFT JOIN srt s ON b.user_id = s.user_id AND b.day = s.day
 """
+
+
+# ---------------------------------------------------------------- forecast job
+
+FC_FEEDS = f"""
+oc2 AS (SELECT o.*, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+waybill AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
+         CAST(o_orderkey % 5 + 1 AS DOUBLE) AS goods_qty,
+         CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_totalprice / 1000 END AS goods_volume,
+         CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_totalprice / 100 END AS goods_weight,
+         {code('c_nationkey')} AS billing_department_code, {code('c_nationkey')} AS receive_department_code,
+         {code('(c_nationkey + 3) % 25')} AS customer_pickup_department_code, o_orderdate AS bill_time,
+         CASE WHEN o_orderkey % 50 = 0 THEN 'N' ELSE 'Y' END AS is_active,
+         o_orderdate AS create_time, o_orderdate AS inflow_time
+  FROM oc2),
+load AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'A' || CAST(o_orderkey AS VARCHAR) AS assignment_number,
+         {code('c_nationkey')} AS leave_department_code, {code('(c_nationkey + o_orderkey % 3 + 1) % 25')} AS arrive_department_code,
+         CASE WHEN o_orderkey % 29 = 0 THEN '0' ELSE '1' END AS is_active, o_orderdate + to_hours(6) AS end_time,
+         o_orderdate AS create_time, o_orderdate AS inflow_time
+  FROM oc2),
+traffic AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'A' || CAST(o_orderkey AS VARCHAR) AS assignment_number,
+         'T' || CAST(o_orderkey AS VARCHAR) AS transport_task_id, 'Y' AS is_active,
+         o_orderdate AS create_time, o_orderdate AS inflow_time
+  FROM orders),
+traffic_detail AS (
+  SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS transport_task_id, 'C' || CAST(o_orderkey % 97 AS VARCHAR) AS car_number,
+         CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderdate + to_hours(o_orderkey % 24) END
+           AS actual_leave_department_time,
+         CASE WHEN o_orderkey % 4 <= 1 THEN NULL ELSE o_orderdate + to_hours(o_orderkey % 24) + to_hours(5) END
+           AS actual_arrive_department_time,
+         CASE WHEN o_orderkey % 31 = 0 THEN NULL
+              ELSE o_orderdate + to_hours(o_orderkey % 24) + to_hours((o_orderkey % 3 + 1) * 4) END
+           AS plan_arrive_department_time,
+         CASE WHEN o_orderkey % 17 = 0 THEN 'CANCLE' ELSE 'NORMAL' END AS transport_task_status, 'Y' AS is_active,
+         o_orderdate AS create_time, o_orderdate AS inflow_time
+  FROM orders),
+same_day AS (
+  SELECT 'P' || CAST(r_regionkey AS VARCHAR) AS leave_province_code, 'P' || CAST(r_regionkey AS VARCHAR) AS arrive_province_code,
+         'Y' AS equal_province FROM region
+  UNION ALL
+  SELECT 'P' || CAST(r_regionkey AS VARCHAR), 'P' || CAST((r_regionkey + 1) % 5 AS VARCHAR), 'N' FROM region),
+waybill_c AS {latest("waybill", "id", "inflow_time", [])},
+load_c AS {latest("load", "id", "inflow_time", [])},
+traffic_c AS {latest("traffic", "id", "inflow_time", [])},
+traffic_detail_c AS {latest("traffic_detail", "transport_task_id", "inflow_time", [])}"""
+
+E_TS = "TIMESTAMP '2001-09-01 13:45:00'"
+E_TXT = "'2001-09-01 13:45:00'"
+
+FC_STAGES = f"""
+tmp4 AS (
+  SELECT t.waybill_number, t.bill_time, coalesce(t.goods_weight, 0.0) AS goods_weight,
+         coalesce(t.goods_volume, 0.0) AS goods_volume, coalesce(t.goods_weight, 0.0) AS bill_weight,
+         coalesce(t.goods_volume, 0.0) AS bill_volume, coalesce(t.goods_qty, 0.0) AS bill_qty,
+         t.receive_department_code, t.billing_department_code, org1.prov_code AS bill_prov_code,
+         org2.prov_code AS pickup_prov_code, CASE WHEN nx.equal_province = 'Y' THEN 'Y' ELSE 'N' END AS next_day_arrive,
+         t.customer_pickup_department_code
+  FROM waybill_c t
+  LEFT JOIN org org1 ON t.billing_department_code = org1.code
+  LEFT JOIN org org2 ON t.customer_pickup_department_code = org2.code
+  LEFT JOIN same_day nx ON org1.prov_code = nx.leave_province_code AND org2.prov_code = nx.arrive_province_code
+  WHERE t.is_active = 'Y' AND NOT EXISTS (SELECT 1 FROM sign_c s WHERE s.waybill_number = t.waybill_number)),
+tmp5 AS (
+  SELECT waybill_number, department_code AS receive_org_code, stock_time AS in_stock_time
+  FROM {latest("(SELECT * FROM stock_c WHERE waybill_type = 'WAYBILL')", "waybill_number", "create_time",
+               ["id", "department_code", "stock_time", "waybill_type", "inflow_time"])} s),
+chain AS (
+  SELECT ld.waybill_number AS item, td.car_number, l.leave_department_code, l.arrive_department_code,
+         td.actual_leave_department_time AS depart_time, td.actual_arrive_department_time AS arrive_time,
+         td.plan_arrive_department_time AS plan_arrive_time, coalesce(ld.create_time, l.end_time) AS create_time
+  FROM load_c l
+  JOIN load_detail_c ld ON l.assignment_number = ld.assignment_number AND l.is_active = '1' AND ld.is_active = '1'
+  JOIN traffic_c tr ON l.assignment_number = tr.assignment_number AND tr.is_active = 'Y'
+  JOIN traffic_detail_c td ON tr.transport_task_id = td.transport_task_id
+       AND td.transport_task_status <> 'CANCLE' AND td.is_active = 'Y'),
+unpacked AS (
+  SELECT coalesce(b.waybill_number, c.item) AS waybill_number, c.car_number, b.waybill_weight, b.waybill_volume,
+         c.leave_department_code, c.arrive_department_code, c.depart_time, c.arrive_time, c.plan_arrive_time, c.create_time
+  FROM chain c LEFT JOIN box_c b ON c.item = b.task_number AND b.valid_status = '1'),
+tmp6l AS {latest("unpacked", "waybill_number", "create_time",
+                 ["car_number", "waybill_weight", "waybill_volume", "leave_department_code", "arrive_department_code",
+                  "depart_time", "arrive_time", "plan_arrive_time"])},
+tmp6 AS (
+  SELECT a.waybill_number, a.car_number, coalesce(a.waybill_weight, w.goods_weight, 0.0) AS goods_weight,
+         coalesce(a.waybill_volume, w.goods_volume, 0.0) AS goods_volume, a.leave_department_code,
+         a.arrive_department_code, a.depart_time, a.arrive_time, a.plan_arrive_time, a.create_time
+  FROM tmp6l a JOIN waybill_c w ON a.waybill_number = w.waybill_number AND w.is_active = 'Y'),
+tmp7 AS (
+  SELECT * EXCLUDE (rn, leave_secs) FROM (
+    SELECT t.*, l.run_minutes, l.unload_time, l.leave_secs,
+           row_number() OVER (PARTITION BY t.waybill_number ORDER BY
+             abs(epoch_us(t.depart_time) - epoch_us(date_trunc('day', t.depart_time) + to_seconds(l.leave_secs))) ASC NULLS LAST,
+             l.leave_secs, l.run_minutes, l.unload_time) AS rn
+    FROM tmp6 t LEFT JOIN spliced l ON t.leave_department_code = l.src AND t.arrive_department_code = l.dst) x
+  WHERE rn = 1),
+tmp8s AS (
+  SELECT wb.*, stk.waybill_number AS stk_wb, stk.receive_org_code AS stk_org, stk.in_stock_time,
+         hb.waybill_number AS hb_wb, hb.car_number, hb.goods_weight AS hb_weight, hb.goods_volume AS hb_volume,
+         hb.leave_department_code, hb.arrive_department_code, hb.depart_time, hb.arrive_time, hb.plan_arrive_time,
+         hb.create_time AS hb_create_time, hb.unload_time,
+         CASE WHEN stk.in_stock_time > coalesce(hb.arrive_time, hb.depart_time, hb.create_time) THEN 'stock'
+              WHEN hb.waybill_number IS NOT NULL THEN
+                CASE WHEN hb.depart_time IS NULL AND hb.arrive_time IS NULL THEN 'load_nodepart'
+                     WHEN hb.depart_time IS NOT NULL AND hb.arrive_time IS NULL THEN 'load_noarrive'
+                     WHEN hb.arrive_time IS NOT NULL THEN 'load_arriveed' END END AS waybill_status
+  FROM tmp4 wb LEFT JOIN tmp5 stk ON wb.waybill_number = stk.waybill_number
+  LEFT JOIN tmp7 hb ON wb.waybill_number = hb.waybill_number
+  WHERE stk.waybill_number IS NOT NULL OR hb.waybill_number IS NOT NULL),
+tmp8 AS (
+  SELECT waybill_number, bill_time AS old_bill_time,
+         CASE WHEN waybill_status = 'stock' THEN {E_TS}
+              WHEN waybill_status = 'load_nodepart' THEN {E_TS}
+              WHEN waybill_status = 'load_noarrive' THEN
+                CASE WHEN plan_arrive_time > {E_TS} THEN plan_arrive_time + to_minutes(coalesce(unload_time, 0) * 60)
+                     ELSE {E_TS} + to_minutes(coalesce(unload_time, 0) * 60) END
+              WHEN waybill_status = 'load_arriveed' THEN
+                CASE WHEN arrive_time + to_minutes(coalesce(unload_time, 0) * 60) > {E_TS}
+                     THEN arrive_time + to_minutes(coalesce(unload_time, 0) * 60) ELSE {E_TS} END END AS bill_time,
+         goods_weight, goods_volume, CAST(1.0 AS DOUBLE) AS goods_qty, bill_weight, bill_volume, bill_qty,
+         CASE WHEN waybill_status = 'stock' THEN stk_org
+              WHEN waybill_status IN ('load_nodepart', 'load_noarrive') THEN leave_department_code || '_' || arrive_department_code
+              WHEN waybill_status = 'load_arriveed' THEN arrive_department_code END AS rcv,
+         next_day_arrive, customer_pickup_department_code, waybill_status, depart_time, arrive_time, car_number,
+         leave_department_code, arrive_department_code, hb_weight, hb_volume, plan_arrive_time
+  FROM tmp8s)"""
+
+FC_WITH = f"WITH RECURSIVE {SPLICED}, {ROUTES}, {FEEDS}, {FC_FEEDS}, {FC_STAGES}"
+
+ORACLE_SQL["forecast_unsigned"] = f"{FC_WITH}\nSELECT * FROM tmp4"
+ORACLE_SQL["forecast_stock"] = f"{FC_WITH}\nSELECT * FROM tmp5"
+ORACLE_SQL["load_chain"] = f"{FC_WITH}\nSELECT * FROM tmp6"
+ORACLE_SQL["forecast_nearest"] = f"{FC_WITH}\nSELECT * FROM tmp7"
+ORACLE_SQL["waybill_status"] = f"""{FC_WITH}
+SELECT waybill_number, old_bill_time, bill_time, waybill_status,
+       CASE WHEN rcv IS NULL THEN NULL WHEN waybill_status = 'load_noarrive' THEN split_part(rcv, '_', 2)
+            ELSE split_part(rcv, '_', 1) END AS current_org, next_day_arrive
+FROM tmp8"""
+
+RES1 = f"""
+res1 AS (
+  SELECT td.waybill_number, td.old_bill_time, td.car_number, td.depart_time AS bill_time, td.hb_weight AS goods_weight,
+         td.hb_volume AS goods_volume, CAST(1.0 AS DOUBLE) AS goods_qty, td.bill_weight, td.bill_volume, td.bill_qty,
+         td.leave_department_code, td.arrive_department_code, td.customer_pickup_department_code,
+         CAST(NULL AS TIMESTAMP) AS start_time, td.plan_arrive_time AS end_time,
+         CASE WHEN org1.center = 'Y' AND org2.center = 'Y' THEN '干线' ELSE '支线' END AS line_type,
+         'way' AS waybill_type, 'way' AS waybill_status, td.next_day_arrive, td.leave_department_code AS pre_org_code,
+         CAST(1 AS INTEGER) AS path_no, org1.center AS depart_org_transfer, org2.center AS arrive_org_transfer,
+         {E_TXT} AS refresh_time, {E_TS} AS create_time
+  FROM tmp8 td LEFT JOIN org org1 ON td.leave_department_code = org1.code
+  LEFT JOIN org org2 ON td.arrive_department_code = org2.code
+  WHERE td.waybill_status = 'load_noarrive' AND td.leave_department_code IS NOT NULL
+    AND td.arrive_department_code IS NOT NULL AND td.plan_arrive_time IS NOT NULL AND org2.center = 'Y')"""
+
+ORACLE_SQL["forecast_in_transit"] = f"{FC_WITH}, {RES1}\nSELECT * FROM res1"
+
+SPLICED_CAND = NEXT_CAND.replace("FROM merged m", "FROM spliced m")
+
+WALK = f"""
+wk AS (
+  SELECT t.*, p.waybill_route_codes,
+         CASE WHEN t.waybill_status = 'load_noarrive' THEN split_part(t.rcv, '_', 2) ELSE split_part(t.rcv, '_', 1) END AS cur
+  FROM tmp8 t JOIN path_c p ON p.waybill_number = t.waybill_number
+  WHERE t.rcv IS NOT NULL AND t.bill_time IS NOT NULL),
+wpos AS (
+  SELECT *, list_transform(string_split(waybill_route_codes, '-'), lambda x: split_part(x, ':', 1)) AS orgs FROM wk),
+wpos2 AS (
+  SELECT *, CASE WHEN list_position(list_reverse(orgs), cur) > 0
+                 THEN len(orgs) - list_position(list_reverse(orgs), cur) ELSE -1 END AS idx FROM wpos),
+wrem AS (SELECT *, orgs[idx + 1:] AS remaining FROM wpos2 WHERE idx >= 0 AND idx < len(orgs) - 1),
+wlegs AS (
+  SELECT waybill_number, waybill_route_codes, bill_time AS t0, CAST(k AS INTEGER) AS leg_idx,
+         remaining[k + 1] AS src, remaining[k + 2] AS dst,
+         CAST(k + CASE WHEN waybill_status = 'load_noarrive' THEN 2 ELSE 1 END AS INTEGER) AS path_no,
+         CASE WHEN k = 0 THEN (CASE WHEN waybill_status = 'load_noarrive' THEN split_part(rcv, '_', 1) END)
+              ELSE remaining[k] END AS pre_org
+  FROM wrem, unnest(range(len(remaining) - 1)) AS r(k)),
+walk AS (
+  SELECT l.waybill_number, l.waybill_route_codes, l.leg_idx, l.src, l.dst, l.path_no, l.pre_org, nx.st AS start_time,
+         nx.st + to_minutes(nx.run_minutes) AS end_time,
+         nx.st + to_minutes(nx.run_minutes) + to_minutes(nx.unload_time * 60) AS ready
+  FROM wlegs l, LATERAL ({SPLICED_CAND.format(t='l.t0', src='l.src', dst='l.dst')}) nx
+  WHERE l.leg_idx = 0
+  UNION ALL
+  SELECT l.waybill_number, l.waybill_route_codes, l.leg_idx, l.src, l.dst, l.path_no, l.pre_org, nx.st,
+         nx.st + to_minutes(nx.run_minutes), nx.st + to_minutes(nx.run_minutes) + to_minutes(nx.unload_time * 60)
+  FROM walk p JOIN wlegs l ON l.waybill_number = p.waybill_number AND l.waybill_route_codes = p.waybill_route_codes
+       AND l.leg_idx = p.leg_idx + 1,
+       LATERAL ({SPLICED_CAND.format(t='p.ready', src='l.src', dst='l.dst')}) nx),
+res2 AS (
+  SELECT w.waybill_number, t.old_bill_time, t.car_number, t.bill_time, t.goods_weight, t.goods_volume, t.goods_qty,
+         t.bill_weight, t.bill_volume, t.bill_qty, w.src AS leave_department_code, w.dst AS arrive_department_code,
+         t.customer_pickup_department_code, w.start_time, w.end_time,
+         CASE WHEN org1.center = 'Y' AND org2.center = 'Y' THEN '干线' ELSE '支线' END AS line_type,
+         t.waybill_status AS waybill_type, 'other' AS waybill_status, t.next_day_arrive, w.pre_org AS pre_org_code,
+         w.path_no, org1.center AS depart_org_transfer, org2.center AS arrive_org_transfer,
+         {E_TXT} AS refresh_time, {E_TS} AS create_time
+  FROM walk w JOIN wk t ON w.waybill_number = t.waybill_number AND w.waybill_route_codes = t.waybill_route_codes
+  LEFT JOIN org org1 ON w.src = org1.code LEFT JOIN org org2 ON w.dst = org2.code
+  WHERE org1.center = 'Y' OR org2.center = 'Y')"""
+
+ORACLE_SQL["pipeline_forecast"] = f"{FC_WITH}, {RES1}, {WALK}\nSELECT * FROM res1 UNION ALL SELECT * FROM res2"

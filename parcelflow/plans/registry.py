@@ -316,3 +316,52 @@ def q_expected_place(spark, d):
                                   ["user_id", "day"], ["ts"], []).withColumnRenamed("ts", "sort_time")
     out = base.join(tray, ["user_id", "day"], "left").join(sort, ["user_id", "day"], "left")
     return out.withColumn("expect_place", warning_job.expected_place("sort_time", "tray_time"))
+
+
+# ---------------------------------------------------------------- forecast job (E2) and its stages
+
+from . import forecast as forecast_job  # noqa: E402
+
+FORECAST_END = "2001-09-01 13:45:00"
+
+
+def forecast_stages(spark, d) -> dict:
+    return forecast_job.stages(cleaned_logistics(spark, d), FORECAST_END)
+
+
+@register("forecast_unsigned")
+def q_forecast_unsigned(spark, d):
+    return forecast_stages(spark, d)["unsigned"]
+
+
+@register("forecast_stock")
+def q_forecast_stock(spark, d):
+    return forecast_stages(spark, d)["stock"]
+
+
+@register("load_chain")
+def q_load_chain(spark, d):
+    return forecast_stages(spark, d)["loads"]
+
+
+@register("forecast_nearest")
+def q_forecast_nearest(spark, d):
+    return forecast_stages(spark, d)["nearest"]
+
+
+@register("waybill_status")
+def q_waybill_status(spark, d):
+    st = forecast_stages(spark, d)["status"]
+    return st.select("waybill_number", "old_bill_time", "bill_time", "waybill_status", "current_org",
+                     "next_day_arrive")
+
+
+@register("forecast_in_transit")
+def q_forecast_in_transit(spark, d):
+    s = forecast_stages(spark, d)
+    return forecast_job.in_transit(s["status"], s["orgs"], FORECAST_END, FORECAST_END)
+
+
+@register("pipeline_forecast")
+def q_pipeline_forecast(spark, d):
+    return forecast_job.run(cleaned_logistics(spark, d), FORECAST_END)
