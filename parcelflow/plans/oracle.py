@@ -666,3 +666,21 @@ res2 AS (
   WHERE org1.center = 'Y' OR org2.center = 'Y')"""
 
 ORACLE_SQL["pipeline_forecast"] = f"{FC_WITH}, {RES1}, {WALK}\nSELECT * FROM res1 UNION ALL SELECT * FROM res2"
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+ORACLE_SQL["csv_round_trip"] = "SELECT * FROM customer"
+
+ORACLE_SQL["partition_overwrite"] = """
+SELECT event_id, ts, user_id, event_type,
+       CASE WHEN strftime(ts, '%Y-%m-%d') = '2024-01-15' THEN value + 1 ELSE value END AS value, props,
+       strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d') AS batch_no
+FROM events
+"""
+
+ORACLE_SQL["expire_batches"] = """
+SELECT event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS day,
+       strftime(ts, '%Y-%m-%d') AS batch_no
+FROM events WHERE strftime(ts, '%Y-%m-%d') >= '2024-01-10'
+"""

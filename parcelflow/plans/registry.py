@@ -365,3 +365,57 @@ def q_forecast_in_transit(spark, d):
 @register("pipeline_forecast")
 def q_pipeline_forecast(spark, d):
     return forecast_job.run(cleaned_logistics(spark, d), FORECAST_END)
+
+
+# ---------------------------------------------------------------- sources and sinks
+
+import uuid  # noqa: E402
+
+from pyspark.sql.types import StringType, StructField  # noqa: E402
+
+from ..session import checkpoint_dir  # noqa: E402
+from ..sources import readers, sinks  # noqa: E402
+
+
+def scratch(spark, tag: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint folder (never machine-local on a
+    cluster; tests get a scratch folder only when no checkpoint dir is configured)."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/parcelflow-io/{tag}-{uuid.uuid4().hex}"
+
+
+@register("csv_round_trip")
+def q_csv_round_trip(spark, d):
+    cust = table(spark, d, "customer")
+    base = scratch(spark, "csv")
+    sinks.write_csv(cust, f"{base}/customer.csv")
+    tables = readers.read_dir(spark, base, "csv", schemas={"customer": cust.schema})
+    return tables["customer"]
+
+
+def _events_by_day(spark, d):
+    ev = table(spark, d, "events")
+    return ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+
+
+def _read_batches(spark, path, like):
+    schema = like.schema.add(StructField("batch_no", StringType(), True))
+    return spark.read.schema(schema).parquet(path)
+
+
+@register("partition_overwrite")
+def q_partition_overwrite(spark, d):
+    ev = _events_by_day(spark, d)
+    path = scratch(spark, "batches")
+    sinks.write_partitioned(ev, path, {"batch_no": "day"}, overwrite=True)
+    fix = ev.filter(F.col("day") == "2024-01-15").withColumn("value", F.col("value") + 1)
+    sinks.write_partitioned(fix, path, {"batch_no": "day"}, overwrite=True)  # replaces that day only
+    return _read_batches(spark, path, ev)
+
+
+@register("expire_batches")
+def q_expire_batches(spark, d):
+    ev = _events_by_day(spark, d)
+    path = scratch(spark, "retention")
+    sinks.write_partitioned(ev, path, {"batch_no": "day"}, overwrite=True)
+    sinks.expire_batches(spark, path, "2024-01-10")
+    return _read_batches(spark, path, ev)
