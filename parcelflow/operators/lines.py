@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import nulls, timefmt
+from ..functions import let, nulls, timefmt
 
 SRC, DST, LT = "leave_department_code", "arrive_department_code", "leave_time"
 LINE_COLS = [SRC, DST, LT, "run_minutes", "unload_time"]
@@ -112,33 +112,37 @@ def timetable(lines: DataFrame) -> DataFrame:
     return lines.groupBy(SRC, DST).agg(F.sort_array(F.collect_list(entry)).alias("tt"))
 
 
-def _dist_us(ts: Column, secs: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", timefmt.at_time_of_day(ts, secs), ts)
+_FAR = 2**62  # distance used when the departure time is unknown (sorts after every real one)
 
 
 def nearest_in(tt: Column, ts: Column) -> Column:
     """The departure of ``tt`` whose same-day time is closest to ``ts`` (ties: earlier leave
     time, then smaller run, then smaller unload; NULL ``ts`` -> the first departure)."""
-    keyed = F.transform(tt, lambda x: F.struct(
-        _dist_us(ts, x["secs"]).isNull().alias("no_dist"),
-        F.abs(_dist_us(ts, x["secs"])).alias("dist"),
-        x["secs"].alias("secs"), x["run"].alias("run"), x["unload"].alias("unload")))
-    return F.array_min(keyed)
+    def pick(day0):
+        keyed = F.transform(tt, lambda x: F.struct(
+            F.coalesce(F.abs(F.timestamp_diff("MICROSECOND", F.timestamp_add("SECOND", x["secs"].cast("long"), day0),
+                                              ts)), F.lit(_FAR)).alias("dist"),
+            x["secs"].alias("secs"), x["run"].alias("run"), x["unload"].alias("unload")))
+        return F.array_min(keyed)
+    return let(F.date_trunc("DAY", ts).cast("timestamp_ntz"), pick)
 
 
 def next_in(tt: Column, ready: Column) -> Column:
     """Next departure at or after ``ready`` on its calendar day, else the first departure of the
     next day (tt sorted).  Returns struct(start, run, unload) or NULL (no departures / no time)."""
-    day0 = F.date_trunc("DAY", ready).cast("timestamp_ntz")
-    today = F.filter(tt, lambda x: F.timestamp_add("SECOND", x["secs"].cast("long"), day0) >= ready)
-    first_today = F.get(today, 0)
-    first_any = F.get(tt, 0)
-    start = F.when(first_today.isNotNull(),
-                   F.timestamp_add("SECOND", first_today["secs"].cast("long"), day0)) \
-        .otherwise(F.timestamp_add("SECOND", first_any["secs"].cast("long"), F.timestamp_add("DAY", F.lit(1), day0)))
-    chosen = F.coalesce(first_today, first_any)
-    return F.when(chosen.isNotNull() & ready.isNotNull(),
-                  F.struct(start.alias("start"), chosen["run"].alias("run"), chosen["unload"].alias("unload")))
+    def with_day(day0):
+        def with_first_today(ft):
+            first_any = F.get(tt, 0)
+            chosen = F.when(ft.isNotNull(), F.struct(
+                F.timestamp_add("SECOND", ft["secs"].cast("long"), day0).alias("start"),
+                ft["run"].alias("run"), ft["unload"].alias("unload"))).otherwise(F.struct(
+                    F.timestamp_add("SECOND", first_any["secs"].cast("long"),
+                                    F.timestamp_add("DAY", F.lit(1), day0)).alias("start"),
+                    first_any["run"].alias("run"), first_any["unload"].alias("unload")))
+            return let(chosen, lambda c: F.when(c["start"].isNotNull(), c))
+        today = F.filter(tt, lambda x: F.timestamp_add("SECOND", x["secs"].cast("long"), day0) >= ready)
+        return let(F.get(today, 0), with_first_today)
+    return let(F.date_trunc("DAY", ready).cast("timestamp_ntz"), with_day)
 
 
 def nearest_departure(df: DataFrame, tt: DataFrame, src_col: str, dst_col: str, depart_col: str) -> DataFrame:

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import timefmt
+from ..functions import let, timefmt
 from . import lines as L
 
 # --- fixed values -------------------------------------------------------------------------
@@ -37,9 +37,10 @@ def _as_col(c) -> Column:
 
 
 def parse(route) -> Column:
-    """``A:x-B:y`` -> ``[A, B]`` (code before the first ``:`` of every stop)."""
-    return F.transform(F.split(_as_col(route), HOP_SEPARATOR),
-                       lambda s: F.element_at(F.split(s, CODE_SEPARATOR), 1))
+    """``A:x-B:y`` -> ``[A, B]`` (code before the first ``:`` of every stop).  Plain string
+    functions (no lambda), so the projection stays in whole-stage codegen."""
+    codes_only = F.regexp_replace(_as_col(route), CODE_SEPARATOR + "[^" + HOP_SEPARATOR + "]*", "")
+    return F.split(codes_only, HOP_SEPARATOR)
 
 
 def last_position(orgs, current) -> Column:
@@ -51,11 +52,24 @@ def last_position(orgs, current) -> Column:
 
 def remaining(orgs, current) -> Column:
     """Stops from the last occurrence of ``current`` to the end; NULL when ``current`` is absent
-    or already the final stop (nothing left to travel)."""
-    orgs = _as_col(orgs)
-    i = last_position(orgs, current)
-    n = F.size(orgs)
-    return F.when((i >= 0) & (i < n - 1), F.slice(orgs, i + 1, n - i))
+    or already the final stop (nothing left to travel).  Prefer ``with_remaining`` on frames: it
+    materialises the parsed route and the index once instead of re-deriving them."""
+    def body(o):
+        return let(last_position(o, current),
+                   lambda i: F.when((i >= 0) & (i < F.size(o) - 1), F.slice(o, i + 1, F.size(o) - i)))
+    return let(_as_col(orgs), body)
+
+
+def with_remaining(df: DataFrame, route_col: str, current_col: str, out_col: str = "remaining") -> DataFrame:
+    """Add ``out_col`` = stops still ahead (see ``remaining``); helper columns are computed once
+    each (Catalyst does not inline a non-trivial column that is used several times)."""
+    orgs, idx = "__pf_orgs", "__pf_idx"
+    n = F.size(F.col(orgs))
+    return (df.withColumn(orgs, parse(route_col))
+            .withColumn(idx, last_position(F.col(orgs), F.col(current_col)))
+            .withColumn(out_col, F.when((F.col(idx) >= 0) & (F.col(idx) < n - 1),
+                                        F.slice(F.col(orgs), F.col(idx) + 1, n - F.col(idx))))
+            .drop(orgs, idx))
 
 
 def legs(df: DataFrame, key: str, remaining_col: str, status_col: str | None = None,
@@ -64,20 +78,17 @@ def legs(df: DataFrame, key: str, remaining_col: str, status_col: str | None = N
     ``dst``, ``path_no`` (1-based; from 2 when status is in transit) and ``pre_org`` (the stop
     before ``src``; for the first leg the department the goods left if in transit, else NULL)."""
     rem = F.col(remaining_col)
-    pairs = F.arrays_zip(F.slice(rem, 1, F.size(rem) - 1).alias("src"),
-                         F.slice(rem, 2, F.size(rem) - 1).alias("dst"))
     status = F.col(status_col) if status_col else F.lit(None).cast("string")
     leave = F.col(leave_org_col) if leave_org_col else F.lit(None).cast("string")
     base = df.select(key, *carry, status.alias("__pf_status"), leave.alias("__pf_leave"), rem.alias("__pf_rem"),
-                     F.posexplode(pairs).alias("leg_idx", "__pf_pair"))
+                     F.explode(F.sequence(F.lit(0), F.size(rem) - 2)).alias("leg_idx"))
     in_transit = F.coalesce(F.col("__pf_status") == F.lit(IN_TRANSIT_STATUS), F.lit(False))
-    first = F.col("leg_idx") == 0
+    r, i = F.col("__pf_rem"), F.col("leg_idx")
     return base.select(
-        key, *carry, "leg_idx",
-        F.col("__pf_pair.src").alias("src"), F.col("__pf_pair.dst").alias("dst"),
-        (F.col("leg_idx") + F.when(in_transit, 2).otherwise(1)).cast("int").alias("path_no"),
-        F.when(first, F.when(in_transit, F.col("__pf_leave")))
-         .otherwise(F.element_at(F.col("__pf_rem"), F.col("leg_idx"))).alias("pre_org"))
+        key, *carry, i.cast("int").alias("leg_idx"),
+        F.element_at(r, i + 1).alias("src"), F.element_at(r, i + 2).alias("dst"),
+        (i + F.when(in_transit, 2).otherwise(1)).cast("int").alias("path_no"),
+        F.when(i == 0, F.when(in_transit, F.col("__pf_leave"))).otherwise(F.element_at(r, i)).alias("pre_org"))
 
 
 _OUT = "struct<leg_idx:int,src:string,dst:string,path_no:int,pre_org:string," \
@@ -85,17 +96,20 @@ _OUT = "struct<leg_idx:int,src:string,dst:string,path_no:int,pre_org:string," \
 
 
 def _step(acc: Column, leg: Column) -> Column:
-    t = acc["t"]
-    nx = L.next_in(leg["tt"], t)
-    end = F.timestamp_add("MINUTE", nx["run"].cast("long"), nx["start"])
-    ready_next = timefmt.add_hours(end, nx["unload"].cast("double"), fractional=True)
-    stop_now = acc["stop"] | nx.isNull()
-    rec = F.struct(leg["leg_idx"].alias("leg_idx"), leg["src"].alias("src"), leg["dst"].alias("dst"),
-                   leg["path_no"].alias("path_no"), leg["pre_org"].alias("pre_org"),
-                   nx["start"].alias("start_time"), end.alias("end_time"))
-    return F.when(stop_now, F.struct(t.alias("t"), F.lit(True).alias("stop"), acc["out"].alias("out"))) \
-        .otherwise(F.struct(ready_next.alias("t"), F.lit(False).alias("stop"),
-                            F.concat(acc["out"], F.array(rec)).alias("out")))
+    def with_next(nx):
+        def with_end(end):
+            ready_next = timefmt.add_hours(end, nx["unload"].cast("double"), fractional=True)
+            rec = F.struct(leg["leg_idx"].alias("leg_idx"), leg["src"].alias("src"), leg["dst"].alias("dst"),
+                           leg["path_no"].alias("path_no"), leg["pre_org"].alias("pre_org"),
+                           nx["start"].alias("start_time"), end.alias("end_time"))
+            return F.struct(ready_next.alias("t"), F.lit(False).alias("stop"),
+                            F.concat(acc["out"], F.array(rec)).alias("out"))
+        halt = F.struct(acc["t"].alias("t"), F.lit(True).alias("stop"), acc["out"].alias("out"))
+        return F.when(nx.isNull(), halt).otherwise(
+            let(F.timestamp_add("MINUTE", nx["run"].cast("long"), nx["start"]), with_end))
+    halt = F.struct(acc["t"].alias("t"), F.lit(True).alias("stop"), acc["out"].alias("out"))
+    # once stopped, later legs are not looked up at all
+    return F.when(acc["stop"], halt).otherwise(let(L.next_in(leg["tt"], acc["t"]), with_next))
 
 
 def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key: str, ready_col: str) -> DataFrame:
@@ -116,4 +130,7 @@ def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key: str, ready_col: str)
     init = F.struct(F.col("__pf_ready").alias("t"), F.col("__pf_ready").isNull().alias("stop"),
                     F.array().cast(f"array<{_OUT}>").alias("out"))
     walked = grouped.select(key, F.aggregate("__pf_legs", init, _step)["out"].alias("__pf_out"))
-    return walked.select(key, F.inline("__pf_out"))
+    # inline_outer: a plain inline lets Catalyst infer size(out) > 0 below the projection, which
+    # would evaluate the whole walk again inside the filter; empty walks give one all-NULL row
+    # here and are dropped after the generator instead.
+    return walked.select(key, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())

@@ -259,8 +259,7 @@ def q_next_departure(spark, d):
 
 def route_legs(spark, d) -> DataFrame:
     w = derived.order_routes(spark, d)
-    w = w.withColumn("remaining", route_ops.remaining(route_ops.parse("route"), F.col("current"))) \
-        .filter(F.col("remaining").isNotNull())
+    w = route_ops.with_remaining(w, "route", "current").filter(F.col("remaining").isNotNull())
     return route_ops.legs(w, "o_orderkey", "remaining", "status", "leave_org", carry=["t0"])
 
 

@@ -61,19 +61,20 @@ def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = (key % 5 + 2).cast("int")
     step = (key % 3 + 1).cast("int")
     nat = F.col("c_nationkey")
-    stops = F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.when(
-        (key % 7 == 0) & (i == size - 1), nat).otherwise((nat + i * step) % N_NATIONS))
-    codes = F.transform(stops, lambda x: dept_code(x))
-    route = F.array_join(F.transform(F.sequence(F.lit(0), size - 1),
-                                     lambda i: F.concat(F.element_at(codes, i + 1), F.lit(":"), i.cast("string"))),
-                         "-")
+    max_stops = 6
+    stop_codes = [dept_code(F.when((key % 7 == 0) & (F.lit(i) == size - 1), nat)
+                            .otherwise((nat + i * step) % N_NATIONS)) for i in range(max_stops)]
+    codes = F.array_compact(F.array(*[F.when(F.lit(i) < size, c) for i, c in enumerate(stop_codes)]))
+    route = F.concat_ws("-", *[F.when(F.lit(i) < size, F.concat(c, F.lit(":" + str(i))))
+                               for i, c in enumerate(stop_codes)])
     current = F.when(key % 11 == 0, F.lit("N99")).otherwise(F.element_at(codes, (key % size).cast("int") + 1))
     status = (F.when(F.col("o_orderstatus") == "O", F.lit("load_noarrive"))
               .when(F.col("o_orderstatus") == "F", F.lit("load_arriveed")).otherwise(F.lit("stock")))
     t0 = F.timestamp_add("MINUTE", (key * 7) % 60, F.timestamp_add("HOUR", key % 24, F.col("o_orderdate")))
-    return j.select("o_orderkey", "c_nationkey", route.alias("route"), current.alias("current"),
+    return (j.withColumn("__codes", codes)
+            .select("o_orderkey", "c_nationkey", route.alias("route"), current.alias("current"),
                     status.alias("status"), dept_code((nat + 24) % N_NATIONS).alias("leave_org"),
-                    t0.cast("timestamp_ntz").alias("t0"))
+                    t0.cast("timestamp_ntz").alias("t0")))
 
 
 def _ts_plus(ts: Column, hours=None, minutes=None) -> Column:
