@@ -684,3 +684,5 @@ SELECT event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d')
        strftime(ts, '%Y-%m-%d') AS batch_no
 FROM events WHERE strftime(ts, '%Y-%m-%d') >= '2024-01-10'
 """
+
+ORACLE_SQL["stream_clean_latest"] = ORACLE_SQL["clean_latest"]

@@ -418,3 +418,21 @@ def q_expire_batches(spark, d):
     sinks.write_partitioned(ev, path, {"batch_no": "day"}, overwrite=True)
     sinks.expire_batches(spark, path, "2024-01-10")
     return _read_batches(spark, path, ev)
+
+
+# ---------------------------------------------------------------- incremental clean on Structured Streaming
+
+from ..streaming import incremental  # noqa: E402
+
+
+@register("stream_clean_latest")
+def q_stream_clean_latest(spark, d):
+    """The events feed streamed file by file through the incremental clean; the cleaned table
+    must equal the batch result (same oracle as ``clean_latest``)."""
+    schema = table(spark, d, "events").schema
+    base = scratch(spark, "stream")
+    q = incremental.start_incremental_clean(spark, d, schema, ["user_id", "event_type"], ["ts"],
+                                            f"{base}/changes", f"{base}/_checkpoint", tie_breakers=["event_id"],
+                                            file_glob="events.parquet")
+    q.awaitTermination()
+    return incremental.cleaned(spark, f"{base}/changes", ["user_id", "event_type"], ["ts"], ["event_id"])

@@ -1,0 +1,3 @@
+"""Structured Streaming entry points (incremental cleaning)."""
+
+from .incremental import cleaned, start_incremental_clean  # noqa: F401
