@@ -106,7 +106,10 @@ def splice(lines: DataFrame) -> DataFrame:
 
 
 def timetable(lines: DataFrame) -> DataFrame:
-    """One row per department pair: ``tt`` = departures sorted by (leave_secs, run, unload)."""
+    """One row per department pair: ``tt`` = departures sorted by (leave_secs, run, unload).
+
+    The array is bounded by construction: after ``merge_lines`` / ``splice`` a pair has at most
+    one row per leave second, i.e. at most 86,400 entries, however large the network grows."""
     entry = F.struct(F.col("leave_secs").alias("secs"), F.col("run_minutes").alias("run"),
                      F.col("unload_time").alias("unload"))
     return lines.groupBy(SRC, DST).agg(F.sort_array(F.collect_list(entry)).alias("tt"))

@@ -45,11 +45,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; a scratch folder only when none is set."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     if not conf:
         conf = tempfile.mkdtemp(prefix="parcelflow-ckpt-", dir=os.environ.get("PARCELFLOW_SCRATCH", "/tmp"))
-    spark.sparkContext.setCheckpointDir(conf)
-    return spark.sparkContext.getCheckpointDir() or conf
+    if sc is not None:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    return conf

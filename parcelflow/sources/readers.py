@@ -24,10 +24,14 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 def _list_dir(spark: SparkSession, path: str) -> list[str]:
     """Child entry names of a folder on any Hadoop-compatible file system (metadata only)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
+    except Exception:  # noqa: BLE001 - no JVM gateway in this session: local folders only
+        import os
+        return sorted(os.listdir(path.removeprefix("file:")))
 
 
 def read_dir(spark: SparkSession, path: str, fmt: str = "csv", schemas: dict | None = None,
