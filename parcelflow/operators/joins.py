@@ -8,7 +8,9 @@ Design notes for scale:
   output partitioning already satisfies the join, so no extra exchange is planned.
 * ``unpack_containers`` is written as (items that are containers ⋈ contents) ∪ (items that are
   not containers).  The inner join lets AQE split a skewed partition on *either* side (a giant
-  cage, or one container scanned very often); a left outer join could only split the left.
+  cage, or one container scanned very often); a left outer join could only split the left.  The
+  price is a second pass over the item side (re-read, or a reused shuffle when the items come
+  out of an exchange such as the cleaning window).
 * No broadcast hints: dimensions are left to Spark's size-checked broadcast (static estimate
   from file statistics, then AQE's runtime statistics), with sort-merge join beyond it.
 """

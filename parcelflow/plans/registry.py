@@ -370,7 +370,7 @@ def q_pipeline_forecast(spark, d):
 
 import uuid  # noqa: E402
 
-from pyspark.sql.types import StringType, StructField  # noqa: E402
+from pyspark.sql.types import StringType, StructField, StructType  # noqa: E402
 
 from ..session import checkpoint_dir  # noqa: E402
 from ..sources import readers, sinks  # noqa: E402
@@ -397,7 +397,7 @@ def _events_by_day(spark, d):
 
 
 def _read_batches(spark, path, like):
-    schema = like.schema.add(StructField("batch_no", StringType(), True))
+    schema = StructType(list(like.schema.fields) + [StructField("batch_no", StringType(), True)])
     return spark.read.schema(schema).parquet(path)
 
 
