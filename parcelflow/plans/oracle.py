@@ -686,3 +686,33 @@ FROM events WHERE strftime(ts, '%Y-%m-%d') >= '2024-01-10'
 """
 
 ORACLE_SQL["stream_clean_latest"] = ORACLE_SQL["clean_latest"]
+
+
+# ---------------------------------------------------------------- role-playing org joins and province pairs
+
+NATION_ORG = """norg AS (SELECT n_nationkey AS code, 'P' || CAST(n_regionkey AS VARCHAR) AS prov_code,
+                        CASE WHEN n_regionkey <= 1 THEN 'Y' ELSE 'N' END AS center FROM nation)"""
+
+ORACLE_SQL["org_roles"] = f"""
+WITH {NATION_ORG}
+SELECT l.l_orderkey, l.l_linenumber, a.center AS o1_center, b.center AS o2_center,
+       CASE WHEN a.center = 'Y' AND b.center = 'Y' THEN '干线' ELSE '支线' END AS line_type
+FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN norg a ON s.s_nationkey = a.code LEFT JOIN norg b ON c.c_nationkey = b.code
+"""
+
+ORACLE_SQL["next_day_flag"] = f"""
+WITH {NATION_ORG},
+same_day AS (
+  SELECT 'P' || CAST(r_regionkey AS VARCHAR) AS leave_province_code, 'P' || CAST(r_regionkey AS VARCHAR) AS arrive_province_code,
+         'Y' AS equal_province FROM region
+  UNION ALL
+  SELECT 'P' || CAST(r_regionkey AS VARCHAR), 'P' || CAST((r_regionkey + 1) % 5 AS VARCHAR), 'N' FROM region)
+SELECT o.o_orderkey, a.prov_code AS bill_prov_code, b.prov_code AS pickup_prov_code,
+       CASE WHEN nx.equal_province = 'Y' THEN 'Y' ELSE 'N' END AS next_day_arrive
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN norg a ON c.c_nationkey = a.code
+LEFT JOIN norg b ON CAST(o.o_orderkey % 25 AS INTEGER) = b.code
+LEFT JOIN same_day nx ON a.prov_code = nx.leave_province_code AND b.prov_code = nx.arrive_province_code
+"""

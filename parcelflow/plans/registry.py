@@ -436,3 +436,37 @@ def q_stream_clean_latest(spark, d):
                                             file_glob="events.parquet")
     q.awaitTermination()
     return incremental.cleaned(spark, f"{base}/changes", ["user_id", "event_type"], ["ts"], ["event_id"])
+
+
+# ---------------------------------------------------------------- role-playing org joins and province pairs
+
+def _nation_org_dim(spark, d):
+    n = table(spark, d, "nation")
+    return n.select(F.col("n_nationkey").alias("code"),
+                    F.concat(F.lit("P"), F.col("n_regionkey").cast("string")).alias("prov_code"),
+                    F.when(F.col("n_regionkey") <= 1, F.lit("Y")).otherwise(F.lit("N")).alias("center"))
+
+
+@register("org_roles")
+def q_org_roles(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    j = (li.join(s, li["l_suppkey"] == s["s_suppkey"]).join(o, F.col("l_orderkey") == o["o_orderkey"])
+         .join(c, F.col("o_custkey") == c["c_custkey"]))
+    j = joins.with_org(j, {"s_nationkey": "o1", "c_nationkey": "o2"}, _nation_org_dim(spark, d), fields=["center"])
+    return j.select("l_orderkey", "l_linenumber", "o1_center", "o2_center",
+                    forecast_job.line_type(F.col("o1_center"), F.col("o2_center")).alias("line_type"))
+
+
+@register("next_day_flag")
+def q_next_day_flag(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"]).withColumn("pickup_nation", (F.col("o_orderkey") % 25).cast("int"))
+    j = joins.with_org(j, {"c_nationkey": "bill", "pickup_nation": "pickup"}, _nation_org_dim(spark, d),
+                       fields=["prov_code"])
+    same_day = derived.logistics_tables(spark, d)["volume_same_day"]
+    out = forecast_job.next_day_flag(j, same_day, "bill_prov_code", "pickup_prov_code")
+    return out.select("o_orderkey", "bill_prov_code", "pickup_prov_code", "next_day_arrive")
