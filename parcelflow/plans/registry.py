@@ -8,12 +8,23 @@ in ``sf_dir`` (or from data Spark derives from them).  The twin DuckDB SQL of ea
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import nulls, timefmt
 from ..operators import dedup, joins
+from ..operators import lines as lines_ops
+from ..operators import route as route_ops
+from ..session import checkpoint_dir
+from ..sources import derived, readers, sinks
+from ..streaming import incremental
+from . import clean as clean_job
+from . import forecast as forecast_job
+from . import unscan as unscan_job
+from . import warning as warning_job
 
 QUERIES: dict = {}
 
@@ -208,10 +219,6 @@ def q_keep_in_any(spark, d):
 
 # ---------------------------------------------------------------- lines and timetable
 
-from ..operators import lines as lines_ops  # noqa: E402
-from ..operators import route as route_ops  # noqa: E402
-from ..sources import derived  # noqa: E402
-
 
 def merged_lines(spark, d) -> DataFrame:
     return lines_ops.merge_lines(*derived.supplier_lines(spark, d))
@@ -276,9 +283,6 @@ def q_schedule_walk(spark, d):
 
 # ---------------------------------------------------------------- end-to-end jobs
 
-from . import clean as clean_job  # noqa: E402
-from . import unscan as unscan_job  # noqa: E402
-from . import warning as warning_job  # noqa: E402
 
 REFRESH_TIME = "2001-09-01 00:00:00"
 
@@ -319,7 +323,6 @@ def q_expected_place(spark, d):
 
 # ---------------------------------------------------------------- forecast job (E2) and its stages
 
-from . import forecast as forecast_job  # noqa: E402
 
 FORECAST_END = "2001-09-01 13:45:00"
 
@@ -368,13 +371,6 @@ def q_pipeline_forecast(spark, d):
 
 # ---------------------------------------------------------------- sources and sinks
 
-import uuid  # noqa: E402
-
-from pyspark.sql.types import StringType, StructField, StructType  # noqa: E402
-
-from ..session import checkpoint_dir  # noqa: E402
-from ..sources import readers, sinks  # noqa: E402
-
 
 def scratch(spark, tag: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder (never machine-local on a
@@ -422,8 +418,6 @@ def q_expire_batches(spark, d):
 
 # ---------------------------------------------------------------- incremental clean on Structured Streaming
 
-from ..streaming import incremental  # noqa: E402
-
 
 @register("stream_clean_latest")
 def q_stream_clean_latest(spark, d):
