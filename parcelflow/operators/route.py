@@ -74,14 +74,19 @@ def with_remaining(df: DataFrame, route_col: str, current_col: str, out_col: str
 
 def legs(df: DataFrame, key: str, remaining_col: str, status_col: str | None = None,
          leave_org_col: str | None = None, carry=()) -> DataFrame:
-    """One row per consecutive pair of ``remaining_col``: ``leg_idx`` (0-based), ``src``,
+    """One row per consecutive pair of ``remaining_col`` (none when it is NULL, so callers need
+    no filter on it): ``leg_idx`` (0-based), ``src``,
     ``dst``, ``path_no`` (1-based; from 2 when status is in transit) and ``pre_org`` (the stop
     before ``src``; for the first leg the department the goods left if in transit, else NULL)."""
     rem = F.col(remaining_col)
     status = F.col(status_col) if status_col else F.lit(None).cast("string")
     leave = F.col(leave_org_col) if leave_org_col else F.lit(None).cast("string")
+    # NULL / single-stop routes give no legs.  explode_outer + a filter on the generated column:
+    # a plain explode (or a filter on ``remaining`` itself) would let Catalyst push a predicate
+    # below the projections with the route derivation inlined, evaluating it twice.
+    idx = F.when(rem.isNotNull() & (F.size(rem) >= 2), F.sequence(F.lit(0), F.size(rem) - 2))
     base = df.select(key, *carry, status.alias("__pf_status"), leave.alias("__pf_leave"), rem.alias("__pf_rem"),
-                     F.explode(F.sequence(F.lit(0), F.size(rem) - 2)).alias("leg_idx"))
+                     F.explode_outer(idx).alias("leg_idx")).filter(F.col("leg_idx").isNotNull())
     in_transit = F.coalesce(F.col("__pf_status") == F.lit(IN_TRANSIT_STATUS), F.lit(False))
     r, i = F.col("__pf_rem"), F.col("leg_idx")
     return base.select(

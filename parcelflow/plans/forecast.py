@@ -214,7 +214,7 @@ def walked(st: DataFrame, path: DataFrame, info: DataFrame, orgs: DataFrame, ref
     p = path.select(F.col("waybill_number").alias("__pf_p_wb"), "waybill_route_codes")
     located = st.filter(F.col("current_org").isNotNull() & F.col("bill_time").isNotNull())
     j = located.join(p, located["waybill_number"] == p["__pf_p_wb"], "inner").drop("__pf_p_wb")
-    j = R.with_remaining(j, "waybill_route_codes", "current_org").filter(F.col("remaining").isNotNull())
+    j = R.with_remaining(j, "waybill_route_codes", "current_org")
     # one row per (waybill, route): a waybill with several routes walks each of them
     j = j.withColumn("__pf_key", F.struct("waybill_number", "waybill_route_codes"))
     leg_rows = R.legs(j, "__pf_key", "remaining", "waybill_status", "leave_department_code", carry=["bill_time"])

@@ -37,7 +37,7 @@ def register(name):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return derived.table(spark, sf_dir, name)
 
 
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
@@ -266,7 +266,7 @@ def q_next_departure(spark, d):
 
 def route_legs(spark, d) -> DataFrame:
     w = derived.order_routes(spark, d)
-    w = route_ops.with_remaining(w, "route", "current").filter(F.col("remaining").isNotNull())
+    w = route_ops.with_remaining(w, "route", "current")
     return route_ops.legs(w, "o_orderkey", "remaining", "status", "leave_org", carry=["t0"])
 
 

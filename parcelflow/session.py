@@ -21,6 +21,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Post-shuffle work here is CPU-heavy per row (sort-based top-1, timetable lambdas) while the
+    # shuffled bytes are small; the default 1 MB floor lets AQE fold such stages into one task.
+    # Large shuffles on a cluster are far above this floor, so it only matters for small ones.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 

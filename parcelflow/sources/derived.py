@@ -14,11 +14,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import readers
+
 N_NATIONS = 25
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table; ``spread=True`` where CPU-heavy per-row work follows the scan before any
+    shuffle (see ``readers.spread``: a no-op when the scan is already split)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return readers.spread(df) if spread else df
 
 
 def dept_code(c) -> Column:
@@ -54,7 +59,7 @@ def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from the customer's nation (every 7th order returns to its first stop), ``current`` stop
     (absent for every 11th order), ``status`` from the order status, ``leave_org`` and ready
     time ``t0``."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)  # route text building and parsing follow
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
     key = F.col("o_orderkey")
@@ -64,7 +69,7 @@ def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     max_stops = 6
     stop_codes = [dept_code(F.when((key % 7 == 0) & (F.lit(i) == size - 1), nat)
                             .otherwise((nat + i * step) % N_NATIONS)) for i in range(max_stops)]
-    codes = F.array_compact(F.array(*[F.when(F.lit(i) < size, c) for i, c in enumerate(stop_codes)]))
+    codes = F.slice(F.array(*stop_codes), 1, size)
     route = F.concat_ws("-", *[F.when(F.lit(i) < size, F.concat(c, F.lit(":" + str(i))))
                                for i, c in enumerate(stop_codes)])
     current = F.when(key % 11 == 0, F.lit("N99")).otherwise(F.element_at(codes, (key % size).cast("int") + 1))

@@ -68,3 +68,15 @@ def register_views(tables: dict[str, DataFrame]) -> None:
     """Expose frames to SQL users under their names (session-scoped temp views)."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the session's default parallelism)
+    when its scan yields fewer partitions — e.g. one unsplittable file feeding CPU-heavy
+    projections.  On real inputs with many splits this returns ``df`` unchanged (no shuffle)."""
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view in this session: leave the plan alone
+        return df
+    return df.repartition(target) if current < target else df
