@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefmt
 from ..operators import dedup, joins
+from ..session import checkpoint_dir
 from ..operators import lines as L
 from ..operators import route as R
 from .orgs import org_dim
@@ -236,23 +237,34 @@ def walked(st: DataFrame, path: DataFrame, info: DataFrame, orgs: DataFrame, ref
         _ts(create_time).alias("create_time"))
 
 
-def stages(t: dict, end_time: str, stock_only: str = "drop") -> dict[str, DataFrame]:
-    """All intermediate relations of the job, lazily planned."""
-    orgs = org_dim(t["volume_basic"])
-    info = line_info(t)
+def _materialize(df: DataFrame, enabled: bool) -> DataFrame:
+    """Write a relation used by several later steps once to the shared checkpoint folder
+    (``spark.checkpoint.dir``) and read it back: it is computed once, and a lost executor
+    recomputes from there instead of from the raw feeds."""
+    if not enabled:
+        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def stages(t: dict, end_time: str, stock_only: str = "drop", materialize: bool = False) -> dict[str, DataFrame]:
+    """All intermediate relations of the job (lazily planned unless ``materialize``, which
+    checkpoints the relations that later steps share: org master, line info and status)."""
+    orgs = _materialize(org_dim(t["volume_basic"]), materialize)
+    info = _materialize(line_info(t), materialize)
     wb = unsigned(t, orgs)
     stk = latest_stock(t)
     loads = load_events(t)
     hb = with_line_times(loads, info)
-    st = status(wb, stk, hb, end_time, stock_only)
+    st = _materialize(status(wb, stk, hb, end_time, stock_only), materialize)
     return {"orgs": orgs, "line_info": info, "unsigned": wb, "stock": stk, "loads": loads, "nearest": hb,
             "status": st}
 
 
-def run(t: dict, end_time: str, create_time=None, stock_only: str = "drop") -> DataFrame:
+def run(t: dict, end_time: str, create_time=None, stock_only: str = "drop", materialize: bool = True) -> DataFrame:
     """The batch result: in-transit legs ∪ walked legs (columns ``OUTPUT``)."""
     create_time = create_time or end_time
-    s = stages(t, end_time, stock_only)
+    s = stages(t, end_time, stock_only, materialize)
     way = in_transit(s["status"], s["orgs"], end_time, create_time)
     other = walked(s["status"], t["volume_path"], s["line_info"], s["orgs"], end_time, create_time)
     return way.select(*OUTPUT).unionByName(other.select(*OUTPUT))

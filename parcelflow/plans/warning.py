@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dedup, joins
+from ..session import checkpoint_dir
 from .orgs import org_dim
 
 # --- fixed values -------------------------------------------------------------------------
@@ -43,10 +44,16 @@ def _unpacked_at_centers(df: DataFrame, org_col: str, boxes: DataFrame, orgs: Da
                                    box_filter=F.col("valid_status") == F.lit("1"), only_if=only_if)
 
 
-def run(t: dict, refresh_time: str) -> DataFrame:
-    """``t``: cleaned unload/load detail, box, sign, stock and raw basic, pallet, scan tables."""
+def run(t: dict, refresh_time: str, materialize: bool = True) -> DataFrame:
+    """``t``: cleaned unload/load detail, box, sign, stock and raw basic, pallet, scan tables.
+    ``materialize`` checkpoints the org master and the valid bag bindings, which all four
+    unpacking steps share (computed once, and the recovery point if an executor is lost)."""
     orgs = org_dim(t["volume_basic"])
-    box = t["volume_box"]
+    box = t["volume_box"].filter(F.col("valid_status") == F.lit("1")) \
+        .select("task_number", "waybill_number", "valid_status")
+    if materialize:
+        checkpoint_dir(orgs.sparkSession)
+        orgs, box = orgs.checkpoint(eager=True), box.checkpoint(eager=True)
 
     unload = _unpacked_at_centers(
         t["volume_unload_detail"].select("waybill_number", F.col("now_department_code").alias("unload_org_code"),
