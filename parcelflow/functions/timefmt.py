@@ -57,20 +57,35 @@ COMPACT_TIME_PATTERN = "yyyy-MM-ddHH:mm:ss"
 # ------------------------------------------------------------------------------------------
 
 _DEFAULTS = {"y": "1970", "m": "1", "d": "1", "H": "0", "M": "0", "S": "0"}
-_NAMES = {"y": "year", "m": "month", "d": "day", "H": "hour", "M": "minute", "S": "second"}
 
 
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_WIDTHS = {"y": 4, "m": 2, "d": 2, "H": 2, "M": 2, "S": 2}
+
+
 def _fields(text: Column, regex: str, spec: str) -> Column:
-    pat = "^" + regex + "$"
-    parts = {}
-    for i, field in enumerate(spec, start=1):
-        parts[field] = F.regexp_extract(text, pat, i)
-    return F.struct(*[(parts[f] if f in parts else F.lit(_DEFAULTS[f])).cast("int").alias(_NAMES[f])
-                      for f in "ymdHMS"])
+    """The six calendar fields ``[y, M, d, H, m, s]`` (text) of ``text`` known to fully match
+    ``regex``, by the cheapest exact route: layouts without separators are fixed width
+    (``substring``); the layout whose day and hour touch needs capture groups; every other
+    layout splits once on non-digits (its digit runs are exactly the fields of ``spec``)."""
+    if not any(sep in regex for sep in ("-", "/", ":", "\\s")):
+        parts, pos = {}, 1
+        for f in spec:
+            parts[f] = F.substring(text, pos, _WIDTHS[f])
+            pos += _WIDTHS[f]
+    elif ")(\\d{1,2}):" in regex:
+        pat = "^" + regex + "$"
+        parts = {f: F.regexp_extract(text, pat, i) for i, f in enumerate(spec, start=1)}
+    else:
+        runs = F.slice(F.split(text, "[^0-9]+"), 1, len(spec))   # one regex pass per value
+        lead = [F.lit(_DEFAULTS[f]) for f in "ymdHMS"[: "ymdHMS".index(spec[0])]]
+        tail = [F.lit(_DEFAULTS[f]) for f in "ymdHMS"["ymdHMS".index(spec[-1]) + 1:]]
+        pieces = ([F.array(*lead)] if lead else []) + [runs] + ([F.array(*tail)] if tail else [])
+        return pieces[0] if len(pieces) == 1 else F.concat(*pieces)
+    return F.array(*[parts[f] if f in parts else F.lit(_DEFAULTS[f]) for f in "ymdHMS"])
 
 
 def parse_ts(c) -> Column:
@@ -82,10 +97,8 @@ def parse_ts(c) -> Column:
         cond = text.rlike("^" + regex + "$")
         val = _fields(text, regex, spec)
         chosen = F.when(cond, val) if chosen is None else chosen.when(cond, val)
-    return F.try_make_timestamp_ntz(
-        chosen.getField("year"), chosen.getField("month"), chosen.getField("day"),
-        chosen.getField("hour"), chosen.getField("minute"), chosen.getField("second").cast("decimal(16,6)"),
-    )
+    f = [F.element_at(chosen, i).cast("int") for i in range(1, 7)]
+    return F.try_make_timestamp_ntz(f[0], f[1], f[2], f[3], f[4], f[5].cast("decimal(16,6)"))
 
 
 def parse_ts_strict5(c) -> Column:
