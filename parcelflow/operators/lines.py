@@ -76,10 +76,15 @@ def splice(lines: DataFrame) -> DataFrame:
     """
     base = lines.select(SRC, DST, LT, "leave_secs", "run_minutes", "unload_time", "type")
     partner = base.filter(F.col("type") == F.lit(PARTNER_TYPE))
-    partner_pair = (partner.groupBy(SRC, DST)
-                    .agg(F.max("run_minutes").alias("a_run"), F.max("unload_time").alias("a_unload")))
-    any_pair = (base.groupBy(SRC, DST)
-                .agg(F.max("run_minutes").alias("d_run"), F.max("unload_time").alias("d_unload")))
+    is_partner = F.col("type") == F.lit(PARTNER_TYPE)
+    # both per-pair maxima (all lines / partner lines only) from one aggregation
+    pair_max = (base.groupBy(SRC, DST)
+                .agg(F.max("run_minutes").alias("d_run"), F.max("unload_time").alias("d_unload"),
+                     F.max(F.when(is_partner, F.col("run_minutes"))).alias("a_run"),
+                     F.max(F.when(is_partner, F.col("unload_time"))).alias("a_unload"),
+                     F.max(is_partner.cast("int")).alias("__pf_has_partner")))
+    partner_pair = pair_max.filter(F.col("__pf_has_partner") == 1).select(SRC, DST, "a_run", "a_unload")
+    any_pair = pair_max.select(SRC, DST, "d_run", "d_unload")
 
     d = base.select(F.col(SRC).alias("d_src"), F.col(DST).alias("d_dst"), F.col(LT).alias("d_lt"),
                     F.col("leave_secs").alias("d_secs"), F.col("run_minutes").alias("d_run"),
