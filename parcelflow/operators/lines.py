@@ -64,46 +64,37 @@ def splice(lines: DataFrame) -> DataFrame:
 
     * prepend: a line ``d`` arriving where a partner line ``a`` leaves gives
       ``(d.leave, a.arrive, d.leave_time, a.run + d.run, a.unload + d.unload)``;
-    * append: a line ``d`` leaving where ``a`` arrives gives
+    * append: a line ``d`` leaving where a partner line ``a`` arrives gives
       ``(a.leave, d.arrive, a.leave_time, a.run + d.run, a.unload + d.unload)``;
     * plus every original line.
 
-    Because only maxima survive, the side whose leave time is not kept is first reduced to its
-    max run / unload per department pair (for a fixed connecting department the max of a sum
-    over a product of rows is the sum of the maxima) — an exact pre-aggregation that shrinks
-    the fan-out at hub departments before the join.  Unmatched partner rows would reproduce the
-    original line, so inner joins suffice.
+    Only maxima survive, so the side whose leave time is not kept reduces exactly to its max run
+    / unload per department pair (for a fixed connecting department the max of a sum over a
+    product of rows is the sum of the maxima).  Both kinds then come out of one join: every line
+    ``x`` meets the per-pair maxima of the pairs leaving ``x.arrive``; the row is a prepend
+    candidate when that pair has a partner line and an append candidate when ``x`` itself is a
+    partner line, and both have the key ``(x.leave, pair.arrive, x.leave_time)``.  One join, one
+    aggregation of the lines, no fan-out beyond the pairs leaving each hub.
     """
     base = lines.select(SRC, DST, LT, "leave_secs", "run_minutes", "unload_time", "type")
-    partner = base.filter(F.col("type") == F.lit(PARTNER_TYPE))
     is_partner = F.col("type") == F.lit(PARTNER_TYPE)
-    # both per-pair maxima (all lines / partner lines only) from one aggregation
-    pair_max = (base.groupBy(SRC, DST)
-                .agg(F.max("run_minutes").alias("d_run"), F.max("unload_time").alias("d_unload"),
-                     F.max(F.when(is_partner, F.col("run_minutes"))).alias("a_run"),
-                     F.max(F.when(is_partner, F.col("unload_time"))).alias("a_unload"),
-                     F.max(is_partner.cast("int")).alias("__pf_has_partner")))
-    partner_pair = pair_max.filter(F.col("__pf_has_partner") == 1).select(SRC, DST, "a_run", "a_unload")
-    any_pair = pair_max.select(SRC, DST, "d_run", "d_unload")
-
-    d = base.select(F.col(SRC).alias("d_src"), F.col(DST).alias("d_dst"), F.col(LT).alias("d_lt"),
-                    F.col("leave_secs").alias("d_secs"), F.col("run_minutes").alias("d_run"),
-                    F.col("unload_time").alias("d_unload"))
-    prepend = (partner_pair.join(d, partner_pair[SRC] == d["d_dst"], "inner")
-               .select(F.col("d_src").alias(SRC), F.col(DST), F.col("d_lt").alias(LT),
-                       F.col("d_secs").alias("leave_secs"),
-                       (F.col("a_run") + F.col("d_run")).alias("run_minutes"),
-                       (F.col("a_unload") + F.col("d_unload")).alias("unload_time")))
-    a = partner.select(F.col(SRC).alias("a_src"), F.col(DST).alias("a_dst"), F.col(LT).alias("a_lt"),
-                       F.col("leave_secs").alias("a_secs"), F.col("run_minutes").alias("a_run"),
-                       F.col("unload_time").alias("a_unload"))
-    append = (a.join(any_pair, a["a_dst"] == any_pair[SRC], "inner")
-              .select(F.col("a_src").alias(SRC), F.col(DST), F.col("a_lt").alias(LT),
-                      F.col("a_secs").alias("leave_secs"),
-                      (F.col("a_run") + F.col("d_run")).alias("run_minutes"),
-                      (F.col("a_unload") + F.col("d_unload")).alias("unload_time")))
+    pair_max = (base.groupBy(F.col(SRC).alias("__pf_p_src"), F.col(DST).alias("__pf_p_dst"))
+                .agg(F.max("run_minutes").alias("__pf_all_run"), F.max("unload_time").alias("__pf_all_unload"),
+                     F.max(F.when(is_partner, F.col("run_minutes"))).alias("__pf_partner_run"),
+                     F.max(F.when(is_partner, F.col("unload_time"))).alias("__pf_partner_unload")))
+    x = base.withColumn("__pf_x_partner", is_partner)
+    j = x.join(pair_max, x[DST] == pair_max["__pf_p_src"], "inner")
+    as_prepend = F.col("__pf_partner_run").isNotNull()
+    as_append = F.col("__pf_x_partner")
+    run = F.greatest(F.when(as_prepend, F.col("run_minutes") + F.col("__pf_partner_run")),
+                     F.when(as_append, F.col("run_minutes") + F.col("__pf_all_run")))
+    unload = F.greatest(F.when(as_prepend, F.col("unload_time") + F.col("__pf_partner_unload")),
+                        F.when(as_append, F.col("unload_time") + F.col("__pf_all_unload")))
+    spliced = (j.filter(as_prepend | as_append)
+               .select(F.col(SRC), F.col("__pf_p_dst").alias(DST), LT, "leave_secs",
+                       run.alias("run_minutes"), unload.alias("unload_time")))
     original = base.select(SRC, DST, LT, "leave_secs", "run_minutes", "unload_time")
-    return (original.unionByName(prepend).unionByName(append)
+    return (original.unionByName(spliced)
             .groupBy(SRC, DST, "leave_secs")
             .agg(F.first(LT).alias(LT), F.max("run_minutes").alias("run_minutes"),
                  F.max("unload_time").alias("unload_time"))
