@@ -10,7 +10,10 @@ if ROOT not in sys.path:
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from parcelflow.session import local_session
-    s = local_session("*", shuffle_partitions=8)
+    warehouse = tempfile.mkdtemp(prefix="parcelflow-warehouse-")
+    s = local_session("*", shuffle_partitions=8, extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
