@@ -209,3 +209,10 @@ def at_time_of_day(day_of, seconds) -> Column:
     """The calendar day of ``day_of`` at ``seconds`` after midnight (TIMESTAMP_NTZ)."""
     midnight = F.date_trunc("DAY", _as_col(day_of)).cast("timestamp_ntz")
     return F.timestamp_add("SECOND", _as_col(seconds).cast("long"), midnight)
+
+
+def format_pattern(c, pattern: str | None) -> Column:
+    """Format with an explicit Spark datetime pattern; an empty or missing pattern gives NULL."""
+    if not pattern:
+        return F.lit(None).cast("string")
+    return F.date_format(_as_col(c), pattern)

@@ -75,3 +75,14 @@ def clean_all(raw_tables: dict, end, days: float | None = DEFAULT_WINDOW_DAYS) -
     for b in BATCHES:
         out.update(run_batch(raw_tables, b, end, days))
     return out
+
+
+def upsert_table(history: DataFrame, new_raw: DataFrame, spec: CleanSpec) -> DataFrame:
+    """Base-table refresh: history ∪ new records, re-deduplicated.  When the new slice is empty
+    (a cheap ``isEmpty`` probe, one row at most) the history is returned untouched, so an idle
+    hour rewrites nothing."""
+    if new_raw.isEmpty():
+        return history
+    ts_cols = [c for c in spec.ts_cols if c in new_raw.columns]
+    new = dedup.standardize_timestamps(new_raw, ts_cols)
+    return dedup.upsert_base(history, new, list(spec.keys), list(spec.order_by), spec.tie_breakers)

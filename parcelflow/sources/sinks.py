@@ -74,24 +74,44 @@ def write_partitioned(df: DataFrame, target: str, partitions: dict, overwrite: b
         out.write.mode("append").partitionBy(*partitions).format(fmt).saveAsTable(target)
 
 
+def _partition_dirs(spark: SparkSession, target: str, partition_col: str) -> list[tuple[str, object]]:
+    """(unescaped value, handle) of every ``<partition_col>=<value>`` folder under ``target``."""
+    from urllib.parse import unquote
+    prefix = partition_col + "="
+    try:
+        jvm = spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(target)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        entries = [(st.getPath().getName(), (fs, st.getPath())) for st in fs.listStatus(root) if st.isDirectory()]
+    except Exception:  # noqa: BLE001 - no JVM gateway in this session: local folders only
+        import os
+        base = target.removeprefix("file:")
+        entries = [(n, os.path.join(base, n)) for n in os.listdir(base) if os.path.isdir(os.path.join(base, n))]
+    return [(unquote(n[len(prefix):]), h) for n, h in entries if n.startswith(prefix)]
+
+
 def expire_batches(spark: SparkSession, target: str, before: str, partition_col: str = "batch_no") -> list[str]:
     """Drop every batch partition whose value sorts before ``before``; returns the values
     dropped.  Catalog tables: ``ALTER TABLE … DROP PARTITION`` per value; path tables: the
-    partition folders are removed through the Hadoop file system (metadata operations only)."""
+    partition folders are removed through the Hadoop file system (metadata operations only;
+    folder names are unescaped, so values with ``:`` or blanks match)."""
     if _is_path(target):
-        values = [r[0] for r in spark.read.parquet(target).select(F.col(partition_col).cast("string"))
-                  .distinct().collect()]  # one row per batch: bounded by the retention window
-        expired = sorted(v for v in values if v is not None and v < before)
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for v in expired:
-            p = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{partition_col}={v}")
-            p.getFileSystem(conf).delete(p, True)
+        expired = []
+        for value, handle in sorted(_partition_dirs(spark, target, partition_col)):
+            if value < before:
+                if isinstance(handle, tuple):
+                    fs, path = handle
+                    fs.delete(path, True)
+                else:
+                    import shutil
+                    shutil.rmtree(handle)
+                expired.append(value)
         return expired
     parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
     expired = []
     for spec in parts:
-        kv = dict(x.split("=", 1) for x in spec.split("/"))
+        from urllib.parse import unquote
+        kv = {k: unquote(v) for k, v in (x.split("=", 1) for x in spec.split("/"))}
         v = kv.get(partition_col)
         if v is not None and v < before:
             spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({partition_col}='{v}')")
