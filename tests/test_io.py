@@ -32,8 +32,8 @@ def test_single_file_csv_with_null_text_and_dir_reader(spark, tmp_path):
 
 
 def test_drop_guard(spark):
-    assert sinks.drop_table(spark, "other.t", allowed_prefix="exp") is False
-    assert sinks.drop_table(spark, "exp_t_does_not_exist", allowed_prefix="exp") is True
+    assert sinks.drop_table(spark, "other.t", allowed_prefix="ops") is False
+    assert sinks.drop_table(spark, "ops_t_does_not_exist", allowed_prefix="ops") is True
 
 
 def test_partitioned_overwrite_only_touches_own_batches(spark, tmp_path):
