@@ -117,25 +117,27 @@ def _step(acc: Column, leg: Column) -> Column:
     return F.when(acc["stop"], halt).otherwise(let(L.next_in(leg["tt"], acc["t"]), with_next))
 
 
-def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key: str, ready_col: str) -> DataFrame:
+def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key: str, ready_col: str, carry=()) -> DataFrame:
     """Walk each waybill's legs through the timetable.
 
     ``leg_rows``: output of ``legs`` plus the waybill's ready time ``ready_col``.  Every leg
     takes the next departure at/after the current ready time (rolling to the next day), arrives
     ``run_minutes`` later and is ready again ``unload_time`` hours after arrival.  The walk stops
     at the first leg whose pair has no line (earlier legs are kept) or when the ready time is
-    NULL.  Returns one row per walked leg: key, leg_idx, src, dst, path_no, pre_org,
+    NULL.  Returns one row per walked leg: key, ``carry`` columns (per-key constants passed
+    through the grouping, so no join back is needed), leg_idx, src, dst, path_no, pre_org,
     start_time, end_time.
     """
     t = tt.select(F.col(L.SRC).alias("__pf_s"), F.col(L.DST).alias("__pf_d"), F.col("tt"))
     j = leg_rows.join(t, (leg_rows["src"] == t["__pf_s"]) & (leg_rows["dst"] == t["__pf_d"]), "left")
     leg = F.struct("leg_idx", "src", "dst", "path_no", "pre_org", "tt")
     grouped = j.groupBy(key).agg(F.min(ready_col).alias("__pf_ready"),
-                                 F.sort_array(F.collect_list(leg)).alias("__pf_legs"))
+                                 F.sort_array(F.collect_list(leg)).alias("__pf_legs"),
+                                 *[F.max(c).alias(c) for c in carry])    # constant per key
     init = F.struct(F.col("__pf_ready").alias("t"), F.col("__pf_ready").isNull().alias("stop"),
                     F.array().cast(f"array<{_OUT}>").alias("out"))
-    walked = grouped.select(key, F.aggregate("__pf_legs", init, _step)["out"].alias("__pf_out"))
+    walked = grouped.select(key, *carry, F.aggregate("__pf_legs", init, _step)["out"].alias("__pf_out"))
     # inline_outer: a plain inline lets Catalyst infer size(out) > 0 below the projection, which
     # would evaluate the whole walk again inside the filter; empty walks give one all-NULL row
     # here and are dropped after the generator instead.
-    return walked.select(key, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())
+    return walked.select(key, *carry, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())

@@ -216,14 +216,14 @@ def walked(st: DataFrame, path: DataFrame, info: DataFrame, orgs: DataFrame, ref
     located = st.filter(F.col("current_org").isNotNull() & F.col("bill_time").isNotNull())
     j = located.join(p, located["waybill_number"] == p["__pf_p_wb"], "inner").drop("__pf_p_wb")
     j = R.with_remaining(j, "waybill_route_codes", "current_org")
-    # one row per (waybill, route): a waybill with several routes walks each of them
+    # one walk per (waybill, route); the waybill's attributes ride through the walk's grouping
+    # as per-key constants, so the walked legs need no join back to the waybills
     j = j.withColumn("__pf_key", F.struct("waybill_number", "waybill_route_codes"))
-    leg_rows = R.legs(j, "__pf_key", "remaining", "waybill_status", "leave_department_code", carry=["bill_time"])
-    walk = R.schedule_walk(leg_rows, L.timetable(info), "__pf_key", "bill_time")
-    attrs = j.select("__pf_key", "waybill_number", "old_bill_time", "car_number", "bill_time", "goods_weight",
-                     "goods_volume", "goods_qty", "bill_weight", "bill_volume", "bill_qty", "waybill_status",
-                     "next_day_arrive", "customer_pickup_department_code").withColumnRenamed("__pf_key", "__pf_k2")
-    legs = walk.join(attrs, walk["__pf_key"] == attrs["__pf_k2"], "inner").drop("__pf_key", "__pf_k2")
+    carried = ["bill_time", "waybill_number", "old_bill_time", "car_number", "goods_weight", "goods_volume",
+               "goods_qty", "bill_weight", "bill_volume", "bill_qty", "waybill_status", "next_day_arrive",
+               "customer_pickup_department_code"]
+    leg_rows = R.legs(j, "__pf_key", "remaining", "waybill_status", "leave_department_code", carry=carried)
+    legs = R.schedule_walk(leg_rows, L.timetable(info), "__pf_key", "bill_time", carry=carried).drop("__pf_key")
     legs = joins.with_org(legs, {"src": "o1", "dst": "o2"}, orgs, fields=["center"])
     legs = legs.filter((F.col("o1_center") == F.lit("Y")) | (F.col("o2_center") == F.lit("Y")))
     return legs.select(
