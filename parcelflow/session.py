@@ -62,3 +62,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
     return conf
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run sized from the input volume.
+
+    * scans: ``maxPartitionBytes`` = ``target_partition_bytes`` (e.g. 100 TB -> ~400k scan tasks of
+      256 MB, a few waves on 1000 executors);
+    * shuffles: AQE starts from enough partitions that the largest exchange (the cleaning of the
+      biggest feed, roughly the input size) is cut into ``target_partition_bytes`` pieces, never
+      fewer than 2 per core, and coalesces small exchanges at runtime;
+    * skew: partitions 5x the median and above ``2 * target`` are split by AQE;
+    * broadcast: only relations Spark measures below 64 MB (static estimate or runtime size).
+    """
+    initial = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -57,3 +57,12 @@ def test_conform_contract(spark):
     assert out.columns == [f.name for f in schemas.UNLOAD_UNSCAN.fields]
     with pytest.raises(ValueError):
         schemas.conform(df.drop("device_type"), schemas.UNLOAD_UNSCAN)
+
+
+def test_cluster_conf_sizes_partitions_from_input():
+    from parcelflow.session import cluster_conf
+    big = cluster_conf(100 << 40, total_cores=8000)                 # 100 TB on 1000 x 8 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert big["spark.sql.adaptive.enabled"] == "true"
+    small = cluster_conf(1 << 30, total_cores=64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 128       # at least 2 per core
