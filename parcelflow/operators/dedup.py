@@ -10,14 +10,13 @@ row per map task to its reducer.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import timefmt
 
-Cols = Sequence["str | Column"]
 
 
 def _names(cols) -> list[str]:

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from ..functions import let, nulls, timefmt
 
 SRC, DST, LT = "leave_department_code", "arrive_department_code", "leave_time"
-LINE_COLS = [SRC, DST, LT, "run_minutes", "unload_time"]
 
 # --- fixed values -------------------------------------------------------------------------
 PARTNER_TYPE = "partner"       # type forced on partner lines

@@ -40,7 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return derived.table(spark, sf_dir, name)
 
 
-EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 # ---------------------------------------------------------------- record versions
