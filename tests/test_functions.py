@@ -44,3 +44,12 @@ def test_line_info_contract(spark):
     info = schemas.conform(L.splice(merged), schemas.LINE_INFO)
     assert info.collect() == [("A", "B", "08:00:00", 60, 1)]
     assert [f.name for f in info.schema.fields] == [f.name for f in schemas.LINE_INFO.fields]
+
+
+def test_iso_text_and_bounded_slice(spark):
+    df = spark.createDataFrame([("2019-12-12T10:00:00.000Z", T(2024, 1, 1)), ("2019-12-12 10:00:01", T(2024, 1, 9)),
+                                (None, T(2024, 1, 10))], "s string, create_time timestamp_ntz")
+    assert [r[0] for r in df.select(timefmt.iso_to_ts("s")).collect()] == [T(2019, 12, 12, 10), T(2019, 12, 12, 10, 0, 1),
+                                                                          None]
+    sliced = dedup.time_slice(df, "create_time", "2024-01-10 00:00:00", days=7, upper=True)
+    assert [r.create_time for r in sliced.collect()] == [T(2024, 1, 9)]
