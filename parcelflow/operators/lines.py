@@ -101,71 +101,113 @@ def splice(lines: DataFrame) -> DataFrame:
 
 
 def timetable(lines: DataFrame) -> DataFrame:
-    """One row per department pair: ``tt`` = departures sorted by (leave_secs, run, unload).
+    """One row per department pair: ``tt`` = departures sorted by leave time, one entry per leave
+    second (the one with the smallest run, then unload — the only one any lookup can pick).
 
-    The array is bounded by construction: after ``merge_lines`` / ``splice`` a pair has at most
-    one row per leave second, i.e. at most 86,400 entries, however large the network grows."""
-    entry = F.struct(F.col("leave_secs").alias("secs"), F.col("run_minutes").alias("run"),
-                     F.col("unload_time").alias("unload"))
-    return lines.groupBy(SRC, DST).agg(F.sort_array(F.collect_list(entry)).alias("tt"))
+    The array is bounded by construction: at most 86,400 entries (one per second of the day),
+    however large the network grows."""
+    per_second = (lines.groupBy(SRC, DST, F.col("leave_secs").alias("secs"))
+                  .agg(F.min(F.struct(F.col("run_minutes").alias("run"), F.col("unload_time").alias("unload")))
+                       .alias("best")))
+    entry = F.struct(F.col("secs"), F.col("best.run").alias("run"), F.col("best.unload").alias("unload"))
+    return per_second.groupBy(SRC, DST).agg(F.sort_array(F.collect_list(entry)).alias("tt"))
 
 
-_FAR = 2**62  # distance used when the departure time is unknown (sorts after every real one)
+def _first_at_or_after(tt: Column, x: Column) -> Column:
+    """1-based index into ``tt`` of the first departure whose second of day is >= ``x``
+    (``size + 1`` when there is none): the first position of ``x`` in the sorted concatenation
+    of the leave seconds and ``x`` — plain array functions, no lambda."""
+    secs = tt["secs"].cast("array<bigint>")
+    return F.array_position(F.sort_array(F.concat(secs, F.array(x.cast("bigint")))), x.cast("bigint"))
+
+
+def _micros_of_day(ts: Column, day0: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", day0, ts)
+
+
+def _ceil_secs(us: Column) -> Column:
+    return F.ceil(us.cast("double") / F.lit(1_000_000.0)).cast("bigint")
 
 
 def nearest_in(tt: Column, ts: Column) -> Column:
     """The departure of ``tt`` whose same-day time is closest to ``ts`` (ties: earlier leave
-    time, then smaller run, then smaller unload; NULL ``ts`` -> the first departure)."""
-    def pick(day0):
-        keyed = F.transform(tt, lambda x: F.struct(
-            F.coalesce(F.abs(F.timestamp_diff("MICROSECOND", F.timestamp_add("SECOND", x["secs"].cast("long"), day0),
-                                              ts)), F.lit(_FAR)).alias("dist"),
-            x["secs"].alias("secs"), x["run"].alias("run"), x["unload"].alias("unload")))
-        return F.array_min(keyed)
-    return let(F.date_trunc("DAY", ts).cast("timestamp_ntz"), pick)
+    time; per leave second the smallest run / unload; NULL ``ts`` -> the first departure).
+    Only the two neighbours of ``ts``'s insertion point can be nearest."""
+    def with_day(day0):
+        t_us = _micros_of_day(ts, day0)
+
+        def with_k(k):
+            pred, succ = F.get(tt, k - 2), F.get(tt, k - 1)     # last < ceil(t), first >= ceil(t)
+            d_pred = t_us - pred["secs"].cast("bigint") * 1_000_000
+            d_succ = succ["secs"].cast("bigint") * 1_000_000 - t_us
+            return (F.when(ts.isNull(), F.get(tt, 0))
+                    .when(pred.isNull(), succ).when(succ.isNull(), pred)
+                    .when(d_succ < d_pred, succ).otherwise(pred))
+        return let(_first_at_or_after(tt, _ceil_secs(t_us)), with_k)
+    return let(F.date_trunc("DAY", ts).cast("timestamp_ntz"), with_day)
 
 
 def next_in(tt: Column, ready: Column) -> Column:
     """Next departure at or after ``ready`` on its calendar day, else the first departure of the
-    next day (tt sorted).  Returns struct(start, run, unload) or NULL (no departures / no time)."""
+    next day.  Returns struct(start, run, unload) or NULL (no departures / no time)."""
     def with_day(day0):
-        def with_first_today(ft):
+        def with_today(today):
             first_any = F.get(tt, 0)
-            chosen = F.when(ft.isNotNull(), F.struct(
-                F.timestamp_add("SECOND", ft["secs"].cast("long"), day0).alias("start"),
-                ft["run"].alias("run"), ft["unload"].alias("unload"))).otherwise(F.struct(
+            chosen = F.when(today.isNotNull(), F.struct(
+                F.timestamp_add("SECOND", today["secs"].cast("long"), day0).alias("start"),
+                today["run"].alias("run"), today["unload"].alias("unload"))).otherwise(F.struct(
                     F.timestamp_add("SECOND", first_any["secs"].cast("long"),
                                     F.timestamp_add("DAY", F.lit(1), day0)).alias("start"),
                     first_any["run"].alias("run"), first_any["unload"].alias("unload")))
             return let(chosen, lambda c: F.when(c["start"].isNotNull(), c))
-        today = F.filter(tt, lambda x: F.timestamp_add("SECOND", x["secs"].cast("long"), day0) >= ready)
-        return let(F.get(today, 0), with_first_today)
+        k = _first_at_or_after(tt, _ceil_secs(_micros_of_day(ready, day0)))
+        return let(F.get(tt, k - 1), with_today)
     return let(F.date_trunc("DAY", ready).cast("timestamp_ntz"), with_day)
 
 
+def _nearest_cols(tt: Column, ts: Column, t_us: Column, k: Column) -> Column:
+    pred, succ = F.get(tt, k - 2), F.get(tt, k - 1)     # last < ceil(t), first >= ceil(t)
+    d_pred = t_us - pred["secs"].cast("bigint") * 1_000_000
+    d_succ = succ["secs"].cast("bigint") * 1_000_000 - t_us
+    return (F.when(ts.isNull(), F.get(tt, 0)).when(pred.isNull(), succ).when(succ.isNull(), pred)
+            .when(d_succ < d_pred, succ).otherwise(pred))
+
+
 def nearest_departure(df: DataFrame, tt: DataFrame, src_col: str, dst_col: str, depart_col: str) -> DataFrame:
-    """Add ``run_minutes``, ``unload_time`` and ``leave_time`` of the departure of the pair
+    """Add ``run_minutes``, ``unload_time`` and ``line_leave_time`` of the departure of the pair
     (``src_col`` -> ``dst_col``) closest to ``depart_col`` on the same day (NULL when the pair
-    has no line).  One left join with the per-pair timetable; no row fan-out, no window."""
+    has no line).  One left join with the per-pair timetable; the lookup is an insertion-point
+    search with array functions in materialised columns, so it stays in whole-stage codegen."""
     t = tt.select(F.col(SRC).alias("__pf_s"), F.col(DST).alias("__pf_d"), F.col("tt").alias("__pf_tt"))
     j = df.join(t, (df[src_col] == t["__pf_s"]) & (df[dst_col] == t["__pf_d"]), "left")
-    best = nearest_in(F.col("__pf_tt"), F.col(depart_col))
-    return (j.withColumn("__pf_best", best)
-            .withColumn("run_minutes", F.col("__pf_best.run"))
+    tt_c, ts = F.col("__pf_tt"), F.col(depart_col)
+    j = (j.withColumn("__pf_us", _micros_of_day(ts, F.date_trunc("DAY", ts).cast("timestamp_ntz")))
+         .withColumn("__pf_k", _first_at_or_after(tt_c, _ceil_secs(F.col("__pf_us"))))
+         .withColumn("__pf_best", _nearest_cols(tt_c, ts, F.col("__pf_us"), F.col("__pf_k"))))
+    return (j.withColumn("run_minutes", F.col("__pf_best.run"))
             .withColumn("unload_time", F.col("__pf_best.unload"))
             .withColumn("line_leave_time", secs_to_text(F.col("__pf_best.secs")))
-            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_best"))
+            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_us", "__pf_k", "__pf_best"))
 
 
 def next_departure(df: DataFrame, tt: DataFrame, src_col: str, dst_col: str, ready_col: str) -> DataFrame:
     """Add ``start_time`` (next departure at/after ``ready_col``, rolling to the next day),
-    ``end_time`` = start + run minutes, and ``next_ready`` = end + unload hours."""
+    ``end_time`` = start + run minutes, and ``next_ready`` = end + unload hours (codegen'd
+    insertion-point lookup, as in ``nearest_departure``)."""
     t = tt.select(F.col(SRC).alias("__pf_s"), F.col(DST).alias("__pf_d"), F.col("tt").alias("__pf_tt"))
     j = df.join(t, (df[src_col] == t["__pf_s"]) & (df[dst_col] == t["__pf_d"]), "left")
-    nx = next_in(F.col("__pf_tt"), F.col(ready_col))
-    end = F.timestamp_add("MINUTE", F.col("__pf_nx.run").cast("long"), F.col("__pf_nx.start"))
-    return (j.withColumn("__pf_nx", nx)
-            .withColumn("start_time", F.col("__pf_nx.start"))
-            .withColumn("end_time", end)
-            .withColumn("next_ready", timefmt.add_hours(end, F.col("__pf_nx.unload").cast("double"), fractional=True))
-            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_nx"))
+    tt_c, ready = F.col("__pf_tt"), F.col(ready_col)
+    j = (j.withColumn("__pf_day0", F.date_trunc("DAY", ready).cast("timestamp_ntz"))
+         .withColumn("__pf_k", _first_at_or_after(tt_c, _ceil_secs(_micros_of_day(ready, F.col("__pf_day0"))))))
+    today, first_any = F.get(tt_c, F.col("__pf_k") - 1), F.get(tt_c, 0)
+    start = F.when(today.isNotNull(), F.timestamp_add("SECOND", today["secs"].cast("long"), F.col("__pf_day0"))) \
+        .otherwise(F.timestamp_add("SECOND", first_any["secs"].cast("long"),
+                                   F.timestamp_add("DAY", F.lit(1), F.col("__pf_day0"))))
+    run = F.when(today.isNotNull(), today["run"]).otherwise(first_any["run"])
+    unload = F.when(today.isNotNull(), today["unload"]).otherwise(first_any["unload"])
+    j = j.withColumn("start_time", start).withColumn("__pf_run", run).withColumn("__pf_unload", unload)
+    end = F.timestamp_add("MINUTE", F.col("__pf_run").cast("long"), F.col("start_time"))
+    return (j.withColumn("end_time", end)
+            .withColumn("next_ready", timefmt.add_hours(F.col("end_time"), F.col("__pf_unload").cast("double"),
+                                                        fractional=True))
+            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_day0", "__pf_k", "__pf_run", "__pf_unload"))
