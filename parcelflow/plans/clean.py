@@ -23,6 +23,7 @@ class CleanSpec:
     slice_col: str = "create_time"
     ts_cols: tuple = ("create_time", "inflow_time")
     tie_breakers: object = "all"
+    columns: tuple | None = None      # output projection (config-driven field list); None keeps all
     extra: dict = field(default_factory=dict)
 
 
@@ -57,7 +58,13 @@ def clean_table(raw: DataFrame, spec: CleanSpec, end, days: float | None = DEFAU
         df = dedup.time_slice(df, spec.slice_col, end, days, upper=upper)
     ts_cols = [c for c in spec.ts_cols if c in df.columns]
     df = dedup.standardize_timestamps(df, ts_cols)
-    return dedup.latest_per_key(df, list(spec.keys), list(spec.order_by), spec.tie_breakers)
+    out = dedup.latest_per_key(df, list(spec.keys), list(spec.order_by), spec.tie_breakers)
+    if spec.columns is not None:
+        missing = [c for c in spec.columns if c not in out.columns]
+        if missing:
+            raise ValueError(f"cleaned table lacks configured columns {missing}")
+        out = out.select(*spec.columns)   # helper / unlisted columns are not exported
+    return out
 
 
 def run_batch(raw_tables: dict, batch: int, end, days: float | None = DEFAULT_WINDOW_DAYS,

@@ -40,3 +40,14 @@ def test_upsert_table_skips_empty_slices(spark):
     new = spark.createDataFrame([("1", "2024-01-02 00:00:00", "y")], "id string, inflow_time string, v string")
     out = clean.upsert_table(hist, new, clean.CLEAN_SPECS["volume_sign"])
     assert [r.v for r in out.collect()] == ["y"]
+
+
+def test_clean_spec_projection(spark):
+    import pytest
+    raw = spark.createDataFrame([("1", "2024-01-01 00:00:00", "2024-01-01 00:00:00", "a", "tmp")],
+                                "id string, create_time string, inflow_time string, v string, helper string")
+    spec = clean.CleanSpec(columns=("id", "v", "inflow_time"))
+    out = clean.clean_table(raw, spec, "2024-01-05 00:00:00", days=7)
+    assert out.columns == ["id", "v", "inflow_time"] and out.count() == 1
+    with pytest.raises(ValueError):
+        clean.clean_table(raw, clean.CleanSpec(columns=("id", "nope")), "2024-01-05 00:00:00", days=None)
