@@ -158,9 +158,10 @@ def millis_between(a, b) -> Column:
 
 
 def _whole_minutes(amount: Column, minutes_per_unit: int) -> Column:
-    # fractional amounts are applied as whole minutes, truncated toward zero
-    return F.when(amount.isNull(), F.lit(0)).otherwise(
-        (amount.cast("double") * F.lit(float(minutes_per_unit))).cast("long"))
+    # fractional amounts are applied as whole minutes, truncated toward zero; NULL or text that
+    # is not a number counts as 0 (never an error)
+    num = amount.try_cast("double")
+    return F.when(num.isNull(), F.lit(0)).otherwise((num * F.lit(float(minutes_per_unit))).cast("long"))
 
 
 def add_days(ts, days, fractional: bool = False) -> Column:

@@ -133,7 +133,7 @@ def shift_times(df: DataFrame, spec: dict) -> DataFrame:
         if unit in fns:
             if isinstance(amount, str):
                 t = dict(df.dtypes)[amount]
-                is_frac = t in ("double", "float") or t.startswith("decimal")
+                is_frac = t in ("double", "float", "string") or t.startswith("decimal")   # text: read as a number
             else:
                 is_frac = isinstance(amount, float)
             new[out] = fns[unit](ts_col, amt, fractional=is_frac)

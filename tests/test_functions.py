@@ -53,3 +53,10 @@ def test_iso_text_and_bounded_slice(spark):
                                                                           None]
     sliced = dedup.time_slice(df, "create_time", "2024-01-10 00:00:00", days=7, upper=True)
     assert [r.create_time for r in sliced.collect()] == [T(2024, 1, 9)]
+
+
+def test_shift_by_text_amounts(spark):
+    df = spark.createDataFrame([(T(2024, 1, 1), "1.5"), (T(2024, 1, 1), "x"), (T(2024, 1, 1), None)],
+                               "ts timestamp_ntz, h string")
+    out = [r.plus for r in dedup.shift_times(df, {"plus": ("ts", "h", "hours")}).collect()]
+    assert out == [T(2024, 1, 1, 1, 30), T(2024, 1, 1), T(2024, 1, 1)]
