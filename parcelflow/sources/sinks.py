@@ -68,8 +68,16 @@ def write_partitioned(df: DataFrame, target: str, partitions: dict, overwrite: b
         (out.write.mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partitions).format(fmt).save(target))
     elif spark.catalog.tableExists(target):
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out.write.insertInto(target, overwrite=overwrite)
+        key = "spark.sql.sources.partitionOverwriteMode"
+        previous = spark.conf.get(key, None)
+        spark.conf.set(key, "dynamic")          # insertInto has no per-write option; restore after
+        try:
+            out.write.insertInto(target, overwrite=overwrite)
+        finally:
+            if previous is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, previous)
     else:
         out.write.mode("append").partitionBy(*partitions).format(fmt).saveAsTable(target)
 
