@@ -1,13 +1,13 @@
 """Session helpers for tests, benchmarks and local runs.
 
 Library code never creates a session; it takes the caller's.  ``local_session`` is what the
-tests and ``bench.py`` use.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session
-and only falls back to a fresh scratch folder when the cluster did not name one (local tests).
+tests and ``bench.py`` use.  ``checkpoint_dir`` reads ``spark.checkpoint.dir`` from the session;
+only a local session without that setting gets a scratch folder.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,20 +48,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the cluster; a scratch folder only when none is set."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext (e.g. Spark Connect)
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Without that setting a local session gets a scratch folder of its own; on a cluster it is an
+    error, since a machine-local folder is not visible to the other machines.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir():
         return sc.getCheckpointDir()
+    conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="parcelflow-ckpt-", dir=os.environ.get("PARCELFLOW_SCRATCH", "/tmp"))
-    if sc is not None:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir() or conf
-    return conf
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        conf = tempfile.mkdtemp(prefix="parcelflow-ckpt-")
+    sc.setCheckpointDir(conf)
+    return sc.getCheckpointDir() or conf
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
