@@ -17,7 +17,7 @@ whole; repeated rows are scanned one by one; extra columns are dropped; an empty
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.bind import let
@@ -141,11 +141,6 @@ def rules() -> list[tuple[str, str, str, int]]:
     return out
 
 
-def rule_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(rules())],
-                                 "rule int, label string, keyword string, regex string, priority int")
-
-
 def _words_line(text: Column) -> Column:
     """The words of the text, lower-cased, with one space before, between and after them."""
     lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -180,7 +175,6 @@ def scan(docs: DataFrame) -> DataFrame:
     ``matches`` are the surviving places of all rules as (label, start, end, priority); the score is
     the share of the text's words that lie in the longest of them, at most 1, 0 without a match.
     """
-    spark = docs.sparkSession
     table = F.array(*[F.struct(F.lit(label).alias("label"), F.lit(keyword).alias("keyword"),
                                F.lit(regex).alias("regex"), F.lit(priority).alias("priority"))
                       for label, keyword, regex, priority in rules()])
@@ -213,10 +207,9 @@ def scan(docs: DataFrame) -> DataFrame:
     more = F.coalesce(F.array_distinct(F.transform("matches", lambda m: m["label"])), none)
     longest = F.array_max(F.transform("matches", lambda m: m["end"] - m["start"]))
     return out.select(
-        "doc_id", "n_words", F.greatest(F.coalesce(F.size("plain"), F.lit(0)), F.lit(0)).cast("long").alias("n_base"),
+        "doc_id", "n_words", F.coalesce(F.size("plain"), F.lit(0)).cast("long").alias("n_base"),
         F.array_min(F.transform("plain", lambda p: p["start"])).cast("long").alias("first_word"),
         F.array_max(F.transform("plain", lambda p: p["start"])).cast("long").alias("last_word"),
         F.array_join(F.array_sort(base_labels), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union(base_labels, more)), ",").alias("labels"),
-        F.when(F.col("n_words") > 0, F.coalesce(F.least(longest / F.col("n_words"), F.lit(1.0)), F.lit(0.0)))
-        .otherwise(0.0).alias("score"), "matches")
+        F.when(longest > 0, F.least(longest / F.col("n_words"), F.lit(1.0))).otherwise(0.0).alias("score"), "matches")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import bpe, line_dedup, packing, sharding, simhash, toxicity
+from parcelflow.llm import ann, bpe, licenses, line_dedup, lm_score, packing, sharding, simhash, spotsigs, toxicity
 from parcelflow.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
 
+def op2_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -31,6 +36,14 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -40,12 +53,46 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                           ).withColumnRenamed("id", "doc_id")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_ann": op2_ann,
     "op3_simhash": op3_simhash,
     "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
+    "op6_spotsigs": op6_spotsigs,
+    "op7_licenses": op7_licenses,
     "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
+    "op10_lm_score": op10_lm_score,
 }
-ORACLE_SQL: dict[str, str] = {}
+# Words and pairs of words counted as text; a pair that occurs once backs off to its last word.
+LM_SQL = """
+with docs as (
+  select doc_id, row_number() over () as row_no,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
+  from documents),
+tokens as (select doc_id, row_no, unnest(words) as w, generate_subscripts(words, 1) as i from docs),
+pairs as (select *, lag(w) over (partition by row_no order by i) as before from tokens),
+singles as (select w, count(*) as n from tokens group by w),
+doubles as (select before, w, count(*) as n from pairs where before is not null group by before, w having count(*) >= 2),
+everything as (select count(*) as n from tokens),
+scored as (
+  select p.row_no, p.i > 1 and d.n is null as backed_off,
+         case when p.before is null then ln(s.n / e.n)
+              when d.n is not null then ln(d.n / c.n)
+              else ln(s.n / e.n) + ln(0.4) end as lg
+  from pairs p cross join everything e join singles s on p.w = s.w
+  left join doubles d on p.before = d.before and p.w = d.w
+  left join singles c on p.before = c.w),
+sums as (select row_no, count(*) as n, count(*) filter (backed_off) as b, sum(lg) as lg from scored group by row_no)
+select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(b, 0)::bigint as n_backoff,
+       round(coalesce(lg, 0), 4)::double as log_score, round(coalesce(lg / n, 0), 6)::double as mean_log_score
+from docs left join sums using (row_no)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_lm_score": LM_SQL}
