@@ -33,7 +33,7 @@ BUCKETS = 1 << BUCKET_BITS
 DIMENSIONS = 8
 SEGMENT = 8
 NGRAMS = (3, 4, 5)
-MAX_PER_CLASS = 2500
+MAX_PER_CLASS = 2000
 #: Subwords of words that occur in fewer training texts are not trained.
 MIN_TEXTS = 10
 EPOCHS = 60
@@ -56,6 +56,11 @@ def words_of(text: str) -> list[bytes]:
 
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers of all words' subwords, flat, and how many each word has."""
+    parts = [_subwords(words[i:i + 20_000]) for i in range(0, len(words), 20_000)]
+    return np.concatenate([b for b, _ in parts]), np.concatenate([n for _, n in parts])
+
+
+def _subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     marked = [b"<" + w + b">" for w in words]
     lengths = np.fromiter(map(len, marked), np.int64, len(marked))
     flat = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
@@ -79,8 +84,8 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         owners.append(np.arange(len(words)))
         buckets.append((whole + np.uint64(99)) * _MIX)
     owner = np.concatenate(owners)
-    bucket = (np.concatenate(buckets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    return bucket[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
+    bucket = (np.concatenate(buckets) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    return bucket[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words)).astype(np.int32)
 
 
 @dataclass
@@ -130,24 +135,28 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     for i, t in enumerate(texts):
         ws = words_of(t)
         if ws:
-            words.append(np.fromiter((index.setdefault(w, len(index)) for w in ws), np.int64, len(ws)))
+            words.append(np.fromiter((index.setdefault(w, len(index)) for w in ws), np.int32, len(ws)))
             n = -(-len(ws) // SEGMENT)
-            text_no.append(np.full(n, i))
-            size = np.full(n, SEGMENT)
+            text_no.append(np.full(n, i, np.int32))
+            size = np.full(n, SEGMENT, np.int32)
             size[-1] = len(ws) - SEGMENT * (n - 1)
             segment_size.append(size)
     word_at, text_no = np.concatenate(words), np.concatenate(text_no)
+    del words
     sizes = np.concatenate(segment_size)
     buckets, counts = subwords(list(index))
+    distinct = len(index)
+    del index
     bucket_start = np.cumsum(counts) - counts
     word_start = np.cumsum(sizes) - sizes
     tokens = np.add.reduceat(counts[word_at], word_start).astype(float)  # subwords per segment
-    segment_of = np.repeat(np.arange(len(sizes)), sizes)
+    segment_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     toxic = np.asarray(labels)[text_no] == 1
     text_start = np.flatnonzero(np.r_[True, np.diff(text_no) != 0])
 
-    pairs = np.unique(np.repeat(text_no, sizes) * len(index) + word_at) % len(index)
-    word_texts = np.bincount(pairs, minlength=len(index))
+    pairs = np.unique(np.repeat(text_no, sizes) * np.int64(distinct) + word_at) % distinct
+    word_texts = np.bincount(pairs, minlength=distinct)
+    del pairs
     common = np.bincount(buckets, np.repeat(word_texts, counts), BUCKETS) >= MIN_TEXTS
 
     embed = rng.normal(0, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
@@ -156,7 +165,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     momentum = [np.zeros_like(x) for x in (embed, classes, bias)]
     for epoch in range(epochs):
         diff = classes[:, 1] - classes[:, 0]
-        per_word = np.add.reduceat((embed @ diff)[buckets], bucket_start)
+        per_word = np.add.reduceat((embed @ diff.astype(np.float32))[buckets], bucket_start)
         logit = np.add.reduceat(per_word[word_at], word_start) / tokens + bias[1] - bias[0]
         chance = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
         if epoch < epochs // 4:
@@ -171,11 +180,12 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         word_error = np.bincount(word_at, (error / tokens)[segment_of], len(counts))
         pull = np.bincount(buckets, np.repeat(word_error, counts), BUCKETS) * common
         by_class = embed.T @ pull
-        grads = (np.outer(pull, diff), np.stack([-by_class, by_class], 1), np.array([-error.sum(), error.sum()]))
+        grads = (np.outer(pull.astype(np.float32), diff.astype(np.float32)), np.stack([-by_class, by_class], 1), np.array([-error.sum(), error.sum()]))
         # Steps keep the proportions of the gradient, so that rare subwords move little.
         for x, g, m, rate in zip((embed, classes, bias), grads, momentum, RATES):
-            m += 0.2 * (g - m)
-            x -= rate * m / (np.abs(m).max() + 1e-12)
+            m *= 0.8
+            m += np.asarray(0.2, m.dtype) * g
+            x -= m * m.dtype.type(rate / (max(m.max(), -m.min()) + 1e-12))
     diff = classes[:, 1] - classes[:, 0]
     model = Model((embed @ diff) * common, float(bias[1] - bias[0]))
     return _calibrated(model, texts, np.asarray(labels))
