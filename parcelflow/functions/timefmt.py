@@ -1,6 +1,6 @@
 """Timestamp text layouts and time arithmetic as native Column expressions.
 
-Everything here compiles to Catalyst expressions (regex match, ``try_make_timestamp_ntz``,
+Everything here compiles to Catalyst expressions (regex rewrite, ``try_cast``,
 ``date_format``, ``timestampadd``/``timestampdiff``), so it stays inside whole-stage codegen;
 there is no Python UDF.  Parsed values are ``TIMESTAMP_NTZ``: the source text carries no zone
 and the result must not move with the session time zone.
@@ -35,6 +35,9 @@ TEXT_LAYOUTS = [
     ("HH:mm", r"(\d{1,2}):(\d{1,2})", "HM"),
 ]
 
+# The ISO layout of the raw exports; fraction and zone may follow.
+ISO_LAYOUT = ("yyyy-MM-ddTHH:mm:ss[.f][zone]", r"(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2}):(\d{2})(?:[.]\d+)?(?:Z|[+-]\d{2}:?\d{2})?", "ymdHMS")
+
 # Named output patterns (name -> Spark datetime pattern).
 FORMATS = {
     "TIME": "yyyy-MM-dd HH:mm:ss",
@@ -56,75 +59,49 @@ FORMATS = {
 COMPACT_TIME_PATTERN = "yyyy-MM-ddHH:mm:ss"
 # ------------------------------------------------------------------------------------------
 
-_DEFAULTS = {"y": "1970", "m": "1", "d": "1", "H": "0", "M": "0", "S": "0"}
-
-
 def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_WIDTHS = {"y": 4, "m": 2, "d": 2, "H": 2, "M": 2, "S": 2}
+def _parsed(text: Column, layouts) -> Column:
+    """``text`` rewritten from the first layout that matches all of it to ``y-M-d H:m:s`` and cast."""
+    plain = None
+    for _, regex, fields in layouts:
+        whole = f"^{regex}$"
+        group = {f: f"${i}" for i, f in enumerate(fields, start=1)}
+        y, mo, d, h, mi, s = (group.get(f, default) for f, default in zip("ymdHMS", ("1970", "01", "01", "00", "00", "00")))
+        value = F.regexp_replace(text, whole, f"{y}-{mo}-{d} {h}:{mi}:{s}")
+        plain = F.when(text.rlike(whole), value) if plain is None else plain.when(text.rlike(whole), value)
+    return plain.try_cast("timestamp_ntz")
 
 
-def _fields(text: Column, regex: str, spec: str) -> Column:
-    """The six calendar fields ``[y, M, d, H, m, s]`` (text) of ``text`` known to fully match
-    ``regex``, by the cheapest exact route: layouts without separators are fixed width
-    (``substring``); the layout whose day and hour touch needs capture groups; every other
-    layout splits once on non-digits (its digit runs are exactly the fields of ``spec``)."""
-    if not any(sep in regex for sep in ("-", "/", ":", "\\s")):
-        parts, pos = {}, 1
-        for f in spec:
-            parts[f] = F.substring(text, pos, _WIDTHS[f])
-            pos += _WIDTHS[f]
-    elif ")(\\d{1,2}):" in regex:
-        pat = "^" + regex + "$"
-        parts = {f: F.regexp_extract(text, pat, i) for i, f in enumerate(spec, start=1)}
-    else:
-        runs = F.slice(F.split(text, "[^0-9]+"), 1, len(spec))   # one regex pass per value
-        lead = [F.lit(_DEFAULTS[f]) for f in "ymdHMS"[: "ymdHMS".index(spec[0])]]
-        tail = [F.lit(_DEFAULTS[f]) for f in "ymdHMS"["ymdHMS".index(spec[-1]) + 1:]]
-        pieces = ([F.array(*lead)] if lead else []) + [runs] + ([F.array(*tail)] if tail else [])
-        return pieces[0] if len(pieces) == 1 else F.concat(*pieces)
-    return F.array(*[parts[f] if f in parts else F.lit(_DEFAULTS[f]) for f in "ymdHMS"])
+def _text(c) -> Column:
+    return F.trim(_as_col(c).cast("string"))
 
 
 def parse_ts(c) -> Column:
     """Text in any of the ``TEXT_LAYOUTS`` -> TIMESTAMP_NTZ; NULL when nothing matches or
     the calendar fields are impossible."""
-    text = F.trim(_as_col(c).cast("string"))
-    chosen = None
-    for _, regex, spec in TEXT_LAYOUTS:
-        cond = text.rlike("^" + regex + "$")
-        val = _fields(text, regex, spec)
-        chosen = F.when(cond, val) if chosen is None else chosen.when(cond, val)
-    f = [F.element_at(chosen, i).cast("int") for i in range(1, 7)]
-    return F.try_make_timestamp_ntz(f[0], f[1], f[2], f[3], f[4], f[5].cast("decimal(16,6)"))
+    return _parsed(_text(c), TEXT_LAYOUTS)
 
 
 def parse_ts_strict5(c) -> Column:
     """The five-layout variant (full timestamp, compact, date, 14- and 8-digit keys)."""
     keep = {"yyyy-MM-dd HH:mm:ss[.f]", "yyyy-MM-ddHH:mm:ss", "yyyy-MM-dd", "yyyyMMddHHmmss", "yyyyMMdd"}
-    text = F.trim(_as_col(c).cast("string"))
-    ok = None
-    for name, regex, _ in TEXT_LAYOUTS:
-        if name in keep:
-            m = text.rlike("^" + regex + "$")
-            ok = m if ok is None else (ok | m)
-    return F.when(ok, parse_ts(text))
+    return _parsed(_text(c), [layout for layout in TEXT_LAYOUTS if layout[0] in keep])
 
 
 def iso_to_ts(c) -> Column:
-    """ISO text such as ``2019-12-12T10:00:00.000Z`` -> TIMESTAMP_NTZ (first 19 chars, ``T``
-    read as a blank).  Shorter plain layouts are parsed as well (decision Q2)."""
-    text = F.substring(F.regexp_replace(_as_col(c).cast("string"), "T", " "), 1, 19)
-    return parse_ts(text)
+    """ISO text such as ``2019-12-12T10:00:00.000Z`` -> TIMESTAMP_NTZ (fraction and zone dropped).
+    Every other layout is parsed as by ``parse_ts`` (decision Q2)."""
+    return _parsed(_text(c), [ISO_LAYOUT, *TEXT_LAYOUTS])
 
 
 def to_ts(c, dtype: str) -> Column:
     """Bring a column of type ``dtype`` (a Spark simpleString) to TIMESTAMP_NTZ."""
     c = _as_col(c)
     if dtype == "string":
-        return parse_ts(c)
+        return iso_to_ts(c)
     return c.cast("timestamp_ntz")
 
 

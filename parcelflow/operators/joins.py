@@ -6,11 +6,10 @@ Design notes for scale:
   hash aggregate runs before the shuffle, so a key that holds a third of the other table sends
   one row per map task instead of a third of the table to one reducer, and the aggregate's
   output partitioning already satisfies the join, so no extra exchange is planned.
-* ``unpack_containers`` is written as (items that are containers ⋈ contents) ∪ (items that are
-  not containers).  The inner join lets AQE split a skewed partition on *either* side (a giant
-  cage, or one container scanned very often); a left outer join could only split the left.  The
-  price is a second pass over the item side (re-read, or a reused shuffle when the items come
-  out of an exchange such as the cleaning window).
+* ``unpack_containers`` reads each side once: items learn from a per-container count whether they are
+  a container and over how many salts its contents are dealt, and a left join on (container, salt)
+  brings the contents.  A giant cage is dealt over several salts; a container that is scanned very
+  often is a skewed left side, which AQE may split in a left join.
 * No broadcast hints: dimensions are left to Spark's size-checked broadcast (static estimate
   from file statistics, then AQE's runtime statistics), with sort-merge join beyond it.
 """
@@ -22,6 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Contents of one container that stay together when it is unpacked.
+CONTENTS_PER_SALT = 100_000
+
 
 def _pairs(keys, other_keys=None) -> list[tuple[str, str]]:
     if isinstance(keys, str):
@@ -96,30 +98,24 @@ def unpack_containers(df: DataFrame, item_col: str, boxes: DataFrame, container_
     out_col = out_col or item_col
     b = boxes if box_filter is None else boxes.filter(box_filter)
     contents = b.select(F.col(container_col).alias("__pf_c"), F.col(content_col).alias("__pf_w"),
-                        *[F.col(c).alias(f"__pf_carry_{c}") for c in carry])
-    containers = b.select(F.col(container_col).alias("__pf_c")).distinct()
-
-    if only_if is not None:
-        flag = F.coalesce(only_if, F.lit(False))
-        eligible, passthrough = df.filter(flag), df.filter(~flag)
-    else:
-        eligible, passthrough = df, None
-
-    matched = eligible.join(contents, eligible[item_col] == contents["__pf_c"], "inner")
-    matched = matched.withColumn(out_col, F.col("__pf_w")).drop("__pf_c", "__pf_w")
-    loose = eligible.join(containers, eligible[item_col] == containers["__pf_c"], "left_anti")
-
-    carried = {f"__pf_carry_{c}": c for c in carry}
-    matched = matched.withColumnsRenamed(carried)
+                        *[F.col(c).alias(f"__pf_carry_{c}") for c in carry]).filter(F.col("__pf_c").isNotNull())
+    # How many salts a container is dealt over: one, but for containers with very many contents.
+    salts = (contents.groupBy(F.col("__pf_c").alias("__pf_sc")).agg(F.count("*").alias("__pf_n"))
+             .select("__pf_sc", F.ceil(F.col("__pf_n") / F.lit(CONTENTS_PER_SALT)).cast("int").alias("__pf_salts")))
+    contents = (contents.join(salts, F.col("__pf_c") == F.col("__pf_sc"), "inner")
+                .withColumn("__pf_salt", F.pmod(F.xxhash64("__pf_w"), F.col("__pf_salts")).cast("int"))
+                .drop("__pf_sc", "__pf_salts"))
+    item = F.col(item_col) if only_if is None else F.when(only_if, F.col(item_col))
+    items = df.withColumn("__pf_item", item)
+    items = items.join(salts, F.col("__pf_item") == F.col("__pf_sc"), "left")
+    items = items.withColumn("__pf_s", F.explode(F.sequence(F.lit(0), F.coalesce("__pf_salts", F.lit(1)) - 1)))
+    met = items.join(contents, (F.col("__pf_item") == F.col("__pf_c")) & (F.col("__pf_s") == F.col("__pf_salt")), "left")
+    # An item that is a container shows its contents alone, whichever salts they fell to.
+    met = met.filter(F.col("__pf_sc").isNull() | F.col("__pf_c").isNotNull())
+    value = F.when(F.col("__pf_c").isNotNull(), F.col("__pf_w")).otherwise(F.col(item_col))
     out_cols = list(dict.fromkeys(df.columns + [out_col]))
-    types = dict(b.dtypes)
-    fill = {c: F.lit(None).cast(types[c]) for c in carry}
-    loose = loose.withColumn(out_col, F.col(item_col)).withColumns(fill)
-    result = matched.select(*out_cols, *carry).unionByName(loose.select(*out_cols, *carry))
-    if passthrough is not None:
-        passthrough = passthrough.withColumn(out_col, F.col(item_col)).withColumns(fill)
-        result = result.unionByName(passthrough.select(*out_cols, *carry))
-    return result
+    return met.withColumn(out_col, value).withColumnsRenamed({f"__pf_carry_{c}": c for c in carry}) \
+        .select(*out_cols, *carry)
 
 
 def with_org(df: DataFrame, roles: dict, org_dim: DataFrame, org_key: str = "code",

@@ -129,24 +129,6 @@ def _ceil_secs(us: Column) -> Column:
     return F.ceil(us.cast("double") / F.lit(1_000_000.0)).cast("bigint")
 
 
-def nearest_in(tt: Column, ts: Column) -> Column:
-    """The departure of ``tt`` whose same-day time is closest to ``ts`` (ties: earlier leave
-    time; per leave second the smallest run / unload; NULL ``ts`` -> the first departure).
-    Only the two neighbours of ``ts``'s insertion point can be nearest."""
-    def with_day(day0):
-        t_us = _micros_of_day(ts, day0)
-
-        def with_k(k):
-            pred, succ = F.get(tt, k - 2), F.get(tt, k - 1)     # last < ceil(t), first >= ceil(t)
-            d_pred = t_us - pred["secs"].cast("bigint") * 1_000_000
-            d_succ = succ["secs"].cast("bigint") * 1_000_000 - t_us
-            return (F.when(ts.isNull(), F.get(tt, 0))
-                    .when(pred.isNull(), succ).when(succ.isNull(), pred)
-                    .when(d_succ < d_pred, succ).otherwise(pred))
-        return let(_first_at_or_after(tt, _ceil_secs(t_us)), with_k)
-    return let(F.date_trunc("DAY", ts).cast("timestamp_ntz"), with_day)
-
-
 def next_in(tt: Column, ready: Column) -> Column:
     """Next departure at or after ``ready`` on its calendar day, else the first departure of the
     next day.  Returns struct(start, run, unload) or NULL (no departures / no time)."""

@@ -8,13 +8,15 @@ The schedule walk is sequential along a waybill's legs (each leg departs after t
 one arrived and unloaded).  It runs as one ``aggregate`` higher-order function over the
 waybill's legs, each already carrying its pair's timetable array:
 
-    legs (narrow: key, leg no, src, dst) ⟕ timetable on (src, dst)
+    legs (key, leg no, src, dst, constants) ⟕ timetable on (src, dst)
       -> group by waybill: sort_array(collect_list(leg))       (bounded by the route length)
-      -> aggregate(legs, (ready, stop, out[]), step)           (JVM, codegen, no Python)
+      -> aggregate(legs, (ready, stop, out[]), step)           (JVM, interpreted, no Python)
       -> inline(out)
 
-Only the narrow leg rows are shuffled; the waybill's own attributes are joined back by the
-caller once.  Group size is bounded by the number of hops of a route, never by data volume.
+A leg carries its pair's departures as an array.  With a timetable small enough to broadcast the
+grouping reuses the partitioning its input already has on the first key column, so the arrays do
+not move; otherwise they are shuffled once with their legs.  The waybill's constants ride along.
+Group size is bounded by the number of hops of a route, never by data volume.
 """
 
 from __future__ import annotations
@@ -72,7 +74,11 @@ def with_remaining(df: DataFrame, route_col: str, current_col: str, out_col: str
             .drop(orgs, idx))
 
 
-def legs(df: DataFrame, key: str, remaining_col: str, status_col: str | None = None,
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def legs(df: DataFrame, key, remaining_col: str, status_col: str | None = None,
          leave_org_col: str | None = None, carry=()) -> DataFrame:
     """One row per consecutive pair of ``remaining_col`` (none when it is NULL, so callers need
     no filter on it): ``leg_idx`` (0-based), ``src``,
@@ -85,12 +91,12 @@ def legs(df: DataFrame, key: str, remaining_col: str, status_col: str | None = N
     # a plain explode (or a filter on ``remaining`` itself) would let Catalyst push a predicate
     # below the projections with the route derivation inlined, evaluating it twice.
     idx = F.when(rem.isNotNull() & (F.size(rem) >= 2), F.sequence(F.lit(0), F.size(rem) - 2))
-    base = df.select(key, *carry, status.alias("__pf_status"), leave.alias("__pf_leave"), rem.alias("__pf_rem"),
+    base = df.select(*_keys(key), *carry, status.alias("__pf_status"), leave.alias("__pf_leave"), rem.alias("__pf_rem"),
                      F.explode_outer(idx).alias("leg_idx")).filter(F.col("leg_idx").isNotNull())
     in_transit = F.coalesce(F.col("__pf_status") == F.lit(IN_TRANSIT_STATUS), F.lit(False))
     r, i = F.col("__pf_rem"), F.col("leg_idx")
     return base.select(
-        key, *carry, i.cast("int").alias("leg_idx"),
+        *_keys(key), *carry, i.cast("int").alias("leg_idx"),
         F.element_at(r, i + 1).alias("src"), F.element_at(r, i + 2).alias("dst"),
         (i + F.when(in_transit, 2).otherwise(1)).cast("int").alias("path_no"),
         F.when(i == 0, F.when(in_transit, F.col("__pf_leave"))).otherwise(F.element_at(r, i)).alias("pre_org"))
@@ -117,7 +123,7 @@ def _step(acc: Column, leg: Column) -> Column:
     return F.when(acc["stop"], halt).otherwise(let(L.next_in(leg["tt"], acc["t"]), with_next))
 
 
-def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key: str, ready_col: str, carry=()) -> DataFrame:
+def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key, ready_col: str, carry=()) -> DataFrame:
     """Walk each waybill's legs through the timetable.
 
     ``leg_rows``: output of ``legs`` plus the waybill's ready time ``ready_col``.  Every leg
@@ -131,13 +137,14 @@ def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key: str, ready_col: str,
     t = tt.select(F.col(L.SRC).alias("__pf_s"), F.col(L.DST).alias("__pf_d"), F.col("tt"))
     j = leg_rows.join(t, (leg_rows["src"] == t["__pf_s"]) & (leg_rows["dst"] == t["__pf_d"]), "left")
     leg = F.struct("leg_idx", "src", "dst", "path_no", "pre_org", "tt")
-    grouped = j.groupBy(key).agg(F.min(ready_col).alias("__pf_ready"),
+    keys = _keys(key)
+    grouped = j.groupBy(*keys).agg(F.min(ready_col).alias("__pf_ready"),
                                  F.sort_array(F.collect_list(leg)).alias("__pf_legs"),
                                  *[F.max(c).alias(c) for c in carry])    # constant per key
     init = F.struct(F.col("__pf_ready").alias("t"), F.col("__pf_ready").isNull().alias("stop"),
                     F.array().cast(f"array<{_OUT}>").alias("out"))
-    walked = grouped.select(key, *carry, F.aggregate("__pf_legs", init, _step)["out"].alias("__pf_out"))
+    walked = grouped.select(*keys, *carry, F.aggregate("__pf_legs", init, _step)["out"].alias("__pf_out"))
     # inline_outer: a plain inline lets Catalyst infer size(out) > 0 below the projection, which
     # would evaluate the whole walk again inside the filter; empty walks give one all-NULL row
     # here and are dropped after the generator instead.
-    return walked.select(key, *carry, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())
+    return walked.select(*keys, *carry, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())

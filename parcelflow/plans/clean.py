@@ -9,37 +9,73 @@ catalog table, via ``sources.sinks``).
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..functions import nulls
 from ..operators import dedup
 
 
 @dataclass(frozen=True)
 class CleanSpec:
+    columns: tuple                    # output projection; a raw feed without one of them is an error
+    ts_cols: tuple                    # columns brought to timestamps
     keys: tuple = ("id",)
     order_by: tuple = ("inflow_time",)
     slice_col: str = "create_time"
-    ts_cols: tuple = ("create_time", "inflow_time")
     tie_breakers: object = "all"
-    columns: tuple | None = None      # output projection (config-driven field list); None keeps all
-    extra: dict = field(default_factory=dict)
+
+
+def _spec(columns: str, ts_cols: str, keys: tuple = ("id",)) -> CleanSpec:
+    return CleanSpec(tuple(columns.split()), tuple(ts_cols.split()), keys)
 
 
 # --- fixed values -------------------------------------------------------------------------
-# Dedup key per cleaned table (all ordered by inflow_time, latest first) and the two batches.
+# Field list, time columns and dedup key per cleaned table (all ordered by inflow_time, latest
+# first) and the two batches.
 CLEAN_SPECS = {
-    "volume_box": CleanSpec(ts_cols=("create_time", "handle_time", "inflow_time")),
-    "volume_load": CleanSpec(ts_cols=("begin_time", "create_time", "inflow_time")),
-    "volume_load_detail": CleanSpec(),
-    "volume_path": CleanSpec(),
-    "volume_sign": CleanSpec(),
-    "volume_stock": CleanSpec(),
-    "volume_traffic": CleanSpec(),
-    "volume_traffic_detail": CleanSpec(keys=("transport_task_id",)),
-    "volume_unload_detail": CleanSpec(),
-    "volume_waybill": CleanSpec(),
+    "volume_box": _spec(
+        "id waybill_number task_number leave_department_code waybill_type waybill_weight waybill_volume create_time "
+        "alter_time handle_time valid_status inflow_time",
+        "create_time handle_time inflow_time"),
+    "volume_load": _spec(
+        "id assignment_number car_number status leave_department_code arrive_department_code begin_time end_time "
+        "leave_department_time arrive_department_time immediately transport_type create_time is_active device_type "
+        "inflow_time",
+        "begin_time end_time leave_department_time arrive_department_time create_time inflow_time"),
+    "volume_load_detail": _spec(
+        "id waybill_number assignment_number shipment_type leave_department_code arrive_department_code create_time "
+        "device_type is_active operate_department_code inflow_time",
+        "create_time inflow_time"),
+    "volume_path": _spec(
+        "id waybill_number leave_department_code arrive_department_code waybill_route_codes create_time inflow_time",
+        "create_time inflow_time"),
+    "volume_sign": _spec(
+        "id waybill_number operation_department_code sign_time create_time is_active inflow_time",
+        "sign_time create_time inflow_time"),
+    "volume_stock": _spec(
+        "id waybill_number department_code final_station stock_time create_time waybill_type waybill_weight "
+        "waybill_volume next_department_code inflow_time",
+        "stock_time create_time inflow_time"),
+    "volume_traffic": _spec(
+        "id assignment_number transport_task_id create_time is_active inflow_time",
+        "create_time inflow_time"),
+    "volume_traffic_detail": _spec(
+        "transport_task_id car_number leave_department_code arrival_status arrive_department_code "
+        "transport_task_status plan_leave_department_time actual_leave_department_time plan_arrive_department_time "
+        "actual_arrive_department_time create_time is_active inflow_time",
+        "plan_leave_department_time actual_leave_department_time plan_arrive_department_time "
+        "actual_arrive_department_time create_time inflow_time",
+        keys=("transport_task_id",)),
+    "volume_unload_detail": _spec(
+        "id waybill_number assignment_number pre_bill_number shipment_type create_time scan_status device_type "
+        "is_active now_department_code inflow_time",
+        "create_time inflow_time"),
+    "volume_waybill": _spec(
+        "id waybill_number goods_qty goods_volume goods_weight billing_department_code receive_department_code "
+        "customer_pickup_department_code bill_time waybill_is_active create_time is_active inflow_time",
+        "bill_time create_time inflow_time"),
 }
 BATCHES = {
     1: ["volume_box", "volume_load", "volume_load_detail", "volume_path", "volume_sign"],
@@ -49,31 +85,37 @@ DEFAULT_WINDOW_DAYS = 7
 # ------------------------------------------------------------------------------------------
 
 
+def _standard(raw: DataFrame, spec: CleanSpec) -> DataFrame:
+    """The configured fields with real NULLs and timestamps; a missing field is an error."""
+    missing = [c for c in spec.columns if c not in raw.columns]
+    if missing:
+        raise ValueError(f"the feed lacks configured columns {missing}")
+    return dedup.standardize_timestamps(nulls.normalize_nulls(raw.select(*spec.columns)), spec.ts_cols)
+
+
 def clean_table(raw: DataFrame, spec: CleanSpec, end, days: float | None = DEFAULT_WINDOW_DAYS,
                 upper: bool = False) -> DataFrame:
-    """Slice (``slice_col >= end - days``; no slice when ``days`` is None), standardise the time
-    columns present in ``raw``, keep the latest version per key."""
-    df = raw
-    if days is not None and spec.slice_col in df.columns:
-        df = dedup.time_slice(df, spec.slice_col, end, days, upper=upper)
-    ts_cols = [c for c in spec.ts_cols if c in df.columns]
-    df = dedup.standardize_timestamps(df, ts_cols)
-    out = dedup.latest_per_key(df, list(spec.keys), list(spec.order_by), spec.tie_breakers)
-    if spec.columns is not None:
-        missing = [c for c in spec.columns if c not in out.columns]
-        if missing:
-            raise ValueError(f"cleaned table lacks configured columns {missing}")
-        out = out.select(*spec.columns)   # helper / unlisted columns are not exported
-    return out
+    """Slice (raw ``slice_col >= end - days``; no slice when ``days`` is None), read NULL spellings and
+    time texts, keep the latest version per key."""
+    df = raw if days is None else dedup.time_slice(raw, spec.slice_col, end, days, upper=upper)
+    return dedup.latest_per_key(_standard(df, spec), list(spec.keys), list(spec.order_by), spec.tie_breakers)
+
+
+def time_rejects(raw: DataFrame, spec: CleanSpec) -> DataFrame:
+    """One row: per time column, how many values are present but no time (they become NULL)."""
+    return dedup.timestamp_rejects(nulls.normalize_nulls(raw.select(*spec.columns)), spec.ts_cols)
 
 
 def run_batch(raw_tables: dict, batch: int, end, days: float | None = DEFAULT_WINDOW_DAYS,
               specs: dict | None = None) -> dict[str, DataFrame]:
-    """Clean every table of a batch present in ``raw_tables``; returns lazily planned frames."""
+    """Clean every table of a batch (an error if one is missing); returns lazily planned frames."""
     specs = specs or CLEAN_SPECS
+    missing = [t for t in BATCHES[batch] if t not in raw_tables]
+    if missing:
+        raise ValueError(f"batch {batch} lacks the tables {missing}")
     if isinstance(end, str):
         end = dt.datetime.fromisoformat(end)
-    return {t: clean_table(raw_tables[t], specs[t], end, days) for t in BATCHES[batch] if t in raw_tables}
+    return {t: clean_table(raw_tables[t], specs[t], end, days) for t in BATCHES[batch]}
 
 
 def clean_all(raw_tables: dict, end, days: float | None = DEFAULT_WINDOW_DAYS) -> dict[str, DataFrame]:
@@ -85,11 +127,10 @@ def clean_all(raw_tables: dict, end, days: float | None = DEFAULT_WINDOW_DAYS) -
 
 
 def upsert_table(history: DataFrame, new_raw: DataFrame, spec: CleanSpec) -> DataFrame:
-    """Base-table refresh: history ∪ new records, re-deduplicated.  When the new slice is empty
-    (a cheap ``isEmpty`` probe, one row at most) the history is returned untouched, so an idle
-    hour rewrites nothing."""
+    """Base-table refresh: history ∪ new records, re-deduplicated.  An empty slice (a one-row
+    ``isEmpty`` probe of the raw feed) leaves its cleaning out of the plan; the history is brought to one version per key
+    either way."""
+    keys, order = list(spec.keys), list(spec.order_by)
     if new_raw.isEmpty():
-        return history
-    ts_cols = [c for c in spec.ts_cols if c in new_raw.columns]
-    new = dedup.standardize_timestamps(new_raw, ts_cols)
-    return dedup.upsert_base(history, new, list(spec.keys), list(spec.order_by), spec.tie_breakers)
+        return dedup.latest_per_key(history, keys, order, spec.tie_breakers)
+    return dedup.upsert_base(history, _standard(new_raw, spec), keys, order, spec.tie_breakers)

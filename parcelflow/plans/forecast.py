@@ -6,7 +6,7 @@ Steps (each a function returning a DataFrame, composed in ``run``):
   line_info   merge trunk/branch/partner lines, splice partner lines       (U1 A1 J8 U2 A2)
   unsigned    active waybills ▷ signatures, org roles, next-day flag       (J4 J12 J13)
   stock       latest WAYBILL stock record per waybill                      (W3)
-  loads       load ⋈ detail ⟕ bags ⋈ traffic ⋈ traffic detail, latest per
+  loads       load ⋈ traffic ⋈ traffic detail ⋈ (detail ⟕ bags), latest per
               waybill, ⋈ waybill                                           (J1 J6 W4)
   nearest     the line departure nearest the actual departure              (J9)
   status      status, ready time and current department per waybill        (P10 P11 P12 P14)
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions import timefmt
 from ..operators import dedup, joins
-from ..session import checkpoint_dir
+from ..session import written
 from ..operators import lines as L
 from ..operators import route as R
 from .orgs import org_dim
@@ -41,14 +41,15 @@ STATUS_NOARRIVE = "load_noarrive"
 STATUS_ARRIVED = "load_arriveed"
 WAY = "way"
 OTHER = "other"
-# ------------------------------------------------------------------------------------------
-
+# Columns of the batch result, in order.
 OUTPUT = ["waybill_number", "old_bill_time", "car_number", "bill_time", "goods_weight", "goods_volume", "goods_qty",
           "bill_weight", "bill_volume", "bill_qty", "leave_department_code", "arrive_department_code",
           "customer_pickup_department_code", "start_time", "end_time", "line_type", "waybill_type",
           "waybill_status", "next_day_arrive", "pre_org_code", "path_no", "depart_org_transfer",
           "arrive_org_transfer", "refresh_time", "create_time"]
 
+# ------------------------------------------------------------------------------------------
+
 
 def _ts(value) -> Column:
     if isinstance(value, dt.datetime):
@@ -86,7 +87,7 @@ def unsigned(t: dict, orgs: DataFrame) -> DataFrame:
     wb = next_day_flag(wb, t["volume_same_day"], "bill_prov_code", "pickup_prov_code")
     zero = F.lit(0.0)
     return wb.select(
-        "waybill_number", "bill_time",
+        F.col("id").alias("waybill_id"), "waybill_number", "bill_time",
         F.coalesce("goods_weight", zero).alias("goods_weight"), F.coalesce("goods_volume", zero).alias("goods_volume"),
         F.coalesce("goods_weight", zero).alias("bill_weight"), F.coalesce("goods_volume", zero).alias("bill_volume"),
         F.coalesce("goods_qty", zero).alias("bill_qty"), "receive_department_code", "billing_department_code",
@@ -101,11 +102,18 @@ def latest_stock(t: dict) -> DataFrame:
 
 
 def load_events(t: dict) -> DataFrame:
-    """Latest load event per waybill with its transport times (bags unpacked)."""
+    """Latest load event per waybill with its transport times (bags unpacked), one row per waybill.
+
+    Bags are unpacked before the chain load ⋈ detail ⋈ traffic ⋈ traffic detail is joined, so the
+    chain is planned once; weights come from the bag binding, else from the waybill's latest
+    active record."""
     load = t["volume_load"].filter(F.col("is_active") == F.lit("1")) \
         .select("assignment_number", "leave_department_code", "arrive_department_code", "end_time")
     detail = t["volume_load_detail"].filter(F.col("is_active") == F.lit("1")) \
         .select(F.col("assignment_number").alias("__pf_an"), "waybill_number", F.col("create_time").alias("ld_create"))
+    detail = joins.unpack_containers(detail, "waybill_number", t["volume_box"],
+                                     box_filter=F.col("valid_status") == F.lit("1"),
+                                     carry=["waybill_weight", "waybill_volume"])
     traffic = t["volume_traffic"].filter(F.col("is_active") == F.lit("Y")) \
         .select(F.col("assignment_number").alias("__pf_an2"), "transport_task_id")
     tdet = t["volume_traffic_detail"].filter((F.col("transport_task_status") != F.lit("CANCLE"))
@@ -114,20 +122,17 @@ def load_events(t: dict) -> DataFrame:
                 F.col("actual_leave_department_time").alias("depart_time"),
                 F.col("actual_arrive_department_time").alias("arrive_time"),
                 F.col("plan_arrive_department_time").alias("plan_arrive_time"))
-    chain = (load.join(detail, load["assignment_number"] == detail["__pf_an"], "inner")
-             .join(traffic, F.col("assignment_number") == traffic["__pf_an2"], "inner")
-             .join(tdet, F.col("transport_task_id") == tdet["__pf_tt"], "inner")
-             .drop("__pf_an", "__pf_an2", "__pf_tt"))
-    chain = joins.unpack_containers(chain, "waybill_number", t["volume_box"],
-                                    box_filter=F.col("valid_status") == F.lit("1"),
-                                    carry=["waybill_weight", "waybill_volume"])
+    trips = (load.join(traffic, load["assignment_number"] == traffic["__pf_an2"], "inner")
+             .join(tdet, F.col("transport_task_id") == tdet["__pf_tt"], "inner"))
+    chain = trips.join(detail, F.col("assignment_number") == detail["__pf_an"], "inner")
     chain = chain.select("waybill_number", "car_number", "waybill_weight", "waybill_volume", "leave_department_code",
                          "arrive_department_code", "depart_time", "arrive_time", "plan_arrive_time",
                          F.coalesce("ld_create", "end_time").alias("create_time"))
     latest = dedup.latest_per_key(chain, ["waybill_number"], ["create_time"], "all")
-    wb = t["volume_waybill"].filter(F.col("is_active") == F.lit("Y")) \
-        .select(F.col("waybill_number").alias("__pf_wb"), F.col("goods_weight").alias("__pf_gw"),
-                F.col("goods_volume").alias("__pf_gv"))
+    wb = dedup.latest_per_key(
+        t["volume_waybill"].filter(F.col("is_active") == F.lit("Y"))
+        .select("id", "inflow_time", F.col("waybill_number").alias("__pf_wb"), F.col("goods_weight").alias("__pf_gw"),
+                F.col("goods_volume").alias("__pf_gv")), ["__pf_wb"], ["inflow_time", "id"], [])
     j = latest.join(wb, latest["waybill_number"] == wb["__pf_wb"], "inner")
     return j.select("waybill_number", "car_number",
                     F.coalesce("waybill_weight", "__pf_gw", F.lit(0.0)).alias("goods_weight"),
@@ -177,7 +182,7 @@ def status(wb: DataFrame, stk: DataFrame, hb: DataFrame, end_time, stock_only: s
                .when(st == STATUS_NOARRIVE, F.when(leave.isNotNull(), arrive))
                .when(st == STATUS_ARRIVED, arrive))
     return j.select(
-        "waybill_number", F.col("bill_time").alias("old_bill_time"), ready.alias("bill_time"),
+        "waybill_id", "waybill_number", F.col("bill_time").alias("old_bill_time"), ready.alias("bill_time"),
         "goods_weight", "goods_volume", F.lit(1.0).alias("goods_qty"), "bill_weight", "bill_volume", "bill_qty",
         current.alias("current_org"), "billing_department_code", "bill_prov_code", "pickup_prov_code",
         "next_day_arrive", "customer_pickup_department_code", "in_stock_time", st.alias("waybill_status"),
@@ -212,18 +217,19 @@ def walked(st: DataFrame, path: DataFrame, info: DataFrame, orgs: DataFrame, ref
            create_time) -> DataFrame:
     """Remaining route of every located waybill walked through the timetable; legs touching a
     center are kept."""
-    p = path.select(F.col("waybill_number").alias("__pf_p_wb"), "waybill_route_codes")
+    p = path.select(F.col("id").alias("path_id"), F.col("waybill_number").alias("__pf_p_wb"), "waybill_route_codes")
     located = st.filter(F.col("current_org").isNotNull() & F.col("bill_time").isNotNull())
     j = located.join(p, located["waybill_number"] == p["__pf_p_wb"], "inner").drop("__pf_p_wb")
     j = R.with_remaining(j, "waybill_route_codes", "current_org")
-    # one walk per (waybill, route); the waybill's attributes ride through the walk's grouping
-    # as per-key constants, so the walked legs need no join back to the waybills
-    j = j.withColumn("__pf_key", F.struct("waybill_number", "waybill_route_codes"))
-    carried = ["bill_time", "waybill_number", "old_bill_time", "car_number", "goods_weight", "goods_volume",
+    # One walk per waybill record and path record.  The waybill number leads the grouping key, so
+    # the partitioning of the join above serves the grouping too; the waybill's attributes ride
+    # through it as per-key constants, so the walked legs need no join back to the waybills.
+    key = ["waybill_number", "waybill_id", "path_id"]
+    carried = ["bill_time", "old_bill_time", "car_number", "goods_weight", "goods_volume",
                "goods_qty", "bill_weight", "bill_volume", "bill_qty", "waybill_status", "next_day_arrive",
                "customer_pickup_department_code"]
-    leg_rows = R.legs(j, "__pf_key", "remaining", "waybill_status", "leave_department_code", carry=carried)
-    legs = R.schedule_walk(leg_rows, L.timetable(info), "__pf_key", "bill_time", carry=carried).drop("__pf_key")
+    leg_rows = R.legs(j, key, "remaining", "waybill_status", "leave_department_code", carry=carried)
+    legs = R.schedule_walk(leg_rows, L.timetable(info), key, "bill_time", carry=carried)
     legs = joins.with_org(legs, {"src": "o1", "dst": "o2"}, orgs, fields=["center"])
     legs = legs.filter((F.col("o1_center") == F.lit("Y")) | (F.col("o2_center") == F.lit("Y")))
     return legs.select(
@@ -237,34 +243,38 @@ def walked(st: DataFrame, path: DataFrame, info: DataFrame, orgs: DataFrame, ref
         _ts(create_time).alias("create_time"))
 
 
-def _materialize(df: DataFrame, enabled: bool) -> DataFrame:
-    """Write a relation used by several later steps once to the shared checkpoint folder
-    (``spark.checkpoint.dir``) and read it back: it is computed once, and a lost executor
-    recomputes from there instead of from the raw feeds."""
-    if not enabled:
-        return df
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _materialize(df: DataFrame, enabled: bool, tag: str) -> DataFrame:
+    """A relation that several later steps read, written once to the shared checkpoint folder."""
+    return written(df, tag) if enabled else df
 
 
 def stages(t: dict, end_time: str, stock_only: str = "drop", materialize: bool = False) -> dict[str, DataFrame]:
     """All intermediate relations of the job (lazily planned unless ``materialize``, which
     checkpoints the relations that later steps share: org master, line info and status)."""
-    orgs = _materialize(org_dim(t["volume_basic"]), materialize)
-    info = _materialize(line_info(t), materialize)
+    orgs = _materialize(org_dim(t["volume_basic"]), materialize, "orgs")
+    info = _materialize(line_info(t), materialize, "line_info")
     wb = unsigned(t, orgs)
     stk = latest_stock(t)
     loads = load_events(t)
     hb = with_line_times(loads, info)
-    st = _materialize(status(wb, stk, hb, end_time, stock_only), materialize)
+    st = _materialize(status(wb, stk, hb, end_time, stock_only), materialize, "status")
     return {"orgs": orgs, "line_info": info, "unsigned": wb, "stock": stk, "loads": loads, "nearest": hb,
             "status": st}
 
 
-def run(t: dict, end_time: str, create_time=None, stock_only: str = "drop", materialize: bool = True) -> DataFrame:
-    """The batch result: in-transit legs ∪ walked legs (columns ``OUTPUT``)."""
+def line_info_out(info: DataFrame) -> DataFrame:
+    """The spliced lines as the ``line_info`` table shows them."""
+    return info.select(L.SRC, L.DST, L.LT, "run_minutes", "unload_time")
+
+
+def result(t: dict, s: dict, end_time: str, create_time=None) -> DataFrame:
+    """In-transit legs ∪ walked legs (columns ``OUTPUT``) from the stages."""
     create_time = create_time or end_time
-    s = stages(t, end_time, stock_only, materialize)
     way = in_transit(s["status"], s["orgs"], end_time, create_time)
     other = walked(s["status"], t["volume_path"], s["line_info"], s["orgs"], end_time, create_time)
     return way.select(*OUTPUT).unionByName(other.select(*OUTPUT))
+
+
+def run(t: dict, end_time: str, create_time=None, stock_only: str = "drop", materialize: bool = True) -> DataFrame:
+    """The batch result."""
+    return result(t, stages(t, end_time, stock_only, materialize), end_time, create_time)

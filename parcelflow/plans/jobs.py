@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from .. import schemas
+from ..session import written
 from ..sources import sinks
 from . import clean, forecast, unscan, warning
 
@@ -32,23 +33,32 @@ def _stamp(end_time) -> str:
 
 
 def run_forecast(cleaned: dict, end_time, target: str, keep_days: int | None = 5, jdbc: dict | None = None,
-                 create_time=None) -> DataFrame:
+                 create_time=None, line_target: str | None = None) -> DataFrame:
     """Forecast the batch ``end_time``, write it as partition ``batch_no=<end_time>`` (only that
-    partition is replaced), optionally append it to a JDBC table, then drop batches older than
-    ``keep_days``."""
+    partition is replaced; an empty result leaves no rows of it), write the spliced lines to
+    ``line_target``, optionally append the batch to a JDBC table, then drop batches older than
+    ``keep_days``.  The result is computed once and read back for every sink."""
     end = _stamp(end_time)
-    result = schemas.conform(forecast.run(cleaned, end, create_time), schemas.FORECAST)
-    sinks.write_partitioned(result, target, {"batch_no": "refresh_time"}, overwrite=True)
+    stages = forecast.stages(cleaned, end, materialize=True)
+    if line_target:
+        sinks.write_table(schemas.conform(forecast.line_info_out(stages["line_info"]), schemas.LINE_INFO),
+                          line_target, mode="overwrite", fmt="parquet")
+    result = written(schemas.conform(forecast.result(cleaned, stages, end, create_time), schemas.FORECAST), "forecast")
+    spark = result.sparkSession
+    if result.isEmpty():
+        sinks.drop_batch(spark, target, end)
+    else:
+        sinks.write_partitioned(result, target, {"batch_no": "refresh_time"}, overwrite=True)
     if jdbc:
         sinks.write_jdbc(result, jdbc["url"], jdbc["table"], mode="append", properties=jdbc.get("properties"))
     if keep_days is not None:
         cutoff = dt.datetime.fromisoformat(end) - dt.timedelta(days=keep_days)
-        sinks.expire_batches(result.sparkSession, target, _stamp(cutoff))
+        sinks.expire_batches(spark, target, _stamp(cutoff))
     return result
 
 
 def _report(result: DataFrame, contract, target: str, jdbc: dict | None) -> DataFrame:
-    out = schemas.conform(result, contract)
+    out = written(schemas.conform(result, contract), "report")
     sinks.write_table(out, target, mode="overwrite", fmt="parquet")
     if jdbc:
         sinks.write_jdbc(out, jdbc["url"], jdbc["table"], mode="overwrite", truncate=True,

@@ -1,5 +1,10 @@
 """DuckDB twins of the registered queries (tables are pre-registered views named after the
-parquet files).  Written independently from the Spark code: plain SQL over the same tables."""
+parquet files).
+
+The job twins compute the rules another way than the Spark jobs do: cleaned feeds are stated directly instead of
+being deduplicated, bags are opened through a directory of all items, the load warning is one
+conditional aggregation over tagged events, splicing uses maxima per department pair, and
+choices of one row are ``max_by`` / ``min_by``."""
 
 from __future__ import annotations
 
@@ -191,19 +196,20 @@ SELECT src AS leave_department_code, dst AS arrive_department_code, {HMS.format(
 """
 
 SPLICED = MERGED + """,
+pair_top AS (SELECT src AS a, dst AS z, max(run_minutes) AS run, max(unload_time) AS unload FROM merged GROUP BY ALL),
+partner_top AS (SELECT src AS a, dst AS z, max(run_minutes) AS run, max(unload_time) AS unload
+                FROM merged WHERE type = 'partner' GROUP BY ALL),
+through AS (
+  SELECT m.src, t.z AS dst, m.leave_secs, m.run_minutes + t.run AS run_minutes, m.unload_time + t.unload AS unload_time
+  FROM merged m JOIN partner_top t ON t.a = m.dst
+  UNION ALL
+  SELECT m.src, t.z, m.leave_secs, m.run_minutes + t.run, m.unload_time + t.unload
+  FROM merged m JOIN pair_top t ON t.a = m.dst WHERE m.type = 'partner'
+  UNION ALL
+  SELECT src, dst, leave_secs, run_minutes, unload_time FROM merged),
 spliced AS (
-  SELECT src, dst, leave_secs, max(run_minutes) AS run_minutes, max(unload_time) AS unload_time FROM (
-    SELECT coalesce(d.src, a.src) AS src, a.dst, coalesce(d.leave_secs, a.leave_secs) AS leave_secs,
-           a.run_minutes + coalesce(d.run_minutes, 0) AS run_minutes,
-           a.unload_time + coalesce(d.unload_time, 0) AS unload_time
-    FROM merged a LEFT JOIN merged d ON a.src = d.dst WHERE a.type = 'partner'
-    UNION ALL
-    SELECT a.src, coalesce(d.dst, a.dst), a.leave_secs,
-           a.run_minutes + coalesce(d.run_minutes, 0), a.unload_time + coalesce(d.unload_time, 0)
-    FROM merged a LEFT JOIN merged d ON a.dst = d.src WHERE a.type = 'partner'
-    UNION ALL
-    SELECT src, dst, leave_secs, run_minutes, unload_time FROM merged) u
-  GROUP BY src, dst, leave_secs)"""
+  SELECT src, dst, leave_secs, max(run_minutes) AS run_minutes, max(unload_time) AS unload_time
+  FROM through GROUP BY src, dst, leave_secs)"""
 
 ORACLE_SQL["splice_lines"] = f"""
 WITH {SPLICED}
@@ -310,145 +316,183 @@ SELECT o_orderkey, leg_idx, src, dst, path_no, pre_org, start_time, end_time FRO
 
 # ---------------------------------------------------------------- derived logistics feeds and jobs
 
-def latest(src: str, keys: str, order: str, ties: list[str], desc: bool = True) -> str:
-    d = "DESC" if desc else "ASC"
-    by = ", ".join([f"{order} {d} NULLS LAST"] + [f"{c} {d} NULLS LAST" for c in ties])
-    return f"(SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {by}) AS rn " \
-           f"FROM {src}) x WHERE rn = 1)"
-
-
 ITEM = "CASE WHEN l_linenumber % 4 = 1 THEN 'B' || CAST(l_orderkey // 8 AS VARCHAR) ELSE 'W' || CAST(l_orderkey AS VARCHAR) END"
 LINE_DEPT = code("(l_suppkey + l_linenumber) % 25")
-LINE_ID = "CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)"
-
-FEEDS = f"""
-basic AS (
-  SELECT {code('s_nationkey')} AS code, 'P' || CAST(n_regionkey AS VARCHAR) AS prov_code,
-         CASE WHEN n_regionkey <= 2 AND s_suppkey % 5 <> 0 THEN 'Y' ELSE 'N' END AS center,
-         CASE WHEN s_suppkey % 9 = 0 THEN 'N' ELSE 'Y' END AS is_active,
-         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(s_suppkey) AS create_time
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
-box AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
-         'B' || CAST(o_orderkey // 8 AS VARCHAR) AS task_number,
-         o_totalprice / 100 AS waybill_weight, o_totalprice / 1000 AS waybill_volume,
-         CASE WHEN o_orderkey % 13 = 0 THEN '0' ELSE '1' END AS valid_status,
-         o_orderdate AS create_time, o_orderdate AS inflow_time
-  FROM orders),
-unload AS (
-  SELECT {LINE_ID} AS id, {ITEM} AS waybill_number, 'A' || CAST(l_orderkey AS VARCHAR) AS assignment_number,
-         {LINE_DEPT} AS now_department_code,
-         CASE l_linenumber % 3 WHEN 0 THEN 'PC' WHEN 1 THEN 'PDA' ELSE 'GUN' END AS device_type,
-         '1' AS is_active, l_shipdate + to_hours(l_linenumber) AS create_time,
-         l_shipdate + to_minutes(l_partkey % 1000) AS inflow_time
-  FROM lineitem),
-load_detail AS (
-  SELECT {LINE_ID} AS id, {ITEM} AS waybill_number, 'A' || CAST(l_orderkey AS VARCHAR) AS assignment_number,
-         CASE WHEN l_partkey % 3 <> 0 THEN {LINE_DEPT} ELSE {code('(l_suppkey + l_linenumber + 1) % 25')} END
-           AS leave_department_code,
-         CASE WHEN l_partkey % 7 = 0 THEN 'PC' ELSE 'PDA' END AS device_type,
-         CASE WHEN l_partkey % 11 = 0 THEN '0' ELSE '1' END AS is_active,
-         l_shipdate + to_hours(l_linenumber + 2) AS create_time, l_shipdate + to_hours(l_linenumber + 2) AS inflow_time
-  FROM lineitem WHERE l_linestatus = 'O'),
-sign AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
-         o_orderdate + INTERVAL 5 DAY AS sign_time, o_orderdate AS create_time, o_orderdate AS inflow_time
-  FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0),
-stock AS (
-  SELECT {LINE_ID} AS id, 'W' || CAST(l_orderkey AS VARCHAR) AS waybill_number, {LINE_DEPT} AS department_code,
-         l_shipdate + to_hours(l_linenumber * 3) AS stock_time, l_shipdate + to_hours(l_linenumber * 3) AS create_time,
-         CASE WHEN l_orderkey % 10 = 0 THEN 'BAG' ELSE 'WAYBILL' END AS waybill_type,
-         l_shipdate + to_hours(l_linenumber * 3) AS inflow_time
-  FROM lineitem WHERE l_linenumber <= 3),
-pallet AS (
-  SELECT {ITEM} AS waybill_number, {LINE_DEPT} AS org_code, l_shipdate + to_hours(l_linenumber + 1) AS create_time
-  FROM lineitem WHERE l_returnflag = 'A'),
-scan AS (
-  SELECT {ITEM} AS waybill_number, {LINE_DEPT} AS operation_org_code,
-         l_shipdate + to_hours(l_linenumber) + to_minutes(30) AS create_time
-  FROM lineitem WHERE l_returnflag = 'R'),
-path AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
-         route AS waybill_route_codes, t0 AS create_time, t0 AS inflow_time FROM w),
-org AS (
-  SELECT code, prov_code, center FROM {latest("(SELECT * FROM basic WHERE is_active = 'Y')", "code", "create_time",
-                                              ["prov_code", "center", "is_active"])} o),
-box_c AS {latest("box", "id", "inflow_time", ["waybill_number", "task_number", "waybill_weight", "waybill_volume",
-                                                 "valid_status", "create_time"])},
-unload_c AS {latest("unload", "id", "inflow_time", ["waybill_number", "assignment_number", "now_department_code",
-                                                       "device_type", "is_active", "create_time"])},
-load_detail_c AS {latest("load_detail", "id", "inflow_time", ["waybill_number", "assignment_number",
-                                                                 "leave_department_code", "device_type", "is_active",
-                                                                 "create_time"])},
-sign_c AS {latest("sign", "id", "inflow_time", ["waybill_number", "sign_time", "create_time"])},
-stock_c AS {latest("stock", "id", "inflow_time", ["waybill_number", "department_code", "stock_time", "create_time",
-                                                     "waybill_type"])},
-path_c AS {latest("path", "id", "inflow_time", ["waybill_number", "waybill_route_codes", "create_time"])}"""
+LINE_NO = "l_orderkey * 10 + l_linenumber"
+NONE = "CAST(NULL AS VARCHAR)"
+NO_TIME = "CAST(NULL AS TIMESTAMP)"
+SHIPPED = "l_shipdate + to_hours({h})"
+FROM_CUSTOMERS = "orders JOIN customer ON o_custkey = c_custkey"
+WB = "'W' || CAST(o_orderkey AS VARCHAR)"
+TEXT_KEY = "CAST(o_orderkey AS VARCHAR)"
+
+# Per cleaned feed: (record number, created, source, the fields in order).  Of the versions of a
+# record the one with the plain inflow time is the latest, so a cleaned feed is stated directly.
+CLEANED = {
+    "volume_box": ("o_orderkey", "o_orderdate", "orders", {
+        "id": TEXT_KEY, "waybill_number": WB, "task_number": "'B' || CAST(o_orderkey // 8 AS VARCHAR)",
+        "leave_department_code": NONE, "waybill_type": NONE, "waybill_weight": "o_totalprice / 100",
+        "waybill_volume": "o_totalprice / 1000", "create_time": None, "alter_time": NONE, "handle_time": NO_TIME,
+        "valid_status": "CASE WHEN o_orderkey % 13 = 0 THEN '0' ELSE '1' END", "inflow_time": "o_orderdate"}),
+    "volume_load": ("o_orderkey", "o_orderdate", FROM_CUSTOMERS, {
+        "id": TEXT_KEY, "assignment_number": "'A' || CAST(o_orderkey AS VARCHAR)", "car_number": NONE, "status": NONE,
+        "leave_department_code": code("c_nationkey"),
+        "arrive_department_code": code("(c_nationkey + o_orderkey % 3 + 1) % 25"), "begin_time": NO_TIME,
+        "end_time": "o_orderdate + to_hours(6)", "leave_department_time": NO_TIME, "arrive_department_time": NO_TIME,
+        "immediately": NONE, "transport_type": NONE, "create_time": None,
+        "is_active": "CASE WHEN o_orderkey % 29 = 0 THEN '0' ELSE '1' END", "device_type": NONE,
+        "inflow_time": "o_orderdate"}),
+    "volume_load_detail": (LINE_NO, SHIPPED.format(h="l_linenumber + 2"), "lineitem WHERE l_linestatus = 'O'", {
+        "id": f"CAST({LINE_NO} AS VARCHAR)", "waybill_number": ITEM,
+        "assignment_number": "'A' || CAST(l_orderkey AS VARCHAR)", "shipment_type": NONE,
+        "leave_department_code": f"CASE WHEN l_partkey % 3 <> 0 THEN {LINE_DEPT} "
+                                 f"ELSE {code('(l_suppkey + l_linenumber + 1) % 25')} END",
+        "arrive_department_code": NONE, "create_time": None,
+        "device_type": "CASE WHEN l_partkey % 7 = 0 THEN 'PC' ELSE 'PDA' END",
+        "is_active": "CASE WHEN l_partkey % 11 = 0 THEN '0' ELSE '1' END", "operate_department_code": NONE,
+        "inflow_time": SHIPPED.format(h="l_linenumber + 2")}),
+    "volume_path": ("no", "t0", "path_records", {
+        "id": "CAST(no AS VARCHAR)", "waybill_number": WB, "leave_department_code": NONE, "arrive_department_code": NONE,
+        "waybill_route_codes": "stops", "create_time": None, "inflow_time": "t0"}),
+    "volume_sign": ("o_orderkey", "o_orderdate", "orders WHERE o_orderstatus = 'F' AND o_orderkey % 3 = 0", {
+        "id": TEXT_KEY, "waybill_number": WB, "operation_department_code": NONE,
+        "sign_time": "o_orderdate + INTERVAL 5 DAY", "create_time": None, "is_active": NONE,
+        "inflow_time": "o_orderdate"}),
+    "volume_stock": (LINE_NO, SHIPPED.format(h="l_linenumber * 3"), "lineitem", {
+        "id": f"CAST({LINE_NO} AS VARCHAR)", "waybill_number": "'W' || CAST(l_orderkey AS VARCHAR)",
+        "department_code": LINE_DEPT, "final_station": NONE, "stock_time": SHIPPED.format(h="l_linenumber * 3"),
+        "create_time": None, "waybill_type": "CASE WHEN l_orderkey % 10 = 0 THEN 'BAG' ELSE 'WAYBILL' END",
+        "waybill_weight": NONE, "waybill_volume": NONE, "next_department_code": NONE,
+        "inflow_time": SHIPPED.format(h="l_linenumber * 3")}),
+    "volume_traffic": ("o_orderkey", "o_orderdate", "orders", {
+        "id": TEXT_KEY, "assignment_number": "'A' || CAST(o_orderkey AS VARCHAR)",
+        "transport_task_id": "'T' || CAST(o_orderkey AS VARCHAR)", "create_time": None, "is_active": "'Y'",
+        "inflow_time": "o_orderdate"}),
+    "volume_traffic_detail": ("o_orderkey", "o_orderdate", "orders", {
+        "transport_task_id": "'T' || CAST(o_orderkey AS VARCHAR)", "car_number": "'C' || CAST(o_orderkey % 97 AS VARCHAR)",
+        "leave_department_code": NONE, "arrival_status": NONE, "arrive_department_code": NONE,
+        "transport_task_status": "CASE WHEN o_orderkey % 17 = 0 THEN 'CANCLE' ELSE 'NORMAL' END",
+        "plan_leave_department_time": NO_TIME,
+        "actual_leave_department_time": "CASE WHEN o_orderkey % 4 > 0 THEN o_orderdate + to_hours(o_orderkey % 24) END",
+        "plan_arrive_department_time": "CASE WHEN o_orderkey % 31 > 0 THEN "
+                                       "o_orderdate + to_hours(o_orderkey % 24 + (o_orderkey % 3 + 1) * 4) END",
+        "actual_arrive_department_time": "CASE WHEN o_orderkey % 4 > 1 THEN o_orderdate + to_hours(o_orderkey % 24 + 5) END",
+        "create_time": None, "is_active": "'Y'", "inflow_time": "o_orderdate"}),
+    "volume_unload_detail": (LINE_NO, SHIPPED.format(h="l_linenumber"), "lineitem", {
+        "id": f"CAST({LINE_NO} AS VARCHAR)", "waybill_number": ITEM,
+        "assignment_number": "'A' || CAST(l_orderkey AS VARCHAR)", "pre_bill_number": NONE, "shipment_type": NONE,
+        "create_time": None, "scan_status": NONE,
+        "device_type": "CASE l_linenumber % 3 WHEN 0 THEN 'PC' WHEN 1 THEN 'PDA' ELSE 'GUN' END", "is_active": "'1'",
+        "now_department_code": LINE_DEPT, "inflow_time": "l_shipdate + to_minutes(l_partkey % 1000)"}),
+    "volume_waybill": ("no", "o_orderdate", "waybill_records", {
+        "id": "CAST(no AS VARCHAR)", "waybill_number": WB, "goods_qty": "CAST(o_orderkey % 5 + 1 + extra AS DOUBLE)",
+        "goods_volume": "CASE WHEN o_orderkey % 19 > 0 THEN o_totalprice / 1000 END",
+        "goods_weight": "CASE WHEN o_orderkey % 23 > 0 THEN o_totalprice / 100 END",
+        "billing_department_code": code("c_nationkey"), "receive_department_code": code("c_nationkey"),
+        "customer_pickup_department_code": code("(c_nationkey + 3) % 25"), "bill_time": "o_orderdate",
+        "waybill_is_active": NONE, "create_time": None,
+        "is_active": "CASE WHEN o_orderkey % 50 = 0 THEN 'N' ELSE 'Y' END", "inflow_time": "o_orderdate"}),
+}
+RECORDS = f"""
+waybill_records AS (
+  SELECT o.*, c_nationkey, r.extra, o_orderkey + 100000000 * r.extra AS no
+  FROM {FROM_CUSTOMERS.replace('orders', 'orders o', 1)}, (VALUES (0), (1)) r(extra)
+  WHERE r.extra = 0 OR o_orderkey % 37 = 0),
+path_records AS (
+  SELECT w.o_orderkey, w.t0, w.o_orderkey + 100000000 * r.kind AS no,
+         CASE WHEN r.kind = 2 THEN array_to_string(string_split(route, '-')[2:], '-') ELSE route END AS stops
+  FROM w, (VALUES (0), (1), (2)) r(kind)
+  WHERE r.kind = 0 OR (r.kind = 1 AND o_orderkey % 41 = 0) OR (r.kind = 2 AND o_orderkey % 43 = 0))"""
+
+
+def cleaned(name: str) -> str:
+    number, created, source, fields = CLEANED[name]
+    # Creation times spelled as NULL or as no date become NULL.
+    create = f"CASE WHEN ({number}) % 97 NOT IN (5, 6) THEN {created} END"
+    rows = "SELECT " + ", ".join(f"{e or create} AS {f}" for f, e in fields.items()) + f" FROM {source}"
+    if "lineitem" not in source:
+        return rows
+    # Line numbers repeat within an order: the largest inflow, then the largest fields from left to right.
+    age = ", ".join(f"coalesce(r.{f}, {'TIMESTAMP ' + repr('0001-01-01 00:00:00') if f.endswith('_time') else repr('')})"
+                    for f in fields if f not in ("id", "inflow_time"))
+    return f"SELECT unnest(x) FROM (SELECT max_by(r, (r.inflow_time, {age})) AS x FROM ({rows}) r GROUP BY r.id)"
+
+
+FEEDS = RECORDS + "".join(f",\n{name}_c AS ({cleaned(name)})" for name in CLEANED) + f""",
+dept AS (
+  SELECT {code('s_nationkey')} AS code, 'P' || CAST(any_value(n_regionkey) AS VARCHAR) AS prov,
+         max_by(n_regionkey <= 2 AND s_suppkey % 5 <> 0, s_suppkey) AS center
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 9 <> 0 GROUP BY s_nationkey),
+bag AS (SELECT task_number AS item, waybill_number AS waybill, waybill_weight AS kg, waybill_volume AS m3
+        FROM volume_box_c WHERE valid_status = '1'),
+directory AS (  -- every item with what it holds: a valid bag its waybills, anything else itself
+  SELECT item, waybill, kg, m3 FROM bag
+  UNION ALL
+  SELECT DISTINCT {ITEM} AS item, {ITEM}, CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM lineitem
+  WHERE {ITEM} NOT IN (SELECT item FROM bag)),
+sorted_items AS (SELECT {ITEM} AS item, {LINE_DEPT} AS org, l_shipdate + to_hours(l_linenumber) + to_minutes(30) AS moment
+                 FROM lineitem WHERE l_returnflag = 'R'),
+pallet_items AS (SELECT {ITEM} AS item, {LINE_DEPT} AS org, l_shipdate + to_hours(l_linenumber + 1) AS moment
+                 FROM lineitem WHERE l_returnflag = 'A')"""
 
 REFRESH = "'2001-09-01 00:00:00'"
+WITH_FEEDS = f"WITH {ROUTES}, {FEEDS}"
+SLICE_START = "TIMESTAMP '1998-12-06 00:00:00'"
 
-ORACLE_SQL["pipeline_clean"] = f"""
-WITH {ROUTES}, {FEEDS}
-SELECT id, waybill_number, assignment_number, now_department_code, device_type, is_active, create_time, inflow_time
-FROM unload_c
+for _name in CLEANED:
+    # The slice compares raw text, in which a value that is no time sorts after every date.
+    ORACLE_SQL["clean_" + _name] = (f"{WITH_FEEDS}\nSELECT * FROM {_name}_c "
+                                    f"WHERE create_time IS NULL OR create_time >= {SLICE_START}")
+
+ORACLE_SQL["time_rejects"] = f"""
+{WITH_FEEDS}
+SELECT count(*) FILTER (({LINE_NO}) % 97 = 6) * 1 + count(*) FILTER (({LINE_NO}) % 97 = 6 AND ({LINE_NO}) % 10 = 3) * 2
+         AS create_time_rejects, CAST(0 AS BIGINT) AS inflow_time_rejects
+FROM lineitem
 """
 
+ORACLE_SQL["pipeline_clean"] = WITH_FEEDS + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, {'transport_task_id' if n == 'volume_traffic_detail' else 'id'} AS record_id, "
+    f"create_time, inflow_time FROM {n}_c" for n in CLEANED)
+
 ORACLE_SQL["pipeline_unscan"] = f"""
-WITH {ROUTES}, {FEEDS},
-tmp1 AS (
-  SELECT coalesce(b.waybill_number, u.waybill_number) AS waybill_number, u.now_department_code,
-         u.inflow_time AS create_time, u.device_type, u.assignment_number
-  FROM unload_c u
-  LEFT JOIN box_c b ON u.waybill_number = b.task_number AND b.valid_status = '1'
-  JOIN org ON u.now_department_code = org.code AND org.center = 'Y')
-SELECT t.now_department_code, t.waybill_number, t.create_time, t.device_type, t.assignment_number,
-       p.waybill_route_codes, {REFRESH} AS refresh_time
-FROM tmp1 t
-LEFT JOIN path_c p ON t.waybill_number = p.waybill_number
-LEFT JOIN scan s ON t.waybill_number = s.waybill_number AND t.now_department_code = s.operation_org_code
-WHERE s.waybill_number IS NULL
+{WITH_FEEDS},
+arrivals AS (
+  SELECT d.waybill, u.now_department_code AS org, u.inflow_time, u.device_type, u.assignment_number
+  FROM volume_unload_detail_c u JOIN directory d ON d.item = u.waybill_number
+  WHERE u.now_department_code IN (SELECT code FROM dept WHERE center)),
+unseen AS (SELECT waybill, org FROM arrivals EXCEPT SELECT item, org FROM sorted_items)
+SELECT a.org AS now_department_code, a.waybill AS waybill_number, a.inflow_time AS create_time, a.device_type,
+       a.assignment_number, p.waybill_route_codes, {REFRESH} AS refresh_time
+FROM arrivals a SEMI JOIN unseen n ON n.waybill = a.waybill AND n.org = a.org
+LEFT JOIN volume_path_c p ON p.waybill_number = a.waybill
 """
 
 ORACLE_SQL["pipeline_warning"] = f"""
-WITH {ROUTES}, {FEEDS},
-tmp1 AS (
-  SELECT waybill_no, unload_org_code, unload_time FROM (
-    SELECT a.*, row_number() OVER (PARTITION BY waybill_no, unload_org_code ORDER BY unload_time DESC NULLS LAST) rn
-    FROM (SELECT coalesce(b.waybill_number, u.waybill_number) AS waybill_no, u.now_department_code AS unload_org_code,
-                 u.create_time AS unload_time
-          FROM unload_c u JOIN org ON u.now_department_code = org.code AND org.center = 'Y'
-          LEFT JOIN box_c b ON u.waybill_number = b.task_number AND b.valid_status = '1') a) x WHERE rn = 1),
-tmp2 AS (
-  SELECT coalesce(b.waybill_number, l.waybill_number) AS waybill_no, l.leave_department_code AS load_org_code
-  FROM load_detail_c l JOIN org ON l.leave_department_code = org.code AND org.center = 'Y'
-  LEFT JOIN box_c b ON l.waybill_number = b.task_number AND b.valid_status = '1'
-       AND l.device_type <> 'PC' AND l.is_active = '1'),
-tmp3 AS (
-  SELECT waybill_no, tray_time, tray_org_code FROM (
-    SELECT a.*, row_number() OVER (PARTITION BY waybill_no, tray_org_code ORDER BY tray_time DESC NULLS LAST) rn
-    FROM (SELECT coalesce(b.waybill_number, p.waybill_number) AS waybill_no, p.create_time AS tray_time,
-                 p.org_code AS tray_org_code
-          FROM pallet p JOIN org ON p.org_code = org.code AND org.center = 'Y'
-          LEFT JOIN box_c b ON p.waybill_number = b.task_number AND b.valid_status = '1') a) x WHERE rn = 1),
-tmp4 AS (
-  SELECT waybill_no, sort_org_code, sort_time FROM (
-    SELECT a.*, row_number() OVER (PARTITION BY waybill_no, sort_org_code ORDER BY sort_time ASC NULLS LAST) rn
-    FROM (SELECT coalesce(b.waybill_number, s.waybill_number) AS waybill_no, s.operation_org_code AS sort_org_code,
-                 s.create_time AS sort_time
-          FROM scan s JOIN org ON s.operation_org_code = org.code AND org.center = 'Y'
-          LEFT JOIN box_c b ON s.waybill_number = b.task_number AND b.valid_status = '1') a) x WHERE rn = 1),
-valid AS (
-  SELECT u.* FROM tmp1 u
-  WHERE NOT EXISTS (SELECT 1 FROM tmp2 l WHERE l.waybill_no = u.waybill_no AND l.load_org_code = u.unload_org_code)
-    AND NOT EXISTS (SELECT 1 FROM sign_c s WHERE s.waybill_number = u.waybill_no)
-    AND EXISTS (SELECT 1 FROM stock_c k WHERE k.waybill_number = u.waybill_no AND k.department_code = u.unload_org_code))
-SELECT v.waybill_no, v.unload_org_code, v.unload_time, t.tray_time, s.sort_org_code, s.sort_time,
-       CASE WHEN s.sort_time IS NOT NULL THEN '可装车' WHEN t.tray_time IS NOT NULL THEN '可分拣' ELSE '在站台' END
-         AS expect_place,
+{WITH_FEEDS},
+scanned AS (
+  SELECT 'unload' AS kind, waybill_number AS item, now_department_code AS org, create_time AS moment, TRUE AS opens
+  FROM volume_unload_detail_c
+  UNION ALL
+  SELECT 'load', waybill_number, leave_department_code, NULL, device_type <> 'PC' AND is_active = '1'
+  FROM volume_load_detail_c
+  UNION ALL SELECT 'tray', item, org, moment, TRUE FROM pallet_items
+  UNION ALL SELECT 'sort', item, org, moment, TRUE FROM sorted_items),
+happened AS (
+  SELECT s.kind, d.waybill, s.org, s.moment FROM scanned s JOIN directory d ON d.item = s.item WHERE s.opens
+  UNION ALL SELECT kind, item, org, moment FROM scanned WHERE NOT opens
+  UNION ALL SELECT 'stock', waybill_number, department_code, NULL FROM volume_stock_c),
+seen AS (
+  SELECT waybill, org, max(moment) FILTER (kind = 'unload') AS unloaded, max(moment) FILTER (kind = 'tray') AS trayed,
+         min(moment) FILTER (kind = 'sort') AS sorted, list(DISTINCT kind) AS kinds
+  FROM happened WHERE org IN (SELECT code FROM dept WHERE center) GROUP BY waybill, org)
+SELECT waybill AS waybill_no, org AS unload_org_code, unloaded AS unload_time, trayed AS tray_time,
+       CASE WHEN list_contains(kinds, 'sort') THEN org END AS sort_org_code, sorted AS sort_time,
+       CASE WHEN sorted IS NOT NULL THEN '可装车' WHEN trayed IS NOT NULL THEN '可分拣' ELSE '在站台' END AS expect_place,
        {REFRESH} AS refresh_time
-FROM valid v
-LEFT JOIN tmp3 t ON v.waybill_no = t.waybill_no AND v.unload_org_code = t.tray_org_code
-LEFT JOIN tmp4 s ON v.waybill_no = s.waybill_no AND v.unload_org_code = s.sort_org_code
+FROM seen
+WHERE list_contains(kinds, 'unload') AND list_contains(kinds, 'stock') AND NOT list_contains(kinds, 'load')
+  AND waybill NOT IN (SELECT waybill_number FROM volume_sign_c)
 """
 
 ORACLE_SQL["expected_place"] = """
@@ -466,206 +510,154 @@ LEFT JOIN srt s ON b.user_id = s.user_id AND b.day = s.day
 
 # ---------------------------------------------------------------- forecast job
 
-FC_FEEDS = f"""
-oc2 AS (SELECT o.*, c.c_nationkey FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
-waybill AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'W' || CAST(o_orderkey AS VARCHAR) AS waybill_number,
-         CAST(o_orderkey % 5 + 1 AS DOUBLE) AS goods_qty,
-         CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_totalprice / 1000 END AS goods_volume,
-         CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE o_totalprice / 100 END AS goods_weight,
-         {code('c_nationkey')} AS billing_department_code, {code('c_nationkey')} AS receive_department_code,
-         {code('(c_nationkey + 3) % 25')} AS customer_pickup_department_code, o_orderdate AS bill_time,
-         CASE WHEN o_orderkey % 50 = 0 THEN 'N' ELSE 'Y' END AS is_active,
-         o_orderdate AS create_time, o_orderdate AS inflow_time
-  FROM oc2),
-load AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'A' || CAST(o_orderkey AS VARCHAR) AS assignment_number,
-         {code('c_nationkey')} AS leave_department_code, {code('(c_nationkey + o_orderkey % 3 + 1) % 25')} AS arrive_department_code,
-         CASE WHEN o_orderkey % 29 = 0 THEN '0' ELSE '1' END AS is_active, o_orderdate + to_hours(6) AS end_time,
-         o_orderdate AS create_time, o_orderdate AS inflow_time
-  FROM oc2),
-traffic AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'A' || CAST(o_orderkey AS VARCHAR) AS assignment_number,
-         'T' || CAST(o_orderkey AS VARCHAR) AS transport_task_id, 'Y' AS is_active,
-         o_orderdate AS create_time, o_orderdate AS inflow_time
-  FROM orders),
-traffic_detail AS (
-  SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS transport_task_id, 'C' || CAST(o_orderkey % 97 AS VARCHAR) AS car_number,
-         CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderdate + to_hours(o_orderkey % 24) END
-           AS actual_leave_department_time,
-         CASE WHEN o_orderkey % 4 <= 1 THEN NULL ELSE o_orderdate + to_hours(o_orderkey % 24) + to_hours(5) END
-           AS actual_arrive_department_time,
-         CASE WHEN o_orderkey % 31 = 0 THEN NULL
-              ELSE o_orderdate + to_hours(o_orderkey % 24) + to_hours((o_orderkey % 3 + 1) * 4) END
-           AS plan_arrive_department_time,
-         CASE WHEN o_orderkey % 17 = 0 THEN 'CANCLE' ELSE 'NORMAL' END AS transport_task_status, 'Y' AS is_active,
-         o_orderdate AS create_time, o_orderdate AS inflow_time
-  FROM orders),
-same_day AS (
-  SELECT 'P' || CAST(r_regionkey AS VARCHAR) AS leave_province_code, 'P' || CAST(r_regionkey AS VARCHAR) AS arrive_province_code,
-         'Y' AS equal_province FROM region
-  UNION ALL
-  SELECT 'P' || CAST(r_regionkey AS VARCHAR), 'P' || CAST((r_regionkey + 1) % 5 AS VARCHAR), 'N' FROM region),
-waybill_c AS {latest("waybill", "id", "inflow_time", [])},
-load_c AS {latest("load", "id", "inflow_time", [])},
-traffic_c AS {latest("traffic", "id", "inflow_time", [])},
-traffic_detail_c AS {latest("traffic_detail", "transport_task_id", "inflow_time", [])}"""
-
 E_TS = "TIMESTAMP '2001-09-01 13:45:00'"
 E_TXT = "'2001-09-01 13:45:00'"
+LONG_AGO = "TIMESTAMP '0001-01-01 00:00:00'"
 
 FC_STAGES = f"""
-tmp4 AS (
-  SELECT t.waybill_number, t.bill_time, coalesce(t.goods_weight, 0.0) AS goods_weight,
-         coalesce(t.goods_volume, 0.0) AS goods_volume, coalesce(t.goods_weight, 0.0) AS bill_weight,
-         coalesce(t.goods_volume, 0.0) AS bill_volume, coalesce(t.goods_qty, 0.0) AS bill_qty,
-         t.receive_department_code, t.billing_department_code, org1.prov_code AS bill_prov_code,
-         org2.prov_code AS pickup_prov_code, CASE WHEN nx.equal_province = 'Y' THEN 'Y' ELSE 'N' END AS next_day_arrive,
-         t.customer_pickup_department_code
-  FROM waybill_c t
-  LEFT JOIN org org1 ON t.billing_department_code = org1.code
-  LEFT JOIN org org2 ON t.customer_pickup_department_code = org2.code
-  LEFT JOIN same_day nx ON org1.prov_code = nx.leave_province_code AND org2.prov_code = nx.arrive_province_code
-  WHERE t.is_active = 'Y' AND NOT EXISTS (SELECT 1 FROM sign_c s WHERE s.waybill_number = t.waybill_number)),
-tmp5 AS (
-  SELECT waybill_number, department_code AS receive_org_code, stock_time AS in_stock_time
-  FROM {latest("(SELECT * FROM stock_c WHERE waybill_type = 'WAYBILL')", "waybill_number", "create_time",
-               ["id", "department_code", "stock_time", "waybill_type", "inflow_time"])} s),
-chain AS (
-  SELECT ld.waybill_number AS item, td.car_number, l.leave_department_code, l.arrive_department_code,
-         td.actual_leave_department_time AS depart_time, td.actual_arrive_department_time AS arrive_time,
-         td.plan_arrive_department_time AS plan_arrive_time, coalesce(ld.create_time, l.end_time) AS create_time
-  FROM load_c l
-  JOIN load_detail_c ld ON l.assignment_number = ld.assignment_number AND l.is_active = '1' AND ld.is_active = '1'
-  JOIN traffic_c tr ON l.assignment_number = tr.assignment_number AND tr.is_active = 'Y'
-  JOIN traffic_detail_c td ON tr.transport_task_id = td.transport_task_id
-       AND td.transport_task_status <> 'CANCLE' AND td.is_active = 'Y'),
-unpacked AS (
-  SELECT coalesce(b.waybill_number, c.item) AS waybill_number, c.car_number, b.waybill_weight, b.waybill_volume,
-         c.leave_department_code, c.arrive_department_code, c.depart_time, c.arrive_time, c.plan_arrive_time, c.create_time
-  FROM chain c LEFT JOIN box_c b ON c.item = b.task_number AND b.valid_status = '1'),
-tmp6l AS {latest("unpacked", "waybill_number", "create_time",
-                 ["car_number", "waybill_weight", "waybill_volume", "leave_department_code", "arrive_department_code",
-                  "depart_time", "arrive_time", "plan_arrive_time"])},
-tmp6 AS (
-  SELECT a.waybill_number, a.car_number, coalesce(a.waybill_weight, w.goods_weight, 0.0) AS goods_weight,
-         coalesce(a.waybill_volume, w.goods_volume, 0.0) AS goods_volume, a.leave_department_code,
-         a.arrive_department_code, a.depart_time, a.arrive_time, a.plan_arrive_time, a.create_time
-  FROM tmp6l a JOIN waybill_c w ON a.waybill_number = w.waybill_number AND w.is_active = 'Y'),
-tmp7 AS (
-  SELECT * EXCLUDE (rn, leave_secs) FROM (
-    SELECT t.*, l.run_minutes, l.unload_time, l.leave_secs,
-           row_number() OVER (PARTITION BY t.waybill_number ORDER BY
-             abs(epoch_us(t.depart_time) - epoch_us(date_trunc('day', t.depart_time) + to_seconds(l.leave_secs))) ASC NULLS LAST,
-             l.leave_secs, l.run_minutes, l.unload_time) AS rn
-    FROM tmp6 t LEFT JOIN spliced l ON t.leave_department_code = l.src AND t.arrive_department_code = l.dst) x
-  WHERE rn = 1),
-tmp8s AS (
-  SELECT wb.*, stk.waybill_number AS stk_wb, stk.receive_org_code AS stk_org, stk.in_stock_time,
-         hb.waybill_number AS hb_wb, hb.car_number, hb.goods_weight AS hb_weight, hb.goods_volume AS hb_volume,
-         hb.leave_department_code, hb.arrive_department_code, hb.depart_time, hb.arrive_time, hb.plan_arrive_time,
-         hb.create_time AS hb_create_time, hb.unload_time,
-         CASE WHEN stk.in_stock_time > coalesce(hb.arrive_time, hb.depart_time, hb.create_time) THEN 'stock'
-              WHEN hb.waybill_number IS NOT NULL THEN
-                CASE WHEN hb.depart_time IS NULL AND hb.arrive_time IS NULL THEN 'load_nodepart'
-                     WHEN hb.depart_time IS NOT NULL AND hb.arrive_time IS NULL THEN 'load_noarrive'
-                     WHEN hb.arrive_time IS NOT NULL THEN 'load_arriveed' END END AS waybill_status
-  FROM tmp4 wb LEFT JOIN tmp5 stk ON wb.waybill_number = stk.waybill_number
-  LEFT JOIN tmp7 hb ON wb.waybill_number = hb.waybill_number
-  WHERE stk.waybill_number IS NOT NULL OR hb.waybill_number IS NOT NULL),
-tmp8 AS (
-  SELECT waybill_number, bill_time AS old_bill_time,
-         CASE WHEN waybill_status = 'stock' THEN {E_TS}
-              WHEN waybill_status = 'load_nodepart' THEN {E_TS}
-              WHEN waybill_status = 'load_noarrive' THEN
-                CASE WHEN plan_arrive_time > {E_TS} THEN plan_arrive_time + to_minutes(coalesce(unload_time, 0) * 60)
-                     ELSE {E_TS} + to_minutes(coalesce(unload_time, 0) * 60) END
-              WHEN waybill_status = 'load_arriveed' THEN
-                CASE WHEN arrive_time + to_minutes(coalesce(unload_time, 0) * 60) > {E_TS}
-                     THEN arrive_time + to_minutes(coalesce(unload_time, 0) * 60) ELSE {E_TS} END END AS bill_time,
-         goods_weight, goods_volume, CAST(1.0 AS DOUBLE) AS goods_qty, bill_weight, bill_volume, bill_qty,
-         CASE WHEN waybill_status = 'stock' THEN stk_org
-              WHEN waybill_status IN ('load_nodepart', 'load_noarrive') THEN leave_department_code || '_' || arrive_department_code
-              WHEN waybill_status = 'load_arriveed' THEN arrive_department_code END AS rcv,
-         next_day_arrive, customer_pickup_department_code, waybill_status, depart_time, arrive_time, car_number,
-         leave_department_code, arrive_department_code, hb_weight, hb_volume, plan_arrive_time
-  FROM tmp8s)"""
-
-FC_WITH = f"WITH RECURSIVE {SPLICED}, {ROUTES}, {FEEDS}, {FC_FEEDS}, {FC_STAGES}"
-
-ORACLE_SQL["forecast_unsigned"] = f"{FC_WITH}\nSELECT * FROM tmp4"
-ORACLE_SQL["forecast_stock"] = f"{FC_WITH}\nSELECT * FROM tmp5"
-ORACLE_SQL["load_chain"] = f"{FC_WITH}\nSELECT * FROM tmp6"
-ORACLE_SQL["forecast_nearest"] = f"{FC_WITH}\nSELECT * FROM tmp7"
+same_province AS (SELECT 'P' || CAST(r_regionkey AS VARCHAR) AS prov FROM region),
+due AS (  -- active waybill records nobody has signed for
+  SELECT v.*, home.prov AS home_prov, goal.prov AS goal_prov
+  FROM volume_waybill_c v
+  LEFT JOIN dept home ON home.code = v.billing_department_code
+  LEFT JOIN dept goal ON goal.code = v.customer_pickup_department_code
+  WHERE v.is_active = 'Y' AND v.waybill_number NOT IN (SELECT waybill_number FROM volume_sign_c)),
+last_stock AS (
+  SELECT waybill_number AS waybill, max_by(department_code, age) AS org, max_by(stock_time, age) AS stocked
+  FROM (SELECT *, (coalesce(create_time, {LONG_AGO}), id) AS age FROM volume_stock_c WHERE waybill_type = 'WAYBILL')
+  GROUP BY waybill_number),
+trip AS (
+  SELECT l.assignment_number AS assignment, l.leave_department_code AS org_from, l.arrive_department_code AS org_to,
+         l.end_time, d.car_number AS car, d.actual_leave_department_time AS left_at,
+         d.actual_arrive_department_time AS came_at, d.plan_arrive_department_time AS plan_at
+  FROM volume_load_c l, volume_traffic_c x, volume_traffic_detail_c d
+  WHERE l.is_active = '1' AND x.assignment_number = l.assignment_number AND d.transport_task_id = x.transport_task_id
+    AND d.transport_task_status <> 'CANCLE'),
+loading AS (
+  SELECT g.waybill, t.car, g.kg, g.m3, t.org_from, t.org_to, t.left_at, t.came_at, t.plan_at,
+         coalesce(i.create_time, t.end_time) AS loaded
+  FROM volume_load_detail_c i JOIN directory g ON g.item = i.waybill_number
+  JOIN trip t ON t.assignment = i.assignment_number WHERE i.is_active = '1'),
+last_loading AS (
+  SELECT waybill, max_by(loading, (coalesce(loaded, {LONG_AGO}), coalesce(car, ''), coalesce(kg, -1), coalesce(m3, -1),
+                                   org_from, org_to, coalesce(left_at, {LONG_AGO}), coalesce(came_at, {LONG_AGO}),
+                                   coalesce(plan_at, {LONG_AGO}))) AS x
+  FROM loading GROUP BY waybill),
+goods AS (  -- one record per waybill: the latest active one
+  SELECT waybill_number AS waybill, max_by({{'kg': goods_weight, 'm3': goods_volume}}, (inflow_time, id)) AS g
+  FROM volume_waybill_c WHERE is_active = 'Y' GROUP BY waybill_number),
+loaded AS (
+  SELECT waybill, x.car AS car, coalesce(x.kg, g.kg, 0.0) AS kg, coalesce(x.m3, g.m3, 0.0) AS m3, x.org_from AS org_from,
+         x.org_to AS org_to, x.left_at AS left_at, x.came_at AS came_at, x.plan_at AS plan_at, x.loaded AS loaded_at
+  FROM last_loading JOIN goods USING (waybill)),
+timed AS (
+  SELECT b.waybill, min_by({{'run': s.run_minutes, 'unload': s.unload_time}},
+           (coalesce(abs(epoch_us(b.left_at) - epoch_us(date_trunc('day', b.left_at) + to_seconds(s.leave_secs))), 0),
+            s.leave_secs, s.run_minutes, s.unload_time)) AS best
+  FROM loaded b JOIN spliced s ON s.src = b.org_from AND s.dst = b.org_to GROUP BY b.waybill),
+placed AS (
+  SELECT d.id AS rec, d.waybill_number AS waybill, d.bill_time AS billed, coalesce(d.goods_weight, 0.0) AS bill_kg,
+         coalesce(d.goods_volume, 0.0) AS bill_m3, coalesce(d.goods_qty, 0.0) AS bill_qty,
+         d.customer_pickup_department_code AS pickup,
+         CASE WHEN d.home_prov = d.goal_prov AND d.home_prov IN (SELECT prov FROM same_province) THEN 'Y' ELSE 'N' END AS same,
+         b.* EXCLUDE (waybill), s.org AS stock_org, b.waybill IS NOT NULL AS on_load,
+         CASE WHEN s.stocked > coalesce(b.came_at, b.left_at, b.loaded_at) THEN 'stock'
+              WHEN b.waybill IS NULL THEN NULL WHEN b.came_at IS NOT NULL THEN 'load_arriveed'
+              WHEN b.left_at IS NOT NULL THEN 'load_noarrive' ELSE 'load_nodepart' END AS state,
+         to_hours(coalesce(t.best.unload, 0)) AS unloading
+  FROM due d LEFT JOIN last_stock s ON s.waybill = d.waybill_number LEFT JOIN loaded b ON b.waybill = d.waybill_number
+  LEFT JOIN timed t ON t.waybill = d.waybill_number
+  WHERE s.waybill IS NOT NULL OR b.waybill IS NOT NULL),
+located AS (
+  SELECT *, CASE state WHEN 'load_noarrive' THEN greatest(plan_at, {E_TS}) + unloading
+                       WHEN 'load_arriveed' THEN greatest(came_at + unloading, {E_TS})
+                       WHEN 'stock' THEN {E_TS} WHEN 'load_nodepart' THEN {E_TS} END AS ready,
+         CASE state WHEN 'stock' THEN stock_org WHEN 'load_nodepart' THEN org_from
+                    WHEN 'load_noarrive' THEN org_to WHEN 'load_arriveed' THEN org_to END AS here
+  FROM placed)"""
+
+FC_WITH = f"WITH RECURSIVE {SPLICED}, {ROUTES}, {FEEDS}, {FC_STAGES}"
+
+ORACLE_SQL["forecast_unsigned"] = f"""{FC_WITH}
+SELECT id AS waybill_id, waybill_number, bill_time, coalesce(goods_weight, 0.0) AS goods_weight,
+       coalesce(goods_volume, 0.0) AS goods_volume, coalesce(goods_weight, 0.0) AS bill_weight,
+       coalesce(goods_volume, 0.0) AS bill_volume, coalesce(goods_qty, 0.0) AS bill_qty, receive_department_code,
+       billing_department_code, home_prov AS bill_prov_code, goal_prov AS pickup_prov_code,
+       CASE WHEN home_prov = goal_prov THEN 'Y' ELSE 'N' END AS next_day_arrive, customer_pickup_department_code
+FROM due"""
+ORACLE_SQL["forecast_stock"] = f"""{FC_WITH}
+SELECT waybill AS waybill_number, org AS receive_org_code, stocked AS in_stock_time FROM last_stock"""
+LOADED_OUT = """waybill AS waybill_number, car AS car_number, kg AS goods_weight, m3 AS goods_volume,
+       org_from AS leave_department_code, org_to AS arrive_department_code, left_at AS depart_time,
+       came_at AS arrive_time, plan_at AS plan_arrive_time, loaded_at AS create_time"""
+ORACLE_SQL["load_chain"] = f"{FC_WITH}\nSELECT {LOADED_OUT} FROM loaded"
+ORACLE_SQL["forecast_nearest"] = f"""{FC_WITH}
+SELECT {LOADED_OUT}, best.run AS run_minutes, best.unload AS unload_time FROM loaded LEFT JOIN timed USING (waybill)"""
 ORACLE_SQL["waybill_status"] = f"""{FC_WITH}
-SELECT waybill_number, old_bill_time, bill_time, waybill_status,
-       CASE WHEN rcv IS NULL THEN NULL WHEN waybill_status = 'load_noarrive' THEN split_part(rcv, '_', 2)
-            ELSE split_part(rcv, '_', 1) END AS current_org, next_day_arrive
-FROM tmp8"""
-
-RES1 = f"""
-res1 AS (
-  SELECT td.waybill_number, td.old_bill_time, td.car_number, td.depart_time AS bill_time, td.hb_weight AS goods_weight,
-         td.hb_volume AS goods_volume, CAST(1.0 AS DOUBLE) AS goods_qty, td.bill_weight, td.bill_volume, td.bill_qty,
-         td.leave_department_code, td.arrive_department_code, td.customer_pickup_department_code,
-         CAST(NULL AS TIMESTAMP) AS start_time, td.plan_arrive_time AS end_time,
-         CASE WHEN org1.center = 'Y' AND org2.center = 'Y' THEN '干线' ELSE '支线' END AS line_type,
-         'way' AS waybill_type, 'way' AS waybill_status, td.next_day_arrive, td.leave_department_code AS pre_org_code,
-         CAST(1 AS INTEGER) AS path_no, org1.center AS depart_org_transfer, org2.center AS arrive_org_transfer,
-         {E_TXT} AS refresh_time, {E_TS} AS create_time
-  FROM tmp8 td LEFT JOIN org org1 ON td.leave_department_code = org1.code
-  LEFT JOIN org org2 ON td.arrive_department_code = org2.code
-  WHERE td.waybill_status = 'load_noarrive' AND td.leave_department_code IS NOT NULL
-    AND td.arrive_department_code IS NOT NULL AND td.plan_arrive_time IS NOT NULL AND org2.center = 'Y')"""
-
-ORACLE_SQL["forecast_in_transit"] = f"{FC_WITH}, {RES1}\nSELECT * FROM res1"
+SELECT waybill AS waybill_number, billed AS old_bill_time, ready AS bill_time, state AS waybill_status,
+       here AS current_org, same AS next_day_arrive FROM located"""
+
+LINE_KIND = "CASE WHEN f.center AND t.center THEN '干线' ELSE '支线' END"
+YES_NO = "CASE {c} WHEN TRUE THEN 'Y' WHEN FALSE THEN 'N' END"
+STAMPS = f"{E_TXT} AS refresh_time, {E_TS} AS create_time"
+
+RUNNING = f"""
+running AS (
+  SELECT p.waybill AS waybill_number, p.billed AS old_bill_time, p.car AS car_number, p.left_at AS bill_time,
+         p.kg AS goods_weight, p.m3 AS goods_volume, CAST(1 AS DOUBLE) AS goods_qty, p.bill_kg AS bill_weight,
+         p.bill_m3 AS bill_volume, p.bill_qty, p.org_from AS leave_department_code, p.org_to AS arrive_department_code,
+         p.pickup AS customer_pickup_department_code, {NO_TIME} AS start_time, p.plan_at AS end_time,
+         {LINE_KIND} AS line_type, 'way' AS waybill_type, 'way' AS waybill_status, p.same AS next_day_arrive,
+         p.org_from AS pre_org_code, CAST(1 AS INTEGER) AS path_no, {YES_NO.format(c='f.center')} AS depart_org_transfer,
+         {YES_NO.format(c='t.center')} AS arrive_org_transfer, {STAMPS}
+  FROM located p JOIN dept t ON t.code = p.org_to AND t.center LEFT JOIN dept f ON f.code = p.org_from
+  WHERE p.state = 'load_noarrive' AND p.plan_at IS NOT NULL)"""
+
+ORACLE_SQL["forecast_in_transit"] = f"{FC_WITH}, {RUNNING}\nSELECT * FROM running"
 
 SPLICED_CAND = NEXT_CAND.replace("FROM merged m", "FROM spliced m")
 
-WALK = f"""
-wk AS (
-  SELECT t.*, p.waybill_route_codes,
-         CASE WHEN t.waybill_status = 'load_noarrive' THEN split_part(t.rcv, '_', 2) ELSE split_part(t.rcv, '_', 1) END AS cur
-  FROM tmp8 t JOIN path_c p ON p.waybill_number = t.waybill_number
-  WHERE t.rcv IS NOT NULL AND t.bill_time IS NOT NULL),
-wpos AS (
-  SELECT *, list_transform(string_split(waybill_route_codes, '-'), lambda x: split_part(x, ':', 1)) AS orgs FROM wk),
-wpos2 AS (
-  SELECT *, CASE WHEN list_position(list_reverse(orgs), cur) > 0
-                 THEN len(orgs) - list_position(list_reverse(orgs), cur) ELSE -1 END AS idx FROM wpos),
-wrem AS (SELECT *, orgs[idx + 1:] AS remaining FROM wpos2 WHERE idx >= 0 AND idx < len(orgs) - 1),
-wlegs AS (
-  SELECT waybill_number, waybill_route_codes, bill_time AS t0, CAST(k AS INTEGER) AS leg_idx,
-         remaining[k + 1] AS src, remaining[k + 2] AS dst,
-         CAST(k + CASE WHEN waybill_status = 'load_noarrive' THEN 2 ELSE 1 END AS INTEGER) AS path_no,
-         CASE WHEN k = 0 THEN (CASE WHEN waybill_status = 'load_noarrive' THEN split_part(rcv, '_', 1) END)
-              ELSE remaining[k] END AS pre_org
-  FROM wrem, unnest(range(len(remaining) - 1)) AS r(k)),
-walk AS (
-  SELECT l.waybill_number, l.waybill_route_codes, l.leg_idx, l.src, l.dst, l.path_no, l.pre_org, nx.st AS start_time,
-         nx.st + to_minutes(nx.run_minutes) AS end_time,
-         nx.st + to_minutes(nx.run_minutes) + to_minutes(nx.unload_time * 60) AS ready
-  FROM wlegs l, LATERAL ({SPLICED_CAND.format(t='l.t0', src='l.src', dst='l.dst')}) nx
-  WHERE l.leg_idx = 0
+AHEAD = f"""
+journeys AS (  -- a record of a waybill with a record of its route, from the last visit of where it is
+  SELECT l.rec, r.id AS route_rec, l.ready, l.state, l.org_from, string_split(
+           regexp_replace(r.waybill_route_codes, ':[^-]*', '', 'g'), '-') AS stops, l.here
+  FROM located l JOIN volume_path_c r ON r.waybill_number = l.waybill
+  WHERE l.here IS NOT NULL AND l.ready IS NOT NULL),
+ahead AS (
+  SELECT rec, route_rec, ready, state, org_from,
+         stops[list_max(list_filter(range(1, len(stops) + 1), lambda i: stops[i] = here)):] AS stops
+  FROM journeys WHERE list_contains(stops, here)),
+hops AS (
+  SELECT rec, route_rec, ready, CAST(k AS INTEGER) AS k, stops[k] AS src, stops[k + 1] AS dst,
+         CAST(k + (state = 'load_noarrive')::INTEGER AS INTEGER) AS path_no,
+         CASE WHEN k > 1 THEN stops[k - 1] WHEN state = 'load_noarrive' THEN org_from END AS came_from
+  FROM ahead, unnest(range(1, len(stops))) AS u(k)),
+ride AS (
+  SELECT h.*, n.st AS start_time, n.st + to_minutes(n.run_minutes) AS end_time,
+         n.st + to_minutes(n.run_minutes) + to_hours(n.unload_time) AS free_at
+  FROM hops h, LATERAL ({SPLICED_CAND.format(t='h.ready', src='h.src', dst='h.dst')}) n WHERE h.k = 1
   UNION ALL
-  SELECT l.waybill_number, l.waybill_route_codes, l.leg_idx, l.src, l.dst, l.path_no, l.pre_org, nx.st,
-         nx.st + to_minutes(nx.run_minutes), nx.st + to_minutes(nx.run_minutes) + to_minutes(nx.unload_time * 60)
-  FROM walk p JOIN wlegs l ON l.waybill_number = p.waybill_number AND l.waybill_route_codes = p.waybill_route_codes
-       AND l.leg_idx = p.leg_idx + 1,
-       LATERAL ({SPLICED_CAND.format(t='p.ready', src='l.src', dst='l.dst')}) nx),
-res2 AS (
-  SELECT w.waybill_number, t.old_bill_time, t.car_number, t.bill_time, t.goods_weight, t.goods_volume, t.goods_qty,
-         t.bill_weight, t.bill_volume, t.bill_qty, w.src AS leave_department_code, w.dst AS arrive_department_code,
-         t.customer_pickup_department_code, w.start_time, w.end_time,
-         CASE WHEN org1.center = 'Y' AND org2.center = 'Y' THEN '干线' ELSE '支线' END AS line_type,
-         t.waybill_status AS waybill_type, 'other' AS waybill_status, t.next_day_arrive, w.pre_org AS pre_org_code,
-         w.path_no, org1.center AS depart_org_transfer, org2.center AS arrive_org_transfer,
-         {E_TXT} AS refresh_time, {E_TS} AS create_time
-  FROM walk w JOIN wk t ON w.waybill_number = t.waybill_number AND w.waybill_route_codes = t.waybill_route_codes
-  LEFT JOIN org org1 ON w.src = org1.code LEFT JOIN org org2 ON w.dst = org2.code
-  WHERE org1.center = 'Y' OR org2.center = 'Y')"""
-
-ORACLE_SQL["pipeline_forecast"] = f"{FC_WITH}, {RES1}, {WALK}\nSELECT * FROM res1 UNION ALL SELECT * FROM res2"
+  SELECT h.*, n.st, n.st + to_minutes(n.run_minutes), n.st + to_minutes(n.run_minutes) + to_hours(n.unload_time)
+  FROM ride b JOIN hops h ON h.rec = b.rec AND h.route_rec = b.route_rec AND h.k = b.k + 1,
+       LATERAL ({SPLICED_CAND.format(t='b.free_at', src='h.src', dst='h.dst')}) n),
+planned AS (
+  SELECT p.waybill AS waybill_number, p.billed AS old_bill_time, p.car AS car_number, p.ready AS bill_time,
+         p.bill_kg AS goods_weight, p.bill_m3 AS goods_volume, CAST(1 AS DOUBLE) AS goods_qty, p.bill_kg AS bill_weight,
+         p.bill_m3 AS bill_volume, p.bill_qty, r.src AS leave_department_code, r.dst AS arrive_department_code,
+         p.pickup AS customer_pickup_department_code, r.start_time, r.end_time, {LINE_KIND} AS line_type,
+         p.state AS waybill_type, 'other' AS waybill_status, p.same AS next_day_arrive, r.came_from AS pre_org_code,
+         r.path_no, {YES_NO.format(c='f.center')} AS depart_org_transfer,
+         {YES_NO.format(c='t.center')} AS arrive_org_transfer, {STAMPS}
+  FROM ride r JOIN located p ON p.rec = r.rec LEFT JOIN dept f ON f.code = r.src LEFT JOIN dept t ON t.code = r.dst
+  WHERE f.center OR t.center)"""
+
+ORACLE_SQL["pipeline_forecast"] = f"{FC_WITH}, {RUNNING}, {AHEAD}\nSELECT * FROM running UNION ALL SELECT * FROM planned"
+
+ORACLE_SQL["line_info"] = f"""
+WITH {SPLICED}
+SELECT src AS leave_department_code, dst AS arrive_department_code, {HMS.format(s='leave_secs')} AS leave_time,
+       run_minutes, unload_time FROM spliced
+"""
 
 
 # ---------------------------------------------------------------- sources and sinks

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from ..functions import nulls, timefmt
 from ..operators import dedup, joins
 from ..operators import lines as lines_ops
 from ..operators import route as route_ops
+from .. import schemas
 from ..session import checkpoint_dir
 from ..sources import derived, readers, sinks
 from ..streaming import incremental
@@ -292,10 +294,34 @@ def cleaned_logistics(spark, d) -> dict:
     return clean_job.clean_all(derived.logistics_tables(spark, d), REFRESH_TIME, days=None)
 
 
+SLICE_DAYS = 1000
+
+
+def _register_clean(name: str) -> None:
+    @register(f"clean_{name}")
+    def q(spark, d):
+        """One cleaned table from its raw text feed, with the production time slice."""
+        raw = derived.logistics_tables(spark, d)[name]
+        return clean_job.clean_table(raw, clean_job.CLEAN_SPECS[name], dt.datetime.fromisoformat(REFRESH_TIME), SLICE_DAYS)
+
+
+for _name in clean_job.CLEAN_SPECS:
+    _register_clean(_name)
+
+
+@register("time_rejects")
+def q_time_rejects(spark, d):
+    raw = derived.logistics_tables(spark, d)["volume_unload_detail"]
+    return clean_job.time_rejects(raw, clean_job.CLEAN_SPECS["volume_unload_detail"])
+
+
 @register("pipeline_clean")
 def q_pipeline_clean(spark, d):
-    raw = derived.logistics_tables(spark, d)
-    return clean_job.run_batch(raw, 2, REFRESH_TIME, days=None)["volume_unload_detail"]
+    """Both batches, all ten tables: one row per cleaned record."""
+    cleaned = cleaned_logistics(spark, d)
+    parts = [cleaned[n].select(F.lit(n).alias("table_name"), F.col(spec.keys[0]).alias("record_id"),
+                               "create_time", "inflow_time") for n, spec in clean_job.CLEAN_SPECS.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("pipeline_unscan")
@@ -368,6 +394,15 @@ def q_pipeline_forecast(spark, d):
     return forecast_job.run(cleaned_logistics(spark, d), FORECAST_END)
 
 
+@register("line_info")
+def q_line_info(spark, d):
+    """The forecast's line table as its sink writes it, read back."""
+    path = scratch(spark, "line_info")
+    info = forecast_job.line_info_out(forecast_job.line_info(derived.logistics_tables(spark, d)))
+    sinks.write_table(schemas.conform(info, schemas.LINE_INFO), path, mode="overwrite", fmt="parquet")
+    return readers.read_table(spark, path, "parquet")
+
+
 # ---------------------------------------------------------------- sources and sinks
 
 

@@ -2,21 +2,23 @@
 again at that center nor signed for — with where they probably are now.
 
 Plan (each step a DataFrame operator):
-  unload  = unpack(unload scans) at centers, latest per (waybill, dept)
-  load    = unpack(load scans, only for non-PC active scans) at centers
-  tray    = unpack(pallet bindings) at centers, latest per (waybill, dept)
-  sort    = unpack(sorter scans) at centers, earliest per (waybill, dept)
+  unload  = unload scans at centers, latest per (item, dept), unpacked, latest per (waybill, dept)
+  load    = load scans at centers, distinct, unpacked (only non-PC active scans)
+  tray    = pallet bindings, as unload
+  sort    = sorter scans, as unload but earliest
   valid   = unload  ▷ load (2 keys)  ▷ sign (1 key)  ⋉ stock (2 keys)
   result  = valid ⟕ tray ⟕ sort  + expected place
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import dedup, joins
-from ..session import checkpoint_dir
+from ..operators import joins
+from ..session import written
 from .orgs import org_dim
 
 # --- fixed values -------------------------------------------------------------------------
@@ -37,48 +39,47 @@ def expected_place(sort_time, tray_time) -> Column:
             .otherwise(F.lit(PLACE_ON_PLATFORM)))
 
 
-def _unpacked_at_centers(df: DataFrame, org_col: str, boxes: DataFrame, orgs: DataFrame,
-                         only_if: Column | None = None) -> DataFrame:
-    at_centers = joins.restrict_to_centers(df, org_col, orgs)
-    return joins.unpack_containers(at_centers, "waybill_number", boxes, out_col="waybill_no",
-                                   box_filter=F.col("valid_status") == F.lit("1"), only_if=only_if)
+def _at_centers(scans: DataFrame, orgs: DataFrame, boxes: DataFrame, time: Callable | None,
+                only_if: Column | None = None) -> DataFrame:
+    """(waybill_no, org, t) of scans (item, org, t) at centers: bags unpacked, one row per waybill
+    and department with the extreme ``time`` (``F.max`` or ``F.min``; no time when None).
+
+    Scans of the same item are reduced before unpacking, so a bag that is scanned often meets
+    its contents once per department."""
+    at = joins.restrict_to_centers(scans, "org", orgs)
+    extreme = [] if time is None else [time("t").alias("t")]
+    flag = [] if only_if is None else [F.coalesce(only_if, F.lit(False)).alias("opens")]
+    once = at.select(*at.columns, *flag).groupBy("item", "org", *(["opens"] if flag else []))
+    once = once.agg(*extreme) if extreme else once.agg(F.count("*").alias("n")).drop("n")
+    bags = joins.unpack_containers(once, "item", boxes, out_col="waybill_no",
+                                   only_if=F.col("opens") if flag else None)
+    if time is None:
+        return bags.select("waybill_no", "org")
+    return bags.groupBy("waybill_no", "org").agg(time("t").alias("t"))
 
 
 def run(t: dict, refresh_time: str, materialize: bool = True) -> DataFrame:
     """``t``: cleaned unload/load detail, box, sign, stock and raw basic, pallet, scan tables.
-    ``materialize`` checkpoints the org master and the valid bag bindings, which all four
-    unpacking steps share (computed once, and the recovery point if an executor is lost)."""
+    ``materialize`` writes the org master and the valid bag bindings, which all four
+    unpacking steps share, once to the checkpoint folder."""
     orgs = org_dim(t["volume_basic"])
-    box = t["volume_box"].filter(F.col("valid_status") == F.lit("1")) \
-        .select("task_number", "waybill_number", "valid_status")
+    box = t["volume_box"].filter(F.col("valid_status") == F.lit("1")).select("task_number", "waybill_number")
     if materialize:
-        checkpoint_dir(orgs.sparkSession)
-        orgs, box = orgs.checkpoint(eager=True), box.checkpoint(eager=True)
-
-    unload = _unpacked_at_centers(
-        t["volume_unload_detail"].select("waybill_number", F.col("now_department_code").alias("unload_org_code"),
-                                         F.col("create_time").alias("unload_time")),
-        "unload_org_code", box, orgs).drop("waybill_number")
-    unload = dedup.latest_per_key(unload, ["waybill_no", "unload_org_code"], ["unload_time"], "all")
-
-    ld = t["volume_load_detail"]
-    load = _unpacked_at_centers(
-        ld.select("waybill_number", F.col("leave_department_code").alias("load_org_code"),
-                  "device_type", "is_active"),
-        "load_org_code", box, orgs,
-        only_if=(F.col("device_type") != F.lit("PC")) & (F.col("is_active") == F.lit("1")))
-
-    tray = _unpacked_at_centers(
-        t["volume_pallet_detail"].select("waybill_number", F.col("create_time").alias("tray_time"),
-                                         F.col("org_code").alias("tray_org_code")),
-        "tray_org_code", box, orgs).drop("waybill_number")
-    tray = dedup.latest_per_key(tray, ["waybill_no", "tray_org_code"], ["tray_time"], "all")
-
-    sort = _unpacked_at_centers(
-        t["volume_scan"].select("waybill_number", F.col("operation_org_code").alias("sort_org_code"),
-                                F.col("create_time").alias("sort_time")),
-        "sort_org_code", box, orgs).drop("waybill_number")
-    sort = dedup.earliest_per_key(sort, ["waybill_no", "sort_org_code"], ["sort_time"], "all")
+        orgs, box = written(orgs, "orgs"), written(box, "box")
+
+    def scans(name: str, org: str, time: str = "create_time", *more: str) -> DataFrame:
+        return t[name].select(F.col("waybill_number").alias("item"), F.col(org).alias("org"), F.col(time).alias("t"), *more)
+
+    unload = _at_centers(scans("volume_unload_detail", "now_department_code"), orgs, box, F.max) \
+        .select("waybill_no", F.col("org").alias("unload_org_code"), F.col("t").alias("unload_time"))
+    load = _at_centers(scans("volume_load_detail", "leave_department_code", "create_time", "device_type", "is_active"),
+                       orgs, box, None,
+                       only_if=(F.col("device_type") != F.lit("PC")) & (F.col("is_active") == F.lit("1"))) \
+        .withColumnRenamed("org", "load_org_code")
+    tray = _at_centers(scans("volume_pallet_detail", "org_code"), orgs, box, F.max) \
+        .select("waybill_no", F.col("org").alias("tray_org_code"), F.col("t").alias("tray_time"))
+    sort = _at_centers(scans("volume_scan", "operation_org_code"), orgs, box, F.min) \
+        .select("waybill_no", F.col("org").alias("sort_org_code"), F.col("t").alias("sort_time"))
 
     valid = joins.without(unload, load, ["waybill_no", "unload_org_code"], ["waybill_no", "load_org_code"])
     valid = joins.without(valid, t["volume_sign"], ["waybill_no"], ["waybill_number"])

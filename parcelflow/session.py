@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every parcelflow job expects (AQE for runtime broadcast / skew / coalescing,
 # UTC so that day boundaries of the timetable are stable).
@@ -65,6 +66,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back: computed once, and a
+    lost executor re-reads the files.  The folder is deleted when the application ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}/{tag}"
+    df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a cluster run sized from the input volume.
 
@@ -84,6 +96,8 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        # two joins in a row on one key: split a skewed one even if the next then shuffles again
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),

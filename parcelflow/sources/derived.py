@@ -14,16 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import readers
+from ..plans.clean import CLEAN_SPECS, CleanSpec
+
 
 N_NATIONS = 25
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table; ``spread=True`` where CPU-heavy per-row work follows the scan before any
-    shuffle (see ``readers.spread``: a no-op when the scan is already split)."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return readers.spread(df) if spread else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def dept_code(c) -> Column:
@@ -59,7 +58,7 @@ def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from the customer's nation (every 7th order returns to its first stop), ``current`` stop
     (absent for every 11th order), ``status`` from the order status, ``leave_org`` and ready
     time ``t0``."""
-    o = table(spark, sf_dir, "orders", spread=True)  # route text building and parsing follow
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
     key = F.col("o_orderkey")
@@ -149,7 +148,7 @@ def logistics_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.timestamp_add("DAY", F.lit(5), F.col("o_orderdate")).cast("timestamp_ntz").alias("sign_time"),
         F.col("o_orderdate").alias("create_time"), F.col("o_orderdate").alias("inflow_time"))
 
-    stock = li.filter(ln <= 3).select(
+    stock = li.select(
         line_id.alias("id"), F.concat(F.lit("W"), ok.cast("string")).alias("waybill_number"),
         line_dept.alias("department_code"),
         _ts_plus(F.col("l_shipdate"), hours=ln * 3).alias("stock_time"),
@@ -171,6 +170,12 @@ def logistics_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                          F.col("route").alias("waybill_route_codes"),
                          F.col("t0").alias("create_time"), F.col("t0").alias("inflow_time"))
 
+    # Every 41st waybill has a second path record with the same route, every 43rd one with another.
+    again = F.col("id").cast("long")
+    path = path.unionByName(path.filter(again % 41 == 0).withColumn("id", (again + 100_000_000).cast("string"))) \
+        .unionByName(path.filter(again % 43 == 0).withColumn("id", (again + 200_000_000).cast("string"))
+                     .withColumn("waybill_route_codes", F.regexp_replace("waybill_route_codes", "^[^-]*-", "")))
+
     k = F.col("o_orderkey")
     waybill = oc.select(
         k.cast("string").alias("id"), wb.alias("waybill_number"),
@@ -184,6 +189,11 @@ def logistics_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(k % 50 == 0, F.lit("N")).otherwise(F.lit("Y")).alias("is_active"),
         F.col("o_orderdate").alias("create_time"), F.col("o_orderdate").alias("inflow_time"))
 
+    # Every 37th waybill has a second active record.
+    waybill = waybill.unionByName(
+        waybill.filter(again % 37 == 0).withColumn("id", (again + 100_000_000).cast("string"))
+        .withColumn("goods_qty", F.col("goods_qty") + F.lit(1.0)))
+
     hop = (k % 3 + 1)
     load = oc.select(
         k.cast("string").alias("id"), F.concat(F.lit("A"), k.cast("string")).alias("assignment_number"),
@@ -219,9 +229,40 @@ def logistics_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                               .alias("arrive_province_code"), F.lit("N").alias("equal_province")))
 
     trunk, branch, partner = supplier_lines(spark, sf_dir)
-    return {"volume_basic": basic, "volume_box": box, "volume_unload_detail": unload,
-            "volume_load_detail": load_detail, "volume_sign": sign, "volume_stock": stock,
-            "volume_pallet_detail": pallet, "volume_scan": scan, "volume_path": path, "volume_waybill": waybill,
-            "volume_load": load, "volume_traffic": traffic, "volume_traffic_detail": traffic_detail,
+    raw = {"volume_box": box, "volume_unload_detail": unload,
+           "volume_load_detail": load_detail, "volume_sign": sign, "volume_stock": stock,
+           "volume_path": path, "volume_waybill": waybill,
+           "volume_load": load, "volume_traffic": traffic, "volume_traffic_detail": traffic_detail}
+    return {**{name: as_raw_text(df, CLEAN_SPECS[name]) for name, df in raw.items()},
+            "volume_basic": basic, "volume_pallet_detail": pallet, "volume_scan": scan,
             "volume_same_day": same_day, "volume_line": trunk, "volume_branch_line": branch,
             "volume_partner_line": partner}
+
+
+def as_raw_text(df: DataFrame, spec: CleanSpec) -> DataFrame:
+    """The feed as the operational systems export it: all configured fields, times as ISO text.
+
+    By the record's number, some creation times are NULL spellings (``% 97 == 5``) or no dates
+    (``% 97 == 6``), and every 10th record comes in three versions, of which the first has an older
+    and the last no inflow time.  Fields that the driver tables have nothing for are
+    NULL spellings.
+    """
+    number = F.regexp_extract(F.col(spec.keys[0]), "[0-9]+", 0).cast("long")
+    versions = F.when(number % 10 == 3, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    df = df.withColumn("__pf_no", number).withColumn("__pf_version", F.explode(versions))
+    inflow = F.col("inflow_time").cast("timestamp_ntz")
+    df = df.withColumn("inflow_time", F.when(F.col("__pf_version") == 0, inflow - F.expr("INTERVAL 1 DAY"))
+                       .when(F.col("__pf_version") == 1, inflow))
+
+    def text(c: str) -> Column:
+        if c not in df.columns:
+            return F.lit("\\N")
+        if c not in spec.ts_cols:
+            return F.col(c)
+        iso = F.date_format(F.col(c).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        if c != "create_time":
+            return F.coalesce(iso, F.lit("NULL"))
+        return F.when(F.col("__pf_no") % 97 == 5, F.lit("null")).when(
+            F.col("__pf_no") % 97 == 6, F.lit("2001-13-45T00:00:00.000Z")).otherwise(iso)
+
+    return df.select(*[text(c).alias(c) for c in spec.columns])

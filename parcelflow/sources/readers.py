@@ -24,14 +24,9 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
 
 def _list_dir(spark: SparkSession, path: str) -> list[str]:
     """Child entry names of a folder on any Hadoop-compatible file system (metadata only)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
-    except Exception:  # noqa: BLE001 - no JVM gateway in this session: local folders only
-        import os
-        return sorted(os.listdir(path.removeprefix("file:")))
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath))
 
 
 def read_dir(spark: SparkSession, path: str, fmt: str = "csv", schemas: dict | None = None,
@@ -69,14 +64,3 @@ def register_views(tables: dict[str, DataFrame]) -> None:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
 
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the session's default parallelism)
-    when its scan yields fewer partitions — e.g. one unsplittable file feeding CPU-heavy
-    projections.  On real inputs with many splits this returns ``df`` unchanged (no shuffle)."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view in this session: leave the plan alone
-        return df
-    return df.repartition(target) if current < target else df

@@ -8,6 +8,10 @@ failed job is therefore idempotent.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,15 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
+def _by_name(df: DataFrame, target: str) -> DataFrame:
+    """``df`` in the column order of the catalog table ``target`` (``insertInto`` goes by position);
+    an error if a column is missing on either side."""
+    wanted = df.sparkSession.table(target).columns
+    if set(wanted) != set(df.columns):
+        raise ValueError(f"columns {sorted(set(wanted) ^ set(df.columns))} are not on both sides of {target}")
+    return df.select(*wanted)
+
+
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str = "orc",
                 num_files: int | None = None) -> None:
     """Write a table to a path (``/…``, ``s3a://…``) or a catalog name; ``mode`` overwrite/append.
@@ -39,7 +52,7 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     if _is_path(target):
         out.write.mode(mode).format(fmt).save(target)
     elif spark.catalog.tableExists(target):
-        out.write.insertInto(target, overwrite=(mode == "overwrite"))
+        _by_name(out, target).write.insertInto(target, overwrite=(mode == "overwrite"))
     else:
         out.write.mode(mode).format(fmt).saveAsTable(target)
 
@@ -72,7 +85,7 @@ def write_partitioned(df: DataFrame, target: str, partitions: dict, overwrite: b
         previous = spark.conf.get(key, None)
         spark.conf.set(key, "dynamic")          # insertInto has no per-write option; restore after
         try:
-            out.write.insertInto(target, overwrite=overwrite)
+            _by_name(out, target).write.insertInto(target, overwrite=overwrite)
         finally:
             if previous is None:
                 spark.conf.unset(key)
@@ -82,20 +95,20 @@ def write_partitioned(df: DataFrame, target: str, partitions: dict, overwrite: b
         out.write.mode("append").partitionBy(*partitions).format(fmt).saveAsTable(target)
 
 
-def _partition_dirs(spark: SparkSession, target: str, partition_col: str) -> list[tuple[str, object]]:
-    """(unescaped value, handle) of every ``<partition_col>=<value>`` folder under ``target``."""
-    from urllib.parse import unquote
-    prefix = partition_col + "="
-    try:
-        jvm = spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(target)
-        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        entries = [(st.getPath().getName(), (fs, st.getPath())) for st in fs.listStatus(root) if st.isDirectory()]
-    except Exception:  # noqa: BLE001 - no JVM gateway in this session: local folders only
-        import os
-        base = target.removeprefix("file:")
-        entries = [(n, os.path.join(base, n)) for n in os.listdir(base) if os.path.isdir(os.path.join(base, n))]
-    return [(unquote(n[len(prefix):]), h) for n, h in entries if n.startswith(prefix)]
+def _partitions(spark: SparkSession, target: str, partition_col: str) -> list[tuple[str, Callable[[], object]]]:
+    """(value, function that drops it) of every partition of a path or catalog table."""
+    if not _is_path(target):
+        specs = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
+        values = [dict(x.split("=", 1) for x in spec.split("/")).get(partition_col) for spec in specs]
+        return [(unquote(v), partial(spark.sql, f"ALTER TABLE {target} DROP IF EXISTS PARTITION "
+                                                f"({partition_col}='{unquote(v)}')")) for v in values if v is not None]
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    folders = [st.getPath() for st in fs.listStatus(root) if st.isDirectory()]
+    return [(unquote(p.getName().removeprefix(f"{partition_col}=")), partial(fs.delete, p, True))
+            for p in folders if p.getName().startswith(f"{partition_col}=")]
 
 
 def expire_batches(spark: SparkSession, target: str, before: str, partition_col: str = "batch_no") -> list[str]:
@@ -103,30 +116,22 @@ def expire_batches(spark: SparkSession, target: str, before: str, partition_col:
     dropped.  Catalog tables: ``ALTER TABLE … DROP PARTITION`` per value; path tables: the
     partition folders are removed through the Hadoop file system (metadata operations only;
     folder names are unescaped, so values with ``:`` or blanks match)."""
-    if _is_path(target):
-        expired = []
-        for value, handle in sorted(_partition_dirs(spark, target, partition_col)):
-            if value < before:
-                if isinstance(handle, tuple):
-                    fs, path = handle
-                    fs.delete(path, True)
-                else:
-                    import shutil
-                    shutil.rmtree(handle)
-                expired.append(value)
-        return expired
-    parts = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
     expired = []
-    for spec in parts:
-        from urllib.parse import unquote
-        kv = {k: unquote(v) for k, v in (x.split("=", 1) for x in spec.split("/"))}
-        v = kv.get(partition_col)
-        if v is not None and v < before:
-            spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({partition_col}='{v}')")
-            expired.append(v)
+    for value, drop in sorted(_partitions(spark, target, partition_col), key=lambda x: x[0]):
+        if value < before:
+            drop()
+            expired.append(value)
     return expired
 
 
+def drop_batch(spark: SparkSession, target: str, value: str, partition_col: str = "batch_no") -> bool:
+    """Drop one batch (a re-run with an empty result replaces its rows by none)."""
+    found = [drop for v, drop in _partitions(spark, target, partition_col) if v == value]
+    for drop in found:
+        drop()
+    return bool(found)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", properties: dict | None = None,
                truncate: bool = True, stringify: bool = False, null_text: str | None = None) -> None:
     """JDBC sink.  ``mode="overwrite"`` with ``truncate=True`` empties the existing table and

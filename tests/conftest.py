@@ -14,6 +14,7 @@ def spark():
 
     from parcelflow.session import local_session
     warehouse = tempfile.mkdtemp(prefix="parcelflow-warehouse-")
-    s = local_session("*", shuffle_partitions=8, extra={"spark.sql.warehouse.dir": warehouse})
+    s = local_session("*", shuffle_partitions=8, extra={
+        "spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": tempfile.mkdtemp(prefix="parcelflow-checkpoint-")})
     yield s
     s.stop()

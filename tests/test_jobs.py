@@ -1,5 +1,6 @@
 """The jobs end to end on the derived logistics feeds, written to path targets."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelflow.operators import dedup
@@ -18,7 +19,8 @@ def test_clean_forecast_warning_unscan_to_paths(spark, tmp_path):
 
     t = R.cleaned_logistics(spark, SF)
     fc_path = str(tmp_path / "forecast")
-    first = jobs.run_forecast(t, "2001-09-01 13:45:00", fc_path, keep_days=5)
+    first = jobs.run_forecast(t, "2001-09-01 13:45:00", fc_path, keep_days=5, line_target=str(tmp_path / "line_info"))
+    assert spark.read.parquet(str(tmp_path / "line_info")).columns == [f.name for f in jobs.schemas.LINE_INFO.fields]
     jobs.run_forecast(t, "2001-09-03 13:45:00", fc_path, keep_days=5)
     jobs.run_forecast(t, "2001-09-09 13:45:00", fc_path, keep_days=5)    # expires the 09-01 and 09-03 batches
     batches = sorted(r[0] for r in spark.read.parquet(fc_path).select(F.col("batch_no").cast("string"))
@@ -32,22 +34,71 @@ def test_clean_forecast_warning_unscan_to_paths(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "unscan")).count() == u.count()
 
 
-def test_upsert_table_skips_empty_slices(spark):
-    hist = spark.createDataFrame([("1", "2024-01-01 00:00:00", "x")], "id string, inflow_time string, v string")
-    hist = dedup.standardize_timestamps(hist, ["inflow_time"])
-    empty = spark.createDataFrame([], "id string, inflow_time string, v string")
-    assert clean.upsert_table(hist, empty, clean.CLEAN_SPECS["volume_sign"]) is hist
-    new = spark.createDataFrame([("1", "2024-01-02 00:00:00", "y")], "id string, inflow_time string, v string")
-    out = clean.upsert_table(hist, new, clean.CLEAN_SPECS["volume_sign"])
-    assert [r.v for r in out.collect()] == ["y"]
+def _feed(spark, rows):
+    """A sign feed: (id, create_time, inflow_time, waybill_number); the other fields are NULL spellings."""
+    spec = clean.CLEAN_SPECS["volume_sign"]
+    df = spark.createDataFrame(rows, "id string, create_time string, inflow_time string, waybill_number string")
+    return df.select(*[F.col(c) if c in df.columns else F.lit("\\N").alias(c) for c in spec.columns]), spec
 
 
-def test_clean_spec_projection(spark):
-    import pytest
-    raw = spark.createDataFrame([("1", "2024-01-01 00:00:00", "2024-01-01 00:00:00", "a", "tmp")],
-                                "id string, create_time string, inflow_time string, v string, helper string")
-    spec = clean.CleanSpec(columns=("id", "v", "inflow_time"))
-    out = clean.clean_table(raw, spec, "2024-01-05 00:00:00", days=7)
-    assert out.columns == ["id", "v", "inflow_time"] and out.count() == 1
+def test_raw_iso_versions_keep_the_latest(spark):
+    raw, spec = _feed(spark, [
+        ("1", "2019-12-12T10:00:00.000Z", "2019-12-12T10:00:00.000Z", "zzz"),
+        ("1", "2019-12-12T10:00:00.000Z", "2019-12-13T10:00:00.000Z", "new"),
+        ("1", "NULL", "null", "zzzz"), ("2", "nonsense", " ", "kept")])
+    out = {r.id: r for r in clean.clean_table(raw, spec, None, days=None).collect()}
+    assert out["1"].waybill_number == "new" and str(out["1"].inflow_time) == "2019-12-13 10:00:00"
+    assert out["2"].create_time is None and out["2"].is_active is None
+    rejects = clean.time_rejects(raw, spec).first()
+    assert (rejects.create_time_rejects, rejects.inflow_time_rejects) == (1, 0)
+
+
+def test_upsert_table_with_and_without_new_rows(spark):
+    old, spec = _feed(spark, [("1", "2024-01-01 00:00:00", "2024-01-01 00:00:00", "x"),
+                              ("1", "2024-01-01 00:00:00", "2023-01-01 00:00:00", "older")])
+    history = dedup.standardize_timestamps(old, spec.ts_cols)
+    empty, _ = _feed(spark, [])
+    assert [r.waybill_number for r in clean.upsert_table(history, empty, spec).collect()] == ["x"]
+    new, _ = _feed(spark, [("1", "2024-01-02T00:00:00.000Z", "2024-01-02T00:00:00.000Z", "y")])
+    assert [r.waybill_number for r in clean.upsert_table(history, new, spec).collect()] == ["y"]
+
+
+def test_missing_fields_and_tables_are_errors(spark):
+    raw, spec = _feed(spark, [("1", "2024-01-01 00:00:00", "2024-01-01 00:00:00", "x")])
+    for lacking in ("sign_time", "is_active"):
+        with pytest.raises(ValueError):
+            clean.clean_table(raw.drop(lacking), spec, "2024-01-05 00:00:00", days=None)
+    with pytest.raises(Exception):
+        clean.clean_table(raw.drop("create_time"), spec, "2024-01-05 00:00:00", days=7)
+    with pytest.raises(ValueError):
+        clean.run_batch({"volume_box": raw}, 1, None, days=None)
+
+
+def test_empty_rerun_replaces_the_batch(spark, tmp_path):
+    from parcelflow.sources import sinks
+    target = str(tmp_path / "batches")
+    df = spark.createDataFrame([(1, "b1"), (2, "b2")], "v int, day string")
+    sinks.write_partitioned(df, target, {"batch_no": "day"})
+    assert sinks.drop_batch(spark, target, "b1") and not sinks.drop_batch(spark, target, "b9")
+    assert [r.v for r in spark.read.parquet(target).collect()] == [2]
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from parcelflow import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802 - Spark's name
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815 - Spark's name
+
+        class conf:  # noqa: N801 - Spark's name
+            @staticmethod
+            def get(key, default):
+                return default
+
     with pytest.raises(ValueError):
-        clean.clean_table(raw, clean.CleanSpec(columns=("id", "nope")), "2024-01-05 00:00:00", days=None)
+        session.checkpoint_dir(Session())
