@@ -105,20 +105,26 @@ def timetable(lines: DataFrame) -> DataFrame:
     second (the one with the smallest run, then unload — the only one any lookup can pick).
 
     The array is bounded by construction: at most 86,400 entries (one per second of the day),
-    however large the network grows."""
+    however large the network grows.  ``hours[h]`` counts the departures before hour ``h``, so
+    that a lookup only reads the departures of one hour."""
     per_second = (lines.groupBy(SRC, DST, F.col("leave_secs").alias("secs"))
                   .agg(F.min(F.struct(F.col("run_minutes").alias("run"), F.col("unload_time").alias("unload")))
                        .alias("best")))
     entry = F.struct(F.col("secs"), F.col("best.run").alias("run"), F.col("best.unload").alias("unload"))
-    return per_second.groupBy(SRC, DST).agg(F.sort_array(F.collect_list(entry)).alias("tt"))
+    pairs = per_second.groupBy(SRC, DST).agg(F.sort_array(F.collect_list(entry)).alias("tt"))
+    return pairs.withColumn("hours", F.transform(F.sequence(F.lit(0), F.lit(24)), lambda h: F.size(
+        F.filter("tt", lambda x: x["secs"] < h * 3600))))
 
 
-def _first_at_or_after(tt: Column, x: Column) -> Column:
+def _first_at_or_after(tt: Column, hours: Column, x: Column) -> Column:
     """1-based index into ``tt`` of the first departure whose second of day is >= ``x``
-    (``size + 1`` when there is none): the first position of ``x`` in the sorted concatenation
-    of the leave seconds and ``x`` — plain array functions, no lambda."""
-    secs = tt["secs"].cast("array<bigint>")
-    return F.array_position(F.sort_array(F.concat(secs, F.array(x.cast("bigint")))), x.cast("bigint"))
+    (``size + 1`` when there is none): the departures before ``x``'s hour, plus the first position
+    of ``x`` in the sorted concatenation of that hour's leave seconds and ``x``."""
+    hour = F.least(F.floor(x / F.lit(3600)), F.lit(24)).cast("int")
+    before = F.get(hours, hour)
+    within = F.slice(tt, before + 1, F.coalesce(F.get(hours, hour + 1), before) - before)["secs"].cast("array<bigint>")
+    x = x.cast("bigint")
+    return before + F.array_position(F.sort_array(F.concat(within, F.array(x))), x)
 
 
 def _micros_of_day(ts: Column, day0: Column) -> Column:
@@ -129,7 +135,7 @@ def _ceil_secs(us: Column) -> Column:
     return F.ceil(us.cast("double") / F.lit(1_000_000.0)).cast("bigint")
 
 
-def next_in(tt: Column, ready: Column) -> Column:
+def next_in(tt: Column, hours: Column, ready: Column) -> Column:
     """Next departure at or after ``ready`` on its calendar day, else the first departure of the
     next day.  Returns struct(start, run, unload) or NULL (no departures / no time)."""
     def with_day(day0):
@@ -142,7 +148,7 @@ def next_in(tt: Column, ready: Column) -> Column:
                                     F.timestamp_add("DAY", F.lit(1), day0)).alias("start"),
                     first_any["run"].alias("run"), first_any["unload"].alias("unload")))
             return let(chosen, lambda c: F.when(c["start"].isNotNull(), c))
-        k = _first_at_or_after(tt, _ceil_secs(_micros_of_day(ready, day0)))
+        k = _first_at_or_after(tt, hours, _ceil_secs(_micros_of_day(ready, day0)))
         return let(F.get(tt, k - 1), with_today)
     return let(F.date_trunc("DAY", ready).cast("timestamp_ntz"), with_day)
 
@@ -160,27 +166,29 @@ def nearest_departure(df: DataFrame, tt: DataFrame, src_col: str, dst_col: str,
     (``src_col`` -> ``dst_col``) closest to ``depart_col`` on the same day (NULL when the pair
     has no line).  One left join with the per-pair timetable; the lookup is an insertion-point
     search with array functions in materialised columns, so it stays in whole-stage codegen."""
-    t = tt.select(F.col(SRC).alias("__pf_s"), F.col(DST).alias("__pf_d"), F.col("tt").alias("__pf_tt"))
+    t = tt.select(F.col(SRC).alias("__pf_s"), F.col(DST).alias("__pf_d"), F.col("tt").alias("__pf_tt"),
+                  F.col("hours").alias("__pf_hours"))
     j = df.join(t, (df[src_col] == t["__pf_s"]) & (df[dst_col] == t["__pf_d"]), "left")
     tt_c, ts = F.col("__pf_tt"), F.col(depart_col)
     j = (j.withColumn("__pf_us", _micros_of_day(ts, F.date_trunc("DAY", ts).cast("timestamp_ntz")))
-         .withColumn("__pf_k", _first_at_or_after(tt_c, _ceil_secs(F.col("__pf_us"))))
+         .withColumn("__pf_k", _first_at_or_after(tt_c, F.col("__pf_hours"), _ceil_secs(F.col("__pf_us"))))
          .withColumn("__pf_best", _nearest_cols(tt_c, ts, F.col("__pf_us"), F.col("__pf_k"))))
     return (j.withColumn("run_minutes", F.col("__pf_best.run"))
             .withColumn("unload_time", F.col("__pf_best.unload"))
             .withColumn("line_leave_time", secs_to_text(F.col("__pf_best.secs")))
-            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_us", "__pf_k", "__pf_best"))
+            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_hours", "__pf_us", "__pf_k", "__pf_best"))
 
 
 def next_departure(df: DataFrame, tt: DataFrame, src_col: str, dst_col: str, ready_col: str) -> DataFrame:
     """Add ``start_time`` (next departure at/after ``ready_col``, rolling to the next day),
     ``end_time`` = start + run minutes, and ``next_ready`` = end + unload hours (codegen'd
     insertion-point lookup, as in ``nearest_departure``)."""
-    t = tt.select(F.col(SRC).alias("__pf_s"), F.col(DST).alias("__pf_d"), F.col("tt").alias("__pf_tt"))
+    t = tt.select(F.col(SRC).alias("__pf_s"), F.col(DST).alias("__pf_d"), F.col("tt").alias("__pf_tt"),
+                  F.col("hours").alias("__pf_hours"))
     j = df.join(t, (df[src_col] == t["__pf_s"]) & (df[dst_col] == t["__pf_d"]), "left")
     tt_c, ready = F.col("__pf_tt"), F.col(ready_col)
     j = (j.withColumn("__pf_day0", F.date_trunc("DAY", ready).cast("timestamp_ntz"))
-         .withColumn("__pf_k", _first_at_or_after(tt_c, _ceil_secs(_micros_of_day(ready, F.col("__pf_day0"))))))
+         .withColumn("__pf_k", _first_at_or_after(tt_c, F.col("__pf_hours"), _ceil_secs(_micros_of_day(ready, F.col("__pf_day0"))))))
     today, first_any = F.get(tt_c, F.col("__pf_k") - 1), F.get(tt_c, 0)
     start = F.when(today.isNotNull(), F.timestamp_add("SECOND", today["secs"].cast("long"), F.col("__pf_day0"))) \
         .otherwise(F.timestamp_add("SECOND", first_any["secs"].cast("long"),
@@ -192,4 +200,4 @@ def next_departure(df: DataFrame, tt: DataFrame, src_col: str, dst_col: str, rea
     return (j.withColumn("end_time", end)
             .withColumn("next_ready", timefmt.add_hours(F.col("end_time"), F.col("__pf_unload").cast("double"),
                                                         fractional=True))
-            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_day0", "__pf_k", "__pf_run", "__pf_unload"))
+            .drop("__pf_s", "__pf_d", "__pf_tt", "__pf_hours", "__pf_day0", "__pf_k", "__pf_run", "__pf_unload"))

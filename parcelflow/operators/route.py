@@ -120,7 +120,7 @@ def _step(acc: Column, leg: Column) -> Column:
             let(F.timestamp_add("MINUTE", nx["run"].cast("long"), nx["start"]), with_end))
     halt = F.struct(acc["t"].alias("t"), F.lit(True).alias("stop"), acc["out"].alias("out"))
     # once stopped, later legs are not looked up at all
-    return F.when(acc["stop"], halt).otherwise(let(L.next_in(leg["tt"], acc["t"]), with_next))
+    return F.when(acc["stop"], halt).otherwise(let(L.next_in(leg["tt"], leg["hours"], acc["t"]), with_next))
 
 
 def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key, ready_col: str, carry=()) -> DataFrame:
@@ -134,9 +134,9 @@ def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key, ready_col: str, carry
     through the grouping, so no join back is needed), leg_idx, src, dst, path_no, pre_org,
     start_time, end_time.
     """
-    t = tt.select(F.col(L.SRC).alias("__pf_s"), F.col(L.DST).alias("__pf_d"), F.col("tt"))
+    t = tt.select(F.col(L.SRC).alias("__pf_s"), F.col(L.DST).alias("__pf_d"), F.col("tt"), F.col("hours"))
     j = leg_rows.join(t, (leg_rows["src"] == t["__pf_s"]) & (leg_rows["dst"] == t["__pf_d"]), "left")
-    leg = F.struct("leg_idx", "src", "dst", "path_no", "pre_org", "tt")
+    leg = F.struct("leg_idx", "src", "dst", "path_no", "pre_org", "tt", "hours")
     keys = _keys(key)
     grouped = j.groupBy(*keys).agg(F.min(ready_col).alias("__pf_ready"),
                                  F.sort_array(F.collect_list(leg)).alias("__pf_legs"),

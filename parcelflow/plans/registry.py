@@ -127,6 +127,38 @@ def q_format_ts(spark, d):
     return ev.select("event_id", *[timefmt.format_ts("ts", n).alias(fmt_alias(n)) for n in timefmt.FORMATS])
 
 
+def _texts(spark, d) -> DataFrame:
+    """Event times printed in one of the layouts, ISO, or as something that is no time."""
+    ev = table(spark, d, "events")
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    full = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    odd = [iso, F.concat(full, F.lit("123456789012")), F.concat(F.lit("x"), full), F.lit(" "), full]
+    k = (F.col("event_id") % (len(PRINT_LAYOUTS) + len(odd))).cast("int")
+    text = None
+    for i, v in enumerate([*(F.date_format("ts", pat) for pat in PRINT_LAYOUTS), *odd]):
+        text = F.when(k == i, v) if text is None else text.when(k == i, v)
+    return ev.select("event_id", k.alias("kind"), text.alias("text"))
+
+
+@register("parse_five_layouts")
+def q_parse_five_layouts(spark, d):
+    return _texts(spark, d).select("event_id", "kind", timefmt.parse_ts_strict5("text").alias("parsed"))
+
+
+@register("iso_to_ts")
+def q_iso_to_ts(spark, d):
+    return _texts(spark, d).select("event_id", "kind", timefmt.iso_to_ts("text").alias("parsed"),
+                                   timefmt.parse_ts("text").alias("without_iso"))
+
+
+@register("format_text")
+def q_format_text(spark, d):
+    return _texts(spark, d).select("event_id", timefmt.format_text("text", "TIME").alias("as_time"),
+                                   timefmt.format_text("text", "DATEASKEY").alias("as_key"),
+                                   timefmt.format_pattern(timefmt.parse_ts("text"), "dd.MM.yyyy HH").alias("as_pattern"),
+                                   timefmt.format_pattern(timefmt.parse_ts("text"), None).alias("no_pattern"))
+
+
 @register("minutes_between")
 def q_minutes_between(spark, d):
     ev = table(spark, d, "events")
@@ -421,6 +453,62 @@ def q_csv_round_trip(spark, d):
     return tables["customer"]
 
 
+def _fresh_table(tag: str) -> str:
+    return f"parcelflow_{tag}_{uuid.uuid4().hex}"
+
+
+@register("first_load")
+def q_first_load(spark, d):
+    """A managed table is made by its first load and read by name."""
+    name = _fresh_table("first")
+    sinks.write_table(table(spark, d, "customer"), name, fmt="parquet")
+    return readers.read_table(spark, name)
+
+
+@register("table_reload")
+def q_table_reload(spark, d):
+    """A later load replaces the rows and keeps the definition, whatever the frame's column order."""
+    cust = table(spark, d, "customer")
+    name = _fresh_table("reload")
+    sinks.write_table(cust, name, fmt="parquet")
+    again = cust.withColumn("c_acctbal", F.col("c_acctbal") + 1.0)
+    sinks.write_table(again.select(*reversed(again.columns)), name, fmt="parquet")
+    return readers.read_table(spark, name)
+
+
+@register("guarded_drop")
+def q_guarded_drop(spark, d):
+    """Drops stay inside the allowed prefix: the orders table survives, the customer table goes."""
+    kept, gone = _fresh_table("keep"), _fresh_table("drop")
+    sinks.write_table(table(spark, d, "orders"), kept, fmt="parquet")
+    sinks.write_table(table(spark, d, "customer"), gone, fmt="parquet")
+    refused = sinks.drop_table(spark, kept, "other_")
+    dropped = sinks.drop_table(spark, gone, "parcelflow_")
+    return spark.table(kept).agg(F.count("*").alias("kept_rows")).select(
+        "kept_rows", F.lit(refused).alias("foreign_dropped"),
+        F.lit(dropped and not spark.catalog.tableExists(gone)).alias("own_dropped"))
+
+
+def _sign_upsert(spark, d, new_rows: bool) -> DataFrame:
+    raw = derived.logistics_tables(spark, d)["volume_sign"]
+    spec = clean_job.CLEAN_SPECS["volume_sign"]
+    history = clean_job.clean_table(raw, spec, None, days=None)
+    new = raw.filter(F.col("id").cast("long") % 2 == 0) if new_rows else raw.filter(F.lit(False))
+    new = new.withColumn("operation_department_code", F.lit("N01")) \
+        .withColumn("inflow_time", F.lit("2030-01-01T00:00:00.000Z"))
+    return clean_job.upsert_table(history, new, spec)
+
+
+@register("upsert_table")
+def q_upsert_table(spark, d):
+    return _sign_upsert(spark, d, True)
+
+
+@register("upsert_table_idle")
+def q_upsert_table_idle(spark, d):
+    return _sign_upsert(spark, d, False)
+
+
 def _events_by_day(spark, d):
     ev = table(spark, d, "events")
     return ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
