@@ -117,9 +117,11 @@ SENTENCES = [
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "proprietary and confidential", r"proprietary and confidential"),
 ]
+_BORDER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: A text without any of these has no match of any rule but the base phrases (which have them too).
-ROOTS = r"(?i)licen|gpl|mpl|cc[^a-z]by|cc0|creative commons|public domain|cecill|permission (?:is|to)|redistribution" \
-        r"|neither the name|free software|all rights reserved|without any express|do what the|proprietary|mulan"
+ROOTS = (r"(?i)licen|gpl|mpl|cc by|cc0|creative commons|public domain|cecill|permission (?:is|to)|redistribution"
+         r"|neither the name|free software|unencumbered|all rights reserved|without any express|do what the|proprietary"
+         r"|mulan").replace(" ", _BORDER)
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 

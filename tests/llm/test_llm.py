@@ -294,7 +294,7 @@ def test_licenses(spark, docs, empty):
     listed = ["MIT License", "cc by cc by cc by", "x CC-BY-SA 4.0, y", "amit license mit licenses", "lİcense mİt license",
               "The GNU General Public License, version 2 or later. Apache License, Version 2.0",
               "Licensed under the Apache License, Version 2.0 (the \"License\")", "SPDX-License-Identifier: GPL-2.0-only",
-              "apache\nlicense – mit--license", "Permission is hereby granted, free of charge, to any person obtaining a copy"]
+              "apache\nlicense – mit--license", "under CC - BY\n\nnow", "Creative\t Commons: Attribution", "Permission is hereby granted, free of charge, to any person obtaining a copy"]
     frame = spark.createDataFrame([(1000 + i, t, "x") for i, t in enumerate(listed)], "doc_id long, text string, labels string")
     got = licenses.scan(frame.select("doc_id", "text").unionByName(docs.select("doc_id", "text"))).toPandas()
     known = {**{1000 + i: t for i, t in enumerate(listed)}, **texts()}
@@ -305,7 +305,7 @@ def test_licenses(spark, docs, empty):
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
     labels = got.set_index("doc_id")["labels"]
     assert labels[1002] == "cc-by,cc-by-sa" and labels[1005] == "apache,apache-2.0,gpl,gpl-2-or-later"
-    assert labels[1009] == "mit" and len(licenses.rules()) > 200
+    assert labels[1011] == "mit" and labels[1009] == labels[1010] == "cc-by" and len(licenses.rules()) > 200
     assert licenses.scan(empty).count() == 0 and licenses.scan(frame).where("doc_id = 1000").first()["score"] == 1.0
 
 
