@@ -138,7 +138,7 @@ def rules() -> list[tuple[str, str, str, int]]:
             out.append((label, keyword, lead + name, 40))
         out.append((label, keyword, name, 50))
         out.append((label, "spdx license identifier", rf"spdx license identifier {name}", 30))
-    out += [(label, "cc", regex, 45) for label, regex in CREATIVE]
+    out += [(label, "cc" if regex.startswith("cc") else "creative commons", regex, 45) for label, regex in CREATIVE]
     out += [(label, keyword, regex, 35) for label, keyword, regex in SENTENCES]
     return out
 
