@@ -551,7 +551,8 @@ def q_stream_clean_latest(spark, d):
                                             f"{base}/changes", f"{base}/_checkpoint", tie_breakers=["event_id"],
                                             file_glob="events.parquet")
     q.awaitTermination()
-    return incremental.cleaned(spark, f"{base}/changes", ["user_id", "event_type"], ["ts"], ["event_id"])
+    incremental.fold(spark, f"{base}/changes", f"{base}/table", ["user_id", "event_type"], ["ts"], ["event_id"])
+    return spark.read.parquet(f"{base}/table").drop(incremental.VERSION_COL)
 
 
 # ---------------------------------------------------------------- role-playing org joins and province pairs

@@ -95,7 +95,7 @@ def write_partitioned(df: DataFrame, target: str, partitions: dict, overwrite: b
         out.write.mode("append").partitionBy(*partitions).format(fmt).saveAsTable(target)
 
 
-def _partitions(spark: SparkSession, target: str, partition_col: str) -> list[tuple[str, Callable[[], object]]]:
+def partitions(spark: SparkSession, target: str, partition_col: str) -> list[tuple[str, Callable[[], object]]]:
     """(value, function that drops it) of every partition of a path or catalog table."""
     if not _is_path(target):
         specs = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
@@ -117,7 +117,7 @@ def expire_batches(spark: SparkSession, target: str, before: str, partition_col:
     partition folders are removed through the Hadoop file system (metadata operations only;
     folder names are unescaped, so values with ``:`` or blanks match)."""
     expired = []
-    for value, drop in sorted(_partitions(spark, target, partition_col), key=lambda x: x[0]):
+    for value, drop in sorted(partitions(spark, target, partition_col), key=lambda x: x[0]):
         if value < before:
             drop()
             expired.append(value)
@@ -126,7 +126,7 @@ def expire_batches(spark: SparkSession, target: str, before: str, partition_col:
 
 def drop_batch(spark: SparkSession, target: str, value: str, partition_col: str = "batch_no") -> bool:
     """Drop one batch (a re-run with an empty result replaces its rows by none)."""
-    found = [drop for v, drop in _partitions(spark, target, partition_col) if v == value]
+    found = [drop for v, drop in partitions(spark, target, partition_col) if v == value]
     for drop in found:
         drop()
     return bool(found)

@@ -1,3 +1,3 @@
 """Structured Streaming entry points (incremental cleaning)."""
 
-from .incremental import cleaned, start_incremental_clean  # noqa: F401
+from .incremental import cleaned, fold, start_incremental_clean  # noqa: F401

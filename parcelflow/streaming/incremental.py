@@ -5,7 +5,8 @@ files, each micro-batch is reduced to its latest version per key and written as
 ``batch_id=<epoch>`` of a change table with dynamic partition overwrite — a retried epoch
 replaces its own partition, so the sink is idempotent.  The cleaned table is the change table
 reduced once more to the latest version per key (``cleaned``), which is exactly the batch
-result over all records seen so far.
+result over all records seen so far.  ``fold`` folds the changes into a table of one row per key, so
+that later reads do not go through the whole history.
 
 ``trigger(availableNow=True)`` processes everything available and stops, which is how an
 hourly scheduler drives it; the checkpoint folder must live on shared storage.
@@ -19,8 +20,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators import dedup
+from ..sources.sinks import partitions
 
 BATCH_COL = "batch_id"
+VERSION_COL = "version"
 
 
 def start_incremental_clean(spark: SparkSession, source_dir: str, schema: StructType, keys, order_by,
@@ -46,7 +49,42 @@ def start_incremental_clean(spark: SparkSession, source_dir: str, schema: Struct
     return writer.start()
 
 
-def cleaned(spark: SparkSession, changes_path: str, keys, order_by, tie_breakers="all") -> DataFrame:
-    """Latest version per key over every micro-batch written so far."""
-    changes = spark.read.parquet(changes_path).drop(BATCH_COL)
-    return dedup.latest_per_key(changes, keys, order_by, tie_breakers)
+def _state(spark: SparkSession, changes_path: str, table_path: str | None) -> tuple[DataFrame | None, int]:
+    """(rows, last epoch in them): the newest folded version of the table, None and -1 without one."""
+    versions = sorted(int(v) for v, _ in partitions(spark, table_path, VERSION_COL)) if table_path else []
+    if not versions:
+        return None, -1
+    return spark.read.parquet(f"{table_path}/{VERSION_COL}={versions[-1]}"), versions[-1]
+
+
+def cleaned(spark: SparkSession, changes_path: str, keys, order_by, tie_breakers="all",
+            table_path: str | None = None) -> DataFrame:
+    """Latest version per key: the folded table at ``table_path`` (if any) and the epochs after it."""
+    rows, last = _state(spark, changes_path, table_path)
+    epochs = [int(v) for v, _ in partitions(spark, changes_path, BATCH_COL) if int(v) > last]
+    if epochs or rows is None:
+        changes = spark.read.parquet(changes_path).filter(F.col(BATCH_COL) > F.lit(last)).drop(BATCH_COL)
+        rows = changes if rows is None else rows.unionByName(changes)
+    return dedup.latest_per_key(rows, keys, order_by, tie_breakers)
+
+
+def fold(spark: SparkSession, changes_path: str, table_path: str, keys, order_by, tie_breakers="all") -> int:
+    """Fold all epochs into a new version of the table and drop what it replaces; returns the last
+    epoch folded.
+
+    The new version is a folder of its own, written whole before the old version and the folded
+    epochs go, so a run that fails in between is repeated without loss.  Run it after each
+    ``availableNow`` run: reads then cost the table, not the history.
+    """
+    last = max((int(v) for v, _ in partitions(spark, changes_path, BATCH_COL)), default=-1)
+    _, had = _state(spark, changes_path, table_path)
+    if last > had:
+        table = cleaned(spark, changes_path, keys, order_by, tie_breakers, table_path)
+        table.write.mode("overwrite").parquet(f"{table_path}/{VERSION_COL}={last}")
+    for value, drop in partitions(spark, table_path, VERSION_COL):
+        if int(value) < max(last, had):
+            drop()
+    for value, drop in partitions(spark, changes_path, BATCH_COL):
+        if int(value) <= max(last, had):
+            drop()
+    return max(last, had)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from parcelflow.operators import dedup
-from parcelflow.streaming import cleaned, start_incremental_clean
+from parcelflow.streaming import cleaned, fold, start_incremental_clean
 
 
 def test_two_epochs_equal_batch(spark, tmp_path):
@@ -26,3 +26,14 @@ def test_two_epochs_equal_batch(spark, tmp_path):
     want = dedup.latest_per_key(ev, ["user_id", "event_type"], ["ts"], ["event_id"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert spark.read.parquet(str(tmp_path / "changes")).select("batch_id").distinct().count() == 2
+
+    table, keys = str(tmp_path / "table"), (["user_id", "event_type"], ["ts"], ["event_id"])
+    assert fold(spark, str(tmp_path / "changes"), table, *keys) == 1
+    assert fold(spark, str(tmp_path / "changes"), table, *keys) == 1  # nothing new
+    late = ev.limit(1).withColumn("ts", F.lit("2030-01-01 00:00:00").cast("timestamp_ntz"))
+    late.withColumn("batch_id", F.lit(2)).write.partitionBy("batch_id").mode("append").parquet(str(tmp_path / "changes"))
+    got = cleaned(spark, str(tmp_path / "changes"), *keys, table_path=table)
+    want = dedup.latest_per_key(ev.unionByName(late), *keys)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert fold(spark, str(tmp_path / "changes"), table, *keys) == 2
+    assert sorted(map(tuple, spark.read.parquet(table).drop("version").collect())) == sorted(map(tuple, want.collect()))
