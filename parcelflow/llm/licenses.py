@@ -2,7 +2,7 @@
 
 A text is brought to its words (lower-cased A-Z, runs of other ASCII characters as borders), joined
 by single spaces.  A rule is a regex over that line, a label, a priority and a keyword: only rules
-whose keyword occurs in the text are matched, and only texts with any of the few root keywords are
+whose keyword occurs in the text are matched, and only texts with any of the few root words are
 looked at at all.  Matches are places (first word, word after the last).  Of overlapping matches a
 place inside a larger one is suppressed, and of two equal places or places that overlap without containment the
 one with the better priority (smaller number) stays; equal priorities keep both.
@@ -17,6 +17,8 @@ whole; repeated rows are scanned one by one; extra columns are dropped; an empty
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,11 +119,10 @@ SENTENCES = [
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "proprietary and confidential", r"proprietary and confidential"),
 ]
-_BORDER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: A text without any of these has no match of any rule but the base phrases (which have them too).
-ROOTS = (r"(?i)licen|gpl|mpl|cc by|cc0|creative commons|public domain|cecill|permission (?:is|to)|redistribution"
-         r"|neither the name|free software|unencumbered|all rights reserved|without any express|do what the|proprietary"
-         r"|mulan").replace(" ", _BORDER)
+#: A lower-cased text without any of these, and without the mark below, has no match of any rule.
+ROOTS = ("licen", "gpl", "mpl", "cc0", "commons", "domain", "cecill", "permission", "redistribut", "endorse",
+         "reserved", "warranty", "proprietary")
+MARK = r"cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -150,13 +151,24 @@ def _words_line(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(line), F.lit(" "))
 
 
+def _has_root(lower: Column) -> Column:
+    # Lower-casing all letters is enough here: no letter outside A-Z becomes one that the roots have
+    # but K, which no root has.
+    mark = F.contains(lower, F.lit("cc")) & lower.rlike(MARK)
+    return reduce(lambda a, b: a | b, [F.contains(lower, F.lit(r)) for r in ROOTS], mark)
+
+
+def _whole(regex: Column) -> Column:
+    return F.concat(F.lit("(?<= )(?:"), regex, F.lit(")(?= )"))
+
+
 def _count_words(part: Column) -> Column:
     return F.length(part) - F.length(F.replace(part, F.lit(" "), F.lit("")))
 
 
 def _places(line: Column, regex: Column) -> Column:
     """Array of (start, end) in words of all matches of ``regex`` between spaces."""
-    whole = F.concat(F.lit("(?<= )(?:"), regex, F.lit(")(?= )"))
+    whole = _whole(regex)
     return let(F.struct(F.split(line, whole, -1).alias("out"), F.regexp_extract_all(line, whole, F.lit(0)).alias("hit")),
                lambda m: F.get(F.aggregate(
                    F.zip_with(F.slice(m["out"], 1, F.size(m["hit"])), m["hit"],
@@ -181,11 +193,14 @@ def scan(docs: DataFrame) -> DataFrame:
                                F.lit(regex).alias("regex"), F.lit(priority).alias("priority"))
                       for label, keyword, regex, priority in rules()])
     base = F.array(*[F.struct(F.lit(p).alias("phrase"), F.lit(label).alias("label")) for p, label in BASE.items()])
-    rows = docs.select("doc_id", text_of().alias("text")).select(
+    rows = docs.select("doc_id", text_of().alias("text"), F.lower(text_of()).alias("lower")).select(
         "doc_id", F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
-        F.when(F.col("text").rlike(ROOTS), _words_line(F.col("text"))).alias("line"))
+        F.when(_has_root(F.col("lower")), _words_line(F.col("text"))).alias("line"))
+    keywords = F.array(*[F.lit(k) for k in sorted({r[1] for r in rules()})])
+    candidates = let(F.filter(keywords, lambda k: F.contains(F.col("line"), k)), lambda held: F.filter(
+        table, lambda r: F.array_contains(held, r["keyword"]) & F.rlike(F.col("line"), _whole(r["regex"]))))
     found = F.when(F.col("line").isNotNull(), F.flatten(F.transform(
-        F.filter(table, lambda r: F.contains(F.col("line"), r["keyword"])),
+        candidates,
         lambda r: F.transform(_places(F.col("line"), r["regex"]), lambda p: F.struct(
             p["start"].alias("start"), p["end"].alias("end"), r["priority"].alias("priority"), r["label"].alias("label"))))))
     plain = F.when(F.col("line").isNotNull(), F.flatten(F.transform(
