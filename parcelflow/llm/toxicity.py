@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parcelflow.llm.bpe import slices
 from parcelflow.llm.common import text_of
 
 BUCKET_BITS = 20
@@ -41,7 +42,7 @@ EPOCHS = 60
 RATES = (0.5, 0.1, 0.1)
 THRESHOLD = 0.3
 #: Words kept per worker before the memory of seen words starts anew.
-MEMORY_WORDS = 1_000_000
+MEMORY_WORDS = 500_000
 # Fixed value: characters taken off both ends of a word.
 EDGES = b".,;:!?\"'()[]{}|"
 _PRIME = np.uint64(0x100000001B3)
@@ -112,6 +113,9 @@ class Model:
         self.counts = np.concatenate([self.counts, counts])
 
     def score(self, texts: list[str]) -> np.ndarray:
+        return np.concatenate([self._score(texts[i:j]) for i, j in slices(texts, 2_000_000)] or [np.empty(0)])
+
+    def _score(self, texts: list[str]) -> np.ndarray:
         words = [words_of(t) for t in texts]
         self._learn({w for ws in words for w in ws})
         out = np.full(len(texts), self.bias)
@@ -253,6 +257,8 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
         weight, bias = shared.value
         m = Model(weight, bias)
         for b in batches:
-            yield b[m.score(["" if t is None else t for t in b["text"]]) < threshold]
+            clean = m.score(["" if t is None else t for t in b["text"]]) < threshold
+            for i in range(0, len(b), 1000):  # smaller batches back, which copy less at a time
+                yield b.iloc[i:i + 1000][clean[i:i + 1000]]
 
     return docs.mapInPandas(run, docs.schema)
