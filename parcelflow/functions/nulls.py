@@ -33,7 +33,9 @@ def normalize_nulls(df: DataFrame, cols=None) -> DataFrame:
     if cols is None:
         cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     cols = set(cols)
-    return df.select(*[null_if_sentinel(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    spelled = ", ".join(f"r'{x}'" for x in NULL_SPELLINGS)
+    return df.selectExpr(*[f"CASE WHEN trim(cast(`{c}` AS string)) NOT IN ({spelled}) THEN `{c}` END AS `{c}`"
+                           if c in cols else f"`{c}`" for c in df.columns])
 
 
 def drop_sentinel_rows(df: DataFrame, cols) -> DataFrame:

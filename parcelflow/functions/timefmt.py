@@ -63,46 +63,49 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _parsed(text: Column, layouts) -> Column:
-    """``text`` rewritten from the first layout that matches all of it to ``y-M-d H:m:s`` and cast."""
-    plain = None
+def _parsed(c, layouts) -> Column:
+    """The text rewritten from the first layout that matches all of it to ``y-M-d H:m:s`` and cast.
+
+    A column named by its name is parsed by one SQL expression, which costs the driver one call
+    instead of one per function and layout.
+    """
+    cases = []
     for _, regex, fields in layouts:
-        whole = f"^{regex}$"
         group = {f: f"${i}" for i, f in enumerate(fields, start=1)}
         y, mo, d, h, mi, s = (group.get(f, default) for f, default in zip("ymdHMS", ("1970", "01", "01", "00", "00", "00")))
-        value = F.regexp_replace(text, whole, f"{y}-{mo}-{d} {h}:{mi}:{s}")
-        plain = F.when(text.rlike(whole), value) if plain is None else plain.when(text.rlike(whole), value)
+        cases.append((f"^{regex}$", f"{y}-{mo}-{d} {h}:{mi}:{s}"))
+    if isinstance(c, str):
+        t = f"trim(cast(`{c}` AS string))"
+        whens = " ".join(f"WHEN rlike({t}, r'{w}') THEN regexp_replace({t}, r'{w}', '{to}')" for w, to in cases)
+        return F.expr(f"try_cast(CASE {whens} END AS timestamp_ntz)")
+    text, plain = F.trim(c.cast("string")), None
+    for w, to in cases:
+        value = F.regexp_replace(text, w, to)
+        plain = F.when(text.rlike(w), value) if plain is None else plain.when(text.rlike(w), value)
     return plain.try_cast("timestamp_ntz")
 
 
-def _text(c) -> Column:
-    return F.trim(_as_col(c).cast("string"))
-
-
 def parse_ts(c) -> Column:
     """Text in any of the ``TEXT_LAYOUTS`` -> TIMESTAMP_NTZ; NULL when nothing matches or
     the calendar fields are impossible."""
-    return _parsed(_text(c), TEXT_LAYOUTS)
+    return _parsed(c, TEXT_LAYOUTS)
 
 
 def parse_ts_strict5(c) -> Column:
     """The five-layout variant (full timestamp, compact, date, 14- and 8-digit keys)."""
     keep = {"yyyy-MM-dd HH:mm:ss[.f]", "yyyy-MM-ddHH:mm:ss", "yyyy-MM-dd", "yyyyMMddHHmmss", "yyyyMMdd"}
-    return _parsed(_text(c), [layout for layout in TEXT_LAYOUTS if layout[0] in keep])
+    return _parsed(c, [layout for layout in TEXT_LAYOUTS if layout[0] in keep])
 
 
 def iso_to_ts(c) -> Column:
     """ISO text such as ``2019-12-12T10:00:00.000Z`` -> TIMESTAMP_NTZ (fraction and zone dropped).
     Every other layout is parsed as by ``parse_ts`` (decision Q2)."""
-    return _parsed(_text(c), [ISO_LAYOUT, *TEXT_LAYOUTS])
+    return _parsed(c, [ISO_LAYOUT, *TEXT_LAYOUTS])
 
 
 def to_ts(c, dtype: str) -> Column:
     """Bring a column of type ``dtype`` (a Spark simpleString) to TIMESTAMP_NTZ."""
-    c = _as_col(c)
-    if dtype == "string":
-        return iso_to_ts(c)
-    return c.cast("timestamp_ntz")
+    return iso_to_ts(c) if dtype == "string" else _as_col(c).cast("timestamp_ntz")
 
 
 def format_ts(c, name: str) -> Column:

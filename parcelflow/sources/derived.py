@@ -247,22 +247,19 @@ def as_raw_text(df: DataFrame, spec: CleanSpec) -> DataFrame:
     and the last no inflow time.  Fields that the driver tables have nothing for are
     NULL spellings.
     """
-    number = F.regexp_extract(F.col(spec.keys[0]), "[0-9]+", 0).cast("long")
-    versions = F.when(number % 10 == 3, F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    df = df.withColumn("__pf_no", number).withColumn("__pf_version", F.explode(versions))
-    inflow = F.col("inflow_time").cast("timestamp_ntz")
-    df = df.withColumn("inflow_time", F.when(F.col("__pf_version") == 0, inflow - F.expr("INTERVAL 1 DAY"))
-                       .when(F.col("__pf_version") == 1, inflow))
-
-    def text(c: str) -> Column:
+    df = df.selectExpr("*", f"cast(regexp_extract({spec.keys[0]}, '[0-9]+', 0) AS bigint) AS __pf_no") \
+        .selectExpr("*", "explode(CASE WHEN __pf_no % 10 = 3 THEN array(0, 1, 2) ELSE array(1) END) AS __pf_version")
+    own = {"inflow_time": "CASE __pf_version WHEN 0 THEN cast(inflow_time AS timestamp_ntz) - INTERVAL 1 DAY "
+                          "WHEN 1 THEN cast(inflow_time AS timestamp_ntz) END"}
+
+    def text(c: str) -> str:
         if c not in df.columns:
-            return F.lit("\\N")
+            return r"r'\N'"
         if c not in spec.ts_cols:
-            return F.col(c)
-        iso = F.date_format(F.col(c).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+            return c
+        iso = f"date_format({own.get(c, f'cast({c} AS timestamp_ntz)')}, \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
         if c != "create_time":
-            return F.coalesce(iso, F.lit("NULL"))
-        return F.when(F.col("__pf_no") % 97 == 5, F.lit("null")).when(
-            F.col("__pf_no") % 97 == 6, F.lit("2001-13-45T00:00:00.000Z")).otherwise(iso)
+            return f"coalesce({iso}, 'NULL')"
+        return f"CASE __pf_no % 97 WHEN 5 THEN 'null' WHEN 6 THEN '2001-13-45T00:00:00.000Z' ELSE {iso} END"
 
-    return df.select(*[text(c).alias(c) for c in spec.columns])
+    return df.selectExpr(*[f"{text(c)} AS {c}" for c in spec.columns])
