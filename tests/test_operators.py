@@ -189,9 +189,9 @@ def test_splice_partner_lines(spark):
 
 def test_status_resolver_cases(spark):
     end = "2024-01-10 12:00:00"
-    wb = spark.createDataFrame([(w, T(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, 1.0, "D0", "P0", "P0", "N", "PK")
+    wb = spark.createDataFrame([("id-" + w, w, T(2024, 1, 1), 1.0, 1.0, 1.0, 1.0, 1.0, "D0", "P0", "P0", "N", "PK")
                                 for w in ["s", "nd", "na_late", "na_early", "ar_late", "ar_early", "stock_only"]],
-                               "waybill_number string, bill_time timestamp_ntz, goods_weight double, "
+                               "waybill_id string, waybill_number string, bill_time timestamp_ntz, goods_weight double, "
                                "goods_volume double, bill_weight double, bill_volume double, bill_qty double, "
                                "billing_department_code string, bill_prov_code string, pickup_prov_code string, "
                                "next_day_arrive string, customer_pickup_department_code string")
