@@ -1,6 +1,14 @@
-"""Removal of repeated multi-line chunks with content-defined borders (operator 8, native).
+"""Removal of repeated lines in runs (operator 8, native): ``dedup_runs``, and ``dedup`` by chunks.
 
-Lines get a 64-bit hash, every two neighbouring lines a rolling hash over the two line hashes, and
+``dedup_runs`` is the registered operator.  Its unit is a pair of neighbouring lines (not both
+blank) or one line of over ``LONG_WORDS`` words.  Every line of a unit that occurred before (smaller
+doc_id, then document hash, then position) is cut, so a repeated run of two lines or more goes
+whole, wherever it stands and however short the texts around it are.  The first occurrence of a
+line lies in no unit that occurred before, so every distinct line stays at least once.  Units are
+counted by hash; those whose hash occurs more than once are compared byte by byte.
+``n_removed`` counts the runs of lines that were cut.
+
+``dedup`` cuts whole chunks with content-defined borders only.  Lines get a 64-bit hash, every two neighbouring lines a rolling hash over the two line hashes, and
 a chunk ends before a line whose rolling hash is a strict local minimum.  Borders depend on the
 four lines around them alone, so a passage moved to another place in another text is cut alike; two
 borders never touch, so chunks inside a text have at least two lines, three on average.
@@ -21,12 +29,16 @@ unchanged, whatever their names; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.bind import let
 
 MIN_LINES = 2
+#: A line of more words than this is a unit of its own.
+LONG_WORDS = 50
 
 
 def chunks_of(text: Column) -> Column:
@@ -93,6 +105,68 @@ def dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         (F.coalesce(F.length("text"), F.lit(0)) - F.coalesce(F.length(kept), F.lit(0))).alias("chars_removed"))
 
 
+def _units(lines: Column) -> Column:
+    """Array of (at, h): at is twice the line number for a pair's first line, one more for a long line."""
+    pairs = F.filter(F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda x, i: let(
+        F.get(lines, i + 1), lambda y: F.struct(
+            (i * 2).alias("at"), F.when(x.rlike(r"\S") | y.rlike(r"\S"), F.xxhash64(x, y)).alias("h")))),
+        lambda u: u["h"].isNotNull())
+    # So many words need as many letters, and a space less.
+    long = F.filter(F.transform(lines, lambda x, i: F.struct(
+        (i * 2 + 1).alias("at"), F.when((F.length(x) > 2 * LONG_WORDS) & (
+            F.regexp_count(x, F.lit(r"\S+")) > LONG_WORDS), F.xxhash64(x)).alias("h"))), lambda u: u["h"].isNotNull())
+    return F.concat(pairs, long)
+
+
+def _unit_texts(lines: Column, at: Column) -> Column:
+    """Array of (at, text) of the units at the given places; no line holds the pairs' line feed."""
+    return F.transform(at, lambda a: let(F.shiftright(a, 1), lambda i: F.struct(
+        a.alias("at"), F.when(a % 2 == 1, F.get(lines, i)).otherwise(
+            F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1))).alias("text"))))
+
+
+def dedup_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns and rows, less the lines of repeated units, and ``n_removed`` (runs of
+    lines) and ``chars_removed``, which replace input columns of these names."""
+    own = [c for c in docs.columns if c not in ("n_removed", "chars_removed")]
+    tag = "_line_dedup_"
+    key, rid, suspect, cut_at = f"{tag}key", f"{tag}rid", f"{tag}suspect", f"{tag}cut"
+    hashed = docs.select(
+        *[F.col(f"`{c}`") for c in own], F.col("doc_id").alias(key),
+        F.xxhash64(F.col("doc_id"), F.col("text")).alias(rid))
+
+    def with_lines(use) -> Column:
+        return let(F.split(F.col("text"), "\n", -1), use)
+
+    narrow = hashed.select(key, rid, F.explode(with_lines(_units)).alias("u")).select(key, rid, "u.at", "u.h")
+    repeated = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    suspects = narrow.join(repeated, "h").groupBy(key, rid).agg(F.collect_set("at").alias(suspect))
+    # Byte comparison: equal texts of suspects meet in one group
+    marked = hashed.join(_null_safe(suspects, key, rid), _same(key, rid)).drop(f"{tag}k", f"{tag}r")
+    # Naming every column lets both joins with the documents read one exchange.
+    some_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in own])
+    asked = F.filter(suspect, lambda a: a >= F.when(some_null, 0).otherwise(-1))
+    texts = marked.select(key, rid, F.explode(
+        with_lines(lambda lines: _unit_texts(lines, asked))).alias("u"))
+    places = texts.select(F.col("u.text").alias("t"), F.struct(
+        F.col(key).alias("k"), F.col(rid).alias("r"), F.col("u.at").alias("at")).alias("place"))
+    first = places.groupBy("t").agg(F.min("place").alias("first"))
+    cut = (places.join(first, "t").where(~F.col("place").eqNullSafe(F.col("first"))).select("place.*")
+           .select(F.col("k").alias(key), F.col("r").alias(rid), F.explode(F.when(F.col("at") % 2 == 1, F.array(
+               F.shiftright("at", 1))).otherwise(F.array(F.shiftright("at", 1), F.shiftright("at", 1) + 1))).alias("i"))
+           .groupBy(key, rid).agg(F.collect_set("i").alias(cut_at)))
+    final = hashed.join(_null_safe(cut, key, rid), _same(key, rid), "left")
+    gone = F.col(cut_at)
+    kept = F.when(gone.isNull(), F.col("text")).otherwise(with_lines(lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")))
+    runs = F.size(F.array_except(gone, F.transform(gone, lambda i: i + 1)))
+    return final.select(
+        *[F.col(f"`{c}`") for c in own if c != "text"], F.col("text"), kept.alias(f"{tag}kept"),
+        F.coalesce(F.when(gone.isNotNull(), runs), F.lit(0)).alias("n_removed")).select(
+        *[F.col(f"{tag}kept").alias(c) if c == "text" else F.col(f"`{c}`") for c in own], "n_removed",
+        (F.coalesce(F.length("text"), F.lit(0)) - F.coalesce(F.length(f"{tag}kept"), F.lit(0))).alias("chars_removed"))
+
+
 def _null_safe(df: DataFrame, key: str, rid: str) -> DataFrame:
     return df.withColumnsRenamed({key: "_line_dedup_k", rid: "_line_dedup_r"})
 

@@ -45,7 +45,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_runs(table(spark, sf_dir, "documents"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -344,6 +344,46 @@ def test_line_dedup(spark, docs, empty):
     assert line_dedup.dedup(empty).count() == 0
 
 
+def brute_runs(listed: list) -> list:
+    """By doc_id: the lines that stay, units compared in order."""
+    seen, out = set(), []
+    for t in listed:
+        lines, gone = t.split("\n") if t is not None else [], set()
+        units = [(i, 2, (a, b)) for i, (a, b) in enumerate(zip(lines, lines[1:])) if a.strip() or b.strip()]
+        units += [(i, 1, (a,)) for i, a in enumerate(lines) if len(a.split()) > 50]
+        for i, n, u in units:
+            if u in seen:
+                gone.update(range(i, i + n))
+            seen.add(u)
+        out.append(None if t is None else "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def test_line_runs_are_cut_whole_between_differing_texts(spark, docs, empty):
+    rnd = random.Random(12)
+    passages = ["\n".join(f"passage {n} line {i}" for i in range(n)) for n in (2, 3, 4, 5, 7, 9)]
+    passages.append(" ".join(f"w{i}" for i in range(51)))
+
+    def own():
+        return [f"own {rnd.random()}" for _ in range(rnd.randint(1, 3))]
+
+    listed = ["\n".join([*own(), p, *own()]) for p in passages for _ in range(4)]
+    listed += ["a\n\n\nb", "c\n\n\nd", "x\ny\nx\ny\nx", "one\ntwo", "one\ntwo", "", None, " ".join(f"v{i}" for i in range(50))]
+    listed.append(listed[-1])
+    frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(listed)], "doc_id long, text string, h string")
+    got = line_dedup.dedup_runs(frame.repartition(3)).toPandas().sort_values("doc_id").reset_index(drop=True)
+    assert got.columns.tolist() == ["doc_id", "text", "h", "n_removed", "chars_removed"]
+    assert [None if pd.isna(t) else t for t in got["text"]] == brute_runs(listed)
+    for j, p in enumerate(passages):  # planted passages: each stays once, whole
+        assert [p in t for t in got["text"].iloc[4 * j:4 * j + 4]] == [True, False, False, False]
+        assert got["n_removed"].iloc[4 * j:4 * j + 4].tolist() == [0, 1, 1, 1]
+    kept = {x for t in got["text"].dropna() for x in t.split("\n")}
+    assert kept >= {x for t in listed if t for x in t.split("\n")}
+    again = line_dedup.dedup_runs(docs)
+    assert again.count() == docs.count() and set(docs.columns) <= set(again.columns)
+    assert line_dedup.dedup_runs(empty).count() == 0
+
+
 @pytest.mark.parametrize("order,block", [(2, 8 << 20), (2, 500), (3, 900)])
 def test_lm_scores(docs, empty, order, block):
     got = lm_score.score(docs, order=order, block_bytes=block).toPandas()
