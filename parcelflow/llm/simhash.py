@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.llm.common import staged, text_of
@@ -64,16 +64,20 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(set_bits * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed 64-bit integer."""
-    rows = docs.select("doc_id", text_of().alias("text"))
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row: str | None = None) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint as a signed 64-bit integer; with the name of a column of
+    row numbers also that and text_hash."""
+    more = [row, F.xxhash64("text").alias("text_hash")] if row else []
+    rows = docs.select("doc_id", *more, text_of().alias("text"))
+    carried = rows.columns[:-1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64).view(np.int64)
-            yield b[["doc_id"]].assign(fp=fp)
+            yield b[carried].assign(fp=fp)
 
-    return rows.mapInPandas(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in carried)
+    return rows.mapInPandas(run, f"{kinds}, fp long")
 
 
 class Cover:
@@ -242,25 +246,36 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
 
 
+def _named(fps: DataFrame, first: Column, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(fp, first, root) of every distinct fingerprint, and (root, first) of every component; ``first``
+    is the smallest value of the aggregate over the rows."""
+    nodes = staged(fps.groupBy("fp").agg(first.alias("first")), "nodes")
+    roots = components(links(nodes.select("fp"), max_bits))
+    of_node = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    return of_node, of_node.groupBy("root").agg(F.min("first").alias("least"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per row of ``docs``."""
     fps = staged(fingerprints(docs, shingle), "fingerprints")
-    nodes = staged(fps.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    roots = components(links(nodes.select("fp"), max_bits))
-    of_node = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    ids = of_node.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = staged(of_node.join(ids, "root").select(F.col("fp").alias("node"), "component_id"), "named")
+    of_node, least = _named(fps, F.min("doc_id"), max_bits)
+    named = staged(of_node.join(least, "root").select(F.col("fp").alias("node"), F.col("least").alias("component_id")), "named")
     return fps.join(named, fps["fp"] == named["node"]).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents that name their component, with all their columns: one of each group.
+    """One row of each component, with all its columns: the first by doc_id (nulls last), hash of the
+    text and number of the row.
 
-    Of several rows with that doc_id one stays, and a group of rows without doc_id keeps one row.
+    Rows get numbers of their own in a staged copy, so rows without doc_id and rows that share one
+    count one by one.
     """
-    marks = near_duplicates(docs, shingle, max_bits).groupBy("component_id").agg(F.min("doc_id").alias("near_id"))
-    kept = docs.join(marks.where("near_id is not null").select(F.col("near_id").alias("_near_id")).distinct(),
-                     F.col("doc_id") == F.col("_near_id"), "left_semi")
-    return kept
+    row = "_simhash_row"
+    keyed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    fps = staged(fingerprints(keyed, shingle, row), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", row)
+    _, least = _named(fps, F.min(order), max_bits)
+    return keyed.join(least.select(F.col(f"least.{row}").alias("_simhash_kept")),
+                      F.col(row) == F.col("_simhash_kept"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -174,6 +174,19 @@ def test_simhash(docs, empty):
         set(got.dropna(subset="doc_id")["component_id"].dropna()))
 
 
+def test_keep_one_keeps_a_row_of_every_group(spark):
+    rnd = random.Random(7)
+    far = [" ".join(rnd.choices([f"v{i}" for i in range(3000)], k=60)) for _ in range(7)]
+    listed = [(None, far[0], "clean, no id"), (None, far[1], "a"), (None, far[1], "a"), (None, far[2], "loses"), (9, far[2], "id wins"),
+              (5, far[3], "same id"), (5, far[3], "same id"), (5, far[4], "same id, other text"),
+              (6, far[5], "first"), (7, far[5], "loses"), (7, far[6], "names its own group"), (None, None, "null text")]
+    frame = spark.createDataFrame(listed, "doc_id long, text string, note string").repartition(4)
+    kept = [tuple(r) for r in simhash.keep_one(frame).collect()]
+    groups = simhash.near_duplicates(frame).select("fingerprint").distinct().count()
+    assert len(kept) == groups == 8
+    assert sorted(kept, key=str) == sorted([listed[i] for i in (0, 1, 4, 5, 7, 8, 10, 11)], key=str)
+
+
 @pytest.mark.parametrize("hot", [simhash.HOT, 70])
 def test_simhash_links_in_hot_anchors(spark, monkeypatch, hot):
     monkeypatch.setattr(simhash, "HOT", hot)
