@@ -38,7 +38,7 @@ FAMILIES = [
     ("gpl", "gpl", r"gpl", ("1", "2", "3")),
     ("gpl", "general public license", r"(?:gnu )?general public license", ("1", "2", "3")),
     ("lgpl", "lgpl", r"lgpl", ("2", "2 1", "3")),
-    ("lgpl", "lesser general public license", r"(?:gnu )?(?:lesser|library) general public license", ("2", "2 1", "3")),
+    ("lgpl", "general public license", r"(?:gnu )?(?:lesser|library) general public license", ("2", "2 1", "3")),
     ("agpl", "agpl", r"agpl", ("1", "3")),
     ("agpl", "affero general public license", r"(?:gnu )?affero general public license", ("1", "3")),
     ("gfdl", "free documentation license", r"(?:gnu )?free documentation license", ("1 1", "1 2", "1 3")),
@@ -112,16 +112,58 @@ SENTENCES = [
     ("bsd", "redistribution and use in source", r"redistribution and use in source and binary forms with or without modification are permitted"),
     ("bsd-3", "neither the name", r"neither the names? of .{1,80}? nor the names of (?:its|their) contributors may be used to endorse"),
     ("gpl", "free software", r"this (?:program|library) is free software you can redistribute it and or modify it"),
-    ("public-domain", "public domain", r"(?:released|dedicated|placed)(?: in)?(?:to)? the public domain"),
+    ("public-domain", "public domain", r"(?:released|dedicated|placed)(?: in)?(?: ?to)? the public domain"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     ("zlib", "as is without any express", r"this software is provided as is without any express or implied warranty"),
     ("wtfpl", "do what the", r"do what the f\w+ you want to public license"),
     ("proprietary", "all rights reserved", r"all rights reserved"),
     ("proprietary", "proprietary and confidential", r"proprietary and confidential"),
 ]
+# SPDX identifiers as words, after the tag - label without version, identifier, its
+# versions, and whether "only" and "or later" can follow.
+SPDX = [
+    ("gpl", "gpl", ("1 0", "2 0", "3 0"), True),
+    ("lgpl", "lgpl", ("2 0", "2 1", "3 0"), True),
+    ("agpl", "agpl", ("1 0", "3 0"), True),
+    ("gfdl", "gfdl", ("1 1", "1 2", "1 3"), True),
+    ("apache", "apache", ("1 0", "1 1", "2 0"), False),
+    ("mpl", "mpl", ("1 0", "1 1", "2 0"), False),
+    ("epl", "epl", ("1 0", "2 0"), False),
+    ("cddl", "cddl", ("1 0", "1 1"), False),
+    ("cpl", "cpl", ("1 0",), False),
+    ("eupl", "eupl", ("1 0", "1 1", "1 2"), False),
+    ("osl", "osl", ("1 0", "1 1", "2 0", "2 1", "3 0"), False),
+    ("afl", "afl", ("1 1", "1 2", "2 0", "2 1", "3 0"), False),
+    ("artistic", "artistic", ("1 0", "2 0"), False),
+    ("bsl", "bsl", ("1 0",), False),
+    ("busl", "busl", ("1 1",), False),
+    ("elastic", "elastic", ("2 0",), False),
+    ("sspl", "sspl", ("1 0",), False),
+    ("zpl", "zpl", ("1 1", "2 0", "2 1"), False),
+    ("psf", "(?:psf|python)", ("2 0",), False),
+    ("php", "php", ("3 0", "3 01"), False),
+    ("ofl", "ofl", ("1 0", "1 1"), False),
+    ("odbl", "odbl", ("1 0",), False),
+    ("odc-by", "odc by", ("1 0",), False),
+    ("upl", "upl", ("1 0",), False),
+    ("mulan", "mulanpsl", ("1 0", "2 0"), False),
+    ("cecill", "cecill", ("1 0", "1 1", "2 0", "2 1"), False),
+    ("cecill", "cecill [bc]", (), False),
+    ("bsd-2", "bsd 2 clause", (), False),
+    ("bsd-3", "bsd 3 clause", (), False),
+    ("bsd-4", "bsd 4 clause", (), False),
+    ("0bsd", "0bsd", (), False),
+    *[(x, x, (), False) for x in ("mit", "isc", "zlib", "ncsa", "wtfpl", "unlicense", "vim", "openssl", "x11")],
+    ("mit-0", "mit 0", (), False),
+    ("ms-pl", "ms pl", (), False),
+    ("ms-rl", "ms rl", (), False),
+    ("cc0", "cc0", ("1 0",), False),
+    *[(f"cc-{x.replace(' ', '-')}", f"cc {x}", ("1 0", "2 0", "2 5", "3 0", "4 0"), False)
+      for x in ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd")],
+]
 #: A lower-cased text without any of these, and without the mark below, has no match of any rule.
 ROOTS = ("licen", "gpl", "mpl", "cc0", "commons", "domain", "cecill", "permission", "redistribut", "endorse",
-         "reserved", "warranty", "proprietary")
+         "reserved", "warranty", "proprietary", "wtfpl")
 MARK = r"cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -139,6 +181,18 @@ def rules() -> list[tuple[str, str, str, int]]:
             out.append((label, keyword, lead + name, 40))
         out.append((label, keyword, name, 50))
         out.append((label, "spdx license identifier", rf"spdx license identifier {name}", 30))
+    tag = "spdx license identifier"
+    for label, name, versions, later in SPDX:
+        for v in versions:
+            # A family counts the version 2.0 as 2 if its notices do; Creative Commons marks have none.
+            known = next((vs for own, _, _, vs in FAMILIES if own == label), ())
+            short = v if v in known or not v.endswith(" 0") else v[:-2]
+            full = label if label.startswith("cc") else f"{label}-{short.replace(' ', '.')}"
+            out.append((full, tag, rf"{tag} {name} {v}" + ("(?: only)?" if later else ""), 15))
+            if later:
+                out.append((f"{full}-or-later", tag, rf"{tag} {name} {v} or later", 5))
+        if not versions:
+            out.append((label, tag, f"{tag} {name}", 15))
     out += [(label, "cc" if regex.startswith("cc") else "creative commons", regex, 45) for label, regex in CREATIVE]
     out += [(label, keyword, regex, 35) for label, keyword, regex in SENTENCES]
     return out

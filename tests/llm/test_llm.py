@@ -322,6 +322,54 @@ def test_licenses(spark, docs, empty):
     assert licenses.scan(empty).count() == 0 and licenses.scan(frame).where("doc_id = 1000").first()["score"] == 1.0
 
 
+def examples(regex: str) -> list[str]:
+    """Texts of a rule: all optional parts left out, all put in, and every alternative once."""
+    from re import _constants as c
+    from re import _parser
+
+    def make(parts, full: bool, pick: int) -> str:
+        out = ""
+        for op, av in parts:
+            if op is c.LITERAL:
+                out += chr(av)
+            elif op is c.SUBPATTERN:
+                out += make(av[3], full, pick)
+            elif op is c.BRANCH:
+                out += make(av[1][pick % len(av[1])], full, pick)
+            elif op in (c.MAX_REPEAT, c.MIN_REPEAT):
+                out += make(av[2], full, pick) * (1 if full else av[0])
+            elif op is c.IN:
+                out += chr(av[0][1] if av[0][0] is c.LITERAL else av[0][1][0] if av[0][0] is c.RANGE else ord("x"))
+            else:
+                out += "x"
+        return out
+
+    parts = _parser.parse(regex)
+    return sorted({make(parts, full, pick) for full in (False, True) for pick in range(3)})
+
+
+def test_every_license_rule_can_be_reached(spark):
+    rules = licenses.rules()
+    texts = [(n, t) for n, r in enumerate(rules) for t in examples(r[2]) if "(" not in t]
+    assert {n for n, _ in texts} == set(range(len(rules)))
+    for n, t in texts:
+        assert re.fullmatch(rules[n][2], t) and rules[n][1] in t, rules[n]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    got = licenses.scan(frame).select("doc_id", "n_words", "matches").collect()
+    assert len(got) == len(texts)
+    for r in got:  # the whole text is one place of the rule, unless a better rule takes it
+        whole = [m for m in r["matches"] or [] if m["end"] - m["start"] == r["n_words"]]
+        assert whole and (rules[r["doc_id"]][0] in {m["label"] for m in whole}
+                          or min(m["priority"] for m in whole) < rules[r["doc_id"]][3]), rules[r["doc_id"]]
+    tags = {"released under the WTFPL version 2": "wtfpl-2", "SPDX-License-Identifier: MIT": "mit", "dedicated to the public domain": "public-domain",
+            "SPDX-License-Identifier: Apache-2.0": "apache-2.0", "// SPDX-License-Identifier: BSD-3-Clause": "bsd-3",
+            "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2-or-later", "SPDX-License-Identifier: LGPL-2.1-only": "lgpl-2.1",
+            "placed into the public domain": "public-domain", "GNU Library General Public License": "lgpl"}
+    frame = spark.createDataFrame(list(enumerate(tags)), "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in licenses.scan(frame).collect()}
+    assert [want in found[i].split(",") for i, want in enumerate(tags.values())] == [True] * len(tags)
+
+
 def brute_chunks(spark, text: str) -> list[str]:
     lines = text.split("\n")
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(lines, [*lines[1:], None]))], "i int, a string, b string")
