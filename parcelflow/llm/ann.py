@@ -13,7 +13,9 @@ blocks pass; on noise most do, and the result is exact either way.  ``exact=Fals
 windows' result.
 
 Equal vectors are one index entry with its ``k + 1`` smallest ids, so a vector that a third of the
-rows share costs as much as any other, and ties go to smaller ids.
+rows share costs as much as any other.  Scores are cosines rounded to 12 decimals, so that equal ones do
+not depend on the order of additions; ties go to smaller ids: an entry's smallest id travels with it
+and decides among equal scores wherever a best-of list is cut.
 
 The driver sees the dimension, block centres (at most ``MAX_BLOCKS``, blocks grow beyond that) and
 nothing else.
@@ -111,8 +113,14 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosines of all rows of ``q`` with all rows of ``x``, in double precision."""
-    return (q @ x.T) / (np.sqrt(np.einsum("ij,ij->i", q, q))[:, None] * np.sqrt(np.einsum("ij,ij->i", x, x)))
+    """Cosines of all rows of ``q`` with all rows of ``x``, to 12 decimals."""
+    s = (q @ x.T) / (np.sqrt(np.einsum("ij,ij->i", q, q))[:, None] * np.sqrt(np.einsum("ij,ij->i", x, x)))
+    return np.round(s, 12)
+
+
+def _by_least(least: pd.Series) -> np.ndarray:
+    """Row numbers by the entries' smallest ids: in this order a stable sort by score settles ties."""
+    return np.argsort(least.to_numpy(), kind="stable")
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -126,22 +134,23 @@ def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best entries of each query: (query, entry, score)."""
-    once = found.groupBy("query", "entry").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "entry")
+    """The ``k`` best entries of each query: (query, entry, least, score)."""
+    once = found.groupBy("query", "entry").agg(F.min("least").alias("least"), F.max("score").alias("score"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "least", "entry")
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def windows(entries: DataFrame, width: int, k: int, curves: int = CURVES, window: int = WINDOW) -> DataFrame:
-    """(query, entry, score): each query's ``k`` best in its window of each curve."""
+    """(query, entry, least, score): each query's ``k`` best in its window of each curve."""
     make = Curves(width, curves)
+    kind = entries.schema["least"].dataType.simpleString()
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
                 for c, keys in enumerate(make.keys(_unit(_matrix(b["v"])))):
-                    yield pd.DataFrame({"curve": c, "key": keys, "entry": b["entry"].array, "v": b["v"].array,
-                                        "asks": b["asks"].array})
+                    yield pd.DataFrame({"curve": c, "key": keys, "entry": b["entry"].array,
+                                        "least": b["least"].array, "v": b["v"].array, "asks": b["asks"].array})
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A sorted stretch, in pieces that carry the last ``2 * window`` rows over."""
@@ -156,10 +165,13 @@ def windows(entries: DataFrame, width: int, k: int, curves: int = CURVES, window
                 s = _score(x[part], x[low:high])
                 far = np.abs(np.arange(low, high)[None] - part[:, None]) > window
                 s[far | (curve[low:high][None] != curve[part][:, None])] = -np.inf
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+                turn = _by_least(rows["least"].iloc[low:high])
+                top = turn[np.argsort(-s[:, turn], axis=1, kind="stable")[:, :k]]
                 good = np.take_along_axis(s, top, 1)
                 r, c = np.nonzero(np.isfinite(good))
-                yield pd.DataFrame({"query": ids[part][r], "entry": ids[low:high][top[r, c]], "score": good[r, c]})
+                at = low + top[r, c]
+                yield pd.DataFrame({"query": ids[part][r], "entry": ids[at], "least": rows["least"].array[at],
+                                    "score": good[r, c]})
 
         held, done = None, 0
         for b in batches:
@@ -172,29 +184,34 @@ def windows(entries: DataFrame, width: int, k: int, curves: int = CURVES, window
         if held is not None:
             yield from compare(held, done, len(held))
 
-    keyed = entries.mapInPandas(key, "curve int, key long, entry long, v array<double>, asks boolean")
+    keyed = entries.mapInPandas(key, f"curve int, key long, entry long, least {kind}, v array<double>, asks boolean")
     dealt = keyed.repartitionByRange("curve", "key", "entry").sortWithinPartitions("curve", "key", "entry")
-    return _best(dealt.mapInPandas(walk, "query long, entry long, score double"), k).select("query", "entry", "score")
+    found = dealt.mapInPandas(walk, f"query long, entry long, least {kind}, score double")
+    return _best(found, k).select("query", "entry", "least", "score")
 
 
 def blocks(entries: DataFrame, width: int, rows: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(block, centre, radius, entries, vectors): stretches of the first curve, packed."""
+    """(block, centre, radius, entries, least, vectors): stretches of the first curve, packed, each in the
+    order of its entries' smallest ids."""
     make = Curves(width, 1)
+    kind = entries.schema["least"].dataType.simpleString()
     size = max(block_rows, -(-rows // MAX_BLOCKS))
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             if len(b):
-                yield b[["entry", "v"]].assign(key=make.keys(_unit(_matrix(b["v"])))[0])[["key", "entry", "v"]]
+                yield b[["entry", "least", "v"]].assign(key=make.keys(_unit(_matrix(b["v"])))[0])[["key", "entry", "least", "v"]]
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def row(part: pd.DataFrame) -> pd.DataFrame:
+            part = part.iloc[_by_least(part["least"])]
             x = _matrix(part["v"])
             unit = _unit(x)
             centre = unit.mean(0)
             radius = np.sqrt(((unit - centre) ** 2).sum(1).max())
             return pd.DataFrame({"centre": [centre], "radius": [float(radius)],
-                                 "entries": [part["entry"].to_numpy(np.int64).tobytes()], "vectors": [x.tobytes()]})
+                                 "entries": [part["entry"].to_numpy(np.int64).tobytes()],
+                                 "least": [part["least"].tolist()], "vectors": [x.tobytes()]})
 
         held = None
         for b in batches:
@@ -205,14 +222,14 @@ def blocks(entries: DataFrame, width: int, rows: int, block_rows: int = BLOCK_RO
         if held is not None and len(held):
             yield row(held)
 
-    keyed = entries.select("entry", "v").mapInPandas(key, "key long, entry long, v array<double>")
+    keyed = entries.select("entry", "least", "v").mapInPandas(key, f"key long, entry long, least {kind}, v array<double>")
     dealt = keyed.repartitionByRange(max(1, -(-rows // size)), "key", "entry").sortWithinPartitions("key", "entry")
-    return dealt.mapInPandas(bundle, "centre array<double>, radius double, entries binary, vectors binary").select(
-        F.xxhash64("entries").alias("block"), "centre", "radius", "entries", "vectors")
+    return dealt.mapInPandas(bundle, f"centre array<double>, radius double, entries binary, least array<{kind}>, vectors binary").select(
+        F.xxhash64("entries").alias("block"), "centre", "radius", "entries", "least", "vectors")
 
 
 def complete(entries: DataFrame, found: DataFrame, width: int, rows: int, k: int) -> DataFrame:
-    """(query, entry, score) of every block visit that can change a query's ``k`` best."""
+    """(query, entry, least, score) of every block visit that can change a query's ``k`` best."""
     index = staged(blocks(entries, width, rows), "blocks")
     head = index.select("block", "centre", "radius").toPandas()  # at most about MAX_BLOCKS rows
     if head.empty:
@@ -244,7 +261,8 @@ def complete(entries: DataFrame, found: DataFrame, width: int, rows: int, k: int
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for entries_, vectors, queries, asked in zip(b["entries"], b["vectors"], b["queries"], b["asked"]):
+            for entries_, least, vectors, queries, asked in zip(
+                    b["entries"], b["least"], b["vectors"], b["queries"], b["asked"]):
                 x = np.frombuffer(vectors, np.float64).reshape(-1, width)
                 q = np.frombuffer(asked, np.float64).reshape(-1, width)
                 ids, qs = np.frombuffer(entries_, np.int64), np.frombuffer(queries, np.int64)
@@ -252,12 +270,13 @@ def complete(entries: DataFrame, found: DataFrame, width: int, rows: int, k: int
                 top = np.argsort(-s, axis=1, kind="stable")[:, :k]
                 good = np.take_along_axis(s, top, 1)
                 yield pd.DataFrame({"query": np.repeat(qs, top.shape[1]), "entry": ids[top].ravel(),
-                                    "score": good.ravel()})
+                                    "least": np.asarray(least)[top].ravel(), "score": good.ravel()})
 
     visits = asking.mapInPandas(route, "block long, queries binary, asked binary")
-    met = visits.join(index.select("block", "entries", "vectors"), "block").select(
-        "entries", "vectors", "queries", "asked")
-    return met.mapInPandas(visit, "query long, entry long, score double").unionByName(found)
+    kind = entries.schema["least"].dataType.simpleString()
+    met = visits.join(index.select("block", "entries", "least", "vectors"), "block").select(
+        "entries", "least", "vectors", "queries", "asked")
+    return met.mapInPandas(visit, f"query long, entry long, least {kind}, score double").unionByName(found)
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, exact: bool = True) -> DataFrame:
@@ -274,15 +293,15 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = NEAREST, exact: bool
                      .withColumn("entry", F.xxhash64("v")), "members")
     asked = staged(asks.select("vec_id", F.xxhash64(F.transform("v", lambda x: x.cast("double"))).alias("entry"))
                    .distinct(), "asked")
-    entries = staged(members.where("no = 1").select("entry", "v").join(
+    entries = staged(members.where("no = 1").select("entry", F.col("vec_id").alias("least"), "v").join(
         asked.select(F.col("entry").alias("a")).distinct(), F.col("entry") == F.col("a"), "left").select(
-        "entry", "v", F.col("a").isNotNull().alias("asks")), "entries")
+        "entry", "least", "v", F.col("a").isNotNull().alias("asks")), "entries")
     first = entries.select(F.size("v").alias("w")).first()
     width, total = (first["w"] if first else 1), entries.count()
     # The query's own entry is one of its hits (it may have other members), hence k + 1.
     found = staged(windows(entries, width, k + 1), "windows")
     if exact:
-        found = staged(_best(complete(entries, found, width, total, k + 1), k + 1).select("query", "entry", "score"), "best")
+        found = staged(_best(complete(entries, found, width, total, k + 1), k + 1).select("query", "entry", "least", "score"), "best")
     hits = (asked.select(F.col("vec_id").alias("query_id"), F.col("entry").alias("query"))
             .join(found, "query").select("query_id", "entry", "score")
             .join(members.select("entry", "vec_id"), "entry").where("vec_id <> query_id")

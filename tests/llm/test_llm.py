@@ -141,6 +141,24 @@ def test_nearest_neighbours(spark):
     assert 0 < ann.search(frame, frame.where("vec_id % 50 = 0"), exact=False).count() <= len(want)
 
 
+@pytest.mark.parametrize("exact", [True, False])
+def test_equal_scores_of_different_vectors_go_to_smaller_ids(spark, exact):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(2, 12))
+    listed = [(i, [float(x) for x in base[0] * 2.0 ** (i * 7 % 40 - 20)]) for i in range(40)]  # all differ, cosine 1
+    listed += [(100 + i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(30, 12)))]
+    listed += [(200 + i, [float(x) for x in np.eye(12)[i % 12] * (i + 1)]) for i in range(36)]  # cosine 0 or 1
+    frame = spark.createDataFrame(listed, "vec_id long, embedding array<float>").repartition(3)
+    got = ann.search(frame, frame.where("vec_id in (0, 5, 39, 203)"), exact=exact).toPandas().sort_values(["query_id", "rank"])
+    x = np.array([v for _, v in listed], np.float32).astype(float)
+    ids = [i for i, _ in listed]
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    for q in (0, 5, 39, 203):
+        s = np.round(unit @ unit[ids.index(q)], 10)
+        want = [i for i, _ in sorted(zip(ids, s), key=lambda p: (-p[1], p[0])) if i != q][:5]
+        assert got.loc[got["query_id"] == q, "vec_id"].tolist() == want
+
+
 def brute_fingerprint(text: str) -> int:
     words = [w for w in re.split(rb"[\x20\x09-\x0D]+", text.encode().lower()) if w]
     shingles = [b" ".join(words[i:i + 3]) for i in range(len(words) - 2)] or ([b" ".join(words)] if words else [])
