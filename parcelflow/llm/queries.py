@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelflow.llm import ann, bpe, licenses, line_dedup, lm_score, packing, sharding, simhash, spotsigs, toxicity
+from parcelflow.llm import ann, bestfit, bpe, collocations, licenses, line_dedup, lm_score, packing, sharding, simhash, spotsigs, toxicity
 from parcelflow.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -57,6 +57,14 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_ann": op2_ann,
@@ -68,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_bpe": op9_bpe,
     "op10_lm_score": op10_lm_score,
+    "op11_collocations": op11_collocations,
+    "op13_bestfit": op13_bestfit,
 }
 # Words and pairs of words counted as text; a pair that occurs once backs off to its last word.
 LM_SQL = """
@@ -95,4 +105,32 @@ select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(b, 0)::bigint as n_ba
 from docs left join sums using (row_no)
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_lm_score": LM_SQL}
+# All phrases of all pieces, counted as text; containment is tested on the texts themselves.
+COLLOCATION_SQL = """
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+split as (select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') as words from pieces),
+places as (select lang, words, unnest(generate_series(1, len(words))) as i from split),
+phrases as (select lang, words, i, unnest(generate_series(1, least(5, len(words) - i + 1))) as k from places),
+f as (select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase, count(*) as n from phrases group by all),
+totals as (select lang, sum(n) as n from f where k = 1 group by lang),
+often as (select * from f where n >= 100),
+cuts as (
+  select c.lang, c.phrase, c.n as a, l.n as l, r.n as r, t.n as n, l.k as cut,
+         (1000::hugeint * c.n * t.n) // (l.n::hugeint * r.n) as score
+  from often c join often l on l.lang = c.lang and l.k < c.k and starts_with(c.phrase, l.phrase || ' ')
+  join often r on r.lang = c.lang and r.k = c.k - l.k and r.phrase = substr(c.phrase, len(l.phrase) + 2)
+  join totals t on t.lang = c.lang where c.k >= 2),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+kept as (
+  select * from best b where not exists (
+    select 1 from often d where d.lang = b.lang and len(d.phrase) > len(b.phrase)
+    and contains(' ' || d.phrase || ' ', ' ' || b.phrase || ' ') and 100 * d.n >= 100 * b.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n,
+       score::bigint as score
+from ranked where rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {"op10_lm_score": LM_SQL, "op11_collocations": COLLOCATION_SQL}
