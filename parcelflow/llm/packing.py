@@ -31,8 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.bpe import WordBPE, encoder, slices
+from parcelflow.llm.bpe import encoder, slices
 from parcelflow.llm.common import staged, text_of
+from parcelflow.llm.flat_words import FlatWords
 
 WINDOW = 2048
 CLOSING_ID = 1
@@ -50,15 +51,14 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
     rows = docs.select("doc_id", F.col("source").cast("string").alias("source"), text_of().alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(WordBPE, path)
+        words = encoder(FlatWords, path)
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
         closing = np.uint16(CLOSING_ID).tobytes()
         for b in batches:
             texts = b["text"].tolist()
             for i, j in slices(texts):
                 part = b.iloc[i:j]
-                ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() + closing
-                       for x in bpe.encode_batch(texts[i:j])]
+                ids = [x.astype("<u2").tobytes() + closing for x in words.encode_batch(texts[i:j])]
                 before = []
                 for source, x in zip(part["source"], ids):
                     before.append(seen[source])
