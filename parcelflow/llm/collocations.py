@@ -323,12 +323,15 @@ def scored(frequent: DataFrame, totals: DataFrame, max_words: int = MAX_WORDS, k
 
 
 def mine(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, top: int | None = TOP,
-         modulus: int = MODULUS, keep_percent: int = 100) -> DataFrame:
-    """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases (all for None), best first."""
+         modulus: int = MODULUS, keep_percent: int = 100, table_bits: int = TABLE_BITS) -> DataFrame:
+    """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases (all for None), best first.
+
+    ``max_words`` is 2 at least, ``table_bits`` 6 at least.
+    """
     dictionary = staged(chunks(docs, max_words - 1, modulus), "dictionary")
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("times")).alias("n"))
-    words = frequent_table(dictionary, 1, None, min_count)
-    pairs = frequent_table(dictionary, 2, words, min_count)
+    words = frequent_table(dictionary, 1, None, min_count, table_bits)
+    pairs = frequent_table(dictionary, 2, words, min_count, table_bits)
     frequent = staged(counts(dictionary, words, pairs, max_words, min_count), "frequent")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored(frequent, totals, max_words, keep_percent).withColumn("rank", F.row_number().over(order))

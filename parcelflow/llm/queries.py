@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parcelflow.llm import ann, bestfit, bpe, collocations, licenses, line_dedup, lm_score, packing, sharding, simhash, spotsigs, toxicity
+from parcelflow.llm import ann, bestfit, bpe, collocations, hard_negatives, licenses, line_dedup, lm_score, packing, sharding, simhash, spotsigs, toxicity
 from parcelflow.llm.common import table
 
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -61,6 +62,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), "vec_id % 100 = 0")
+
+
 def op13_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER))
 
@@ -77,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_lm_score": op10_lm_score,
     "op11_collocations": op11_collocations,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_bestfit": op13_bestfit,
 }
 # Words and pairs of words counted as text; a pair that occurs once backs off to its last word.
@@ -133,4 +141,25 @@ select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bi
 from ranked where rank <= 2000
 """
 
-ORACLE_SQL: dict[str, str] = {"op10_lm_score": LM_SQL, "op11_collocations": COLLOCATION_SQL}
+# Every anchor against every row, in whole numbers.
+HARD_NEGATIVE_SQL = """
+with ok as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings where label is not null and embedding is not null and len(embedding) > 0 and list_bool_and(
+    list_transform(embedding, lambda x: coalesce(isfinite(x), false)))),
+scores as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label, list_dot_product(a.v, b.v)::bigint as score
+  from ok a join ok b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scores where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, p.positive_id, row_number() over (partition by p.anchor_id, p.positive_id
+         order by s.score desc, s.vec_id)::int as rank, s.vec_id as negative_id, p.positive_score, s.score as negative_score
+from positives p join scores s on s.anchor_id = p.anchor_id and s.label <> s.anchor_label
+where 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score
+qualify rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op10_lm_score": LM_SQL, "op11_collocations": COLLOCATION_SQL, "op12_hard_negatives": HARD_NEGATIVE_SQL}
