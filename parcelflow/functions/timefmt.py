@@ -99,8 +99,18 @@ def parse_ts_strict5(c) -> Column:
 
 def iso_to_ts(c) -> Column:
     """ISO text such as ``2019-12-12T10:00:00.000Z`` -> TIMESTAMP_NTZ (fraction and zone dropped).
-    Every other layout is parsed as by ``parse_ts`` (decision Q2)."""
-    return _parsed(c, [ISO_LAYOUT, *TEXT_LAYOUTS])
+    Every other layout is parsed as by ``parse_ts`` (decision Q2).
+
+    The full 24-character form, which raw exports have throughout, is told by its separators and cast
+    as it stands; only other texts are matched against the layouts."""
+    whole = _parsed(c, [ISO_LAYOUT, *TEXT_LAYOUTS])
+    if not isinstance(c, str):
+        return whole
+    shape = " AND ".join(["length(`{c}`) = 24"] + [f"substr(`{{c}}`, {i}, 1) = '{x}'" for i, x in (
+        (5, "-"), (8, "-"), (11, "T"), (14, ":"), (17, ":"), (20, "."), (24, "Z"))]).format(c=c)
+    shape += f" AND translate(substr(`{c}`, 21, 3), '123456789', '000000000') = '000'"
+    exact = F.expr(f"try_cast(substr(`{c}`, 1, 23) AS timestamp_ntz)").isNotNull()
+    return F.when(F.expr(shape) & exact, F.expr(f"try_cast(substr(`{c}`, 1, 19) AS timestamp_ntz)")).otherwise(whole)
 
 
 def to_ts(c, dtype: str) -> Column:

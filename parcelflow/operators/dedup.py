@@ -15,8 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import timefmt
-
+from ..functions import nulls, timefmt
 
 
 def _names(cols) -> list[str]:
@@ -56,11 +55,15 @@ def _tie_breakers(df: DataFrame, keys, order_by, tie_breakers) -> list:
             if f.name not in used and not f.dataType.simpleString().startswith(("map", "array", "struct"))]
 
 
+def latest_order(df: DataFrame, keys, order_by, tie_breakers="all") -> list[Column]:
+    """The order that puts a key's latest version first (see ``latest_per_key``)."""
+    return _sort(order_by, True) + _sort(_tie_breakers(df, keys, order_by, tie_breakers), True)
+
+
 def latest_per_key(df: DataFrame, keys, order_by, tie_breakers="all") -> DataFrame:
     """Latest version per key: ``order_by`` descending (NULLS LAST), then ``tie_breakers``
     descending.  ``tie_breakers="all"`` uses every other column."""
-    ties = _tie_breakers(df, keys, order_by, tie_breakers)
-    return top1_per_key(df, keys, _sort(order_by, True) + _sort(ties, True))
+    return top1_per_key(df, keys, latest_order(df, keys, order_by, tie_breakers))
 
 
 def earliest_per_key(df: DataFrame, keys, order_by, tie_breakers="all") -> DataFrame:
@@ -70,29 +73,70 @@ def earliest_per_key(df: DataFrame, keys, order_by, tie_breakers="all") -> DataF
     return top1_per_key(df, keys, _sort(order_by, False) + _sort(ties, False))
 
 
-def _ts_literal(value, dtype: str) -> Column:
-    lit = F.lit(str(value))
-    if dtype == "string":
-        return lit  # raw text columns are compared as text, which pushes down to the scan
-    if dtype == "date":
-        return lit.cast("date")
-    if dtype == "timestamp":
-        return lit.cast("timestamp")
-    return lit.cast("timestamp_ntz")
-
-
-def time_slice(df: DataFrame, col: str, end, days: int | float = 7, upper: bool = False) -> DataFrame:
-    """Rows with ``col >= end - days`` (and ``col < end`` when ``upper``).  The bounds are
-    literals, so the predicate reaches the parquet/ORC scan as a pushed filter."""
-    if isinstance(end, str):
-        end = _dt.datetime.fromisoformat(end)
+#: Layouts that a text column's times start with: day-level bounds in them reach the scan.
+DAY_LAYOUTS = {"iso": "%Y-%m-%d", "slash": "%Y/%m/%d", "key": "%Y%m%d"}
+_DAY_SHAPES = {"iso": "0000-00-00", "slash": "0000/00/00", "key": "00000000"}
+
+
+def _moment(value) -> _dt.datetime:
+    return _dt.datetime.fromisoformat(value) if isinstance(value, str) else value
+
+
+def _in_layout(col: str, layout: str) -> Column:
+    shape = _DAY_SHAPES[layout]
+    return F.translate(F.substring(col, 1, len(shape)), "123456789", "0" * 9) == F.lit(shape)
+
+
+def time_slice(df: DataFrame, col: str, end, days: int | float = 7, upper: bool = False,
+               layout: str | None = "iso") -> DataFrame:
+    """Rows with ``end - days <= col`` (and ``col < end`` when ``upper``), as times whatever the type.
+
+    Text columns are sliced in two stages.  Bounds at day level, in the layout that the column's texts
+    start with (``DAY_LAYOUTS``), are plain text comparisons and reach the parquet/ORC scan; what
+    they let through is parsed and compared exactly.  Null spellings, texts that are no time
+    and texts of another layout are out; ``slice_rejects`` counts them.  ``layout=None`` takes texts of
+    every known layout and pushes nothing.  Other types compare with literals, which reach the
+    scan as they are.
+    """
+    end = _moment(end)
     start = end - _dt.timedelta(days=days)
     dtype = dict(df.dtypes)[col]
-    fmt = (lambda t: t.strftime("%Y-%m-%d %H:%M:%S"))
-    cond = F.col(col) >= _ts_literal(fmt(start), dtype)
-    if upper:
-        cond = cond & (F.col(col) < _ts_literal(fmt(end), dtype))
-    return df.filter(cond)
+
+    def bound(t: _dt.datetime, as_type: str = "timestamp_ntz") -> Column:
+        return F.lit(t.isoformat(sep=" ")).cast(as_type)
+
+    def next_day(t: _dt.datetime) -> _dt.datetime:
+        """The first midnight that is not before ``t``."""
+        day = t.replace(hour=0, minute=0, second=0, microsecond=0)
+        return day if day == t else day + _dt.timedelta(days=1)
+
+    if dtype == "string":
+        if layout is not None:
+            day = DAY_LAYOUTS[layout]
+            df = df.filter(F.col(col) >= F.lit(start.strftime(day)))
+            if upper:
+                df = df.filter(F.col(col) < F.lit(next_day(end).strftime(day)))
+            df = df.filter(_in_layout(col, layout))
+        at, low, high = timefmt.iso_to_ts(col), bound(start), bound(end)
+        if upper:  # the parser appears once: its long expression would be evaluated for each bound
+            span = (end - start) // _dt.timedelta(microseconds=1)
+            return df.filter(F.floor(F.timestamp_diff("MICROSECOND", low, at) / F.lit(span)) == 0)
+    elif dtype == "date":
+        at, low, high = F.col(col), bound(next_day(start), "date"), bound(next_day(end), "date")
+    else:
+        kind = "timestamp" if dtype == "timestamp" else "timestamp_ntz"
+        at, low, high = F.col(col), bound(start, kind), bound(end, kind)
+    return df.filter((at >= low) & (at < high) if upper else at >= low)
+
+
+def slice_rejects(df: DataFrame, col: str, layout: str | None = "iso") -> DataFrame:
+    """One row on a text column: ``missing`` (NULL or a NULL spelling), ``no_time``, and ``other_layout``
+    (a time in another layout), none of which a slice ever keeps."""
+    missing = nulls.null_if_sentinel(col).isNull()
+    at = timefmt.iso_to_ts(col)
+    other = F.lit(False) if layout is None else ~_in_layout(col, layout)
+    return df.agg(F.count_if(missing).alias("missing"), F.count_if(~missing & at.isNull()).alias("no_time"),
+                  F.count_if(~missing & at.isNotNull() & other).alias("other_layout"))
 
 
 def upsert_base(history: DataFrame, new: DataFrame, keys, order_by, tie_breakers="all") -> DataFrame:

@@ -6,9 +6,9 @@ it is normalised to seconds after midnight (``leave_secs``) and re-rendered as `
 that ``8:30`` and ``08:30:00`` are the same departure and times order numerically (Q18).
 
 The per-pair timetable is an ``array<struct>`` column (one row per department pair, bounded
-by the departures of that pair in a day).  Lookups against it — nearest departure, next
-departure, the schedule walk — are higher-order functions on that array: no fan-out of rows,
-no window, no Python.
+by the departures of that pair in a day).  Nearest and next departure look it up with array
+functions: no fan-out of rows, no window, no Python.  The schedule walk, which looks up once per
+leg, joins ``departures_by_hour`` instead, so that no row carries a day's departures.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import let, nulls, timefmt
+from ..functions import nulls, timefmt
 
 SRC, DST, LT = "leave_department_code", "arrive_department_code", "leave_time"
 
@@ -135,22 +135,18 @@ def _ceil_secs(us: Column) -> Column:
     return F.ceil(us.cast("double") / F.lit(1_000_000.0)).cast("bigint")
 
 
-def next_in(tt: Column, hours: Column, ready: Column) -> Column:
-    """Next departure at or after ``ready`` on its calendar day, else the first departure of the
-    next day.  Returns struct(start, run, unload) or NULL (no departures / no time)."""
-    def with_day(day0):
-        def with_today(today):
-            first_any = F.get(tt, 0)
-            chosen = F.when(today.isNotNull(), F.struct(
-                F.timestamp_add("SECOND", today["secs"].cast("long"), day0).alias("start"),
-                today["run"].alias("run"), today["unload"].alias("unload"))).otherwise(F.struct(
-                    F.timestamp_add("SECOND", first_any["secs"].cast("long"),
-                                    F.timestamp_add("DAY", F.lit(1), day0)).alias("start"),
-                    first_any["run"].alias("run"), first_any["unload"].alias("unload")))
-            return let(chosen, lambda c: F.when(c["start"].isNotNull(), c))
-        k = _first_at_or_after(tt, hours, _ceil_secs(_micros_of_day(ready, day0)))
-        return let(F.get(tt, k - 1), with_today)
-    return let(F.date_trunc("DAY", ready).cast("timestamp_ntz"), with_day)
+def departures_by_hour(tt: DataFrame) -> DataFrame:
+    """The timetable as rows to join by (pair, hour of the ready time), hours 0 to 24 of every pair:
+    ``secs`` and ``deps``, the departures inside the hour (3,600 at most), ``later``, the first one
+    after it on the same day, and ``first``, the pair's first one of a day (hour 24 is the end of a day,
+    after which only that is left)."""
+    hour = F.col("hour")
+    rows = tt.select(SRC, DST, "tt", "hours", F.explode(F.sequence(F.lit(0), F.lit(24))).alias("hour"))
+    before = F.get("hours", hour)
+    upto = F.coalesce(F.get("hours", hour + 1), before)
+    rows = rows.withColumn("deps", F.slice("tt", before + 1, upto - before)) \
+        .withColumn("later", F.get("tt", upto)).withColumn("first", F.get("tt", 0))
+    return rows.select(SRC, DST, "hour", F.col("deps.secs").cast("array<bigint>").alias("secs"), "deps", "later", "first")
 
 
 def _nearest_cols(tt: Column, ts: Column, t_us: Column, k: Column) -> Column:

@@ -5,26 +5,22 @@ Routes arrive as text ``A:x-B:y-C:z`` (department code before ``:``).  Inside, a
 ``array<string>`` of department codes, so codes never need to be re-packed into strings.
 
 The schedule walk is sequential along a waybill's legs (each leg departs after the previous
-one arrived and unloaded).  It runs as one ``aggregate`` higher-order function over the
-waybill's legs, each already carrying its pair's timetable array:
-
-    legs (key, leg no, src, dst, constants) ⟕ timetable on (src, dst)
-      -> group by waybill: sort_array(collect_list(leg))       (bounded by the route length)
-      -> aggregate(legs, (ready, stop, out[]), step)           (JVM, interpreted, no Python)
-      -> inline(out)
-
-A leg carries its pair's departures as an array.  With a timetable small enough to broadcast the
-grouping reuses the partitioning its input already has on the first key column, so the arrays do
-not move; otherwise they are shuffled once with their legs.  The waybill's constants ride along.
-Group size is bounded by the number of hops of a route, never by data volume.
+one arrived and unloaded).  It goes leg number by leg number over all waybills at once:
+
+    waybills (key, stops ahead, ready time, constants)
+      -> ⟕ departures on (src, dst, hour of the ready time)   (first leg, second leg, …)
+      -> inline(legs walked)
+
+A waybill stays one row all the way; what it meets is one hour of one pair's departures.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import let, timefmt
+from ..session import written
 from . import lines as L
 
 # --- fixed values -------------------------------------------------------------------------
@@ -104,47 +100,83 @@ def legs(df: DataFrame, key, remaining_col: str, status_col: str | None = None,
 
 _OUT = "struct<leg_idx:int,src:string,dst:string,path_no:int,pre_org:string," \
        "start_time:timestamp_ntz,end_time:timestamp_ntz>"
-
-
-def _step(acc: Column, leg: Column) -> Column:
-    def with_next(nx):
-        def with_end(end):
-            ready_next = timefmt.add_hours(end, nx["unload"].cast("double"), fractional=True)
-            rec = F.struct(leg["leg_idx"].alias("leg_idx"), leg["src"].alias("src"), leg["dst"].alias("dst"),
-                           leg["path_no"].alias("path_no"), leg["pre_org"].alias("pre_org"),
-                           nx["start"].alias("start_time"), end.alias("end_time"))
-            return F.struct(ready_next.alias("t"), F.lit(False).alias("stop"),
-                            F.concat(acc["out"], F.array(rec)).alias("out"))
-        halt = F.struct(acc["t"].alias("t"), F.lit(True).alias("stop"), acc["out"].alias("out"))
-        return F.when(nx.isNull(), halt).otherwise(
-            let(F.timestamp_add("MINUTE", nx["run"].cast("long"), nx["start"]), with_end))
-    halt = F.struct(acc["t"].alias("t"), F.lit(True).alias("stop"), acc["out"].alias("out"))
-    # once stopped, later legs are not looked up at all
-    return F.when(acc["stop"], halt).otherwise(let(L.next_in(leg["tt"], leg["hours"], acc["t"]), with_next))
-
-
-def schedule_walk(leg_rows: DataFrame, tt: DataFrame, key, ready_col: str, carry=()) -> DataFrame:
-    """Walk each waybill's legs through the timetable.
-
-    ``leg_rows``: output of ``legs`` plus the waybill's ready time ``ready_col``.  Every leg
-    takes the next departure at/after the current ready time (rolling to the next day), arrives
-    ``run_minutes`` later and is ready again ``unload_time`` hours after arrival.  The walk stops
-    at the first leg whose pair has no line (earlier legs are kept) or when the ready time is
-    NULL.  Returns one row per walked leg: key, ``carry`` columns (per-key constants passed
-    through the grouping, so no join back is needed), leg_idx, src, dst, path_no, pre_org,
-    start_time, end_time.
+#: Legs walked in one plan; longer routes go on from a written table.
+LEGS_AT_ONCE = 8
+#: Waybills that have nothing to look up are dealt over so many keys that match nothing.
+_IDLE_KEYS = 1 << 20
+
+
+def _walk_leg(df: DataFrame, lookup: DataFrame, keys: list[str], leg: Column) -> DataFrame:
+    """One leg of every waybill: ``__pf_t`` (ready time, NULL once stopped) and ``__pf_out`` move on."""
+    rem, t, day = F.col("__pf_rem"), F.col("__pf_t"), F.col("__pf_day")
+    state = [F.col(c) for c in df.columns]
+    asked = df.select(*state, F.get(rem, leg).alias("__pf_src"), F.get(rem, leg + 1).alias("__pf_dst"),
+                      F.date_trunc("DAY", t).cast("timestamp_ntz").alias("__pf_day"))
+    asked = asked.select("*", F.ceil(F.timestamp_diff("MICROSECOND", day, t).cast("double")
+                                     / F.lit(1_000_000.0)).cast("bigint").alias("__pf_x"))
+    # A key that no line has, so that finished waybills neither match nor meet in one task
+    idle = F.lit(-1) - F.pmod(F.xxhash64(*keys), F.lit(_IDLE_KEYS))
+    asks = t.isNotNull() & F.col("__pf_src").isNotNull() & F.col("__pf_dst").isNotNull()
+    asked = asked.select("*", F.when(asks, F.floor(F.col("__pf_x") / 3600)).otherwise(idle).cast("int").alias("__pf_hour"))
+    met = asked.join(lookup, (F.col("__pf_src") == F.col("__pf_l_src")) & (F.col("__pf_dst") == F.col("__pf_l_dst"))
+                     & (F.col("__pf_hour") == F.col("__pf_l_hour")), "left")
+    # The first departure of the hour that is not before the ready time: its place among the sorted seconds
+    at = F.array_position(F.sort_array(F.concat("__pf_l_secs", F.array("__pf_x"))), F.col("__pf_x"))
+    came = [*state, *[F.col(c) for c in ("__pf_src", "__pf_dst", "__pf_day")]]
+    met = met.select(*came, F.coalesce(F.get("__pf_l_deps", at - 1), F.col("__pf_l_later")).alias("__pf_today"), "__pf_l_first")
+    met = met.select(*came, F.coalesce("__pf_today", "__pf_l_first").alias("__pf_dep"), F.when(
+        F.col("__pf_today").isNull(), F.lit(86_400)).otherwise(F.lit(0)).alias("__pf_wait"))
+    start = F.timestamp_add("SECOND", F.col("__pf_dep.secs").cast("long") + F.col("__pf_wait"), day)
+    met = met.select(*came, "__pf_dep", start.alias("__pf_start"))
+    met = met.select("*", F.timestamp_add("MINUTE", F.col("__pf_dep.run").cast("long"), F.col("__pf_start")).alias("__pf_end"))
+    record = F.struct(
+        leg.cast("int").alias("leg_idx"), F.col("__pf_src").alias("src"), F.col("__pf_dst").alias("dst"),
+        (leg + F.col("__pf_no")).cast("int").alias("path_no"),
+        F.when(leg == 0, F.col("__pf_pre")).otherwise(F.get(rem, leg - 1)).alias("pre_org"),
+        F.col("__pf_start").alias("start_time"), F.col("__pf_end").alias("end_time"))
+    ready = timefmt.add_hours(F.col("__pf_end"), F.col("__pf_dep.unload").cast("double"), fractional=True)
+    walked = F.col("__pf_dep").isNotNull()
+    return met.select(
+        *[c for c in df.columns if c not in ("__pf_t", "__pf_out")],
+        F.when(walked, ready).alias("__pf_t"),
+        F.when(walked, F.concat("__pf_out", F.array(record.cast(_OUT)))).otherwise(F.col("__pf_out")).alias("__pf_out"))
+
+
+def schedule_walk(df: DataFrame, tt: DataFrame, key, remaining_col: str, ready_col: str,
+                  status_col: str | None = None, leave_org_col: str | None = None, carry=()) -> DataFrame:
+    """Walk each waybill's remaining route through the timetable.
+
+    ``df`` has one row per waybill: ``key``, the stops still ahead (``remaining_col``), the ready
+    time, and ``carry`` columns that are passed on.  Every leg takes the next departure at/after the
+    current ready time (rolling to the next day), arrives ``run_minutes`` later and is ready again
+    ``unload_time`` hours after arrival.  The walk stops at the first leg whose pair has no line
+    (earlier legs are kept); a NULL ready time or fewer than two stops give no row.  Returns one row
+    per walked leg: key, ``carry`` columns, leg_idx, src, dst, path_no and pre_org (as ``legs``
+    numbers them), start_time, end_time.
+
+    Leg after leg, every waybill is one row that meets one row of ``lines.departures_by_hour``, by
+    (pair, hour): timetables do not travel with the waybills, and a pair that a third of all waybills
+    take is a skewed left side, which Spark splits.  Routes of more than ``LEGS_AT_ONCE`` legs
+    go on from a written table, so the plan does not grow with the longest route.
     """
-    t = tt.select(F.col(L.SRC).alias("__pf_s"), F.col(L.DST).alias("__pf_d"), F.col("tt"), F.col("hours"))
-    j = leg_rows.join(t, (leg_rows["src"] == t["__pf_s"]) & (leg_rows["dst"] == t["__pf_d"]), "left")
-    leg = F.struct("leg_idx", "src", "dst", "path_no", "pre_org", "tt", "hours")
     keys = _keys(key)
-    grouped = j.groupBy(*keys).agg(F.min(ready_col).alias("__pf_ready"),
-                                 F.sort_array(F.collect_list(leg)).alias("__pf_legs"),
-                                 *[F.max(c).alias(c) for c in carry])    # constant per key
-    init = F.struct(F.col("__pf_ready").alias("t"), F.col("__pf_ready").isNull().alias("stop"),
-                    F.array().cast(f"array<{_OUT}>").alias("out"))
-    walked = grouped.select(*keys, *carry, F.aggregate("__pf_legs", init, _step)["out"].alias("__pf_out"))
-    # inline_outer: a plain inline lets Catalyst infer size(out) > 0 below the projection, which
-    # would evaluate the whole walk again inside the filter; empty walks give one all-NULL row
-    # here and are dropped after the generator instead.
-    return walked.select(*keys, *carry, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())
+    lookup = written(L.departures_by_hour(tt).select(
+        F.col(L.SRC).alias("__pf_l_src"), F.col(L.DST).alias("__pf_l_dst"),
+        *[F.col(c).alias(f"__pf_l_{c}") for c in ("hour", "secs", "deps", "later", "first")]), "departures")
+    status = F.col(status_col) if status_col else F.lit(None).cast("string")
+    leave = F.col(leave_org_col) if leave_org_col else F.lit(None).cast("string")
+    in_transit = F.coalesce(status == F.lit(IN_TRANSIT_STATUS), F.lit(False))
+    state = df.select(*keys, *carry, F.col(remaining_col).alias("__pf_rem"), F.col(ready_col).alias("__pf_t"),
+                      F.when(in_transit, 2).otherwise(1).alias("__pf_no"), F.when(in_transit, leave).alias("__pf_pre"),
+                      F.array().cast(f"array<{_OUT}>").alias("__pf_out"))
+    seen = Observation()
+    state = written(state.observe(seen, F.max(F.size("__pf_rem")).alias("longest")), "walk").filter(
+        F.col("__pf_t").isNotNull() & (F.size("__pf_rem") >= 2))
+    cores = state.sparkSession.sparkContext.defaultParallelism
+    if len(state.inputFiles()) < cores:  # an input of few tasks, which would leave cores idle all the way
+        state = state.repartition(cores)
+    for leg in range((seen.get["longest"] or 1) - 1):
+        if leg and leg % LEGS_AT_ONCE == 0:
+            state = written(state, "walk")
+        state = _walk_leg(state, lookup, keys, F.lit(leg))
+    return state.select(*keys, *carry, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())

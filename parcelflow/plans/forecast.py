@@ -49,6 +49,9 @@ OUTPUT = ["waybill_number", "old_bill_time", "car_number", "bill_time", "goods_w
           "arrive_org_transfer", "refresh_time", "create_time"]
 
 # ------------------------------------------------------------------------------------------
+# What a load event says, in the order that breaks ties.
+EVENT = ["car_number", "leave_department_code", "arrive_department_code", "depart_time", "arrive_time",
+         "plan_arrive_time"]
 
 
 def _ts(value) -> Column:
@@ -104,16 +107,17 @@ def latest_stock(t: dict) -> DataFrame:
 def load_events(t: dict) -> DataFrame:
     """Latest load event per waybill with its transport times (bags unpacked), one row per waybill.
 
-    Bags are unpacked before the chain load ⋈ detail ⋈ traffic ⋈ traffic detail is joined, so the
-    chain is planned once; weights come from the bag binding, else from the waybill's latest
-    active record."""
+    The latest event is found in two steps.  What was scanned, a waybill or a bag, is reduced to its
+    latest event first: all contents of a bag share its events, and what a binding adds (its weights)
+    does not depend on the event, so the order of a waybill's events through one bag is the
+    order of the bag's.  Then each bag is opened once, and the latest event per waybill is
+    taken over the bags that held it and its own scans.  A bag scanned a thousand times
+    with a thousand pieces gives a thousand rows.  Weights come from the bag binding, else from
+    the waybill's latest active record."""
     load = t["volume_load"].filter(F.col("is_active") == F.lit("1")) \
         .select("assignment_number", "leave_department_code", "arrive_department_code", "end_time")
     detail = t["volume_load_detail"].filter(F.col("is_active") == F.lit("1")) \
         .select(F.col("assignment_number").alias("__pf_an"), "waybill_number", F.col("create_time").alias("ld_create"))
-    detail = joins.unpack_containers(detail, "waybill_number", t["volume_box"],
-                                     box_filter=F.col("valid_status") == F.lit("1"),
-                                     carry=["waybill_weight", "waybill_volume"])
     traffic = t["volume_traffic"].filter(F.col("is_active") == F.lit("Y")) \
         .select(F.col("assignment_number").alias("__pf_an2"), "transport_task_id")
     tdet = t["volume_traffic_detail"].filter((F.col("transport_task_status") != F.lit("CANCLE"))
@@ -124,11 +128,14 @@ def load_events(t: dict) -> DataFrame:
                 F.col("plan_arrive_department_time").alias("plan_arrive_time"))
     trips = (load.join(traffic, load["assignment_number"] == traffic["__pf_an2"], "inner")
              .join(tdet, F.col("transport_task_id") == tdet["__pf_tt"], "inner"))
-    chain = trips.join(detail, F.col("assignment_number") == detail["__pf_an"], "inner")
-    chain = chain.select("waybill_number", "car_number", "waybill_weight", "waybill_volume", "leave_department_code",
-                         "arrive_department_code", "depart_time", "arrive_time", "plan_arrive_time",
-                         F.coalesce("ld_create", "end_time").alias("create_time"))
-    latest = dedup.latest_per_key(chain, ["waybill_number"], ["create_time"], "all")
+    events = trips.join(detail, F.col("assignment_number") == detail["__pf_an"], "inner").select(
+        "waybill_number", F.coalesce("ld_create", "end_time").alias("create_time"), *EVENT)
+    by_item = dedup.latest_per_key(events, ["waybill_number"], ["create_time"], EVENT)
+    opened = joins.unpack_containers(by_item, "waybill_number", t["volume_box"],
+                                     box_filter=F.col("valid_status") == F.lit("1"),
+                                     carry=["waybill_weight", "waybill_volume"])
+    latest = dedup.latest_per_key(opened, ["waybill_number"], ["create_time"],
+                                  [EVENT[0], "waybill_weight", "waybill_volume", *EVENT[1:]])
     wb = dedup.latest_per_key(
         t["volume_waybill"].filter(F.col("is_active") == F.lit("Y"))
         .select("id", "inflow_time", F.col("waybill_number").alias("__pf_wb"), F.col("goods_weight").alias("__pf_gw"),
@@ -221,15 +228,13 @@ def walked(st: DataFrame, path: DataFrame, info: DataFrame, orgs: DataFrame, ref
     located = st.filter(F.col("current_org").isNotNull() & F.col("bill_time").isNotNull())
     j = located.join(p, located["waybill_number"] == p["__pf_p_wb"], "inner").drop("__pf_p_wb")
     j = R.with_remaining(j, "waybill_route_codes", "current_org")
-    # One walk per waybill record and path record.  The waybill number leads the grouping key, so
-    # the partitioning of the join above serves the grouping too; the waybill's attributes ride
-    # through it as per-key constants, so the walked legs need no join back to the waybills.
+    # One walk per waybill record and path record; the waybill's attributes ride along.
     key = ["waybill_number", "waybill_id", "path_id"]
     carried = ["bill_time", "old_bill_time", "car_number", "goods_weight", "goods_volume",
                "goods_qty", "bill_weight", "bill_volume", "bill_qty", "waybill_status", "next_day_arrive",
                "customer_pickup_department_code"]
-    leg_rows = R.legs(j, key, "remaining", "waybill_status", "leave_department_code", carry=carried)
-    legs = R.schedule_walk(leg_rows, L.timetable(info), key, "bill_time", carry=carried)
+    legs = R.schedule_walk(j, L.timetable(info), key, "remaining", "bill_time", "waybill_status",
+                           "leave_department_code", carry=carried)
     legs = joins.with_org(legs, {"src": "o1", "dst": "o2"}, orgs, fields=["center"])
     legs = legs.filter((F.col("o1_center") == F.lit("Y")) | (F.col("o2_center") == F.lit("Y")))
     return legs.select(

@@ -8,23 +8,54 @@ of the result; re-running a batch replaces exactly that batch.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from .. import schemas
 from ..session import written
-from ..sources import sinks
+from ..sources import readers, sinks
 from . import clean, forecast, unscan, warning
 
 
+@dataclass
+class CleanRun:
+    """What a clean run wrote, read back, and the rejects it met: per table and time column the values
+    that are present but no time.  Spark counts them while the rows pass; rows that are computed again
+    after a lost executor may be counted again."""
+
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    rejects: dict[str, dict[str, int]] = field(default_factory=dict)
+
+
 def run_clean(raw: dict, batch: int, end, targets: dict, days: float | None = clean.DEFAULT_WINDOW_DAYS,
-              fmt: str = "orc", num_files: int | None = None) -> dict[str, DataFrame]:
-    """Clean every table of ``batch`` and overwrite its target (first load creates it,
-    later loads overwrite it in place and keep a catalog definition)."""
-    out = clean.run_batch(raw, batch, end, days)
-    for name, df in out.items():
-        if name in targets:
-            sinks.write_table(df, targets[name], mode="overwrite", fmt=fmt, num_files=num_files)
+              fmt: str = "orc", num_files: int | None = None, buckets: int | None = None) -> CleanRun:
+    """Clean every table of ``batch`` that has a target and overwrite the target (first load creates
+    it, later loads overwrite it in place and keep a catalog definition).
+
+    With ``buckets``, catalog targets of tables with a join key (``CleanSpec.bucket_key``) are bucketed
+    by it, so that the other jobs join them without a shuffle."""
+    observations = {t: Observation() for t in clean.BATCHES[batch] if t in targets}
+    run = CleanRun()
+    for name, df in clean.run_batch(raw, batch, end, days, observations=observations).items():
+        if name not in targets:
+            continue
+        target, key = targets[name], clean.CLEAN_SPECS[name].bucket_key
+        if buckets and key and not sinks.is_path(target):
+            sinks.write_bucketed(df, target, key, buckets, fmt)
+        else:
+            sinks.write_table(df, target, mode="overwrite", fmt=fmt, num_files=num_files)
+        run.tables[name] = readers.read_table(df.sparkSession, target, fmt if sinks.is_path(target) else None)
+        run.rejects[name] = dict(observations[name].get)
+    return run
+
+
+def run_upsert(raw: dict, targets: dict, buckets: int = 64) -> dict[str, DataFrame]:
+    """Bring new records into base tables at paths (see ``clean.upsert_job``); returns the tables."""
+    out = {}
+    for name, target in targets.items():
+        clean.upsert_job(raw[name], clean.CLEAN_SPECS[name], target, buckets)
+        out[name] = readers.read_table(raw[name].sparkSession, target, "parquet")
     return out
 
 

@@ -433,11 +433,13 @@ path_records AS (
   WHERE r.kind = 0 OR (r.kind = 1 AND o_orderkey % 41 = 0) OR (r.kind = 2 AND o_orderkey % 43 = 0))"""
 
 
-def cleaned(name: str) -> str:
+def cleaned(name: str, where: str = "TRUE") -> str:
+    """The latest version of every record among those that fulfil ``where``."""
     number, created, source, fields = CLEANED[name]
     # Creation times spelled as NULL or as no date become NULL.
     create = f"CASE WHEN ({number}) % 97 NOT IN (5, 6) THEN {created} END"
     rows = "SELECT " + ", ".join(f"{e or create} AS {f}" for f, e in fields.items()) + f" FROM {source}"
+    rows = f"SELECT * FROM ({rows}) WHERE {where}"
     if "lineitem" not in source:
         return rows
     # Line numbers repeat within an order: the largest inflow, then the largest fields from left to right.
@@ -468,9 +470,18 @@ WITH_FEEDS = f"WITH {ROUTES}, {FEEDS}"
 SLICE_START = "TIMESTAMP '1998-12-06 00:00:00'"
 
 for _name in CLEANED:
-    # The slice compares raw text, in which a value that is no time sorts after every date.
-    ORACLE_SQL["clean_" + _name] = (f"{WITH_FEEDS}\nSELECT * FROM {_name}_c "
-                                    f"WHERE create_time IS NULL OR create_time >= {SLICE_START}")
+    # Records without a creation time are in no slice.
+    ORACLE_SQL["clean_" + _name] = f"{WITH_FEEDS}\nSELECT * FROM {_name}_c WHERE create_time >= {SLICE_START}"
+
+ORACLE_SQL["clean_slice_inside_day"] = cleaned(
+    "volume_unload_detail", "create_time >= TIMESTAMP '1995-06-10 03:00:00' AND create_time < TIMESTAMP '1996-03-16 03:00:00'")
+
+ORACLE_SQL["slice_rejects"] = f"""
+SELECT CAST(coalesce(sum(n) FILTER (no % 97 = 5), 0) AS BIGINT) AS missing,
+       CAST(coalesce(sum(n) FILTER (no % 97 = 6), 0) AS BIGINT) AS no_time,
+       CAST(0 AS BIGINT) AS other_layout
+FROM (SELECT {LINE_NO} AS no, CASE WHEN ({LINE_NO}) % 10 = 3 THEN 3 ELSE 1 END AS n FROM lineitem)
+"""
 
 ORACLE_SQL["time_rejects"] = f"""
 {WITH_FEEDS}
@@ -701,6 +712,37 @@ UNION ALL
 SELECT * REPLACE ('N01' AS operation_department_code, TIMESTAMP '2030-01-01 00:00:00' AS inflow_time)
 FROM volume_sign_c WHERE CAST(id AS BIGINT) % 2 = 0"""
 
+ORACLE_SQL["upsert_job"] = ORACLE_SQL["upsert_table"]
+ORACLE_SQL["path_reload"] = ORACLE_SQL["table_reload"]
+
+
+def _rejected(name: str) -> str:
+    """Dates that are none, three times where a record comes in three versions."""
+    number, _, source, _ = CLEANED[name]
+    return (f"SELECT '{name}' AS table_name, 'create_time' AS column_name, "
+            f"CAST(sum(CASE WHEN ({number}) % 10 = 3 THEN 3 ELSE 1 END) FILTER (({number}) % 97 = 6) AS BIGINT) AS rejects, "
+            f"(SELECT count(*) FROM {name}_c) AS cleaned_rows FROM {source}")
+
+
+ORACLE_SQL["job_clean_rejects"] = f"{WITH_FEEDS}\nSELECT * FROM (" + " UNION ALL ".join(map(_rejected, (
+    "volume_stock", "volume_traffic", "volume_traffic_detail", "volume_unload_detail", "volume_waybill"))) + ") WHERE rejects > 0"
+ORACLE_SQL["job_clean_bucketed"] = f"""{WITH_FEEDS}
+SELECT id, waybill_number, bill_time, goods_qty FROM volume_waybill_c
+WHERE waybill_number NOT IN (SELECT waybill_number FROM volume_sign_c)"""
+ORACLE_SQL["job_forecast"] = f"SELECT *, refresh_time AS batch_no FROM ({ORACLE_SQL['pipeline_forecast']})"
+ORACLE_SQL["job_warning"] = ORACLE_SQL["pipeline_warning"]
+ORACLE_SQL["job_unscan"] = ORACLE_SQL["pipeline_unscan"]
+
+BY_DAY = "event_id, ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d') AS batch_no"
+ORACLE_SQL["catalog_retention"] = f"SELECT {BY_DAY} FROM events WHERE strftime(ts, '%Y-%m-%d') >= '2024-01-10'"
+ORACLE_SQL["append_to_batch"] = f"""SELECT {BY_DAY} FROM events UNION ALL
+SELECT {BY_DAY.replace('event_id', '-event_id AS event_id', 1)} FROM events WHERE strftime(ts, '%Y-%m-%d') = '2024-01-15'"""
+ORACLE_SQL["string_table"] = """
+SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(user_id AS VARCHAR) AS user_id,
+       event_type, CAST(value AS VARCHAR) AS value, props, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%Y-%m-%d') AS batch_no
+FROM events
+"""
+
 ORACLE_SQL["partition_overwrite"] = """
 SELECT event_id, ts, user_id, event_type,
        CASE WHEN strftime(ts, '%Y-%m-%d') = '2024-01-15' THEN value + 1 ELSE value END AS value, props,

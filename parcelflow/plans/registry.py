@@ -20,11 +20,12 @@ from ..operators import dedup, joins
 from ..operators import lines as lines_ops
 from ..operators import route as route_ops
 from .. import schemas
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, delete_at_exit, written
 from ..sources import derived, readers, sinks
 from ..streaming import incremental
 from . import clean as clean_job
 from . import forecast as forecast_job
+from . import jobs
 from . import unscan as unscan_job
 from . import warning as warning_job
 
@@ -311,7 +312,8 @@ def q_route_remaining(spark, d):
 @register("schedule_walk")
 def q_schedule_walk(spark, d):
     tt = lines_ops.timetable(merged_lines(spark, d))
-    return route_ops.schedule_walk(route_legs(spark, d), tt, "o_orderkey", "t0")
+    w = route_ops.with_remaining(derived.order_routes(spark, d), "route", "current")
+    return route_ops.schedule_walk(w, tt, "o_orderkey", "remaining", "t0", "status", "leave_org")
 
 
 # ---------------------------------------------------------------- end-to-end jobs
@@ -341,6 +343,19 @@ for _name in clean_job.CLEAN_SPECS:
     _register_clean(_name)
 
 
+@register("clean_slice_inside_day")
+def q_clean_slice_inside_day(spark, d):
+    """A slice of raw ISO texts that begins and ends inside a day, with an upper bound."""
+    raw = derived.logistics_tables(spark, d)["volume_unload_detail"]
+    return clean_job.clean_table(raw, clean_job.CLEAN_SPECS["volume_unload_detail"], "1996-03-16 03:00:00", 280, upper=True)
+
+
+@register("slice_rejects")
+def q_slice_rejects(spark, d):
+    """What no slice of the feed can keep, by reason."""
+    return dedup.slice_rejects(derived.logistics_tables(spark, d)["volume_unload_detail"], "create_time")
+
+
 @register("time_rejects")
 def q_time_rejects(spark, d):
     raw = derived.logistics_tables(spark, d)["volume_unload_detail"]
@@ -440,8 +455,18 @@ def q_line_info(spark, d):
 
 def scratch(spark, tag: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder (never machine-local on a
-    cluster; tests get a scratch folder only when no checkpoint dir is configured)."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/parcelflow-io/{tag}-{uuid.uuid4().hex}"
+    cluster; tests get a scratch folder only when no checkpoint dir is configured), deleted when
+    the application ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/parcelflow-io/{tag}-{uuid.uuid4().hex}"
+    delete_at_exit(spark, path)
+    return path
+
+
+def taken(spark, name: str) -> DataFrame:
+    """The rows of a managed table, copied to the checkpoint folder; the table is dropped."""
+    rows = written(readers.read_table(spark, name), "taken")
+    sinks.drop_table(spark, name, "parcelflow_")
+    return rows
 
 
 @register("csv_round_trip")
@@ -462,7 +487,7 @@ def q_first_load(spark, d):
     """A managed table is made by its first load and read by name."""
     name = _fresh_table("first")
     sinks.write_table(table(spark, d, "customer"), name, fmt="parquet")
-    return readers.read_table(spark, name)
+    return taken(spark, name)
 
 
 @register("table_reload")
@@ -473,7 +498,47 @@ def q_table_reload(spark, d):
     sinks.write_table(cust, name, fmt="parquet")
     again = cust.withColumn("c_acctbal", F.col("c_acctbal") + 1.0)
     sinks.write_table(again.select(*reversed(again.columns)), name, fmt="parquet")
-    return readers.read_table(spark, name)
+    return taken(spark, name)
+
+
+@register("path_reload")
+def q_path_reload(spark, d):
+    """A path table is reloaded from its own rows and switched to when the load is whole."""
+    path = scratch(spark, "reload")
+    sinks.write_table(table(spark, d, "customer"), path, fmt="parquet")
+    rows = readers.read_table(spark, path, "parquet")
+    sinks.write_table(rows.withColumn("c_acctbal", F.col("c_acctbal") + 1.0), path, fmt="parquet")
+    return readers.read_table(spark, path, "parquet")
+
+
+@register("string_table")
+def q_string_table(spark, d):
+    """A partitioned table of texts, loaded in two batches into one partition column, by name."""
+    ev = _events_by_day(spark, d)
+    name = _fresh_table("text")
+    sinks.write_partitioned(ev.filter(F.col("event_id") % 2 == 0), name, {"batch_no": "day"}, stringify=True)
+    sinks.write_partitioned(ev.filter(F.col("event_id") % 2 == 1), name, {"batch_no": "day"}, overwrite=False, stringify=True)
+    return taken(spark, name)
+
+
+@register("catalog_retention")
+def q_catalog_retention(spark, d):
+    """Batches of a catalog table that are older than the cutoff go; the later ones stay as they are."""
+    name = _fresh_table("batches")
+    sinks.write_partitioned(_events_by_day(spark, d), name, {"batch_no": "day"})
+    sinks.expire_batches(spark, name, "2024-01-10")
+    return taken(spark, name)
+
+
+@register("append_to_batch")
+def q_append_to_batch(spark, d):
+    """Rows appended to batches that are there already, without replacing them."""
+    ev = _events_by_day(spark, d)
+    path = scratch(spark, "append")
+    sinks.write_partitioned(ev, path, {"batch_no": "day"})
+    again = ev.filter(F.col("day") == "2024-01-15").withColumn("event_id", -F.col("event_id"))
+    sinks.write_partitioned(again, path, {"batch_no": "day"}, overwrite=False)
+    return _read_batches(spark, path, ev)
 
 
 @register("guarded_drop")
@@ -484,7 +549,7 @@ def q_guarded_drop(spark, d):
     sinks.write_table(table(spark, d, "customer"), gone, fmt="parquet")
     refused = sinks.drop_table(spark, kept, "other_")
     dropped = sinks.drop_table(spark, gone, "parcelflow_")
-    return spark.table(kept).agg(F.count("*").alias("kept_rows")).select(
+    return taken(spark, kept).agg(F.count("*").alias("kept_rows")).select(
         "kept_rows", F.lit(refused).alias("foreign_dropped"),
         F.lit(dropped and not spark.catalog.tableExists(gone)).alias("own_dropped"))
 
@@ -509,6 +574,69 @@ def q_upsert_table_idle(spark, d):
     return _sign_upsert(spark, d, False)
 
 
+@register("upsert_job")
+def q_upsert_job(spark, d):
+    """A base table of signatures: a first load, corrected records of every second signature, and an
+    empty slice, read back."""
+    raw = derived.logistics_tables(spark, d)["volume_sign"]
+    path = scratch(spark, "upsert")
+    jobs.run_upsert({"volume_sign": raw}, {"volume_sign": path}, buckets=8)
+    new = raw.filter(F.col("id").cast("long") % 2 == 0).withColumn("operation_department_code", F.lit("N01")) \
+        .withColumn("inflow_time", F.lit("2030-01-01T00:00:00.000Z"))
+    jobs.run_upsert({"volume_sign": new}, {"volume_sign": path})
+    return jobs.run_upsert({"volume_sign": raw.filter(F.lit(False))}, {"volume_sign": path})["volume_sign"]
+
+
+@register("job_clean_rejects")
+def q_job_clean_rejects(spark, d):
+    """The rejects that the clean job counted while it wrote its second batch."""
+    raw = derived.logistics_tables(spark, d)
+    base = scratch(spark, "clean")
+    run = jobs.run_clean(raw, 2, REFRESH_TIME, {n: f"{base}/{n}" for n in clean_job.BATCHES[2]}, days=None, fmt="parquet")
+    rows = [(n, c, k, run.tables[n].count()) for n, by_column in run.rejects.items() for c, k in by_column.items() if k]
+    return spark.createDataFrame(rows, "table_name string, column_name string, rejects long, cleaned_rows long")
+
+
+@register("job_clean_bucketed")
+def q_job_clean_bucketed(spark, d):
+    """Cleaned waybills and signatures in buckets of the waybill number: waybills nobody signed for."""
+    raw, names = derived.logistics_tables(spark, d), {}
+    for batch, n in ((2, "volume_waybill"), (1, "volume_sign")):
+        names[n] = _fresh_table(n)
+        jobs.run_clean(raw, batch, REFRESH_TIME, {n: names[n]}, days=None, fmt="parquet", buckets=8)
+    open_ = written(joins.without(spark.table(names["volume_waybill"]), spark.table(names["volume_sign"]), ["waybill_number"])
+                    .select("id", "waybill_number", "bill_time", "goods_qty"), "open")
+    for n in names.values():
+        sinks.drop_table(spark, n, "parcelflow_")
+    return open_
+
+
+@register("job_forecast")
+def q_job_forecast(spark, d):
+    """The forecast job with its sinks: an older batch and this one, of which retention leaves this one."""
+    path = scratch(spark, "forecast")
+    t = cleaned_logistics(spark, d)
+    old = schemas.conform(forecast_job.result(t, forecast_job.stages(t, "2001-08-01 00:00:00"), "2001-08-01 00:00:00").limit(9),
+                          schemas.FORECAST)
+    sinks.write_partitioned(old, path, {"batch_no": "refresh_time"})
+    jobs.run_forecast(t, FORECAST_END, path, keep_days=5)
+    return _read_batches(spark, path, spark.createDataFrame([], schemas.FORECAST))
+
+
+@register("job_warning")
+def q_job_warning(spark, d):
+    path = scratch(spark, "warning")
+    jobs.run_load_warning(cleaned_logistics(spark, d), REFRESH_TIME, path)
+    return readers.read_table(spark, path, "parquet")
+
+
+@register("job_unscan")
+def q_job_unscan(spark, d):
+    path = scratch(spark, "unscan")
+    jobs.run_unload_unscan(cleaned_logistics(spark, d), REFRESH_TIME, path)
+    return readers.read_table(spark, path, "parquet")
+
+
 def _events_by_day(spark, d):
     ev = table(spark, d, "events")
     return ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd"))

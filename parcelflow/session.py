@@ -72,11 +72,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}/{tag}"
     df.write.parquet(path)
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    delete_at_exit(spark, path.rsplit("/", 1)[0])
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Has the folder deleted when the application ends."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Settings for a cluster run sized from the input volume.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from . import versions
+
 # --- fixed values -------------------------------------------------------------------------
 # Options of the operational CSV exports: comma separated, header line, single-quote quoting,
 # ``\N`` for NULL.
@@ -51,11 +53,14 @@ def read_dir(spark: SparkSession, path: str, fmt: str = "csv", schemas: dict | N
 
 
 def read_table(spark: SparkSession, name_or_path: str, fmt: str | None = None) -> DataFrame:
-    """A catalog table by name, or a path in ``fmt`` (parquet, orc, csv …)."""
+    """A catalog table by name, or a path in ``fmt`` (parquet, orc, csv …); of a path that
+    ``sinks.write_table`` loads, the rows of the last whole load."""
     if fmt is None:
         return spark.table(name_or_path)
     if fmt == "csv":
         return read_csv(spark, name_or_path)
+    if versions.is_versioned(spark, name_or_path):
+        return versions.read(spark, name_or_path)
     return spark.read.format(fmt).load(name_or_path)
 
 

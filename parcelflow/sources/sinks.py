@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nulls import stringify_all
+from . import versions
 from .readers import CSV_OPTIONS
 
 
@@ -30,7 +31,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_text: str
      .option("nullValue", CSV_OPTIONS["nullValue"]).csv(path))
 
 
-def _is_path(target: str) -> bool:
+def is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
@@ -46,17 +47,33 @@ def _by_name(df: DataFrame, target: str) -> DataFrame:
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str = "orc",
                 num_files: int | None = None) -> None:
     """Write a table to a path (``/…``, ``s3a://…``) or a catalog name; ``mode`` overwrite/append.
-    An existing catalog table is written with ``insertInto`` so its definition is kept."""
+
+    A path is (re)loaded aside and switched to when the load is whole (``sources.versions``), so that
+    neither readers nor a failed job ever see a missing table; ``readers.read_table`` reads it.  Rows
+    are appended to what the last load wrote.  An existing catalog table is written with
+    ``insertInto`` so its definition is kept."""
     spark = df.sparkSession
     out = df if num_files is None else df.repartition(num_files)
-    if _is_path(target):
-        out.write.mode(mode).format(fmt).save(target)
+    if is_path(target):
+        done = versions.loads(spark, target)
+        if mode == "overwrite" or not done:
+            versions.reload(out, target, fmt)
+        else:
+            out.write.mode(mode).format(fmt).save(f"{target}/{versions.VERSION}={done[-1]}")
     elif spark.catalog.tableExists(target):
         _by_name(out, target).write.insertInto(target, overwrite=(mode == "overwrite"))
     else:
         out.write.mode(mode).format(fmt).saveAsTable(target)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, fmt: str = "parquet") -> None:
+    """A catalog table bucketed and sorted by ``key``, one file per bucket: joins and groupings on the key
+    between tables of the same bucket count read it without a shuffle.  Each load defines the table anew.
+    A key that a third of all rows share is one bucket; leave tables with such keys unbucketed."""
+    (df.repartition(buckets, F.col(key)).write.mode("overwrite").format(fmt)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+
+
 def drop_table(spark: SparkSession, table: str, allowed_prefix: str) -> bool:
     """DROP TABLE IF EXISTS, only inside the allowed namespace (guards against dropping foreign
     tables by a typo).  Returns whether the statement was issued."""
@@ -77,7 +94,7 @@ def write_partitioned(df: DataFrame, target: str, partitions: dict, overwrite: b
     if num_files is not None:
         out = out.repartition(num_files, *[F.col(p) for p in partitions])
     spark = out.sparkSession
-    if _is_path(target):
+    if is_path(target):
         (out.write.mode("overwrite" if overwrite else "append").option("partitionOverwriteMode", "dynamic")
          .partitionBy(*partitions).format(fmt).save(target))
     elif spark.catalog.tableExists(target):
@@ -97,7 +114,7 @@ def write_partitioned(df: DataFrame, target: str, partitions: dict, overwrite: b
 
 def partitions(spark: SparkSession, target: str, partition_col: str) -> list[tuple[str, Callable[[], object]]]:
     """(value, function that drops it) of every partition of a path or catalog table."""
-    if not _is_path(target):
+    if not is_path(target):
         specs = [r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect()]
         values = [dict(x.split("=", 1) for x in spec.split("/")).get(partition_col) for spec in specs]
         return [(unquote(v), partial(spark.sql, f"ALTER TABLE {target} DROP IF EXISTS PARTITION "

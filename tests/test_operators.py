@@ -151,8 +151,7 @@ def test_schedule_walk_full_stop_and_numbering(spark):
         ("w4", "A:x-B:y", "A", "stock", None, None),                              # NULL ready time
     ], "k string, route string, cur string, status string, leave string, ready timestamp_ntz")
     w = R.with_remaining(w, "route", "cur")
-    legs = R.legs(w, "k", "remaining", "status", "leave", carry=["ready"])
-    out = R.schedule_walk(legs, tt, "k", "ready").collect()
+    out = R.schedule_walk(w, tt, "k", "remaining", "ready", "status", "leave").collect()
     by = {}
     for r in out:
         by.setdefault(r.k, []).append(r)
@@ -171,6 +170,71 @@ def test_schedule_walk_full_stop_and_numbering(spark):
     assert "w4" not in by
 
 
+def test_schedule_walk_of_long_routes_and_idle_waybills(spark):
+    """More legs than one plan walks, departures within one hour, and waybills that end on the way."""
+    stops = [f"S{i}" for i in range(22)]
+    tt = _tt(spark, [(a, b, f"{h:02d}:{m:02d}", 10, 0) for a, b in zip(stops, stops[1:]) if a != "S15"
+                     for h in range(24) for m in (5, 20, 50)])
+    rows = [(f"w{i}", stops[i % 20:], T(2024, 2, 28, 23, (7 * i) % 60)) for i in range(60)] + [
+        ("one", ["S1"], T(2024, 1, 1)), ("none", None, T(2024, 1, 1)), ("gap", ["S1", None, "S2"], T(2024, 1, 1))]
+    w = spark.createDataFrame(rows, "k string, remaining array<string>, ready timestamp_ntz")
+    got = {}
+    for r in R.schedule_walk(w, tt, "k", "remaining", "ready").collect():
+        got.setdefault(r.k, []).append((r.leg_idx, r.src, r.dst, r.start_time, r.end_time))
+    want = {}
+    for k, remaining, t in rows[:60]:
+        for i, (a, b) in enumerate(zip(remaining, remaining[1:])):
+            if a == "S15":
+                break
+            start = t.replace(second=0)
+            while start < t or start.minute not in (5, 20, 50):
+                start += dt.timedelta(minutes=1)
+            t = start + dt.timedelta(minutes=10)
+            want.setdefault(k, []).append((i, a, b, start, t))
+    assert {k: sorted(v) for k, v in got.items()} == want and max(map(len, want.values())) == 15
+
+
+def test_a_bag_scanned_often_is_opened_once(spark):
+    """1,000 scans of one bag of 1,000 pieces: 1,000 rows come out of the join with its contents."""
+    from parcelflow.operators import joins
+    from parcelflow.plans import forecast
+    n = 1000
+    one = "2024-01-01 00:00:00"
+    ids = spark.range(n)
+    t = {
+        "volume_load": spark.sql(f"SELECT 'A' AS assignment_number, 'D1' AS leave_department_code, 'D2' AS arrive_department_code, "
+                                 f"TIMESTAMP_NTZ '{one}' AS end_time, '1' AS is_active"),
+        "volume_load_detail": ids.selectExpr("'A' AS assignment_number", "'BAG' AS waybill_number", "'1' AS is_active",
+                                             f"timestampadd(MINUTE, id, TIMESTAMP_NTZ '{one}') AS create_time"),
+        "volume_traffic": spark.sql("SELECT 'A' AS assignment_number, 'T' AS transport_task_id, 'Y' AS is_active"),
+        "volume_traffic_detail": spark.sql(
+            f"SELECT 'T' AS transport_task_id, 'C' AS car_number, TIMESTAMP_NTZ '{one}' AS actual_leave_department_time, "
+            "cast(NULL AS timestamp_ntz) AS actual_arrive_department_time, cast(NULL AS timestamp_ntz) AS plan_arrive_department_time, "
+            "'NORMAL' AS transport_task_status, 'Y' AS is_active"),
+        "volume_box": ids.selectExpr("'BAG' AS task_number", "concat('W', id) AS waybill_number", "'1' AS valid_status",
+                                     "cast(id AS double) AS waybill_weight", "1.0D AS waybill_volume"),
+        "volume_waybill": ids.selectExpr("cast(id AS string) AS id", f"TIMESTAMP_NTZ '{one}' AS inflow_time",
+                                         "concat('W', id) AS waybill_number", "'Y' AS is_active", "9.0D AS goods_weight",
+                                         "9.0D AS goods_volume"),
+    }
+    seen = []
+    unpack = joins.unpack_containers
+
+    def counting(*args, **kwargs):
+        out = unpack(*args, **kwargs)
+        seen.append(out.count())
+        return out
+
+    joins.unpack_containers = counting
+    try:
+        out = forecast.load_events(t).collect()
+    finally:
+        joins.unpack_containers = unpack
+    assert seen == [n] and len(out) == n
+    last = T(2024, 1, 1) + dt.timedelta(minutes=n - 1)
+    assert all(r.create_time == last and r.goods_weight == float(r.waybill_number[1:]) for r in out)
+
+
 def test_splice_partner_lines(spark):
     lines = spark.createDataFrame([
         ("X", "H", "06:00", 60, 1, "trunk"), ("H", "Y", "09:00", 30, 2, "partner"), ("Y", "Z", "11:00", 45, 0, "car"),
