@@ -9,8 +9,8 @@ an n-gram is counted in the chunk in whose own part (before its closing window)
 once.
 
 Only phrases of at least ``min_count`` occurrences matter, parts of candidates included.  Two
-passes count hashes (of words, then of word pairs whose words are frequent) and fold those that
-reach ``min_count`` into a bit table of fixed size.  A table that fills up, as on a very large
+passes count hashes (of words, then of word pairs whose words are frequent), cut short and packed by
+hash range, and fold those that reach ``min_count`` into a bit table of fixed size.  A table that fills up, as on a very large
 corpus, prunes less and loses nothing.  The last pass counts the phrases themselves - all of whose
 words and pairs pass - as text, so no result rests on a hash.
 
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.llm.common import staged
+from parcelflow.llm.packed_keys import cut_bits, edges, rows, totals
 
 MAX_WORDS = 5
 MIN_COUNT = 100
@@ -41,6 +42,9 @@ MODULUS = 64
 TABLE_BITS = 26
 #: Bytes of text that are parsed or counted at a time.
 SLICE_BYTES = 2_000_000
+#: Words of the corpus per range of hashes, and hashes that a task holds before it sends them.
+RANGE_WORDS = 4_000_000
+HELD_HASHES = 2_000_000
 # Characters that end a piece, and those that end a word inside a piece.
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
@@ -138,7 +142,7 @@ def parse(texts: list[bytes], overlap: int, modulus: int) -> tuple[np.ndarray, n
 
 def chunks(docs: DataFrame, overlap: int, modulus: int) -> DataFrame:
     """(lang, own, chunk, times): the dictionary of the parse, with parse frequencies."""
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
+    texts_ = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
                        F.col("text").cast("binary").alias("text")).where(F.octet_length("text") > 0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -148,7 +152,7 @@ def chunks(docs: DataFrame, overlap: int, modulus: int) -> DataFrame:
                 owner, own, found = parse(texts[i:j], overlap, modulus)
                 yield pd.DataFrame({"lang": lang[i + owner], "own": own, "chunk": found})
 
-    parsed = rows.mapInPandas(run, "lang string, own int, chunk binary")
+    parsed = texts_.mapInPandas(run, "lang string, own int, chunk binary")
     return parsed.groupBy("lang", "own", "chunk").agg(F.count("*").alias("times"))
 
 
@@ -212,32 +216,56 @@ def _all_in(has: np.ndarray, parts: int) -> np.ndarray:
     return out
 
 
-def frequent_table(dictionary: DataFrame, k: int, words: Table | None, min_count: int, size: int = TABLE_BITS) -> Table:
+def frequent_table(dictionary: DataFrame, k: int, words: Table | None, min_count: int, total: int,
+                   size: int = TABLE_BITS) -> Table:
     """The table of the hashes of k-word phrases that occur ``min_count`` times; with the table of
-    words, only phrases of frequent words are counted."""
+    words, only phrases of frequent words are counted.
+
+    Hashes are cut to the bits that tell the corpus's phrases apart and travel packed, by range;
+    ``total`` is the number of words.
+    """
     shared = dictionary.sparkSession.sparkContext.broadcast(words)
+    bits = max(size, cut_bits(total))
+    cuts = edges(max(1, -(-total // RANGE_WORDS)), bits)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
+        table, held, count = shared.value, [], 0
+
+        def merged() -> pd.DataFrame:
+            h, number = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            times = np.zeros(len(h), np.int64)
+            np.add.at(times, number, np.concatenate([x for _, x in held]))
+            return rows(h, times, cuts)
+
         for b in batches:
             for i, j in _slices(b["chunk"].map(len).to_numpy()):
                 part = Batch(b.iloc[i:j])
                 use = part.starts & part.within(k)
                 if table is not None:
                     use &= _all_in(table.has(part.hashes(1)), k)
-                h, number = np.unique(part.hashes(k)[use], return_inverse=True)
-                yield pd.DataFrame({"h": h.view(np.int64),
-                                    "times": np.bincount(number, part.times[use], len(h)).astype(np.int64)})
-
-    counted = (dictionary.mapInPandas(run, "h long, times long").groupBy("h").agg(F.sum("times").alias("n"))
-               .where(F.col("n") >= min_count))
-    at = F.shiftrightunsigned("h", 64 - size)
+                held.append((part.hashes(k)[use] >> np.uint64(64 - bits), part.times[use]))
+                count += len(held[-1][0])
+                if count > HELD_HASHES:
+                    yield merged()
+                    held, count = [], 0
+        if count:
+            yield merged()
+
+    def often(met: pd.DataFrame) -> pd.DataFrame:
+        keys, times, _ = totals(met)
+        at = keys[times >= min_count] >> np.uint64(bits - size)
+        word, number = np.unique(at >> np.uint64(6), return_inverse=True)
+        out = np.zeros(len(word), np.uint64)
+        np.bitwise_or.at(out, number, np.uint64(1) << (at & np.uint64(63)))
+        return pd.DataFrame({"at": word.astype(np.int64), "bits": out.view(np.int64)})
+
+    counted = (dictionary.mapInPandas(run, "range int, keys binary, times binary").groupBy("range")
+               .applyInPandas(often, "at long, bits long"))
     # At most 2 ** (size - 6) rows
-    rows = (counted.groupBy(F.shiftright(at, 6).alias("at")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int"))).alias("bits")).toPandas())
-    bits = np.zeros(1 << (size - 6), np.uint64)
-    bits[rows["at"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return Table(bits, size)
+    found = counted.groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
+    table = np.zeros(1 << (size - 6), np.uint64)
+    table[found["at"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    return Table(table, size)
 
 
 def _same_bytes(raw: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -264,7 +292,7 @@ def counts(dictionary: DataFrame, words: Table, pairs: Table, max_words: int, mi
         rest = np.flatnonzero(~same)  # equal hash, other phrase: a row of its own
         pick = np.concatenate([first, rest])
         return pd.DataFrame({
-            "lang": part.langs[part.lang[at[pick]]], "k": k,
+            "lang": part.langs[part.lang[at[pick]]],
             "phrase": [part.data[i:j] for i, j in zip(a[pick].tolist(), b[pick].tolist())],
             "n": np.concatenate([times, part.times[at[rest]]])})
 
@@ -279,9 +307,10 @@ def counts(dictionary: DataFrame, words: Table, pairs: Table, max_words: int, mi
                 for k in range(2, max_words + 1):
                     yield count(part, k, part.starts & _all_in(two, k - 1) & part.within(k))
 
-    counted = dictionary.mapInPandas(run, "lang string, k int, phrase binary, n long")
-    return (counted.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
-            .withColumn("phrase", F.col("phrase").cast("string")))
+    counted = dictionary.mapInPandas(run, "lang string, phrase binary, n long")
+    often = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    return often.select("lang", F.size(F.split(F.col("phrase").cast("string"), " ", -1)).alias("k"),
+                        F.col("phrase").cast("string").alias("phrase"), "n")
 
 
 def _first(phrase: Column, k: Column) -> Column:
@@ -289,7 +318,7 @@ def _first(phrase: Column, k: Column) -> Column:
     return F.call_function("substring_index", phrase, F.lit(" "), k)
 
 
-def scored(frequent: DataFrame, totals: DataFrame, max_words: int = MAX_WORDS, keep_percent: int = 100) -> DataFrame:
+def scored(frequent: DataFrame, totals: DataFrame, keep_percent: int = 100) -> DataFrame:
     """(lang, phrase, a, l, r, n, score) of the candidates that no longer one contains.
 
     A phrase is contained in a longer candidate of ``keep_percent`` percent of its count if and only if
@@ -329,12 +358,13 @@ def mine(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT
     ``max_words`` is 2 at least, ``table_bits`` 6 at least.
     """
     dictionary = staged(chunks(docs, max_words - 1, modulus), "dictionary")
-    totals = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("times")).alias("n"))
-    words = frequent_table(dictionary, 1, None, min_count, table_bits)
-    pairs = frequent_table(dictionary, 2, words, min_count, table_bits)
+    by_lang = staged(dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("times")).alias("n")), "totals")
+    total = by_lang.agg(F.sum("n")).first()[0] or 0
+    words = frequent_table(dictionary, 1, None, min_count, total, table_bits)
+    pairs = frequent_table(dictionary, 2, words, min_count, total, table_bits)
     frequent = staged(counts(dictionary, words, pairs, max_words, min_count), "frequent")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(frequent, totals, max_words, keep_percent).withColumn("rank", F.row_number().over(order))
+    ranked = scored(frequent, by_lang, keep_percent).withColumn("rank", F.row_number().over(order))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
