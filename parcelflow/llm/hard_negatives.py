@@ -33,11 +33,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import staged
+from parcelflow.llm.common import numbered, staged
 
 SCALE = 256
 POSITIVES = 5
@@ -101,7 +100,7 @@ def _cosines(x: np.ndarray, norms: np.ndarray, refs: np.ndarray) -> np.ndarray:
     return np.clip((x @ refs.T) / np.where(norms > 0, norms, 1)[:, None], -1, 1)
 
 
-def packed(rows: DataFrame, refs: np.ndarray, scale: int, total: int, most: int) -> DataFrame:
+def packed(rows: DataFrame, refs: np.ndarray, scale: int, most: int) -> DataFrame:
     """One row per stretch of at most ``most`` rows, in the order of label, nearest reference and angle."""
     width = refs.shape[1]
     most = max(1, min(most, PACK_BYTES // (8 * (width + len(refs)))))
@@ -114,32 +113,22 @@ def packed(rows: DataFrame, refs: np.ndarray, scale: int, total: int, most: int)
                 yield pd.DataFrame({"label": b["label"], "cell": c.argmax(1), "near": -c.max(1), "vec_id": b["vec_id"],
                                     "whole": [r.tobytes() for r in x]})
 
-    def row(part: pd.DataFrame, number: int) -> pd.DataFrame:
+    def pack(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("place")
         x = np.frombuffer(b"".join(part["whole"]), np.float64).reshape(-1, width)
         norms = _norms(x)
         c = _cosines(x, norms, refs)
         angle, label = np.arccos(c), part["label"].to_numpy(np.int64)
         return pd.DataFrame({
-            "pack": [number], "n": [len(part)], "ids": [part["vec_id"].to_numpy(np.int64).tobytes()],
+            "pack": [part["pack"].iloc[0]], "n": [len(part)], "ids": [part["vec_id"].to_numpy(np.int64).tobytes()],
             "labels": [label.tobytes()], "whole": [x.tobytes()], "norms": [norms.tobytes()],
             "cosines": [c.tobytes()], "label_low": [label.min()], "label_high": [label.max()],
             "norm_low": [norms.min()], "norm_high": [norms.max()],
             "angle_low": [angle.min(0).tolist()], "angle_high": [angle.max(0).tolist()]})
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, held = TaskContext.get().partitionId() << 32, None
-        for b in batches:
-            held = b if held is None else pd.concat([held, b], ignore_index=True)
-            while len(held) >= most:
-                yield row(held.iloc[:most], number)
-                held, number = held.iloc[most:].reset_index(drop=True), number + 1
-        if held is not None and len(held):
-            yield row(held, number)
-
     keyed = rows.mapInPandas(cell, "label long, cell int, near double, vec_id long, whole binary")
-    order = ["label", "cell", "near", "vec_id", "whole"]
-    dealt = keyed.repartitionByRange(max(1, -(-total // most)), *order).sortWithinPartitions(*order)
-    return dealt.mapInPandas(pack, _PACK)
+    placed = numbered(keyed, "label", "cell", "near", "vec_id", "whole", tag="angles")
+    return placed.withColumn("pack", F.floor(F.col("place") / most)).groupBy("pack").applyInPandas(pack, _PACK)
 
 
 class Pack:
@@ -286,15 +275,19 @@ def mine(vectors: DataFrame, anchors: str, scale: int = SCALE, positives: int =
     rows, width = usable(vectors)
     asking = rows.where(anchors)
     refs = references(rows, width, scale, reference_count)
-    stripes = staged(packed(rows, refs, scale, rows.count(), stripe_rows), "stripes")
-    tiles = staged(packed(asking, refs, scale, asking.count(), tile_rows), "tiles")
+    stripes = staged(packed(rows, refs, scale, stripe_rows), "stripes")
+    tiles = staged(packed(asking, refs, scale, tile_rows), "tiles")
     stripe_count = stripes.count()
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r, a, x in _packs(b):
-                for i, ids, scores in positives_in(a, x, positives):
-                    yield pd.DataFrame({"tile": r.tile, "anchor": i, "anchor_id": a.ids[i], "positive_id": ids, "score": scores})
+                hits = list(positives_in(a, x, positives))
+                if hits:
+                    at = np.repeat([h[0] for h in hits], [len(h[1]) for h in hits])
+                    yield pd.DataFrame({"tile": r.tile, "anchor": at, "anchor_id": a.ids[at],
+                                        "positive_id": np.concatenate([h[1] for h in hits]),
+                                        "score": np.concatenate([h[2] for h in hits])})
 
     everything = tiles.select("*", F.lit(-np.inf).alias("bottom"), F.lit(np.inf).alias("top"))
     pairs = staged(meeting(everything, stripes, stripe_count, True), "same_label")
@@ -317,8 +310,13 @@ def mine(vectors: DataFrame, anchors: str, scale: int = SCALE, positives: int =
                 for one in r.asked:
                     if one["score"] not in scores[one["anchor"]]:
                         scores[one["anchor"]].append(one["score"])
-                for i, p, ids, score in negatives_in(a, x, scores, negatives, low, high):
-                    yield pd.DataFrame({"tile": r.tile, "anchor": i, "score": p, "negative_id": ids, "negative_score": score})
+                hits = list(negatives_in(a, x, scores, negatives, low, high))
+                if hits:
+                    times = [len(h[2]) for h in hits]
+                    yield pd.DataFrame({"tile": r.tile, "anchor": np.repeat([h[0] for h in hits], times),
+                                        "score": np.repeat([h[1] for h in hits], times),
+                                        "negative_id": np.concatenate([h[2] for h in hits]),
+                                        "negative_score": np.concatenate([h[3] for h in hits])})
 
     pairs = staged(meeting(windowed, stripes, stripe_count, False), "other_label")
     hits = _tasks(windowed, stripes, pairs, "asked").mapInPandas(
