@@ -4,15 +4,20 @@ The corpus's own n-gram counts are the model.  A word's score is c(context word)
 n-gram occurs at least ``min_count`` times, else ``ALPHA`` times the score with a context one word
 shorter; a single word's is its share of all words.  A document's score is the sum of logarithms.
 
-Count tables are relations (order, hash bucket, n-gram, count).  Documents are dealt into blocks; a
-block's exploded n-grams are grouped before they move, so each distinct n-gram of a block is one row
-however often it occurs, packed by hash bucket into sorted 64-bit arrays.  Buckets meet over all
-blocks, add up the counts - that is the table's partition - and answer every block with the counts
-of its n-grams, in the order asked.  The join back to the documents is by block: texts are
-dealt once (both uses read the same exchange), replies are small, and scores are summed per document.
+The count table is partitioned by hash: a range of the 64-bit hashes of n-grams of all orders, in
+one task.  Documents are dealt into blocks; a block's exploded n-grams are grouped before they move, so each
+distinct n-gram of a block is one entry however often it occurs, and the entries of a block for a range travel
+in one row, sorted and delta-coded.  The join of counts and n-grams is by (block, range); scores are summed
+per document.  It takes two exchanges, as most n-grams of a corpus occur once and need no count:
 
-A word that makes up a third of the corpus is one row per block.  Blocks hold about ``BLOCK_BYTES`` of
-text, buckets about as much of n-grams, at any corpus size.
+* thin: hashes cut to a few bits more than tell all n-grams apart; the answer is one bit, whether the
+  cut hash occurs ``min_count`` times.  Hashes that fall together only let an n-gram pass.
+* exact: the words and the n-grams that passed, by the whole hash; the answer is the count.
+
+The number of bits grows with the corpus.  No row is without an entry, so there are never more rows than
+distinct n-grams.  A word that makes up a third of the corpus is one entry per block; rows with one text
+are dealt out by a number of their own.  Blocks hold about ``BLOCK_BYTES`` of text and ranges
+the n-grams of about ``RANGE_BLOCKS`` blocks, at any corpus size.
 
 Defined cases: null and empty texts have no words, log score 0 and mean 0; words are runs of
 characters other than white space (space, tab to carriage return), A-Z lower-cased; repeated rows are separate documents
@@ -23,150 +28,133 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import text_of
+from parcelflow.llm.collocations import Words, _longer
+from parcelflow.llm.common import staged
+from parcelflow.llm.packed_keys import borders, cut_bits, edges, rows, small, totals, unsmall
 
-ORDER = 2
+ORDER = 3
 MIN_COUNT = 2
 ALPHA = 0.4
 BLOCK_BYTES = 8 << 20
-_A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-
-
-def _mixed(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Hash of an n-gram from the hashes of its first words and its last word."""
-    with np.errstate(over="ignore"):
-        x = left * _A + right
-        x = (x ^ (x >> np.uint64(29))) * _B
-        return x ^ (x >> np.uint64(32))
-
-
-def ngrams(texts: list[str], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Words per text, and for k = 1..order the hash of the k-gram ending at every position.
-
-    Positions before the k-th of a text carry the hash of a shorter n-gram and are masked by callers.
-    """
-    index: dict[bytes, int] = {}
-    flat: list[int] = []
-    counts = np.zeros(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        words = t.encode("utf-8", "replace").lower().split()
-        counts[i] = len(words)
-        flat.extend([index.setdefault(w, len(index)) for w in words])
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(w, 42) for w in index), np.uint64, len(index))
-    one = hashes[np.array(flat, np.int64)] if flat else np.empty(0, np.uint64)
-    grams = [one]
-    for _ in range(1, order):
-        longer = one.copy()
-        longer[1:] = _mixed(grams[-1][:-1], one[1:])
-        grams.append(longer)
-    return counts, grams
-
-
-def _inside(counts: np.ndarray, k: int) -> np.ndarray:
-    """Whether a k-gram ends at each position: the position is the k-th of its text or later."""
-    starts = np.repeat(np.cumsum(counts) - counts, counts)
-    return np.arange(len(starts)) - starts >= k - 1
-
-
-def _asked(counts: np.ndarray, grams: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct k-grams of a block, how often each occurs, and each position's number in them."""
-    inside = _inside(counts, k)
-    keys, inverse, times = np.unique(grams[k - 1][inside], return_inverse=True, return_counts=True)
-    number = np.full(len(inside), -1, np.int64)
-    number[inside] = inverse
-    return keys, times, number
-
-
-def _planes(keys: np.ndarray) -> bytes:
-    """Sorted keys, byte by byte from the highest: the high bytes repeat and compress away."""
-    return keys.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def _keys(planes: bytes) -> np.ndarray:
-    return np.frombuffer(planes, np.uint8).reshape(8, -1).T.copy().view(">u8").astype(np.uint64).ravel()
-
-
-def _edges(buckets: int) -> np.ndarray:
-    """First key of each bucket but the first: the hash space in equal parts."""
-    return np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+RANGE_BLOCKS = 2
+#: A-Z in lower case, white space as a space.
+_PLAIN = bytes.maketrans(bytes(range(65, 91)) + b"\t\n\x0b\x0c\r", bytes(range(97, 123)) + b" " * 5)
+
+
+class Block:
+    """The words of some texts, and for k = 1..order the hash of the k-gram that ends at each word."""
+
+    def __init__(self, texts: list[bytes | None], order: int):
+        plain = [(t or b"").translate(_PLAIN) for t in texts]
+        w = Words(b"\n".join(plain))
+        ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)) + 1)
+        self.of = np.searchsorted(ends, w.start, "right")
+        self.counts = np.bincount(self.of, minlength=len(texts))
+        self.place = np.arange(len(self.of)) - np.repeat(np.cumsum(self.counts) - self.counts, self.counts)
+        self.grams = [w.hash]
+        for _ in range(1, order):
+            longer = w.hash.copy()
+            longer[1:] = _longer(self.grams[-1][:-1], w.hash[1:])
+            self.grams.append(longer)
+        #: Positions at which a k-gram ends.
+        self.inside = [np.flatnonzero(self.place >= k) for k in range(order)]
+
+    def cut(self, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct cut hashes of the n-grams of two words and more, and how often each occurs."""
+        if len(self.grams) < 2:
+            return np.empty(0, np.uint64), np.empty(0, np.int64)
+        keys = np.concatenate([g[i] for g, i in zip(self.grams[1:], self.inside[1:])]) >> np.uint64(shift)
+        return np.unique(keys, return_counts=True)
+
+    def passed(self, shift: int, often: np.ndarray) -> list[np.ndarray]:
+        """Per order, the positions whose n-gram is asked for: all words, and what passed the thin exchange."""
+        keys, _ = self.cut(shift)
+        out = [self.inside[0]]
+        for g, i in zip(self.grams[1:], self.inside[1:]):
+            out.append(i[often[np.searchsorted(keys, g[i] >> np.uint64(shift))]] if len(i) else i)
+        return out
+
+
+_ASKED = "block long, range int, keys binary, times binary"
+_ANSWERED = "block long, range int, answer binary"
 
 
 def score(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, alpha: float = ALPHA,
           block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, n_backoff, log_score, mean_log_score): ``n_backoff`` counts the words after
     the first that were scored with less than their longest context."""
-    size = docs.select(F.sum(F.octet_length("text")), F.count("*")).first()
-    blocks = max(1, -(-(size[0] or 0) // block_bytes))
-    buckets = max(1, blocks)
-    edges = _edges(buckets)
+    size, everything = docs.select(F.sum(F.octet_length("text")), F.sum(
+        F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()
+    everything = everything or 0
+    blocks = max(1, -(-(size or 0) // block_bytes))
+    ranges = max(1, -(-blocks // RANGE_BLOCKS))
+    bits = cut_bits(everything * order)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id",
-                        text_of().alias("text"))
-
-    def ask(block: pd.DataFrame) -> pd.DataFrame:
-        counts, grams = ngrams(block["text"].tolist(), order)
-        out = []
-        for k in range(1, order + 1):
-            keys, times, _ = _asked(counts, grams, k)
-            at = np.r_[0, np.searchsorted(keys, edges, "left"), len(keys)]
-            for b in range(buckets):
-                part = slice(at[b], at[b + 1])
-                # Every block asks every bucket for single words: the answers also add up to all words.
-                if k == 1 or at[b] < at[b + 1]:
-                    out.append((int(block["block"].iloc[0]), k, b, _planes(keys[part]),
-                                times[part].astype("<i8").tobytes()))
-        return pd.DataFrame(out, columns=["block", "k", "bucket", "keys", "times"])
-
-    def answer(bucket: pd.DataFrame) -> pd.DataFrame:
-        keys = [_keys(x) for x in bucket["keys"]]
-        flat = np.concatenate(keys)
-        times = np.concatenate([np.frombuffer(x, "<i8") for x in bucket["times"]])
-        _, number = np.unique(flat, return_inverse=True)
-        total = np.zeros(number.max(initial=-1) + 1, np.int64)
-        np.add.at(total, number, times)
-        if bucket["k"].iloc[0] > 1:
-            total[total < min_count] = 0
-        ends = np.cumsum([len(x) for x in keys])
-        found = total[number]
-        return pd.DataFrame({
-            "block": bucket["block"].array, "k": bucket["k"].array, "bucket": bucket["bucket"].array,
-            "counts": [found[e - len(x):e].astype("<i8").tobytes() for e, x in zip(ends, keys)],
-            "all": np.int64(times.sum())})
-
-    def finish(block: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
-        counts, grams = ngrams(block["text"].tolist(), order)
-        replies = replies.sort_values(["k", "bucket"])
-        everything = float(replies.loc[replies["k"] == 1, "all"].sum())
-        n = int(counts.sum())
-        seen = []  # per order, the count of the n-gram that ends at each position
-        for k in range(1, order + 1):
-            _, _, number = _asked(counts, grams, k)
-            found = np.frombuffer(b"".join(replies.loc[replies["k"] == k, "counts"]), "<i8")
-            seen.append(np.where(number >= 0, found[number] if len(found) else 0, 0).astype(float))
-        place = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts)
-        log = np.full(n, np.nan)
-        level = np.zeros(n, np.int64)
+    # The rows' own number deals copies of one document out like others.
+    dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(blocks)).alias("block"),
+                        "doc_id", F.col("text").cast("binary").alias("text"))
+
+    def ask_thin(block: pd.DataFrame) -> pd.DataFrame:
+        keys, times = Block(block["text"].tolist(), order).cut(64 - bits)
+        return rows(keys, np.minimum(times, min_count), edges(ranges, bits)).assign(block=block["block"].iloc[0])
+
+    def answer_thin(asked: pd.DataFrame) -> pd.DataFrame:
+        _, total, places = totals(asked)
+        return asked[["block", "range"]].assign(answer=[np.packbits(total[p] >= min_count).tobytes() for p in places])
+
+    def often(words: Block, answers: pd.DataFrame) -> np.ndarray:
+        """Whether each of the block's cut hashes occurs often enough, from the bits of its ranges."""
+        keys, _ = words.cut(64 - bits)
+        at = borders(keys, edges(ranges, bits))
+        out = np.zeros(len(keys), bool)
+        for r, answer in zip(answers["range"], answers["answer"]):
+            out[at[r]:at[r + 1]] = np.unpackbits(np.frombuffer(answer, np.uint8), count=at[r + 1] - at[r])
+        return out
+
+    def ask_exact(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        words = Block(block["text"].tolist(), order)
+        asked = words.passed(64 - bits, often(words, answers))
+        keys, times = np.unique(np.concatenate([g[i] for g, i in zip(words.grams, asked)]), return_counts=True)
+        return rows(keys, times, edges(ranges, 64)).assign(block=block["block"].iloc[0])
+
+    def answer_exact(asked: pd.DataFrame) -> pd.DataFrame:
+        _, total, places = totals(asked)
+        return asked[["block", "range"]].assign(answer=[small(total[p]) for p in places])
+
+    def finish(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        words = Block(block["text"].tolist(), order)
+        asked = words.passed(64 - bits, often(words, answers[answers["round"] == 0]))
+        keys = np.unique(np.concatenate([g[i] for g, i in zip(words.grams, asked)]))
+        exact = answers[answers["round"] == 1].sort_values("range")
+        found = np.concatenate([np.empty(0, np.int64), *map(unsmall, exact["answer"])])
+        n, place = len(words.place), words.place
+        seen = np.zeros((order, n))  # per order, the count of the n-gram that ends at each position
+        for k, (g, i) in enumerate(zip(words.grams, asked)):
+            counts = found[np.searchsorted(keys, g[i])]
+            seen[k, i] = np.where(counts >= min_count, counts, 0) if k else counts
+        log, level = np.full(n, np.nan), np.zeros(n, np.int64)
         for k in range(order, 0, -1):  # the longest n-gram that is frequent enough decides
             if k > 1:
-                context = np.r_[0.0, seen[k - 2][:-1]] if n else seen[k - 2]
+                context = np.r_[0.0, seen[k - 2][:-1]]
                 use = np.isnan(log) & (place >= k - 1) & (seen[k - 1] > 0)
             else:
-                context, use = np.full(n, everything), np.isnan(log)
+                context, use = np.full(n, float(everything)), np.isnan(log)
             backed = np.minimum(place, order - 1) - (k - 1)
-            log[use] = np.log(seen[k - 1][use] / context[use]) + backed[use] * np.log(alpha)
+            log[use] = np.log(seen[k - 1][use] / context[:n][use]) + backed[use] * np.log(alpha)
             level[use] = k
-        of = np.repeat(np.arange(len(counts)), counts)
-        total = np.bincount(of, log, len(counts))
-        short = np.bincount(of, (level <= np.minimum(place, order - 1)).astype(float), len(counts))
-        return pd.DataFrame({"doc_id": block["doc_id"].array, "n_words": counts, "n_backoff": short.astype(np.int64),
-                             "log_score": np.round(total, 4), "mean_log_score": np.round(total / np.maximum(counts, 1), 6)})
-
-    asked = dealt.groupBy("block").applyInPandas(ask, "block long, k int, bucket int, keys binary, times binary")
-    replies = asked.groupBy("k", "bucket").applyInPandas(answer, "block long, k int, bucket int, counts binary, all long")
-    return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
+        total = np.bincount(words.of, log, len(block))
+        short = np.bincount(words.of, (level <= np.minimum(place, order - 1)).astype(float), len(block))
+        return pd.DataFrame({
+            "doc_id": block["doc_id"].array, "n_words": words.counts, "n_backoff": short.astype(np.int64),
+            "log_score": np.round(total, 4), "mean_log_score": np.round(total / np.maximum(words.counts, 1), 6)})
+
+    by_block = dealt.groupBy("block")
+    thin = staged(by_block.applyInPandas(ask_thin, _ASKED).groupBy("range").applyInPandas(answer_thin, _ANSWERED), "thin")
+    exact = (by_block.cogroup(thin.groupBy("block")).applyInPandas(ask_exact, _ASKED)
+             .groupBy("range").applyInPandas(answer_exact, _ANSWERED))
+    both = thin.withColumn("round", F.lit(0)).unionByName(exact.withColumn("round", F.lit(1)))
+    return by_block.cogroup(both.groupBy("block")).applyInPandas(
         finish, f"doc_id {kind}, n_words long, n_backoff long, log_score double, mean_log_score double")

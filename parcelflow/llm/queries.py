@@ -46,7 +46,7 @@ def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_runs(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_hard_negatives": op12_hard_negatives,
     "op13_bestfit": op13_bestfit,
 }
-# Words and pairs of words counted as text; a pair that occurs once backs off to its last word.
+# Words, pairs and triples counted as text; a triple or pair that occurs once backs off to a shorter one.
 LM_SQL = """
 with docs as (
   select doc_id, row_number() over () as row_no,
@@ -95,18 +95,21 @@ with docs as (
                      'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as words
   from documents),
 tokens as (select doc_id, row_no, unnest(words) as w, generate_subscripts(words, 1) as i from docs),
-pairs as (select *, lag(w) over (partition by row_no order by i) as before from tokens),
+places as (select *, lag(w) over o as b1, lag(w, 2) over o as b2 from tokens window o as (partition by row_no order by i)),
 singles as (select w, count(*) as n from tokens group by w),
-doubles as (select before, w, count(*) as n from pairs where before is not null group by before, w having count(*) >= 2),
+doubles as (select b1, w, count(*) as n from places where b1 is not null group by all having count(*) >= 2),
+triples as (select b2, b1, w, count(*) as n from places where b2 is not null group by all having count(*) >= 2),
 everything as (select count(*) as n from tokens),
 scored as (
-  select p.row_no, p.i > 1 and d.n is null as backed_off,
-         case when p.before is null then ln(s.n / e.n)
-              when d.n is not null then ln(d.n / c.n)
-              else ln(s.n / e.n) + ln(0.4) end as lg
-  from pairs p cross join everything e join singles s on p.w = s.w
-  left join doubles d on p.before = d.before and p.w = d.w
-  left join singles c on p.before = c.w),
+  select p.row_no, case when p.i > 2 then t.n is null when p.i = 2 then d.n is null else false end as backed_off,
+         case when t.n is not null then ln(t.n / dc.n)
+              when d.n is not null then ln(d.n / c.n) + case when p.i > 2 then ln(0.4) else 0 end
+              else ln(s.n / e.n) + least(p.i - 1, 2) * ln(0.4) end as lg
+  from places p cross join everything e join singles s on p.w = s.w
+  left join triples t on p.b2 = t.b2 and p.b1 = t.b1 and p.w = t.w
+  left join doubles d on p.b1 = d.b1 and p.w = d.w
+  left join doubles dc on p.b2 = dc.b1 and p.b1 = dc.w
+  left join singles c on p.b1 = c.w),
 sums as (select row_no, count(*) as n, count(*) filter (backed_off) as b, sum(lg) as lg from scored group by row_no)
 select doc_id, coalesce(n, 0)::bigint as n_words, coalesce(b, 0)::bigint as n_backoff,
        round(coalesce(lg, 0), 4)::double as log_score, round(coalesce(lg / n, 0), 6)::double as mean_log_score
