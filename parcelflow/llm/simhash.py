@@ -13,8 +13,9 @@ fingerprints one's home is thereby an anchor of the other, and they meet there.
 Scale: equal fingerprints are reduced to one before anything else, so copies cost nothing.
 Anchors are hash-partitioned and sorted; a task streams them and compares rows of one anchor in
 numpy, blockwise, in arrays of 8 bytes a row.  An anchor with more than ``HOT`` rows is not
-compared: its rows go to a second round, keyed by the anchor and, in turn, by each of the pieces of
-the whole fingerprint of which linked ones share at least one.  Only links that join
+compared: its rows go on by the bits that the anchor leaves free, which are cut into blocks with
+anchors of their own (linked fingerprints again differ in at most one bit of some block), up to
+``ROUNDS`` times; a group that is then still as large lies within a few bits in all blocks.  Only links that join
 two groups of an anchor are sent on (a spanning forest), never all pairs.  Components are found by
 alternating star contraction over the links, written to the checkpoint folder after each round.
 
@@ -39,8 +40,9 @@ from parcelflow.llm.common import staged, text_of
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-#: Rows of one anchor compared in the first round.
+#: Rows of one anchor that are compared before the anchor is split further, and how often it is.
 HOT = 4096
+ROUNDS = 3
 _ROWS = 2048
 
 
@@ -81,14 +83,19 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, row: str | None = None
 
 
 class Cover:
-    """Blocks of the 64 bits and the Hamming code whose words are each block's anchors."""
+    """Blocks of the lowest ``bits`` bits and the Hamming code whose words are each block's anchors."""
 
-    def __init__(self, max_bits: int = MAX_BITS):
-        self.blocks = max_bits // 2 + 1
-        width = 64 // self.blocks
-        self.check_bits = (width + 1).bit_length() - 1
+    def __init__(self, blocks: int, bits: int = 64):
+        self.blocks, self.width = blocks, bits // blocks
+        self.check_bits = (self.width + 1).bit_length() - 1
         self.length = (1 << self.check_bits) - 1  # bits of a block that the code covers
-        self.shifts = [i * width for i in range(self.blocks)]
+        self.shifts = [i * self.width for i in range(blocks)]
+
+    def rest(self, fp: np.ndarray, block: int) -> np.ndarray:
+        """The bits outside a block, moved together."""
+        low, above = np.uint64(self.shifts[block]), self.shifts[block] + self.width
+        high = fp >> np.uint64(above) if above < 64 else np.zeros_like(fp)
+        return (fp & ((np.uint64(1) << low) - np.uint64(1))) | (high << low if self.shifts[block] else high)
 
     def anchors(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row number, anchor) of every anchor that each fingerprint is replicated to."""
@@ -142,6 +149,16 @@ def _forest(fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return fp[member], fp[root[member]]
 
 
+def _left(fp: np.ndarray, path: int, blocks: int, rounds: int) -> tuple[np.ndarray, int]:
+    """The free bits and their number after ``rounds`` anchors, whose blocks ``path`` lists in base ``blocks``."""
+    bits = 64
+    for i in range(rounds):
+        cover = Cover(blocks, bits)
+        fp = cover.rest(fp, path // blocks ** i % blocks)
+        bits -= cover.width
+    return fp, bits
+
+
 def _links_of(keys: np.ndarray, fps: np.ndarray, max_bits: int, hot: int | None) -> Iterator[tuple]:
     """Over rows sorted by key: (kind, a, b) with kind 0 for links, 1 for rows put off as hot."""
     if not len(keys):
@@ -166,63 +183,81 @@ def _links_of(keys: np.ndarray, fps: np.ndarray, max_bits: int, hot: int | None)
             yield 0, *_forest(group, max_bits)
 
 
-def _compare(rows: DataFrame, key_cols: list[str], max_bits: int, hot: int | None) -> DataFrame:
-    """(kind, a, b) from (key columns, fp): rows of one key meet in one task, sorted."""
+def _compare(rows: DataFrame, max_bits: int, hot: int | None) -> DataFrame:
+    """(kind, a, b, path) from (key, fp, path): rows of one key meet in one task, sorted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held_k, held_f = [], []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-        def flush(keys: np.ndarray, fps: np.ndarray) -> Iterator[pd.DataFrame]:
-            kinds, a, b = [], [], []
+        def flush() -> Iterator[pd.DataFrame]:
+            keys, fps, paths = (np.concatenate(x) for x in zip(*held))
+            kinds, a, b, path = [], [], [], []
             for kind, x, y in _links_of(keys, fps, max_bits, hot):
                 kinds.append(np.full(len(x), kind, np.int32))
                 a.append(x.view(np.int64))
                 b.append(y.view(np.int64))
+                path.append(paths[np.searchsorted(keys, a[-1])] if kind else np.zeros(len(x), np.int64))
             if kinds:
-                out = pd.DataFrame({"kind": np.concatenate(kinds), "a": np.concatenate(a), "b": np.concatenate(b)})
+                out = pd.DataFrame({"kind": np.concatenate(kinds), "a": np.concatenate(a), "b": np.concatenate(b),
+                                    "path": np.concatenate(path)})
                 yield out.drop_duplicates()
 
         for batch in batches:
-            keys = batch[key_cols[0]].to_numpy()
-            fps = batch["fp"].to_numpy().view(np.uint64)
-            if len(keys) and held_k and held_k[-1][-1] == keys[-1]:
-                held_k.append(keys)
-                held_f.append(fps)
+            part = (batch["key"].to_numpy(), batch["fp"].to_numpy().view(np.uint64), batch["path"].to_numpy())
+            if not len(part[0]):
+                continue
+            if held and held[-1][0][-1] == part[0][-1]:
+                held.append(part)
                 continue
-            if len(keys):
-                cut = int(np.searchsorted(keys, keys[-1]))  # the last key may go on in the next batch
-                yield from flush(np.concatenate([*held_k, keys[:cut]]), np.concatenate([*held_f, fps[:cut]]))
-                held_k, held_f = [keys[cut:]], [fps[cut:]]
-        if held_k:
-            yield from flush(np.concatenate(held_k), np.concatenate(held_f))
+            cut = int(np.searchsorted(part[0], part[0][-1]))  # the last key may go on in the next batch
+            held.append(tuple(x[:cut] for x in part))
+            yield from flush()
+            held = [tuple(x[cut:] for x in part)]
+        if held:
+            yield from flush()
 
-    dealt = rows.repartition(*key_cols).sortWithinPartitions(*key_cols)
-    return dealt.mapInPandas(run, "kind int, a long, b long")
+    dealt = rows.repartition("key").sortWithinPartitions("key")
+    return dealt.mapInPandas(run, "kind int, a long, b long, path long")
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b): enough links between distinct fingerprints ``fp`` that linked ones are connected."""
-    cover = Cover(max_bits)
+    blocks = max_bits // 2 + 1
+
+    def expand(rounds: int):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for path, part in b.groupby("path", sort=False):
+                    for i in range(0, len(part), 1 << 15):
+                        key, fp = part["key"].to_numpy()[i:i + (1 << 15)], part["fp"].to_numpy()[i:i + (1 << 15)]
+                        free, bits = _left(fp.view(np.uint64), int(path), blocks, rounds)
+                        cover = Cover(blocks, bits)
+                        row, anchor = cover.anchors(free)
+                        # An anchor is found within the one it comes from.
+                        yield pd.DataFrame({
+                            "key": _mixed(key[row], anchor) if rounds else anchor, "fp": fp[row],
+                            "path": path + blocks ** rounds * (anchor.view(np.uint64) >> np.uint64(cover.length)).astype(np.int64)})
+
+        return run
+
+    rows, found = nodes.select(F.lit(0).cast("long").alias("key"), "fp", F.lit(0).cast("long").alias("path")), None
+    for rounds in range(ROUNDS + 1):
+        anchored = rows.mapInPandas(expand(rounds), "key long, fp long, path long")
+        met = staged(_compare(anchored, max_bits, HOT if rounds < ROUNDS else None), "anchors")
+        linked = met.where("kind = 0").select("a", "b")
+        found = linked if found is None else found.unionByName(linked)
+        rows = met.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"), "path")
+        if rows.isEmpty():
+            break
+    return found.distinct()
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            fp = b["fp"].to_numpy()
-            for i in range(0, len(fp), 1 << 15):
-                part = fp[i:i + (1 << 15)]
-                row, anchor = cover.anchors(part.view(np.uint64))
-                yield pd.DataFrame({"anchor": anchor, "fp": part[row]})
-
-    anchored = nodes.mapInPandas(expand, "anchor long, fp long")
-    first = staged(_compare(anchored, ["anchor"], max_bits, HOT), "anchors")
-    # Hot anchors: linked fingerprints agree in one of max_bits + 1 pieces of all 64 bits.
-    pieces = max_bits + 1
-    width = 64 // pieces
-    hot = first.where("kind = 1").select(F.col("a").alias("anchor"), F.col("b").alias("fp"), F.explode(F.array(*[
-        F.struct(F.lit(i).alias("no"), F.shiftrightunsigned("b", i * width).bitwiseAND((1 << width) - 1).alias("bits"))
-        for i in range(pieces)])).alias("piece"))
-    keyed = hot.select(F.xxhash64("anchor", "piece.no", "piece.bits").alias("key"), "fp").distinct()
-    second = _compare(keyed, ["key"], max_bits, None)
-    return first.where("kind = 0").unionByName(second).select("a", "b").distinct()
+
+def _mixed(key: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """One number for a pair of numbers; groups that share one by chance are compared together."""
+    with np.errstate(over="ignore"):
+        x = key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + anchor.view(np.uint64)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
 def components(edges: DataFrame) -> DataFrame:
