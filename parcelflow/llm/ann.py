@@ -2,8 +2,9 @@
 
 Vectors are projected to a few dimensions; several Hilbert curves - each with its own rotation and
 shift of the projection - give every vector a key.  Spark range-partitions the vectors by (curve,
-key); a task walks its sorted stretch, and every query is compared with the ``window`` vectors
-before and after it.  The windows of all curves merge, duplicates out, into each query's best.
+key) and numbers them; stretches of neighbouring numbers, with ``window`` vectors of the stretches
+before and after, are the tasks, so a query is compared with the ``window`` vectors on either side of it
+wherever it lies.  The windows of all curves merge, duplicates out, into each query's best.
 
 Neighbouring keys alone find what a projection can keep apart.  Where vectors have no such
 structure (isotropic noise) a curve keeps little, so an exact pass follows: stretches of the first curve
@@ -13,12 +14,12 @@ blocks pass; on noise most do, and the result is exact either way.  ``exact=Fals
 windows' result.
 
 Equal vectors are one index entry with its ``k + 1`` smallest ids, so a vector that a third of the
-rows share costs as much as any other.  Scores are cosines rounded to 12 decimals, so that equal ones do
-not depend on the order of additions; ties go to smaller ids: an entry's smallest id travels with it
-and decides among equal scores wherever a best-of list is cut.
+rows share costs as much as any other.  Scores are cosines in double precision, summed in one fixed order
+for whatever is close to a query's best, so that a pair has one score however it was found; ties go
+to smaller ids: an entry's smallest id travels with it and decides wherever a best-of list is cut.
 
-The driver sees the dimension, block centres (at most ``MAX_BLOCKS``, blocks grow beyond that) and
-nothing else.
+Stretches and blocks are bounded in rows and bytes.  Queries meet the blocks' centres and radii in
+buckets of blocks, by an equality join.  The driver sees the dimension and the number of vectors alone.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, nor do vectors of another length than the most frequent one (the larger of equally frequent
@@ -36,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import staged
+from parcelflow.llm.common import numbered, staged
 
 CURVES = 4
 DIMENSIONS = 8
@@ -44,8 +45,14 @@ BITS = 7
 WINDOW = 256
 NEAREST = 5
 BLOCK_ROWS = 2048
-MAX_BLOCKS = 16_384
+BLOCK_BYTES = 16 << 20
+#: Neighbouring rows of a curve in one task, without those of its neighbours.
+STRETCH_ROWS = 8192
+#: Blocks whose centres queries meet together, and queries that do.
+BUCKET_BLOCKS = 1024
 _QUERY_ROWS = 256
+#: More than a sum in another order moves a cosine.
+_CLOSE = 1e-9
 
 
 def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -112,15 +119,23 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
-def _score(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Cosines of all rows of ``q`` with all rows of ``x``, to 12 decimals."""
-    s = (q @ x.T) / (np.sqrt(np.einsum("ij,ij->i", q, q))[:, None] * np.sqrt(np.einsum("ij,ij->i", x, x)))
-    return np.round(s, 12)
+def cosines(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Cosine of one vector with every row of ``x``; each sum runs over one row, always in the same order."""
+    return (q * x).sum(1) / (np.sqrt((q[None] * q).sum(1)) * np.sqrt((x * x).sum(1)))
 
 
-def _by_least(least: pd.Series) -> np.ndarray:
-    """Row numbers by the entries' smallest ids: in this order a stable sort by score settles ties."""
-    return np.argsort(least.to_numpy(), kind="stable")
+def _nearest(q: np.ndarray, x: np.ndarray, allowed: np.ndarray, least: np.ndarray, k: int
+             ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row of ``q``, rows of ``x``, scores): the ``k`` best of the allowed rows, ties by smallest id."""
+    about = _unit(q) @ _unit(x).T
+    about[~allowed] = -np.inf
+    for i, s in enumerate(about):
+        edge = np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else -np.inf
+        some = np.flatnonzero((s >= edge - _CLOSE) & np.isfinite(s))
+        if len(some):
+            score = cosines(q[i], x[some])
+            best = np.lexsort((least[some], -score))[:k]
+            yield i, some[best], score[best]
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -140,7 +155,8 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def windows(entries: DataFrame, width: int, k: int, curves: int = CURVES, window: int = WINDOW) -> DataFrame:
+def windows(entries: DataFrame, width: int, k: int, curves: int = CURVES, window: int = WINDOW,
+            stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """(query, entry, least, score): each query's ``k`` best in its window of each curve."""
     make = Curves(width, curves)
     kind = entries.schema["least"].dataType.simpleString()
@@ -152,50 +168,47 @@ def windows(entries: DataFrame, width: int, k: int, curves: int = CURVES, window
                     yield pd.DataFrame({"curve": c, "key": keys, "entry": b["entry"].array,
                                         "least": b["least"].array, "v": b["v"].array, "asks": b["asks"].array})
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A sorted stretch, in pieces that carry the last ``2 * window`` rows over."""
-
-        def compare(rows: pd.DataFrame, start: int, stop: int) -> Iterator[pd.DataFrame]:
-            x, ids = _matrix(rows["v"]), rows["entry"].to_numpy()
-            curve = rows["curve"].to_numpy()
-            asks = np.flatnonzero(rows["asks"].to_numpy()[start:stop]) + start
-            for i in range(0, len(asks), _QUERY_ROWS):
-                part = asks[i:i + _QUERY_ROWS]
-                low, high = max(0, part[0] - window), min(len(rows), part[-1] + window + 1)
-                s = _score(x[part], x[low:high])
-                far = np.abs(np.arange(low, high)[None] - part[:, None]) > window
-                s[far | (curve[low:high][None] != curve[part][:, None])] = -np.inf
-                turn = _by_least(rows["least"].iloc[low:high])
-                top = turn[np.argsort(-s[:, turn], axis=1, kind="stable")[:, :k]]
-                good = np.take_along_axis(s, top, 1)
-                r, c = np.nonzero(np.isfinite(good))
-                at = low + top[r, c]
-                yield pd.DataFrame({"query": ids[part][r], "entry": ids[at], "least": rows["least"].array[at],
-                                    "score": good[r, c]})
-
-        held, done = None, 0
-        for b in batches:
-            held = b if held is None else pd.concat([held, b], ignore_index=True)
-            if len(held) > done + window:
-                yield from compare(held, done, len(held) - window)
-                done = len(held) - window
-                drop = max(0, done - window)
-                held, done = held.iloc[drop:].reset_index(drop=True), done - drop
-        if held is not None:
-            yield from compare(held, done, len(held))
-
-    keyed = entries.mapInPandas(key, f"curve int, key long, entry long, least {kind}, v array<double>, asks boolean")
-    dealt = keyed.repartitionByRange("curve", "key", "entry").sortWithinPartitions("curve", "key", "entry")
-    found = dealt.mapInPandas(walk, f"query long, entry long, least {kind}, score double")
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("place", kind="stable")
+        x, ids, least = _matrix(rows["v"]), rows["entry"].to_numpy(), rows["least"].to_numpy()
+        curve, place = rows["curve"].to_numpy(), rows["place"].to_numpy()
+        asks = np.flatnonzero(rows["asks"].to_numpy() & rows["own"].to_numpy())
+        query, entry, score = [], [], []
+        for i in range(0, len(asks), _QUERY_ROWS):
+            part = asks[i:i + _QUERY_ROWS]
+            low, high = max(0, part[0] - window), min(len(rows), part[-1] + window + 1)
+            near = np.abs(place[low:high][None] - place[part][:, None]) <= window
+            near &= curve[low:high][None] == curve[part][:, None]
+            for q, found, s in _nearest(x[part], x[low:high], near, least[low:high], k):
+                query.append(np.full(len(found), part[q]))
+                entry.append(low + found)
+                score.append(s)
+        at = np.concatenate(entry) if entry else np.empty(0, np.int64)
+        of = np.concatenate(query) if query else np.empty(0, np.int64)
+        return pd.DataFrame({"query": ids[of], "entry": ids[at], "least": least[at],
+                             "score": np.concatenate(score) if score else np.empty(0)})
+
+    columns = f"curve int, key long, entry long, least {kind}, v array<double>, asks boolean"
+    keyed = entries.mapInPandas(key, columns)
+    placed = numbered(keyed, "curve", "key", "entry", tag="curves")
+    size = max(stretch_rows, window)
+    stretch, inside = F.floor(F.col("place") / size), F.col("place") % size
+    copies = F.filter(F.array(
+        F.struct(stretch.alias("stretch"), F.lit(True).alias("own")),
+        F.when(inside < window, F.struct((stretch - 1).alias("stretch"), F.lit(False).alias("own"))),
+        F.when(inside >= size - window, F.struct((stretch + 1).alias("stretch"), F.lit(False).alias("own")))),
+        lambda c: c.isNotNull())
+    spread = placed.select("curve", "entry", "least", "v", "asks", "place", F.explode(copies).alias("c")).select(
+        "curve", "entry", "least", "v", "asks", "place", "c.stretch", "c.own")
+    found = spread.groupBy("stretch").applyInPandas(compare, f"query long, entry long, least {kind}, score double")
     return _best(found, k).select("query", "entry", "least", "score")
 
 
 def blocks(entries: DataFrame, width: int, rows: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(block, centre, radius, entries, least, vectors): stretches of the first curve, packed, each in the
-    order of its entries' smallest ids."""
+    """(block, centre, radius, entries, least, vectors): stretches of the first curve, packed."""
     make = Curves(width, 1)
     kind = entries.schema["least"].dataType.simpleString()
-    size = max(block_rows, -(-rows // MAX_BLOCKS))
+    size = max(1, min(block_rows, BLOCK_BYTES // (8 * width)))
 
     def key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -204,7 +217,6 @@ def blocks(entries: DataFrame, width: int, rows: int, block_rows: int = BLOCK_RO
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def row(part: pd.DataFrame) -> pd.DataFrame:
-            part = part.iloc[_by_least(part["least"])]
             x = _matrix(part["v"])
             unit = _unit(x)
             centre = unit.mean(0)
@@ -231,48 +243,47 @@ def blocks(entries: DataFrame, width: int, rows: int, block_rows: int = BLOCK_RO
 def complete(entries: DataFrame, found: DataFrame, width: int, rows: int, k: int) -> DataFrame:
     """(query, entry, least, score) of every block visit that can change a query's ``k`` best."""
     index = staged(blocks(entries, width, rows), "blocks")
-    head = index.select("block", "centre", "radius").toPandas()  # at most about MAX_BLOCKS rows
-    if head.empty:
-        return found
-    block = head["block"].to_numpy(np.int64)
-    centre, radius = _matrix(head["centre"]), head["radius"].to_numpy()
     worst = found.groupBy("query").agg(F.min("score").alias("worst"), F.count("*").alias("n")).select(
         "query", F.when(F.col("n") >= k, F.col("worst")).otherwise(-2.0).alias("worst"))
     asking = entries.where("asks").select(F.col("entry").alias("query"), "v").join(worst, "query", "left").fillna(
         {"worst": -2.0})
-    shared = entries.sparkSession.sparkContext.broadcast((block, centre, radius))
+    buckets = max(1, -(-index.count() // BUCKET_BLOCKS))
+    heads = (index.select(F.pmod("block", F.lit(buckets)).alias("bucket"), F.struct("block", "centre", "radius").alias("head"))
+             .groupBy("bucket").agg(F.collect_list("head").alias("heads")))
 
-    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, centres, radii = shared.value
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if not len(b):
-                continue
-            x = _matrix(b["v"])
-            unit = _unit(x)
             for i in range(0, len(b), _QUERY_ROWS):
-                bound = unit[i:i + _QUERY_ROWS] @ centres.T + radii + 1e-9
-                q, at = np.nonzero(bound >= b["worst"].to_numpy()[i:i + _QUERY_ROWS, None])
-                # One row per block and batch: its queries, packed
-                for one in np.unique(at):
-                    mine = q[at == one] + i
-                    yield pd.DataFrame({"block": [number[one]],
-                                        "queries": [b["query"].to_numpy(np.int64)[mine].tobytes()],
-                                        "asked": [x[mine].tobytes()]})
+                part = b.iloc[i:i + _QUERY_ROWS]
+                yield pd.DataFrame({"queries": [part["query"].to_numpy(np.int64).tobytes()],
+                                    "asked": [_matrix(part["v"]).tobytes()], "worst": [part["worst"].to_numpy().tobytes()]})
+
+    def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for queries, asked, limit, head in zip(b["queries"], b["asked"], b["worst"], b["heads"]):
+                ids, x = np.frombuffer(queries, np.int64), np.frombuffer(asked).reshape(-1, width)
+                centres, radii = np.stack([h["centre"] for h in head]), np.array([h["radius"] for h in head])
+                meet = _unit(x) @ centres.T + radii + _CLOSE >= np.frombuffer(limit)[:, None]
+                # One row per block and group of queries: those that visit it, packed
+                out = [(head[j]["block"], ids[meet[:, j]].tobytes(), x[meet[:, j]].tobytes())
+                       for j in np.flatnonzero(meet.any(0)).tolist()]
+                yield pd.DataFrame(out, columns=["block", "queries", "asked"])
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for entries_, least, vectors, queries, asked in zip(
                     b["entries"], b["least"], b["vectors"], b["queries"], b["asked"]):
-                x = np.frombuffer(vectors, np.float64).reshape(-1, width)
-                q = np.frombuffer(asked, np.float64).reshape(-1, width)
-                ids, qs = np.frombuffer(entries_, np.int64), np.frombuffer(queries, np.int64)
-                s = _score(q, x)
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                good = np.take_along_axis(s, top, 1)
-                yield pd.DataFrame({"query": np.repeat(qs, top.shape[1]), "entry": ids[top].ravel(),
-                                    "least": np.asarray(least)[top].ravel(), "score": good.ravel()})
-
-    visits = asking.mapInPandas(route, "block long, queries binary, asked binary")
+                x, q = np.frombuffer(vectors).reshape(-1, width), np.frombuffer(asked).reshape(-1, width)
+                ids, qs, least = np.frombuffer(entries_, np.int64), np.frombuffer(queries, np.int64), np.asarray(least)
+                hits = list(_nearest(q, x, np.ones((len(q), len(x)), bool), least, k))
+                at = np.concatenate([h[1] for h in hits])
+                yield pd.DataFrame({"query": np.concatenate([np.full(len(h[1]), qs[h[0]]) for h in hits]),
+                                    "entry": ids[at], "least": least[at], "score": np.concatenate([h[2] for h in hits])})
+
+    groups = asking.mapInPandas(gather, "queries binary, asked binary, worst binary").withColumn(
+        "bucket", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(buckets - 1).cast("long"))))
+    visits = groups.join(heads, "bucket").select("queries", "asked", "worst", "heads").mapInPandas(
+        route, "block long, queries binary, asked binary")
     kind = entries.schema["least"].dataType.simpleString()
     met = visits.join(index.select("block", "entries", "least", "vectors"), "block").select(
         "entries", "least", "vectors", "queries", "asked")
