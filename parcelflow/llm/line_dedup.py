@@ -1,34 +1,34 @@
-"""Removal of repeated lines in runs (operator 8, native): ``dedup_runs``, and ``dedup`` by chunks.
-
-``dedup_runs`` is the registered operator.  Its unit is a pair of neighbouring lines (not both
-blank) or one line of over ``LONG_WORDS`` words.  Every line of a unit that occurred before (smaller
-doc_id, then document hash, then position) is cut, so a repeated run of two lines or more goes
-whole, wherever it stands and however short the texts around it are.  The first occurrence of a
-line lies in no unit that occurred before, so every distinct line stays at least once.  Units are
-counted by hash; those whose hash occurs more than once are compared byte by byte.
-``n_removed`` counts the runs of lines that were cut.
-
-``dedup`` cuts whole chunks with content-defined borders only.  Lines get a 64-bit hash, every two neighbouring lines a rolling hash over the two line hashes, and
-a chunk ends before a line whose rolling hash is a strict local minimum.  Borders depend on the
-four lines around them alone, so a passage moved to another place in another text is cut alike; two
-borders never touch, so chunks inside a text have at least two lines, three on average.
-
-Chunks are counted over all documents by hash and size without their text.  Only chunks whose hash
-occurs more than once are compared byte by byte: they are grouped by the text itself.  Of every
-group of equal chunks of at least ``MIN_LINES`` lines the first one stays (smallest doc_id, then
-document hash, then position); the others are cut out of their texts.
-
-Everything is DataFrame functions.  A chunk that a third of the documents share is reduced to its
-first place by map-side aggregation, and the join against the first places is split by Spark.
+"""Removal of repeated passages by content-defined line chunks (operator 8, native).
+
+Lines get a 64-bit hash, every two neighbouring lines a rolling hash over the two line hashes, and a
+chunk ends before a line whose rolling hash is a strict local minimum, and before and after a line of
+over ``LONG_WORDS`` words.  Borders depend on the lines around them alone, so a passage moved to another
+place in another text is cut alike.
+
+First, chunks of at least two lines and long lines are counted over all documents by hash.  Those whose hash
+occurs more than once are compared byte by byte: they are grouped by the text itself.  Of equal ones
+the first stays (smallest doc_id, then document hash, then position); the others are cut out.
+Then the ragged ends, where a repeated passage begins or ends inside a chunk: neighbouring lines, one of
+which at least is left, with an equal rolling hash elsewhere are compared and cut in the same way.  A match grows over as many lines as are equal, as each further line makes one more equal pair; a
+repeated run of two lines or more goes whole, however short.  Every distinct line stays at least
+once, since the first occurrence of a line lies in nothing that occurred before.  ``ragged=False``
+leaves the second part out.
+
+Everything is DataFrame functions.  Texts are shuffled once, by document; all joins with them read that
+exchange.  A line, pair or chunk that a third of the documents share is reduced to its first place by
+map-side aggregation; the places that go are what is left of all places without the first ones, by
+document, so no join has a text as its key.
 
 Defined cases: a null text stays null and an empty one empty; lines are separated by line feeds;
-blank lines count as lines; rows with the same doc_id and text are one document (both keep or lose
-the same chunks); null doc_ids come first in the order; all other columns are carried through
-unchanged, whatever their names; an empty table gives an empty table.
+blank lines count as lines, but two blank lines are no pair; rows with the same doc_id and text are one document (both
+keep or lose the same lines); null doc_ids come first in the order; all other columns are carried through
+unchanged, whatever their names; an empty table gives an empty table; a repeated passage inside single
+lines of other text stays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,139 +37,123 @@ from pyspark.sql import functions as F
 from parcelflow.functions.bind import let
 
 MIN_LINES = 2
-#: A line of more words than this is a unit of its own.
+#: A line of more words than this is a chunk of its own.
 LONG_WORDS = 50
+_TAG = "_line_dedup_"
+_KEY, _RID, _AT, _GONE, _ZERO = (f"{_TAG}{x}" for x in ("key", "rid", "at", "gone", "zero"))
+#: A unit's place: number of its first line times this, plus its number of lines.
+_SPAN = 1 << 32
+
+
+def _lines(use: Callable) -> Column:
+    return let(F.split(F.col("text"), "\n", -1), use)
+
+
+def _is_long(line: Column) -> Column:
+    # So many words need as many letters, and a space less.
+    return (F.length(line) > 2 * LONG_WORDS) & (F.regexp_count(line, F.lit(r"\S+")) > LONG_WORDS)
+
+
+def _chunk_units(min_lines: int) -> Callable:
+    """Lines -> array of (at, h) of the chunks that can be cut."""
+
+    def starts(rolling: Column, long: Column) -> Column:
+        """Line numbers at which chunks start."""
+        return F.filter(F.sequence(F.lit(0), F.size(long) - 1), lambda i: (i == 0) | F.get(long, i) | F.get(long, i - 1) | (
+            (i >= 2) & F.coalesce((F.get(rolling, i) < F.get(rolling, i - 1)) & (F.get(rolling, i) < F.get(rolling, i + 1)),
+                                  F.lit(False))))
+
+    def units(begin: Column, hashes: Column, long: Column) -> Column:
+        def one(s: Column, k: Column) -> Column:
+            n = F.coalesce(F.get(begin, k + 1), F.size(hashes)) - s
+            counts = (n >= min_lines) | (F.get(long, s) if min_lines > 1 else F.lit(True))
+            return F.struct((s.cast("long") * _SPAN + n).alias("at"),
+                            F.when(counts, F.xxhash64(F.slice(hashes, s + 1, n))).alias("h"))
 
+        return F.filter(F.transform(begin, one), lambda u: u["h"].isNotNull())
 
-def chunks_of(text: Column) -> Column:
-    """The text's chunks: array of (pos, n_lines, text), in order (null for a null text)."""
     # ``let`` binds each step, so that nothing is computed once per line.
-    return let(F.split(text, "\n", -1), lambda lines: let(
-        F.transform(lines, lambda x: F.xxhash64(x)), lambda hashes: let(
-            F.zip_with(hashes, F.slice(hashes, 2, F.size(hashes)), lambda a, b: F.xxhash64(a, b)),
-            lambda rolling: let(_starts(rolling), lambda starts: _chunks(lines, starts)))))
+    return lambda lines: let(F.transform(lines, lambda x: F.xxhash64(x)), lambda hashes: let(
+        F.zip_with(hashes, F.slice(hashes, 2, F.size(hashes)), lambda a, b: F.xxhash64(a, b)), lambda rolling: let(
+            F.transform(lines, _is_long), lambda long: let(
+                starts(rolling, long), lambda begin: units(begin, hashes, long)))))
 
 
-def _starts(rolling: Column) -> Column:
-    """Line numbers at which chunks start: 0 and the strict local minima of the rolling hash."""
-    return F.filter(F.sequence(F.lit(0), F.size(rolling) - 1), lambda i: (i == 0) | (
-        (i >= 2) & (F.get(rolling, i) < F.get(rolling, i - 1)) & (F.get(rolling, i) < F.get(rolling, i + 1))))
+def _pair_units(lines: Column) -> Column:
+    """Array of (at, h) of the neighbouring lines of which one is left at least, unless both are blank."""
+    every = F.sequence(F.col(_ZERO), F.size(lines) - 2)
+    left = F.when(F.col(_GONE).isNull(), every).otherwise(
+        F.array_except(every, F.array_intersect(F.col(_GONE), F.transform(_GONE, lambda i: i - 1))))
+    return F.when(F.size(lines) > 1, F.filter(F.transform(left, lambda i: let(F.get(lines, i), lambda a: let(
+        F.get(lines, i + 1), lambda b: F.struct(
+            (i.cast("long") * _SPAN + 2).alias("at"),
+            F.when(a.rlike(r"\S") | b.rlike(r"\S"), F.xxhash64(a, b)).alias("h"))))), lambda u: u["h"].isNotNull()))
 
 
-def _chunks(lines: Column, starts: Column) -> Column:
-    def length(s: Column, k: Column) -> Column:
-        return F.coalesce(F.get(starts, k + 1), F.size(lines)) - s
+def _unit_texts(lines: Column) -> Column:
+    """Array of (at, text) of the units at the places asked for."""
+    return F.transform(F.filter(_AT, lambda a: a >= F.col(_ZERO)), lambda a: F.struct(
+        a.alias("at"), F.array_join(F.slice(lines, _first_line(a) + 1, _count(a)), "\n").alias("text")))
 
-    return F.transform(starts, lambda s, k: F.struct(
-        k.alias("pos"), length(s, k).alias("n_lines"),
-        F.array_join(F.slice(lines, s + 1, length(s, k)), "\n").alias("text")))
 
+def _first_line(at: Column) -> Column:
+    return F.shiftright(at, 32).cast("int")
 
-def dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """``docs`` with its columns and rows, less the repeated chunks, and ``n_removed`` (chunks)
-    and ``chars_removed``, which replace input columns of these names."""
-    own = [c for c in docs.columns if c not in ("n_removed", "chars_removed")]
-    # Own names for the work, so that no column of the input can clash.
-    tag = "_line_dedup_"
-    key, rid, parts = f"{tag}key", f"{tag}rid", f"{tag}chunks"
-    hashed = docs.select(
-        *[F.col(f"`{c}`") for c in own], F.col("doc_id").alias(key),
-        F.xxhash64(F.col("doc_id"), F.col("text")).alias(rid))
-    chunked = hashed.select(key, rid, chunks_of(F.col("text")).alias(parts))
-    narrow = (chunked.select(key, rid, F.explode(F.transform(parts, lambda c: F.struct(
-        c["pos"].alias("pos"), c["n_lines"].alias("n_lines"), F.xxhash64(c["text"]).alias("h"),
-        F.octet_length(c["text"]).alias("bytes")))).alias("c"))
-        .where(F.col("c.n_lines") >= min_lines).select(key, rid, "c.pos", "c.h", "c.bytes"))
-    repeated = (narrow.groupBy("h", "bytes").agg(F.count("*").alias("n")).where("n > 1").select("h", "bytes"))
-    # The places of possibly repeated chunks, one row per document
-    suspects = (narrow.join(repeated, ["h", "bytes"]).groupBy(key, rid)
-                .agg(F.collect_set("pos").alias(f"{tag}suspect")))
-    marked = hashed.join(_null_safe(suspects, key, rid), _same(key, rid), "left").drop(f"{tag}k", f"{tag}r")
-    # Byte comparison: equal texts of suspects meet in one group
-    place = F.struct(F.col(key).alias("k"), F.col(rid).alias("r"), F.col("c.pos").alias("pos"))
-    texts = (marked.where(F.col(f"{tag}suspect").isNotNull())
-             .select(key, rid, F.explode(F.filter(chunks_of(F.col("text")), lambda c: F.array_contains(
-                 F.col(f"{tag}suspect"), c["pos"]))).alias("c")))
-    places = texts.select(F.col("c.text").alias("t"), place.alias("place"))
-    first = places.groupBy("t").agg(F.min("place").alias("first"))
-    cut = (places.join(first, "t").where(~F.col("place").eqNullSafe(F.col("first")))
-           .select("place.*").groupBy(F.col("k").alias(key), F.col("r").alias(rid))
-           .agg(F.collect_set("pos").alias(f"{tag}cut")))
-    final = hashed.join(_null_safe(cut, key, rid), _same(key, rid), "left")
-    gone = F.col(f"{tag}cut")
-    kept = F.when(gone.isNull(), F.col("text")).otherwise(F.array_join(F.transform(F.filter(
-        chunks_of(F.col("text")), lambda c: ~F.array_contains(gone, c["pos"])), lambda c: c["text"]), "\n"))
-    return final.select(
-        *[kept.alias(c) if c == "text" else F.col(f"`{c}`") for c in own],
-        F.coalesce(F.size(gone), F.lit(0)).alias("n_removed"),
-        (F.coalesce(F.length("text"), F.lit(0)) - F.coalesce(F.length(kept), F.lit(0))).alias("chars_removed"))
 
+def _count(at: Column) -> Column:
+    return at.bitwiseAND(F.lit(_SPAN - 1)).cast("int")
+
+
+def _join(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    """By document, null-safe; ``other`` has one row per document."""
+    k, r = f"{_TAG}k", f"{_TAG}r"
+    other = other.withColumnsRenamed({_KEY: k, _RID: r})
+    return df.join(other, (F.col(_RID) == F.col(r)) & F.col(_KEY).eqNullSafe(F.col(k)), how).drop(k, r)
 
-def _units(lines: Column) -> Column:
-    """Array of (at, h): at is twice the line number for a pair's first line, one more for a long line."""
-    pairs = F.filter(F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda x, i: let(
-        F.get(lines, i + 1), lambda y: F.struct(
-            (i * 2).alias("at"), F.when(x.rlike(r"\S") | y.rlike(r"\S"), F.xxhash64(x, y)).alias("h")))),
-        lambda u: u["h"].isNotNull())
-    # So many words need as many letters, and a space less.
-    long = F.filter(F.transform(lines, lambda x, i: F.struct(
-        (i * 2 + 1).alias("at"), F.when((F.length(x) > 2 * LONG_WORDS) & (
-            F.regexp_count(x, F.lit(r"\S+")) > LONG_WORDS), F.xxhash64(x)).alias("h"))), lambda u: u["h"].isNotNull())
-    return F.concat(pairs, long)
 
+def _repeated(docs: DataFrame, units: DataFrame) -> DataFrame:
+    """(key, rid, gone): by document the numbers of the lines in units that occurred before.
 
-def _unit_texts(lines: Column, at: Column) -> Column:
-    """Array of (at, text) of the units at the given places; no line holds the pairs' line feed."""
-    return F.transform(at, lambda a: let(F.shiftright(a, 1), lambda i: F.struct(
-        a.alias("at"), F.when(a % 2 == 1, F.get(lines, i)).otherwise(
-            F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1))).alias("text"))))
+    ``units`` is (key, rid, at, h); ``docs`` has their texts.
+    """
+    often = units.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    suspects = units.join(often, "h").groupBy(_KEY, _RID).agg(F.collect_set("at").alias(_AT))
+    # Byte comparison: equal texts meet in one group, after map-side aggregation.
+    texts = _join(docs, suspects, "inner").select(_KEY, _RID, F.explode(_lines(_unit_texts)).alias("u"))
+    place = F.struct(F.col(_KEY).alias("k"), F.col(_RID).alias("r"), F.col("u.at").alias("at"))
+    first = (texts.groupBy(F.col("u.text").alias("t")).agg(F.min(place).alias("p")).select("p.*")
+             .groupBy(F.col("k").alias(_KEY), F.col("r").alias(_RID)).agg(F.collect_set("at").alias(f"{_TAG}first")))
+    again = F.array_except(_AT, F.coalesce(F.col(f"{_TAG}first"), F.array().cast("array<bigint>")))
+    gone = F.array_distinct(F.flatten(F.transform(again, lambda a: F.sequence(
+        _first_line(a), _first_line(a) + _count(a) - 1))))
+    return _join(suspects, first, "left").select(_KEY, _RID, gone.alias(_GONE)).where(F.size(_GONE) > 0)
 
 
-def dedup_runs(docs: DataFrame) -> DataFrame:
-    """``docs`` with its columns and rows, less the lines of repeated units, and ``n_removed`` (runs of
-    lines) and ``chars_removed``, which replace input columns of these names."""
+def dedup(docs: DataFrame, min_lines: int = MIN_LINES, ragged: bool = True) -> DataFrame:
+    """``docs`` with its columns and rows, less the repeated passages, and ``n_removed`` (runs of lines)
+    and ``chars_removed``, which replace input columns of these names."""
     own = [c for c in docs.columns if c not in ("n_removed", "chars_removed")]
-    tag = "_line_dedup_"
-    key, rid, suspect, cut_at = f"{tag}key", f"{tag}rid", f"{tag}suspect", f"{tag}cut"
-    hashed = docs.select(
-        *[F.col(f"`{c}`") for c in own], F.col("doc_id").alias(key),
-        F.xxhash64(F.col("doc_id"), F.col("text")).alias(rid))
-
-    def with_lines(use) -> Column:
-        return let(F.split(F.col("text"), "\n", -1), use)
-
-    narrow = hashed.select(key, rid, F.explode(with_lines(_units)).alias("u")).select(key, rid, "u.at", "u.h")
-    repeated = narrow.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    suspects = narrow.join(repeated, "h").groupBy(key, rid).agg(F.collect_set("at").alias(suspect))
-    # Byte comparison: equal texts of suspects meet in one group
-    marked = hashed.join(_null_safe(suspects, key, rid), _same(key, rid)).drop(f"{tag}k", f"{tag}r")
-    # Naming every column lets both joins with the documents read one exchange.
+    hashed = docs.select(*[F.col(f"`{c}`") for c in own], F.col("doc_id").alias(_KEY),
+                         F.xxhash64(F.col("doc_id"), F.col("text")).alias(_RID))
+    # Zero for every row, made of all columns: Spark drops columns that a join does not use before the
+    # exchange, and joins that use different columns would each shuffle the texts for themselves.
     some_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in own])
-    asked = F.filter(suspect, lambda a: a >= F.when(some_null, 0).otherwise(-1))
-    texts = marked.select(key, rid, F.explode(
-        with_lines(lambda lines: _unit_texts(lines, asked))).alias("u"))
-    places = texts.select(F.col("u.text").alias("t"), F.struct(
-        F.col(key).alias("k"), F.col(rid).alias("r"), F.col("u.at").alias("at")).alias("place"))
-    first = places.groupBy("t").agg(F.min("place").alias("first"))
-    cut = (places.join(first, "t").where(~F.col("place").eqNullSafe(F.col("first"))).select("place.*")
-           .select(F.col("k").alias(key), F.col("r").alias(rid), F.explode(F.when(F.col("at") % 2 == 1, F.array(
-               F.shiftright("at", 1))).otherwise(F.array(F.shiftright("at", 1), F.shiftright("at", 1) + 1))).alias("i"))
-           .groupBy(key, rid).agg(F.collect_set("i").alias(cut_at)))
-    final = hashed.join(_null_safe(cut, key, rid), _same(key, rid), "left")
-    gone = F.col(cut_at)
-    kept = F.when(gone.isNull(), F.col("text")).otherwise(with_lines(lambda lines: F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")))
+    full = hashed.withColumn(_ZERO, F.least(F.lit(0), F.when(some_null, 1).otherwise(2)))
+    chunks = hashed.select(_KEY, _RID, F.explode(_lines(_chunk_units(min_lines))).alias("u")).select(_KEY, _RID, "u.at", "u.h")
+    cut = _repeated(full, chunks)
+    if ragged:
+        pairs = (_join(full, cut, "left").select(_KEY, _RID, F.explode(_lines(_pair_units)).alias("u"))
+                 .select(_KEY, _RID, "u.at", "u.h"))
+        more = _repeated(full, pairs)
+        cut = cut.unionByName(more).groupBy(_KEY, _RID).agg(
+            F.array_distinct(F.flatten(F.collect_list(_GONE))).alias(_GONE))
+    final = _join(hashed, cut, "left")
+    gone, kept = F.col(_GONE), f"{_TAG}kept"
+    left = _lines(lambda lines: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n"))
     runs = F.size(F.array_except(gone, F.transform(gone, lambda i: i + 1)))
     return final.select(
-        *[F.col(f"`{c}`") for c in own if c != "text"], F.col("text"), kept.alias(f"{tag}kept"),
+        *[F.col(f"`{c}`") for c in own], F.when(gone.isNull(), F.col("text")).otherwise(left).alias(kept),
         F.coalesce(F.when(gone.isNotNull(), runs), F.lit(0)).alias("n_removed")).select(
-        *[F.col(f"{tag}kept").alias(c) if c == "text" else F.col(f"`{c}`") for c in own], "n_removed",
-        (F.coalesce(F.length("text"), F.lit(0)) - F.coalesce(F.length(f"{tag}kept"), F.lit(0))).alias("chars_removed"))
-
-
-def _null_safe(df: DataFrame, key: str, rid: str) -> DataFrame:
-    return df.withColumnsRenamed({key: "_line_dedup_k", rid: "_line_dedup_r"})
-
-
-def _same(key: str, rid: str) -> Column:
-    return (F.col(rid) == F.col("_line_dedup_r")) & F.col(key).eqNullSafe(F.col("_line_dedup_k"))
+        *[F.col(kept).alias(c) if c == "text" else F.col(f"`{c}`") for c in own], "n_removed",
+        (F.coalesce(F.length("text"), F.lit(0)) - F.coalesce(F.length(kept), F.lit(0))).alias("chars_removed"))

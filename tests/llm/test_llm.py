@@ -220,16 +220,39 @@ def test_simhash_links_in_hot_anchors(spark, monkeypatch, hot):
     assert len({(a, b) for a, b in zip(got, want)}) == len(set(got)) == len(set(want))
 
 
+@pytest.mark.parametrize("max_bits", [3, 5])
+def test_simhash_splits_groups_that_share_half_their_bits(spark, monkeypatch, max_bits):
+    """Fingerprints that differ in the same few bits all meet at one anchor, round after round."""
+    monkeypatch.setattr(simhash, "HOT", 70)
+    rng = random.Random(6)
+    fps: set[int] = set()
+    for base in (rng.getrandbits(64), rng.getrandbits(64)):
+        places = rng.sample(range(0, 30), 14) + rng.sample(range(40, 64), 2)
+        fps |= {base ^ sum(1 << p for p in places if rng.random() < 0.5) for _ in range(400)}
+        fps |= {base ^ (1 << 62) ^ sum(1 << p for p in places[:4] if rng.random() < 0.5) for _ in range(20)}
+    listed = sorted(fps)
+    signed = np.array(listed, np.uint64).view(np.int64).tolist()
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long").repartition(3)
+    roots = {r.node: r.root for r in simhash.components(simhash.links(nodes, max_bits)).collect()}
+    got = [roots.get(f, f) for f in signed]
+    want = reachable(listed, max_bits)
+    assert len({(a, b) for a, b in zip(got, want)}) == len(set(got)) == len(set(want))
+
+
 def test_cover_meets_every_linked_pair():
     rng = random.Random(3)
     for bits in (3, 5):
-        cover = simhash.Cover(bits)
+        cover = simhash.Cover(bits // 2 + 1)
         a = [rng.getrandbits(64) for _ in range(300)]
         b = [x ^ sum(1 << i for i in rng.sample(range(64), rng.randint(1, bits))) for x in a]
         rows_a, found_a = cover.anchors(np.array(a, np.uint64))
         rows_b, found_b = cover.anchors(np.array(b, np.uint64))
         for i in range(300):
             assert set(found_a[rows_a == i]) & set(found_b[rows_b == i])
+        x = np.array(a, np.uint64)
+        assert (cover.rest(x, 0) == x >> np.uint64(cover.width)).all()
+        assert (cover.rest(x, cover.blocks - 1) & np.uint64((1 << cover.shifts[-1]) - 1)
+                == x & np.uint64((1 << cover.shifts[-1]) - 1)).all()
 
 
 @pytest.mark.parametrize("copies", [0, 400])
@@ -249,6 +272,61 @@ def test_sharding(spark, docs, empty, copies):
         assert got["shard"].between(0, 15).all() and sizes.max() <= total / 16 + got["size"].max() + 1
 
 
+def brute_shards(listed: list[tuple], shards: int) -> list[tuple]:
+    """(id, hash, size, shard) in order, for rows (hash, id, number, size)."""
+    listed = sorted(listed)
+    total = sum(r[3] for r in listed)
+    group = {}
+    for h, _, _, size in listed:
+        group[h] = group.get(h, 0) + size
+    out, before, start = [], 0, {}
+    for h, i, _, size in listed:
+        start.setdefault(h, before)
+        whole = group[h] <= total / shards / sharding.GROUP_PART
+        middle = start[h] + group[h] / 2 if whole else before + size / 2
+        out.append((i, h, size, min(shards - 1, int(middle * shards // total))))
+        before += size
+    return out
+
+
+@pytest.mark.parametrize("texts_of", ["many", "hot", "few"])
+def test_shards_equal_brute_force(spark, texts_of):
+    rnd = random.Random(4)
+    n = 12 if texts_of == "few" else 3000
+    listed = [(rnd.randrange(n), "x" * rnd.randint(0, 40) + str(rnd.randrange(n))) for _ in range(n)]
+    if texts_of == "hot":
+        listed += [(7, "one text of one id") for _ in range(1500)] + [(None, None)] * 3
+    frame = spark.createDataFrame(listed, "doc_id long, text string").coalesce(1).repartition(4)
+    rows_ = sharding.staged(sharding.records(frame), "records")
+    keyed = [(r.h, r.id, r.row, r.size) for r in rows_.collect()]
+    want = brute_shards(keyed, 16)
+    got = sharding.shard(frame).toPandas()
+    low = np.iinfo(np.int64).min
+    ids = [low if pd.isna(i) else int(i) for i in got["doc_id"]]
+    count: dict = {}
+    for i, h, size, k in want:
+        count[(i, size, k)] = count.get((i, size, k), 0) + 1
+    assert pd.Series(list(zip(ids, got["size"], got["shard"]))).value_counts().to_dict() == count
+    for _, part in got.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+
+
+def test_equal_rows_of_one_id_are_sampled_and_split(spark):
+    """200,000 copies of one row: a bounded sample, and ranges of bounded size."""
+    copies = 200_000
+    rows_ = sharding.staged(sharding.records(spark.range(copies).select(
+        F.lit(7).cast("long").alias("doc_id"), F.lit("the same text").alias("text"))), "records")
+    total = copies * 14
+    drawn = sharding.sample(rows_.withColumn("range", F.lit(0)), F.lit(total), sharding.SAMPLE, 0)
+    assert 0.9 * sharding.SAMPLE < len(drawn) < 1.1 * sharding.SAMPLE
+    h = rows_.first()["h"]
+    edges = sharding.splitters(rows_, total, 256, {h})
+    sizes = [r["n"] for r in sharding.range_of(rows_, edges).groupBy("range").agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 200 and max(sizes) <= 2 * copies / 256
+    shards = sharding.shard(rows_.select("doc_id", F.lit("the same text").alias("text"))).groupBy("shard").count().collect()
+    assert len(shards) == 16 and max(r["count"] for r in shards) - min(r["count"] for r in shards) <= 1
+
+
 def test_toxicity_finds_misspellings_and_leaves_clean_texts(spark):
     rnd = random.Random(9)
     neutral = ["".join(rnd.choices("abcdeimnorst", k=rnd.randint(3, 9))) for _ in range(400)]
@@ -397,73 +475,110 @@ def brute_chunks(spark, text: str) -> list[str]:
     return ["\n".join(lines[i:j]) for i, j in zip(starts, [*starts[1:], len(lines)])]
 
 
-def test_line_dedup(spark, docs, empty):
-    rnd = random.Random(8)
-    passage = "\n".join(f"shared line {i}" for i in range(12))
-
-    def own():
-        return [" ".join(rnd.choices("abcdefgh", k=6)) + str(rnd.random()) for _ in range(rnd.randint(1, 6))]
-
-    listed = ["\n".join([*own(), passage, *own()]) for _ in range(20)] + ["one\ntwo\nthree"] * 3 + ["single"] * 3 + ["", None]
-    frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(listed)], "doc_id long, text string, chunks string")
-    got = line_dedup.dedup(frame).toPandas().sort_values("doc_id").reset_index(drop=True)
-    assert got.columns.tolist() == ["doc_id", "text", "chunks", "n_removed", "chars_removed"]
-    seen: set = set()
-    for i, t in enumerate(listed):
-        kept = []
-        for c in brute_chunks(spark, t) if t is not None else []:
-            if c.count("\n") >= 1 and c in seen:
-                continue
-            seen.add(c)
-            kept.append(c)
-        assert got["text"][i] == ("\n".join(kept) if t is not None else None), i
-    assert got["n_removed"].iloc[1:20].min() >= 1
-    again = line_dedup.dedup(docs)
-    assert again.count() == docs.count() and set(docs.columns) <= set(again.columns)
-    assert line_dedup.dedup(empty).count() == 0
-
-
-def brute_runs(listed: list) -> list:
-    """By doc_id: the lines that stay, units compared in order."""
-    seen, out = set(), []
-    for t in listed:
-        lines, gone = t.split("\n") if t is not None else [], set()
-        units = [(i, 2, (a, b)) for i, (a, b) in enumerate(zip(lines, lines[1:])) if a.strip() or b.strip()]
-        units += [(i, 1, (a,)) for i, a in enumerate(lines) if len(a.split()) > 50]
-        for i, n, u in units:
-            if u in seen:
-                gone.update(range(i, i + n))
-            seen.add(u)
-        out.append(None if t is None else "\n".join(x for i, x in enumerate(lines) if i not in gone))
-    return out
-
-
-def test_line_runs_are_cut_whole_between_differing_texts(spark, docs, empty):
+def spans(texts_: list[str], text: str) -> list[tuple[int, int]]:
+    """Line numbers of the chunks, with borders around long lines: (first, after the last)."""
+    lines = text.split("\n")
+    starts, at = {0}, 0
+    for c in texts_:
+        starts.add(at)
+        at += c.count("\n") + 1
+    for i, x in enumerate(lines):
+        if len(x.split()) > 50:
+            starts |= {i, i + 1}
+    starts = sorted(x for x in starts if x < len(lines))
+    return list(zip(starts, [*starts[1:], len(lines)]))
+
+
+def brute_passages(spark, listed: list, ragged: bool = True) -> list:
+    """By doc_id: the lines that stay; chunks first, then neighbouring lines of which one is left."""
+    lines = [t.split("\n") if t is not None else [] for t in listed]
+    seen, gone = set(), [set() for _ in listed]
+    for d, t in enumerate(listed):
+        for i, j in spans(brute_chunks(spark, t), t) if t is not None else []:
+            unit = tuple(lines[d][i:j])
+            if len(unit) > 1 or len(unit[0].split()) > 50:
+                if unit in seen:
+                    gone[d] |= set(range(i, j))
+                seen.add(unit)
+    if ragged:
+        seen, chunks_gone = set(), [set(g) for g in gone]
+        for d, ls in enumerate(lines):
+            for i, (a, b) in enumerate(zip(ls, ls[1:])):
+                if not {i, i + 1} <= chunks_gone[d] and (a.strip() or b.strip()):
+                    if (a, b) in seen:
+                        gone[d] |= {i, i + 1}
+                    seen.add((a, b))
+    return [None if t is None else "\n".join(x for i, x in enumerate(lines[d]) if i not in gone[d])
+            for d, t in enumerate(listed)]
+
+
+def passage_texts() -> tuple[list[str], list]:
     rnd = random.Random(12)
-    passages = ["\n".join(f"passage {n} line {i}" for i in range(n)) for n in (2, 3, 4, 5, 7, 9)]
-    passages.append(" ".join(f"w{i}" for i in range(51)))
+    passages = ["\n".join(f"passage {n} line {i}" for i in range(n)) for n in (2, 3, 4, 5, 7, 9, 12, 25)]
+    passages += [" ".join(f"w{i}" for i in range(51)), "short\n" + " ".join(f"z{i}" for i in range(60)) + "\nends"]
 
     def own():
-        return [f"own {rnd.random()}" for _ in range(rnd.randint(1, 3))]
+        return [f"own {rnd.random()}" for _ in range(rnd.randint(1, 7))]
 
     listed = ["\n".join([*own(), p, *own()]) for p in passages for _ in range(4)]
     listed += ["a\n\n\nb", "c\n\n\nd", "x\ny\nx\ny\nx", "one\ntwo", "one\ntwo", "", None, " ".join(f"v{i}" for i in range(50))]
-    listed.append(listed[-1])
+    return passages, listed + [listed[-1], "single", "single", *["one\ntwo\nthree"] * 3]
+
+
+@pytest.mark.parametrize("ragged", [True, False])
+def test_line_dedup(spark, docs, empty, ragged):
+    _, listed = passage_texts()
     frame = spark.createDataFrame([(i, t, "x") for i, t in enumerate(listed)], "doc_id long, text string, h string")
-    got = line_dedup.dedup_runs(frame.repartition(3)).toPandas().sort_values("doc_id").reset_index(drop=True)
+    got = line_dedup.dedup(frame.repartition(3), ragged=ragged).toPandas().sort_values("doc_id").reset_index(drop=True)
     assert got.columns.tolist() == ["doc_id", "text", "h", "n_removed", "chars_removed"]
-    assert [None if pd.isna(t) else t for t in got["text"]] == brute_runs(listed)
-    for j, p in enumerate(passages):  # planted passages: each stays once, whole
-        assert [p in t for t in got["text"].iloc[4 * j:4 * j + 4]] == [True, False, False, False]
-        assert got["n_removed"].iloc[4 * j:4 * j + 4].tolist() == [0, 1, 1, 1]
+    assert [None if pd.isna(t) else t for t in got["text"]] == brute_passages(spark, listed, ragged)
     kept = {x for t in got["text"].dropna() for x in t.split("\n")}
     assert kept >= {x for t in listed if t for x in t.split("\n")}
-    again = line_dedup.dedup_runs(docs)
+    again = line_dedup.dedup(docs)
     assert again.count() == docs.count() and set(docs.columns) <= set(again.columns)
-    assert line_dedup.dedup_runs(empty).count() == 0
+    assert line_dedup.dedup(empty).count() == 0
 
 
-@pytest.mark.parametrize("order,block", [(2, 8 << 20), (2, 500), (3, 900)])
+def test_planted_passages_go_whole(spark):
+    """Passages of two lines and more and long lines: each stays once, whole, wherever it stands."""
+    passages, listed = passage_texts()
+    frame = spark.createDataFrame(list(enumerate(listed)), "doc_id long, text string")
+    got = line_dedup.dedup(frame).toPandas().sort_values("doc_id").reset_index(drop=True)
+    for j, p in enumerate(passages):
+        assert [p in t for t in got["text"].iloc[4 * j:4 * j + 4]] == [True, False, False, False]
+        assert not set(p.split("\n")) & {x for t in got["text"].iloc[4 * j + 1:4 * j + 4] for x in t.split("\n")}
+        assert got["n_removed"].iloc[4 * j:4 * j + 4].tolist() == [0, 1, 1, 1]
+    # Whole chunks alone leave the ends, and short passages, behind.
+    alone = line_dedup.dedup(frame, ragged=False).toPandas().sort_values("doc_id").reset_index(drop=True)
+    cut = [sum(len(set(p.split("\n")) - set(t.split("\n"))) for t in alone["text"].iloc[4 * j + 1:4 * j + 4]) / 3 / len(p.split("\n"))
+           for j, p in enumerate(passages)]
+    assert cut[7] > 0.7 and cut[8] == 1.0
+
+
+def test_line_dedup_with_nulls_and_repeated_rows(spark):
+    listed = [(None, "p\nq\nr"), (1, "p\nq\nr"), (1, "p\nq\nr"), (2, "z\np\nq"), (2, "other\ntext"), (None, None), (3, None)]
+    frame = spark.createDataFrame(listed, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in line_dedup.dedup(frame).collect()), key=str)
+    assert got == sorted([(None, "p\nq\nr"), (1, ""), (1, ""), (2, "z"), (2, "other\ntext"), (None, None), (3, None)], key=str)
+
+
+def test_line_dedup_shuffles_the_texts_once(spark, tmp_path):
+    frame = spark.createDataFrame([(i, f"a{i % 5}\nb{i % 5}\nc{i}", "en") for i in range(200)], "doc_id long, text string, lang string")
+    frame.write.parquet(str(tmp_path / "docs"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = line_dedup.dedup(spark.read.parquet(str(tmp_path / "docs")))
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        plan = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+        dealt = [x for x in plan.splitlines() if "Exchange hashpartitioning(_line_dedup_rid" in x]
+        assert "ReusedExchange [doc_id" in plan or "ReusedExchange" in plan and dealt
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("order,block", [(3, 8 << 20), (2, 500), (3, 900), (1, 700), (4, 400)])
 def test_lm_scores(docs, empty, order, block):
     got = lm_score.score(docs, order=order, block_bytes=block).toPandas()
     assert len(got) == len(rows()) and lm_score.score(empty).count() == 0
