@@ -106,40 +106,38 @@ LEGS_AT_ONCE = 8
 _IDLE_KEYS = 1 << 20
 
 
-def _walk_leg(df: DataFrame, lookup: DataFrame, keys: list[str], leg: Column) -> DataFrame:
-    """One leg of every waybill: ``__pf_t`` (ready time, NULL once stopped) and ``__pf_out`` move on."""
-    rem, t, day = F.col("__pf_rem"), F.col("__pf_t"), F.col("__pf_day")
-    state = [F.col(c) for c in df.columns]
-    asked = df.select(*state, F.get(rem, leg).alias("__pf_src"), F.get(rem, leg + 1).alias("__pf_dst"),
-                      F.date_trunc("DAY", t).cast("timestamp_ntz").alias("__pf_day"))
-    asked = asked.select("*", F.ceil(F.timestamp_diff("MICROSECOND", day, t).cast("double")
-                                     / F.lit(1_000_000.0)).cast("bigint").alias("__pf_x"))
-    # A key that no line has, so that finished waybills neither match nor meet in one task
-    idle = F.lit(-1) - F.pmod(F.xxhash64(*keys), F.lit(_IDLE_KEYS))
-    asks = t.isNotNull() & F.col("__pf_src").isNotNull() & F.col("__pf_dst").isNotNull()
-    asked = asked.select("*", F.when(asks, F.floor(F.col("__pf_x") / 3600)).otherwise(idle).cast("int").alias("__pf_hour"))
-    met = asked.join(lookup, (F.col("__pf_src") == F.col("__pf_l_src")) & (F.col("__pf_dst") == F.col("__pf_l_dst"))
-                     & (F.col("__pf_hour") == F.col("__pf_l_hour")), "left")
+def _walk_leg(df: DataFrame, lookup: DataFrame, keys: list[str], leg: int) -> DataFrame:
+    """One leg of every waybill: ``__pf_t`` (ready time, NULL once stopped) and ``__pf_out`` move on.
+
+    Written as SQL expressions, which cost the driver one call each; there is a set of them per leg.
+    """
+    state = df.columns
+    asked = df.selectExpr("*", f"get(__pf_rem, {leg}) AS __pf_src", f"get(__pf_rem, {leg + 1}) AS __pf_dst",
+                          "cast(date_trunc('DAY', __pf_t) AS timestamp_ntz) AS __pf_day")
+    asked = asked.selectExpr("*", "cast(ceil(cast(timestampdiff(MICROSECOND, __pf_day, __pf_t) AS double) / 1000000.0D) "
+                                  "AS bigint) AS __pf_x")
+    # Finished waybills get a key that no line has, so that they neither match nor meet in one task.
+    names = ", ".join(f"`{k}`" for k in keys)
+    asked = asked.selectExpr(
+        "*", "cast(CASE WHEN __pf_t IS NOT NULL AND __pf_src IS NOT NULL AND __pf_dst IS NOT NULL THEN floor(__pf_x / 3600) "
+             f"ELSE -1 - pmod(xxhash64({names}), {_IDLE_KEYS}) END AS int) AS __pf_hour")
+    met = asked.join(lookup, F.expr("__pf_src = __pf_l_src AND __pf_dst = __pf_l_dst AND __pf_hour = __pf_l_hour"), "left")
     # The first departure of the hour that is not before the ready time: its place among the sorted seconds
-    at = F.array_position(F.sort_array(F.concat("__pf_l_secs", F.array("__pf_x"))), F.col("__pf_x"))
-    came = [*state, *[F.col(c) for c in ("__pf_src", "__pf_dst", "__pf_day")]]
-    met = met.select(*came, F.coalesce(F.get("__pf_l_deps", at - 1), F.col("__pf_l_later")).alias("__pf_today"), "__pf_l_first")
-    met = met.select(*came, F.coalesce("__pf_today", "__pf_l_first").alias("__pf_dep"), F.when(
-        F.col("__pf_today").isNull(), F.lit(86_400)).otherwise(F.lit(0)).alias("__pf_wait"))
-    start = F.timestamp_add("SECOND", F.col("__pf_dep.secs").cast("long") + F.col("__pf_wait"), day)
-    met = met.select(*came, "__pf_dep", start.alias("__pf_start"))
-    met = met.select("*", F.timestamp_add("MINUTE", F.col("__pf_dep.run").cast("long"), F.col("__pf_start")).alias("__pf_end"))
-    record = F.struct(
-        leg.cast("int").alias("leg_idx"), F.col("__pf_src").alias("src"), F.col("__pf_dst").alias("dst"),
-        (leg + F.col("__pf_no")).cast("int").alias("path_no"),
-        F.when(leg == 0, F.col("__pf_pre")).otherwise(F.get(rem, leg - 1)).alias("pre_org"),
-        F.col("__pf_start").alias("start_time"), F.col("__pf_end").alias("end_time"))
+    came = [*[f"`{c}`" for c in state], "__pf_src", "__pf_dst", "__pf_day"]
+    met = met.selectExpr(*came, "__pf_l_first", "coalesce(get(__pf_l_deps, cast(array_position(sort_array(concat("
+                         "__pf_l_secs, array(__pf_x))), __pf_x) AS int) - 1), __pf_l_later) AS __pf_today")
+    met = met.selectExpr(*came, "coalesce(__pf_today, __pf_l_first) AS __pf_dep",
+                         "CASE WHEN __pf_today IS NULL THEN 86400L ELSE 0L END AS __pf_wait")
+    met = met.selectExpr(*came, "__pf_dep",
+                         "timestampadd(SECOND, cast(__pf_dep.secs AS bigint) + __pf_wait, __pf_day) AS __pf_start")
+    met = met.selectExpr("*", "timestampadd(MINUTE, cast(__pf_dep.run AS bigint), __pf_start) AS __pf_end")
+    before = "__pf_pre" if leg == 0 else f"get(__pf_rem, {leg - 1})"
+    record = (f"cast(named_struct('leg_idx', {leg}, 'src', __pf_src, 'dst', __pf_dst, 'path_no', {leg} + __pf_no, "
+              f"'pre_org', {before}, 'start_time', __pf_start, 'end_time', __pf_end) AS {_OUT})")
     ready = timefmt.add_hours(F.col("__pf_end"), F.col("__pf_dep.unload").cast("double"), fractional=True)
-    walked = F.col("__pf_dep").isNotNull()
     return met.select(
-        *[c for c in df.columns if c not in ("__pf_t", "__pf_out")],
-        F.when(walked, ready).alias("__pf_t"),
-        F.when(walked, F.concat("__pf_out", F.array(record.cast(_OUT)))).otherwise(F.col("__pf_out")).alias("__pf_out"))
+        *[c for c in state if c not in ("__pf_t", "__pf_out")], F.when(F.col("__pf_dep").isNotNull(), ready).alias("__pf_t"),
+        F.expr(f"CASE WHEN __pf_dep IS NOT NULL THEN concat(__pf_out, array({record})) ELSE __pf_out END").alias("__pf_out"))
 
 
 def schedule_walk(df: DataFrame, tt: DataFrame, key, remaining_col: str, ready_col: str,
@@ -167,16 +165,16 @@ def schedule_walk(df: DataFrame, tt: DataFrame, key, remaining_col: str, ready_c
     leave = F.col(leave_org_col) if leave_org_col else F.lit(None).cast("string")
     in_transit = F.coalesce(status == F.lit(IN_TRANSIT_STATUS), F.lit(False))
     state = df.select(*keys, *carry, F.col(remaining_col).alias("__pf_rem"), F.col(ready_col).alias("__pf_t"),
-                      F.when(in_transit, 2).otherwise(1).alias("__pf_no"), F.when(in_transit, leave).alias("__pf_pre"),
-                      F.array().cast(f"array<{_OUT}>").alias("__pf_out"))
+                      F.when(in_transit, 2).otherwise(1).alias("__pf_no"), F.when(in_transit, leave).alias("__pf_pre"))
     seen = Observation()
     state = written(state.observe(seen, F.max(F.size("__pf_rem")).alias("longest")), "walk").filter(
         F.col("__pf_t").isNotNull() & (F.size("__pf_rem") >= 2))
+    state = state.withColumn("__pf_out", F.array().cast(f"array<{_OUT}>"))
     cores = state.sparkSession.sparkContext.defaultParallelism
     if len(state.inputFiles()) < cores:  # an input of few tasks, which would leave cores idle all the way
         state = state.repartition(cores)
     for leg in range((seen.get["longest"] or 1) - 1):
         if leg and leg % LEGS_AT_ONCE == 0:
             state = written(state, "walk")
-        state = _walk_leg(state, lookup, keys, F.lit(leg))
+        state = _walk_leg(state, lookup, keys, leg)
     return state.select(*keys, *carry, F.inline_outer("__pf_out")).filter(F.col("leg_idx").isNotNull())
