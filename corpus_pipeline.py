@@ -1,7 +1,13 @@
 """The corpus pipeline: stages over ``documents``, each written as Parquet and read by the next.
 
-Toxic documents go, repeated runs of lines are cut out of the texts, one document of every group
+Toxic documents go, repeated passages are cut out of the texts, one document of every group
 of near-duplicates stays, and what is left is packed into training sequences.
+
+Defined cases: a null text stays null until it is packed as empty (its closing token alone), and counts as
+an empty text for the near-duplicates; empty texts are near-duplicates of each other, so one of them
+stays; rows without doc_id and rows that share one are documents of their own; without labels of
+both classes nothing is toxic; an empty table gives empty stages; further columns, whatever their names, are carried
+through to the last stage.
 """
 
 from __future__ import annotations
