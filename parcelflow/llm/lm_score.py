@@ -26,6 +26,8 @@ whose words all count; an empty table gives no rows; extra columns are dropped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,20 +64,21 @@ class Block:
         #: Positions at which a k-gram ends.
         self.inside = [np.flatnonzero(self.place >= k) for k in range(order)]
 
+    def _cut(self, shift: int) -> np.ndarray:
+        """Cut hashes of all n-grams of two words and more."""
+        longer = [g[i] for g, i in zip(self.grams[1:], self.inside[1:])]
+        return np.concatenate([np.empty(0, np.uint64), *longer]) >> np.uint64(shift)
+
     def cut(self, shift: int) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct cut hashes of the n-grams of two words and more, and how often each occurs."""
-        if len(self.grams) < 2:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
-        keys = np.concatenate([g[i] for g, i in zip(self.grams[1:], self.inside[1:])]) >> np.uint64(shift)
-        return np.unique(keys, return_counts=True)
+        """Distinct cut hashes, and how often each occurs."""
+        return np.unique(self._cut(shift), return_counts=True)
 
-    def passed(self, shift: int, often: np.ndarray) -> list[np.ndarray]:
-        """Per order, the positions whose n-gram is asked for: all words, and what passed the thin exchange."""
-        keys, _ = self.cut(shift)
-        out = [self.inside[0]]
-        for g, i in zip(self.grams[1:], self.inside[1:]):
-            out.append(i[often[np.searchsorted(keys, g[i] >> np.uint64(shift))]] if len(i) else i)
-        return out
+    def passed(self, shift: int, often: Callable[[np.ndarray], np.ndarray]) -> list[np.ndarray]:
+        """Per order, the positions whose n-gram is asked for: all words, and what passed the thin
+        exchange; ``often`` tells which of the sorted cut hashes did."""
+        keys, number = np.unique(self._cut(shift), return_inverse=True)
+        flags = np.split(often(keys)[number], np.cumsum([len(i) for i in self.inside[1:]]))
+        return [self.inside[0], *[i[f] for i, f in zip(self.inside[1:], flags)]]
 
 
 _ASKED = "block long, range int, keys binary, times binary"
@@ -105,18 +108,21 @@ def score(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, alpha
         _, total, places = totals(asked)
         return asked[["block", "range"]].assign(answer=[np.packbits(total[p] >= min_count).tobytes() for p in places])
 
-    def often(words: Block, answers: pd.DataFrame) -> np.ndarray:
-        """Whether each of the block's cut hashes occurs often enough, from the bits of its ranges."""
-        keys, _ = words.cut(64 - bits)
-        at = borders(keys, edges(ranges, bits))
-        out = np.zeros(len(keys), bool)
-        for r, answer in zip(answers["range"], answers["answer"]):
-            out[at[r]:at[r + 1]] = np.unpackbits(np.frombuffer(answer, np.uint8), count=at[r + 1] - at[r])
-        return out
+    def often(answers: pd.DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+        """Whether each of a block's cut hashes occurs often enough, from the bits of its ranges."""
+
+        def flags(keys: np.ndarray) -> np.ndarray:
+            at = borders(keys, edges(ranges, bits))
+            out = np.zeros(len(keys), bool)
+            for r, answer in zip(answers["range"], answers["answer"]):
+                out[at[r]:at[r + 1]] = np.unpackbits(np.frombuffer(answer, np.uint8), count=at[r + 1] - at[r])
+            return out
+
+        return flags
 
     def ask_exact(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         words = Block(block["text"].tolist(), order)
-        asked = words.passed(64 - bits, often(words, answers))
+        asked = words.passed(64 - bits, often(answers))
         keys, times = np.unique(np.concatenate([g[i] for g, i in zip(words.grams, asked)]), return_counts=True)
         return rows(keys, times, edges(ranges, 64)).assign(block=block["block"].iloc[0])
 
@@ -126,14 +132,14 @@ def score(docs: DataFrame, order: int = ORDER, min_count: int = MIN_COUNT, alpha
 
     def finish(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         words = Block(block["text"].tolist(), order)
-        asked = words.passed(64 - bits, often(words, answers[answers["round"] == 0]))
-        keys = np.unique(np.concatenate([g[i] for g, i in zip(words.grams, asked)]))
+        asked = words.passed(64 - bits, often(answers[answers["round"] == 0]))
+        _, number = np.unique(np.concatenate([g[i] for g, i in zip(words.grams, asked)]), return_inverse=True)
         exact = answers[answers["round"] == 1].sort_values("range")
         found = np.concatenate([np.empty(0, np.int64), *map(unsmall, exact["answer"])])
         n, place = len(words.place), words.place
         seen = np.zeros((order, n))  # per order, the count of the n-gram that ends at each position
-        for k, (g, i) in enumerate(zip(words.grams, asked)):
-            counts = found[np.searchsorted(keys, g[i])]
+        parts = np.split(found[number], np.cumsum([len(i) for i in asked])[:-1])
+        for k, (i, counts) in enumerate(zip(asked, parts)):
             seen[k, i] = np.where(counts >= min_count, counts, 0) if k else counts
         log, level = np.full(n, np.nan), np.zeros(n, np.int64)
         for k in range(order, 0, -1):  # the longest n-gram that is frequent enough decides
