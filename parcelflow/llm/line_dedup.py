@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions.bind import let
+from parcelflow.llm.common import staged
 
 MIN_LINES = 2
 #: A line of more words than this is a chunk of its own.
@@ -111,13 +112,15 @@ def _join(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
     return df.join(other, (F.col(_RID) == F.col(r)) & F.col(_KEY).eqNullSafe(F.col(k)), how).drop(k, r)
 
 
-def _repeated(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """(key, rid, gone): by document the numbers of the lines in units that occurred before.
-
-    ``units`` is (key, rid, at, h); ``docs`` has their texts.
-    """
+def _suspects(units: DataFrame) -> DataFrame:
+    """(key, rid, at): by document the places of the units whose hash occurs more than once."""
     often = units.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    suspects = units.join(often, "h").groupBy(_KEY, _RID).agg(F.collect_set("at").alias(_AT))
+    return units.join(often, "h").groupBy(_KEY, _RID).agg(F.collect_set("at").alias(_AT))
+
+
+def _repeated(docs: DataFrame, suspects: DataFrame) -> DataFrame:
+    """(key, rid, gone): by document the numbers of the lines in units that occurred before; ``docs`` has
+    the suspects' texts."""
     # Byte comparison: equal texts meet in one group, after map-side aggregation.
     texts = _join(docs, suspects, "inner").select(_KEY, _RID, F.explode(_lines(_unit_texts)).alias("u"))
     place = F.struct(F.col(_KEY).alias("k"), F.col(_RID).alias("r"), F.col("u.at").alias("at"))
@@ -140,11 +143,12 @@ def dedup(docs: DataFrame, min_lines: int = MIN_LINES, ragged: bool = True) -> D
     some_null = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNull() for c in own])
     full = hashed.withColumn(_ZERO, F.least(F.lit(0), F.when(some_null, 1).otherwise(2)))
     chunks = hashed.select(_KEY, _RID, F.explode(_lines(_chunk_units(min_lines))).alias("u")).select(_KEY, _RID, "u.at", "u.h")
-    cut = _repeated(full, chunks)
+    # Written once: both are small, hold no text, and keep the plan of the rest short.
+    cut = _repeated(full, staged(_suspects(staged(chunks, "chunks")), "suspects"))
     if ragged:
         pairs = (_join(full, cut, "left").select(_KEY, _RID, F.explode(_lines(_pair_units)).alias("u"))
                  .select(_KEY, _RID, "u.at", "u.h"))
-        more = _repeated(full, pairs)
+        more = _repeated(full, _suspects(pairs))
         cut = cut.unionByName(more).groupBy(_KEY, _RID).agg(
             F.array_distinct(F.flatten(F.collect_list(_GONE))).alias(_GONE))
     final = _join(hashed, cut, "left")

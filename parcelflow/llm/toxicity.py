@@ -167,6 +167,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     classes = rng.normal(0, 0.1, (DIMENSIONS, 2))
     bias = np.zeros(2)
     momentum = [np.zeros_like(x) for x in (embed, classes, bias)]
+    room = np.empty_like(embed)  # the one array of this size that the steps work in
     for epoch in range(epochs):
         diff = classes[:, 1] - classes[:, 0]
         per_word = np.add.reduceat((embed @ diff.astype(np.float32))[buckets], bucket_start)
@@ -183,13 +184,17 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         # The gradient of a bucket is this number times the class difference.
         word_error = np.bincount(word_at, (error / tokens)[segment_of], len(counts))
         pull = np.bincount(buckets, np.repeat(word_error, counts), BUCKETS) * common
-        by_class = embed.T @ pull
-        grads = (np.outer(pull.astype(np.float32), diff.astype(np.float32)), np.stack([-by_class, by_class], 1), np.array([-error.sum(), error.sum()]))
+        # In parts, as the product is taken in double precision
+        by_class = sum(embed[i:i + (1 << 17)].T @ pull[i:i + (1 << 17)] for i in range(0, BUCKETS, 1 << 17))
+        np.outer(pull.astype(np.float32), diff.astype(np.float32), out=room)
+        grads = (room, np.stack([-by_class, by_class], 1), np.array([-error.sum(), error.sum()]))
         # Steps keep the proportions of the gradient, so that rare subwords move little.
         for x, g, m, rate in zip((embed, classes, bias), grads, momentum, RATES):
             m *= 0.8
-            m += np.asarray(0.2, m.dtype) * g
-            x -= m * m.dtype.type(rate / (max(m.max(), -m.min()) + 1e-12))
+            g *= np.asarray(0.2, m.dtype)
+            m += g
+            np.multiply(m, m.dtype.type(rate / (max(m.max(), -m.min()) + 1e-12)), out=g)
+            x -= g
     diff = classes[:, 1] - classes[:, 0]
     model = Model((embed @ diff) * common, float(bias[1] - bias[0]))
     return _calibrated(model, texts, np.asarray(labels))
