@@ -1,6 +1,7 @@
 """Time slices of raw texts, and the ISO short cut of the parser."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +71,11 @@ def test_iso_short_cut_equals_the_layouts(spark):
     both = df.select("t", timefmt.iso_to_ts("t").alias("quick"), timefmt.iso_to_ts(F.col("t")).alias("plain")).collect()
     assert [(r.t, r.quick) for r in both] == [(r.t, r.plain) for r in both]
     assert sum(r.quick is not None for r in both) >= 12
+
+
+def test_time_columns_leave_row_loops_that_the_jvm_compiles(spark, capsys):
+    for spec in clean.CLEAN_SPECS.values():
+        raw = spark.range(1).select(*[F.concat(F.col("id").cast("string"), F.lit(c)).alias(c) for c in spec.columns])
+        clean._standard(raw, spec).explain("codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) < 8000
