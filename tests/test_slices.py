@@ -73,6 +73,20 @@ def test_iso_short_cut_equals_the_layouts(spark):
     assert sum(r.quick is not None for r in both) >= 12
 
 
+def test_undated_rows_are_in_every_slice_of_stock(spark):
+    undated = {"NULL", "null", "", " ", "\\N", None, "2024-13-45T00:00:00.000Z", "2024-01-0xT00:00:00.000Z", "soon"}
+    inside = {"2024-01-03T10:00:00.000Z", "2024-01-10T05:00:00.000Z", "2024-01-10 09:59:59", "2024/01/05 10:00:00", "20240105",
+              "2024-1-5 10:00:00"}
+    late = {"2024-01-10T10:00:00.000Z", "2024-01-11T00:00:00.000Z"}
+    assert kept(spark, upper=True, undated=True) == inside | undated
+    assert kept(spark, undated=True) == inside | late | undated
+    spec = clean.CLEAN_SPECS["volume_stock"]
+    texts = {"1": "2024-01-05T00:00:00.000Z", "2": "null", "3": "2001-13-45T00:00:00.000Z", "4": "2023-01-05T00:00:00.000Z"}
+    raw = spark.createDataFrame([(i, t) for i, t in texts.items()], "id string, create_time string")
+    raw = raw.select(*[F.col(c) if c in raw.columns else F.lit("x").alias(c) for c in spec.columns])
+    assert {r.id for r in clean.clean_table(raw, spec, END).collect()} == {"1", "2", "3"}
+
+
 def test_time_columns_leave_row_loops_that_the_jvm_compiles(spark, capsys):
     for spec in clean.CLEAN_SPECS.values():
         raw = spark.range(1).select(*[F.concat(F.col("id").cast("string"), F.lit(c)).alias(c) for c in spec.columns])
