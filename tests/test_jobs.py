@@ -103,3 +103,18 @@ def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.checkpoint_dir(Session())
+
+
+def test_forecast_query_cleans_once(spark, monkeypatch):
+    seen = {}
+    run = R.jobs.run_forecast
+
+    def spy(t, *args, **options):
+        seen.update(t)
+        return run(t, *args, **options)
+
+    monkeypatch.setattr(R.jobs, "run_forecast", spy)
+    assert R.QUERIES["job_forecast"](spark, SF).count() > 0
+    for name in clean.CLEAN_SPECS:
+        if name != "volume_unload_detail":
+            assert all("/written-" in f for f in seen[name].inputFiles())
