@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 
 from .. import schemas
-from ..session import written
+from ..session import discarding, written
 from ..sources import readers, sinks
 from . import clean, forecast, unscan, warning
 
@@ -68,14 +68,17 @@ def run_forecast(cleaned: dict, end_time, target: str, keep_days: int | None = 5
     """Forecast the batch ``end_time``, write it as partition ``batch_no=<end_time>`` (only that
     partition is replaced; an empty result leaves no rows of it), write the spliced lines to
     ``line_target``, optionally append the batch to a JDBC table, then drop batches older than
-    ``keep_days``.  The result is computed once and read back for every sink."""
+    ``keep_days``.  The result is computed once and read back for every sink; what the batch wrote on the way
+    is discarded."""
     end = _stamp(end_time)
-    stages = forecast.stages(cleaned, end, materialize=True)
-    if line_target:
-        sinks.write_table(schemas.conform(forecast.line_info_out(stages["line_info"]), schemas.LINE_INFO),
-                          line_target, mode="overwrite", fmt="parquet")
-    result = written(schemas.conform(forecast.result(cleaned, stages, end, create_time), schemas.FORECAST), "forecast")
-    spark = result.sparkSession
+    spark = cleaned["volume_waybill"].sparkSession
+    with discarding(spark):
+        stages = forecast.stages(cleaned, end, materialize=True)
+        if line_target:
+            sinks.write_table(schemas.conform(forecast.line_info_out(stages["line_info"]), schemas.LINE_INFO),
+                              line_target, mode="overwrite", fmt="parquet")
+        result = written(schemas.conform(forecast.result(cleaned, stages, end, create_time), schemas.FORECAST),
+                         "forecast", keep=True)
     if result.isEmpty():
         sinks.drop_batch(spark, target, end)
     else:
