@@ -71,6 +71,28 @@ def test_forecast_job_leaves_only_its_batches(spark):
     assert {r.batch_no for r in out.select("batch_no").distinct().collect()} == {R.FORECAST_END}
 
 
+def test_forecast_writes_step_by_step_and_discards(spark, monkeypatch):
+    """Each written step finds the disk without the steps that nobody reads any more."""
+    before, found = _written(spark), {}
+
+    def spy(df, tag, keep=False):
+        found[tag] = _tags(_written(spark) - before)
+        return session.written(df, tag, keep)
+
+    monkeypatch.setattr(forecast, "written", spy)
+    t = R.cleaned_logistics(spark, SF)
+    out = forecast.run(t, R.FORECAST_END)
+    always = ["line_info", "orgs", "volume_waybill"]
+    assert found["items"] == sorted([*always, "trips"])
+    assert found["latest"] == sorted([*always, "items"])
+    assert found["loads"] == sorted([*always, "latest"])
+    assert found["stock"] == sorted([*always, "loads"])
+    assert found["status"] == sorted([*always, "loads", "stock"])
+    assert _tags(_written(spark) - before) == ["departures", "line_info", "orgs", "status", "walk"]
+    plain = forecast.run(t, R.FORECAST_END, materialize=False)
+    assert out.count() > 0 and out.exceptAll(plain).isEmpty() and plain.exceptAll(out).isEmpty()
+
+
 def test_the_job_reads_the_stored_columns_only(spark):
     """The steps on the stored tables give what they give on the whole cleaned tables."""
     t = R.cleaned_logistics(spark, SF)
