@@ -84,8 +84,8 @@ def test_forecast_writes_step_by_step_and_discards(spark, monkeypatch):
     out = forecast.run(t, R.FORECAST_END)
     always = ["line_info", "orgs", "volume_waybill"]
     assert found["items"] == sorted([*always, "trips"])
-    assert found["latest"] == sorted([*always, "items"])
-    assert found["loads"] == sorted([*always, "latest"])
+    assert found["opened"] == sorted([*always, "items"])
+    assert found["loads"] == sorted([*always, "opened"])
     assert found["stock"] == sorted([*always, "loads"])
     assert found["status"] == sorted([*always, "loads", "stock"])
     assert _tags(_written(spark) - before) == ["departures", "line_info", "orgs", "status", "walk"]
